@@ -8,6 +8,7 @@ extra inference pass over the files.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from medalake import schemas
 from medalake.sinks.landing import landed_glob
@@ -39,3 +40,8 @@ def read_bronze_reviews(spark: SparkSession, landing_root: str) -> DataFrame:
 def silver_view(df: DataFrame, table: str) -> DataFrame:
     """The declared projection of a silver table."""
     return df.select(*SILVER_VIEWS[table])
+
+
+def canonical(df: DataFrame, schema) -> DataFrame:
+    """Columns in the declared order and types, whatever order they arrive in."""
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])

@@ -19,7 +19,9 @@ def latest_per_key(df: DataFrame, keys, order) -> DataFrame:
     deterministic whatever the input order."""
     keys, order = list(keys), list(order)
     rest = [c for c in df.columns if c not in keys and c not in order]
-    ordering = [F.col(c).alias(f"_o{i}") for i, c in enumerate(order + rest)]
-    picked = df.groupBy(*keys).agg(
-        F.max(F.struct(*ordering, F.struct(*[F.col(c) for c in df.columns]).alias("row"))).alias("_m"))
-    return picked.select(*[F.col(f"_m.row.{c}").alias(c) for c in df.columns])
+    # order + rest covers every non-key column once: the struct is both the
+    # sort key and the payload, so nothing is shuffled twice
+    picked = df.groupBy(*keys).agg(F.max(F.struct(*[F.col(c) for c in order + rest])).alias("_m"))
+    # the keys stay the aggregate's own output columns, so its hash
+    # partitioning on them is reused by a following join on the same keys
+    return picked.select(*[F.col(c) if c in keys else F.col(f"_m.{c}").alias(c) for c in df.columns])

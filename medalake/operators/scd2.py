@@ -48,9 +48,10 @@ def stamp(df: DataFrame, as_of, open_end: bool = True) -> DataFrame:
 
     reference, which also sets the end date to the load time."""
     ts = ts_literal(as_of)
-    return (df.withColumn("effective_start_date", ts)
-              .withColumn("effective_end_date", null_ts() if open_end else ts)
-              .withColumn("is_active", F.lit(True)))
+    keep = [c for c in df.columns if c not in ("effective_start_date", "effective_end_date", "is_active")]
+    return df.select(*keep, ts.alias("effective_start_date"),
+                     (null_ts() if open_end else ts).alias("effective_end_date"),
+                     F.lit(True).alias("is_active"))
 
 
 def prepare(df: DataFrame, spec: TableSpec) -> DataFrame:

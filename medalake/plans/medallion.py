@@ -11,6 +11,7 @@ from medalake.plans.config import config_frame
 from medalake.plans.gold import gold_job
 from medalake.plans.landing import LakePaths, RunLog, ingest_all, land_reviews_batch
 from medalake.plans.silver import silver_from_landing
+from medalake.plans.specs import SILVER_ORDER
 
 
 def lake_paths(root: str) -> LakePaths:
@@ -24,11 +25,14 @@ def run_medallion(spark: SparkSession, sources, root: str, as_of: dt.datetime,
                   mode: str = "standard") -> DataFrame:
     paths = lake_paths(root)
     log = RunLog(as_of)
-    ingest_all(spark, config if config is not None else config_frame(spark), sources, paths, as_of, log)
+    config = config if config is not None else config_frame(spark)
+    active = {r["tablename"] for r in config.filter("is_active = '1'").select("tablename").collect()}
+    ingest_all(spark, config, sources, paths, as_of, log)
     if reviews_payload:
         land_reviews_batch(spark, reviews_payload, paths.landing, as_of, log)
     silver_root = f"{root.rstrip('/')}/silver"
-    silver_from_landing(spark, paths.landing, silver_root, as_of, mode=mode)
+    silver_from_landing(spark, paths.landing, silver_root, as_of,
+                        tables=[t for t in SILVER_ORDER if t in active], mode=mode)
     gold = gold_job(spark, silver_root, f"{root.rstrip('/')}/gold", mode=mode)
     log.save(spark, paths.logs, f"{root.rstrip('/')}/temp/pipeline_logs")
     return gold

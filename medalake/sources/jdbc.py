@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 def read_table(spark: SparkSession, options: dict[str, str], table: str,
                partition_column: str | None = None, lower_bound=None, upper_bound=None,
                num_partitions: int | None = None, fetch_size: int = 10_000) -> DataFrame:
-    r = spark.read.format("jdbc").options(**options).option("dbtable", table).option(
-        "fetchsize", str(fetch_size))
+    # source DATETIME columns are zone-less: read them as timestamp_ntz
+    r = (spark.read.format("jdbc").options(**options).option("dbtable", table)
+         .option("fetchsize", str(fetch_size)).option("preferTimestampNTZ", "true"))
     if partition_column:
         if lower_bound is None or upper_bound is None or not num_partitions:
             raise ValueError("partitioned JDBC reads need lower_bound, upper_bound and num_partitions")

@@ -149,7 +149,7 @@ def _source(spark, sf, t):
 
 def _init(spark, sf, t):
     spec = SPECS[t]
-    return S.scd2_merge(S.empty_silver(spark, spec), _source(spark, sf, t), spec, A.T0).table
+    return S.scd2_merge(None, _source(spark, sf, t), spec, A.T0).table   # first load
 
 
 def _batch(spark, sf, t):

@@ -67,7 +67,9 @@ def empty_silver(spark, spec: TableSpec) -> DataFrame:
 
 # --- standard ----------------------------------------------------------------
 
-def scd2_merge(current: DataFrame, incoming: DataFrame, spec: TableSpec, as_of) -> MergeResult:
+def scd2_merge(current: DataFrame | None, incoming: DataFrame, spec: TableSpec, as_of) -> MergeResult:
+    """``current=None`` marks a first load (no committed version): every
+    incoming key opens a version, so no join is planned at all."""
     keys = list(spec.keys)
     ts = ts_literal(as_of)
     out_cols = spec.silver_schema.fieldNames()
@@ -77,6 +79,8 @@ def scd2_merge(current: DataFrame, incoming: DataFrame, spec: TableSpec, as_of)
     quarantined = inc.filter(null_key)
     inc = latest_per_key(inc.filter(~null_key), keys, [spec.watermark] if spec.watermark else [])
     inc = prepare(inc, spec)
+    if current is None:
+        return MergeResult(stamp(inc, as_of).select(*out_cols), quarantined)
     payload = [c for c in inc.columns if c not in keys]
 
     cur = current.select(*out_cols)

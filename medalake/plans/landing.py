@@ -2,8 +2,8 @@
 
 Per active config row: look up the high-watermark (incremental loads),
 extract (a filter the source can push down), land the batch as JSON with a
-distributed write, count and measure it from the landed files (only two
-scalars reach the driver), append the audit row, then archive the previous
+distributed write, count and measure it while writing (an ``Observation``:
+only two scalars reach the driver), append the audit row, then archive the previous
 batches of the table. A failing table is logged as ERROR and the next one
 runs. The loop runs over the config relation (one row per table), i.e. over
 the control plane; each iteration is a set of Spark jobs over the data.
@@ -15,12 +15,12 @@ import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from medalake import schemas
-from medalake.functions.expressions import (DEFAULT_WATERMARK, epoch_ms_to_ts, file_date,
+from medalake.functions.expressions import (DEFAULT_WATERMARK, file_date,
                                             normalized_load_type, ts_literal)
 from medalake.session import delete_path, list_dir
 from medalake.sinks import landing as K
@@ -181,14 +181,16 @@ def ingest_table(spark: SparkSession, source: DataFrame, cfg: dict, paths: LakeP
                                 None if as_coded_watermark else cfg.get("datasource"))
         log.event("INFO", f"Latest watermark for {table}: {last:%Y-%m-%d %H:%M:%S}", table)
     batch = extract(source, mode, wcol, last)
-    landed = K.land_json(batch, paths.landing, table, as_of)
+    # row count and high-watermark are observed while the batch is written:
+    # no second pass over the landed files, only two scalars reach the driver
+    obs = Observation(f"landed_{table}")
     measures = [F.count(F.lit(1)).alias("n")]
     if mode == "incremental":
-        measures.append(F.max(epoch_ms_to_ts(wcol)).alias("w"))
-    # count and high-watermark of what actually landed, in one pass
-    row = read_bronze(spark, paths.landing, table, landed).agg(*measures).collect()[0]
-    n = int(row["n"])
-    high = row["w"] if mode == "incremental" else None
+        measures.append(F.max(wcol).alias("w"))
+    landed = K.land_json(batch.observe(obs, *measures), paths.landing, table, as_of)
+    metrics = obs.get
+    n = int(metrics.get("n") or 0)
+    high = metrics.get("w") if mode == "incremental" else None
     log.event("SUCCESS", f"Extracted and landed {n} rows from {table}", table)
     audit_row = [(table, cfg.get("loadtype"), n, as_of, "SUCCESS", cfg.get("datasource"), high)]
     write_table(spark.createDataFrame(audit_row, schemas.AUDIT), paths.audit, "append")

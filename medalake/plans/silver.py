@@ -28,13 +28,14 @@ def silver_job(spark: SparkSession, spec: TableSpec, incoming: DataFrame, silver
     if spec.kind == "refresh":
         result = full_refresh(incoming, spec, as_of, open_end=(mode == "standard"))
     else:
-        current = current_or_empty(spark, table_dir, spec)
+        current = read_silver(spark, table_dir, spec.silver_schema)
         if mode == "standard":
             merged = scd2_merge(current, incoming, spec, as_of)
             result = merged.table
             bad = merged.quarantined.withColumn("loaded_at", ts_literal(as_of))
             write_table(bad, f"{silver_root.rstrip('/')}/_quarantine/{spec.name}", "append")
         else:
+            current = current if current is not None else empty_silver(spark, spec)
             result = merge(current, incoming, spec, as_of, mode)
     return write_silver_version(result, spark, table_dir)
 

@@ -313,3 +313,19 @@ def scd2_initial(spark, sf, t):
 
 
 __all__ = ["scd2_standard_sql", "scd2_as_coded_sql", "scd2_initial", "F"]
+
+
+# --- streaming ---------------------------------------------------------------
+
+@query("silver_stream_customers", scd2_standard_sql("customers"))
+def q_stream_customers(spark, sf):
+    """Two landed batches, each picked up by its own incremental stream run."""
+    from medalake.sinks.landing import land_json
+    from medalake.streaming.incremental import run_incremental_silver
+    spec = SPECS["customers"]
+    root = shared_dir(spark, "silver_stream_customers")
+    land_json(_source(spark, sf, "customers"), f"{root}/landing", "customers", A.T0)
+    run_incremental_silver(spark, spec, f"{root}/landing", f"{root}/silver", A.T0)
+    land_json(_batch(spark, sf, "customers"), f"{root}/landing", "customers", A.T1)
+    run_incremental_silver(spark, spec, f"{root}/landing", f"{root}/silver", A.T1)
+    return read_silver(spark, f"{root}/silver/customers", spec.silver_schema)

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from medalake.functions.expressions import ts_literal
+from medalake.functions.expressions import any_null, ts_literal
 from medalake.operators.refresh import from_landing, full_refresh
 from medalake.operators.scd2 import empty_silver, merge, scd2_merge
 from medalake.plans.specs import SILVER_ORDER, SPECS, TableSpec
@@ -30,13 +30,19 @@ def silver_job(spark: SparkSession, spec: TableSpec, incoming: DataFrame, silver
     else:
         current = read_silver(spark, table_dir, spec.silver_schema)
         if mode == "standard":
-            merged = scd2_merge(current, incoming, spec, as_of)
-            result = merged.table
-            bad = merged.quarantined.withColumn("loaded_at", ts_literal(as_of))
-            write_table(bad, f"{silver_root.rstrip('/')}/_quarantine/{spec.name}", "append")
-        else:
-            current = current if current is not None else empty_silver(spark, spec)
-            result = merge(current, incoming, spec, as_of, mode)
+            # NULL-key rows are counted while the merge is written; the
+            # quarantine output costs a second pass only when there are any
+            obs = Observation(f"null_keys_{spec.name}")
+            observed = incoming.observe(
+                obs, F.sum(F.when(any_null(spec.keys), 1).otherwise(0)).alias("bad"))
+            path = write_silver_version(scd2_merge(current, observed, spec, as_of).table, spark, table_dir)
+            if (obs.get.get("bad") or 0) > 0:
+                bad = scd2_merge(None, incoming, spec, as_of).quarantined
+                write_table(bad.withColumn("loaded_at", ts_literal(as_of)),
+                            f"{silver_root.rstrip('/')}/_quarantine/{spec.name}", "append")
+            return path
+        current = current if current is not None else empty_silver(spark, spec)
+        result = merge(current, incoming, spec, as_of, mode)
     return write_silver_version(result, spark, table_dir)
 
 

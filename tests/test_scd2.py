@@ -208,3 +208,13 @@ def test_empty_silver_schema(spark):
 def test_unknown_mode(spark, mode):
     with pytest.raises(ValueError):
         S.merge(S.empty_silver(spark, CUST), cust(spark, BASE), CUST, T0, mode)
+
+
+def test_silver_job_writes_null_key_quarantine_only_when_present(spark, root):
+    from medalake.session import list_dir
+    silver_job(spark, CUST, cust(spark, BASE), root, T0)
+    assert "_quarantine" not in list_dir(spark, root)
+    silver_job(spark, CUST, cust(spark, [(None, "z", "z@x", U), (1, "a", "a@x", U)]), root, T1)
+    q = spark.read.parquet(f"{root}/_quarantine/customers")
+    assert q.count() == 1 and q.first().name == "z"
+    assert read_silver(spark, f"{root}/customers", CUST.silver_schema).count() == 3

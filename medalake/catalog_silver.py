@@ -329,3 +329,14 @@ def q_stream_customers(spark, sf):
     land_json(_batch(spark, sf, "customers"), f"{root}/landing", "customers", A.T1)
     run_incremental_silver(spark, spec, f"{root}/landing", f"{root}/silver", A.T1)
     return read_silver(spark, f"{root}/silver/customers", spec.silver_schema)
+
+
+def _register_small_batch(t):
+    @query(f"silver_scd2_{t}_small_batch", scd2_standard_sql(t))
+    def q(spark, sf):
+        """The same merge with the broadcast-batch strategy (active rows not shuffled)."""
+        return S.scd2_merge(_init(spark, sf, t), _batch(spark, sf, t), SPECS[t], A.T1, small_batch=True).table
+
+
+for _t in ("customers", "product_suppliers"):
+    _register_small_batch(_t)

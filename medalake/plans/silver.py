@@ -10,6 +10,8 @@ from medalake.operators.refresh import from_landing, full_refresh
 from medalake.operators.scd2 import empty_silver, merge, scd2_merge
 from medalake.plans.specs import SILVER_ORDER, SPECS, TableSpec
 from medalake.sinks.tables import read_silver, write_silver_version, write_table
+from medalake.session import broadcast_limit, path_bytes
+from medalake.sinks.landing import landed_glob
 from medalake.sources.bronze import read_bronze
 
 
@@ -22,8 +24,13 @@ def current_or_empty(spark: SparkSession, table_dir: str, spec: TableSpec) -> Da
 
 
 def silver_job(spark: SparkSession, spec: TableSpec, incoming: DataFrame, silver_root: str,
-               as_of, mode: str = "standard") -> str:
-    """Run one silver table job on source-shaped ``incoming``; returns the new version path."""
+               as_of, mode: str = "standard", batch_bytes: int | None = None) -> str:
+    """Run one silver table job on source-shaped ``incoming``; returns the new version path.
+
+    ``batch_bytes`` is the measured size of the batch's files. When it is
+    within the session's broadcast threshold the SCD2 merge broadcasts the
+    batch and leaves the active rows unshuffled; otherwise (or unknown) it
+    uses the shuffle join."""
     table_dir = f"{silver_root.rstrip('/')}/{spec.name}"
     if spec.kind == "refresh":
         result = full_refresh(incoming, spec, as_of, open_end=(mode == "standard"))
@@ -35,7 +42,10 @@ def silver_job(spark: SparkSession, spec: TableSpec, incoming: DataFrame, silver
             obs = Observation(f"null_keys_{spec.name}")
             observed = incoming.observe(
                 obs, F.sum(F.when(any_null(spec.keys), 1).otherwise(0)).alias("bad"))
-            path = write_silver_version(scd2_merge(current, observed, spec, as_of).table, spark, table_dir)
+            limit = broadcast_limit(spark)
+            small = current is not None and batch_bytes is not None and 0 < batch_bytes <= limit
+            merged = scd2_merge(current, observed, spec, as_of, small_batch=small)
+            path = write_silver_version(merged.table, spark, table_dir)
             if (obs.get.get("bad") or 0) > 0:
                 bad = scd2_merge(None, incoming, spec, as_of).quarantined
                 write_table(bad.withColumn("loaded_at", ts_literal(as_of)),
@@ -53,7 +63,8 @@ def silver_from_landing(spark: SparkSession, landing_root: str, silver_root: str
     for name in tables:
         spec = SPECS[name]
         incoming = from_landing(read_bronze(spark, landing_root, name), spec)
-        out[name] = silver_job(spark, spec, incoming, silver_root, as_of, mode)
+        size = path_bytes(spark, landed_glob(landing_root, name))
+        out[name] = silver_job(spark, spec, incoming, silver_root, as_of, mode, batch_bytes=size)
     return out
 
 

@@ -91,3 +91,15 @@ def env_int(name: str, default: int) -> int:
         return int(os.environ.get(name, default))
     except ValueError:
         return default
+
+
+def path_bytes(spark: SparkSession, pattern: str) -> int:
+    """Total bytes of the files matching a path or glob (0 when none)."""
+    fs, p = hadoop_fs(spark, pattern)
+    statuses = fs.globStatus(p) or []
+    return int(sum(fs.getContentSummary(s.getPath()).getLength() for s in statuses))
+
+
+def broadcast_limit(spark: SparkSession) -> int:
+    """The session's broadcast threshold in bytes (<= 0: broadcasting disabled)."""
+    return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())

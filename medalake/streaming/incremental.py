@@ -53,7 +53,7 @@ def run_incremental_silver(spark: SparkSession, spec: TableSpec, landing_root: s
         incoming = from_landing(batch, spec)
         if incoming.isEmpty():
             return
-        silver_job(batch.sparkSession, spec, incoming, silver_root, as_of, mode)
+        silver_job(batch.sparkSession, spec, incoming, silver_root, as_of, mode)   # size unknown: shuffle join
         merged.append(epoch_id)
 
     q = (landing_stream(spark, landing_root, spec.name).writeStream

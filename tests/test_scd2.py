@@ -218,3 +218,15 @@ def test_silver_job_writes_null_key_quarantine_only_when_present(spark, root):
     q = spark.read.parquet(f"{root}/_quarantine/customers")
     assert q.count() == 1 and q.first().name == "z"
     assert read_silver(spark, f"{root}/customers", CUST.silver_schema).count() == 3
+
+
+def test_silver_job_picks_broadcast_strategy_only_for_measured_small_batches(spark, root):
+    silver_job(spark, CUST, cust(spark, BASE), root, T0)
+    batch = cust(spark, [(1, "a2", "a@x", U), (9, "n", "n@x", U)])
+    for size in (100, None, 10 ** 12):      # small, unknown, larger than the threshold
+        out = S.scd2_merge(read_silver(spark, f"{root}/customers", CUST.silver_schema), batch, CUST, T1,
+                           small_batch=size == 100).table
+        assert sorted((r.customer_id, r.name, r.is_active) for r in out.collect()) == [
+            (1, "a", False), (1, "a2", True), (2, "b", True), (3, "c", True), (9, "n", True)]
+    silver_job(spark, CUST, batch, root, T1, batch_bytes=100)
+    assert read_silver(spark, f"{root}/customers", CUST.silver_schema).count() == 5

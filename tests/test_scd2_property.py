@@ -61,3 +61,14 @@ def test_standard_merge_matches_model(spark, batch_list):
         cur = S.scd2_merge(cur, inc, SPEC, as_of).table
     got = sorted((tuple(r) for r in cur.collect()), key=lambda r: tuple(map(_sort_key, r)))
     assert got == model(batch_list)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(batches)
+def test_small_batch_strategy_matches_model(spark, batch_list):
+    cur = None
+    for as_of, batch in zip(TIMES, batch_list):
+        inc = spark.createDataFrame(batch, schemas.SOURCE["customers"])
+        cur = S.scd2_merge(cur, inc, SPEC, as_of, small_batch=cur is not None).table
+    got = sorted((tuple(r) for r in cur.collect()), key=lambda r: tuple(map(_sort_key, r)))
+    assert got == model(batch_list)

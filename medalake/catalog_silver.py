@@ -334,8 +334,18 @@ def q_stream_customers(spark, sf):
 def _register_small_batch(t):
     @query(f"silver_scd2_{t}_small_batch", scd2_standard_sql(t))
     def q(spark, sf):
-        """The same merge with the broadcast-batch strategy (active rows not shuffled)."""
-        return S.scd2_merge(_init(spark, sf, t), _batch(spark, sf, t), SPECS[t], A.T1, small_batch=True).table
+        """The stored two-run job with the batch staged and measured first: the
+        job broadcasts it (active rows not shuffled) only when its bytes are
+        within the broadcast threshold, else it uses the shuffle join."""
+        from medalake.session import path_bytes
+        spec = SPECS[t]
+        root = shared_dir(spark, f"silver_scd2_{t}_small_batch")
+        silver_job(spark, spec, _source(spark, sf, t), root, A.T0)
+        staged = f"{root}/_batch"
+        _batch(spark, sf, t).write.mode("overwrite").parquet(staged)
+        silver_job(spark, spec, spark.read.schema(spec.source_schema).parquet(staged), root, A.T1,
+                   batch_bytes=path_bytes(spark, staged))
+        return read_silver(spark, f"{root}/{t}", spec.silver_schema)
 
 
 for _t in ("customers", "product_suppliers"):

@@ -34,9 +34,10 @@ def query(name: str, sql: str | None = None):
 
 @query("gold_sales_summary", O.gold_sql())
 def q_gold_sales_summary(spark, sf_dir):
+    cats = A.categories(spark, sf_dir)
     return sales_summary(A.orders(spark, sf_dir, with_status_flag=True),
                          A.order_items(spark, sf_dir),
-                         A.products(spark, sf_dir), A.categories(spark, sf_dir))
+                         A.products(spark, sf_dir, cats=cats), cats)
 
 
 def _load_modules():

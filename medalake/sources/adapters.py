@@ -21,8 +21,18 @@ KEY_SHIFT = 10_000_000          # a d=2 row moves to key + KEY_SHIFT
 ITEM_KEY_SHIFT = 10 ** 16       # ... order_item_id moves by this instead
 
 
+_READERS: dict[tuple, DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A given (read-only) test table. The reader DataFrame is reused within a
+    session: resolving a parquet relation lists files and reads footers on
+    the driver, which is worth doing once per table, not once per use."""
+    key = (str(spark._jsparkSession.sessionUUID()), sf_dir.rstrip("/"), name)
+    df = _READERS.get(key)
+    if df is None:
+        df = _READERS[key] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return df
 
 
 def _minutes_after_base(c: str):
@@ -87,9 +97,10 @@ def categories(spark, sf_dir, quarantine_case: bool = False) -> DataFrame:
                          _minutes_after_base("category_id").alias("updated_at"))
 
 
-def products(spark, sf_dir, quarantine_case: bool = False) -> DataFrame:
+def products(spark, sf_dir, quarantine_case: bool = False, cats: DataFrame | None = None) -> DataFrame:
     p = table(spark, sf_dir, "part")
-    cats = categories(spark, sf_dir).select("category_id", F.col("name").alias("p_type"))
+    cats = (cats if cats is not None else categories(spark, sf_dir)).select(
+        "category_id", F.col("name").alias("p_type"))
     name = F.col("p_name")
     if quarantine_case:
         name = F.when(F.col("p_partkey") % 13 != 0, F.col("p_name"))

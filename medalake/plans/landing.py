@@ -20,9 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from medalake import schemas
-from medalake.functions.expressions import (DEFAULT_WATERMARK, file_date,
-                                            normalized_load_type, ts_literal)
-from medalake.session import delete_path, list_dir
+from medalake.functions.expressions import DEFAULT_WATERMARK, normalized_load_type, ts_literal
+from medalake.session import hadoop_fs, list_dir
 from medalake.sinks import landing as K
 from medalake.sinks.tables import write_table
 from medalake.sources.bronze import read_bronze
@@ -124,30 +123,46 @@ class RunLog:
 
 # --- K6: archive ------------------------------------------------------------------
 
+def batch_day(batch_name: str) -> dt.date:
+    """E7 on a batch name: the ddMMyyyy date after the last ``_`` (the same rule
+    as ``functions.file_date`` for path columns)."""
+    stamp = batch_name.rsplit("_", 1)[-1].split(".", 1)[0]
+    return dt.datetime.strptime(stamp, "%d%m%Y").date()
+
+
 def archive_landed(spark: SparkSession, landing_root: str, archive_root: str, table: str,
                    keep: set[str] = frozenset(), log: RunLog | None = None) -> int:
     """Move landed batches of ``table`` (except ``keep``) to
     ``archive/<table>/year=/month=/day=`` by the date in the batch name.
 
-    A distributed read + partitioned write, then removal of the batch
-    folders. A same-day rerun replaces that day's archive (dynamic overwrite)."""
-    base = f"{landing_root.rstrip('/')}/{table}"
-    batches = [n for n in list_dir(spark, base)
+    A move, not a copy through Spark: each part file is renamed into the day
+    folder (metadata-only on HDFS, a server-side copy on object stores), so no
+    row passes through the cluster or the driver. A same-day rerun replaces
+    that day's archived copy of the batch."""
+    fs, base = hadoop_fs(spark, f"{landing_root.rstrip('/')}/{table}")
+    batches = [n for n in list_dir(spark, str(base))
                if n.startswith(f"{table}_") and n.endswith(".json") and n not in keep]
     if not batches:
         if log:
             log.event("INFO", f"No existing files for table {table}", table)
         return 0
-    paths = [f"{base}/{b}" for b in batches]
-    df = spark.read.schema(schemas.BRONZE[table]).json(paths)
-    day = file_date(F.col("_metadata.file_path"))
-    dated = df.select("*", F.date_format(day, "yyyy").alias("year"),
-                      F.date_format(day, "MM").alias("month"), F.date_format(day, "dd").alias("day"))
-    (dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .option("ignoreNullFields", "false").partitionBy("year", "month", "day")
-     .json(f"{archive_root.rstrip('/')}/{table}"))
-    for b, p in zip(batches, paths):
-        delete_path(spark, p)
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    for b in batches:
+        d = batch_day(b)
+        dest = Path(f"{archive_root.rstrip('/')}/{table}/year={d:%Y}/month={d:%m}/day={d:%d}")
+        fs.mkdirs(dest)
+        prefix = b[:-len(".json")] + "-"
+        for old in fs.listStatus(dest):
+            if old.getPath().getName().startswith(prefix):
+                fs.delete(old.getPath(), False)
+        src = Path(base, b)
+        for f in fs.listStatus(src):
+            name = f.getPath().getName()
+            if name.startswith(("_", ".")):
+                continue
+            if not fs.rename(f.getPath(), Path(dest, prefix + name)):
+                raise IOError(f"could not archive {f.getPath()}")
+        fs.delete(src, True)
         if log:
             log.event("INFO", f"Moved {b} to archive", table)
     return len(batches)

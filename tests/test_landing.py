@@ -121,3 +121,19 @@ def test_config_csv_roundtrip(spark, root):
     assert cfg.count() == 7 and L.active_tables(cfg).count() == 7
     assert cfg.filter(F.col("watermark").isNull()).count() == 2
     assert os.path.basename(path) == "config"
+
+
+def test_batch_day_matches_column_rule(spark):
+    assert L.batch_day("orders_27032025.json") == dt.date(2025, 3, 27)
+    df = spark.createDataFrame([("x/orders_27032025.json",)], "p string")
+    assert df.select(file_date("p")).first()[0] == L.batch_day("orders_27032025.json")
+
+
+def test_archive_same_day_rerun_replaces(spark, root):
+    seeds = frames(spark)
+    paths = lake_paths(root)
+    for _ in range(2):   # the same day archived twice
+        K.land_json(seeds["customers"], paths.landing, "customers", T0)
+        L.archive_landed(spark, paths.landing, paths.archive, "customers")
+    assert L.read_archive(spark, paths.archive, "customers").count() == 10
+    assert list_dir(spark, f"{paths.landing}/customers") == []

@@ -39,8 +39,9 @@ def null_ts():
 
 
 class MergeResult(NamedTuple):
-    table: DataFrame
+    table: DataFrame         # the whole merged table (history + changes)
     quarantined: DataFrame   # incoming rows whose key is NULL
+    changes: DataFrame       # the complete active set + rows closed by this merge
 
 
 def stamp(df: DataFrame, as_of, open_end: bool = True) -> DataFrame:
@@ -86,7 +87,8 @@ def scd2_merge(current: DataFrame | None, incoming: DataFrame, spec: TableSpec,
     inc = latest_per_key(inc.filter(~null_key), keys, [spec.watermark] if spec.watermark else [])
     inc = prepare(inc, spec)
     if current is None:
-        return MergeResult(stamp(inc, as_of).select(*out_cols), quarantined)
+        first = stamp(inc, as_of).select(*out_cols)
+        return MergeResult(first, quarantined, first)
     payload = [c for c in inc.columns if c not in keys]
 
     cur = current.select(*out_cols)
@@ -98,8 +100,8 @@ def scd2_merge(current: DataFrame | None, incoming: DataFrame, spec: TableSpec,
                       F.col("effective_end_date").alias("t_end"), F.lit(True).alias("t_present"))
     s = inc.select(*keys, *[F.col(c).alias(f"s_{c}") for c in payload], F.lit(True).alias("s_present"))
     if small_batch:
-        emitted = _merge_small_batch(active, t, s, inc, spec, payload, ts)
-        return MergeResult(history.unionByName(emitted.select(*out_cols)), quarantined)
+        emitted = _merge_small_batch(active, t, s, inc, spec, payload, ts).select(*out_cols)
+        return MergeResult(history.unionByName(emitted), quarantined, emitted)
     j = t.join(s, keys, "full_outer")
 
     in_t = F.col("t_present").isNotNull()
@@ -115,9 +117,8 @@ def scd2_merge(current: DataFrame | None, incoming: DataFrame, spec: TableSpec,
         *[F.col(k) for k in keys], *[F.col(f"s_{c}").alias(c) for c in payload],
         ts.alias("effective_start_date"), null_ts().alias("effective_end_date"),
         F.lit(True).alias("is_active")))
-    emitted = j.select(F.inline(F.filter(F.array(old, new), lambda x: x.isNotNull())))
-    table = history.unionByName(emitted.select(*out_cols))
-    return MergeResult(table, quarantined)
+    emitted = j.select(F.inline(F.filter(F.array(old, new), lambda x: x.isNotNull()))).select(*out_cols)
+    return MergeResult(history.unionByName(emitted), quarantined, emitted)
 
 
 def _merge_small_batch(active, t, s, inc, spec, payload, ts):

@@ -9,7 +9,8 @@ from medalake.functions.expressions import any_null, ts_literal
 from medalake.operators.refresh import from_landing, full_refresh
 from medalake.operators.scd2 import empty_silver, merge, scd2_merge
 from medalake.plans.specs import SILVER_ORDER, SPECS, TableSpec
-from medalake.sinks.tables import read_silver, write_silver_version, write_table
+from medalake.sinks.tables import (COMPACT_EVERY, deltas_since_snapshot, read_silver, vacuum_silver,
+                                   write_silver_version, write_table)
 from medalake.session import broadcast_limit, path_bytes
 from medalake.sinks.landing import landed_glob
 from medalake.sources.bronze import read_bronze
@@ -24,7 +25,8 @@ def current_or_empty(spark: SparkSession, table_dir: str, spec: TableSpec) -> Da
 
 
 def silver_job(spark: SparkSession, spec: TableSpec, incoming: DataFrame, silver_root: str,
-               as_of, mode: str = "standard", batch_bytes: int | None = None) -> str:
+               as_of, mode: str = "standard", batch_bytes: int | None = None,
+               compact_every: int = COMPACT_EVERY) -> str:
     """Run one silver table job on source-shaped ``incoming``; returns the new version path.
 
     ``batch_bytes`` is the measured size of the batch's files. When it is
@@ -45,7 +47,11 @@ def silver_job(spark: SparkSession, spec: TableSpec, incoming: DataFrame, silver
             limit = broadcast_limit(spark)
             small = current is not None and batch_bytes is not None and 0 < batch_bytes <= limit
             merged = scd2_merge(current, observed, spec, as_of, small_batch=small)
-            path = write_silver_version(merged.table, spark, table_dir)
+            # a delta (active set + rows closed now) unless a snapshot is due
+            snapshot = current is None or deltas_since_snapshot(spark, table_dir) + 1 >= compact_every
+            path = write_silver_version(merged.table if snapshot else merged.changes, spark, table_dir,
+                                        snapshot=snapshot)
+            vacuum_silver(spark, table_dir)
             if (obs.get.get("bad") or 0) > 0:
                 bad = scd2_merge(None, incoming, spec, as_of).quarantined
                 write_table(bad.withColumn("loaded_at", ts_literal(as_of)),
@@ -53,7 +59,9 @@ def silver_job(spark: SparkSession, spec: TableSpec, incoming: DataFrame, silver
             return path
         current = current if current is not None else empty_silver(spark, spec)
         result = merge(current, incoming, spec, as_of, mode)
-    return write_silver_version(result, spark, table_dir)
+    path = write_silver_version(result, spark, table_dir, snapshot=True)
+    vacuum_silver(spark, table_dir)
+    return path
 
 
 def silver_from_landing(spark: SparkSession, landing_root: str, silver_root: str, as_of,

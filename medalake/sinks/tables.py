@@ -1,10 +1,19 @@
 """K7/K8/K9: silver and gold table sinks.
 
-Silver tables are versioned: each run writes ``<table>/ver_<n>`` (partitioned
-by ``is_active``, so the next run's active/history split is partition
-pruning) and never touches the version it read. Spark's job commit writes
-``_SUCCESS`` last; readers take the highest committed version. This replaces
-the reference's overwrite of the folder being read (which loses the table).
+Silver tables are versioned and never overwrite what a run reads. Each run
+writes one version folder, partitioned by ``is_active``:
+
+* ``snap_<n>``: a full snapshot (first load, full refresh, as-coded runs,
+  and every ``COMPACT_EVERY``-th SCD2 run);
+* ``ver_<n>``: a delta, holding the complete active set and only the rows
+  closed by run ``n``. History written by earlier runs is not rewritten, so
+  a run costs the active set plus the batch, not the whole history.
+
+Spark's job commit writes ``_SUCCESS`` last; a version counts only once it is
+there. The table = active rows of the newest committed version + closed rows
+of every committed version back to the newest snapshot. A failed run leaves
+the previous version current. This replaces the reference's overwrite of the
+folder being read (which loses the table).
 
 Gold is partitioned by the month of ``order_date`` and written with dynamic
 partition overwrite, so a rerun replaces exactly the months it produces.
@@ -12,48 +21,102 @@ partition overwrite, so a rerun replaces exactly the months it produces.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from medalake import schemas
-from medalake.session import list_dir, path_exists
+from medalake.session import delete_path, list_dir, path_exists
 
-VERSION_PREFIX = "ver_"
+DELTA_PREFIX, SNAPSHOT_PREFIX = "ver_", "snap_"
+COMPACT_EVERY = 30        # deltas between snapshots: bounds the history read fan-in
 
 
-def committed_versions(spark: SparkSession, table_dir: str) -> list[int]:
+class Version(NamedTuple):
+    number: int
+    snapshot: bool
+    name: str
+
+
+def versions(spark: SparkSession, table_dir: str) -> list[Version]:
+    """Committed versions, oldest first."""
     out = []
     for name in list_dir(spark, table_dir):
-        if name.startswith(VERSION_PREFIX) and path_exists(spark, f"{table_dir}/{name}/_SUCCESS"):
-            out.append(int(name[len(VERSION_PREFIX):]))
+        for prefix, snap in ((DELTA_PREFIX, False), (SNAPSHOT_PREFIX, True)):
+            if name.startswith(prefix) and path_exists(spark, f"{table_dir}/{name}/_SUCCESS"):
+                out.append(Version(int(name[len(prefix):]), snap, name))
     return sorted(out)
 
 
-def current_version_path(spark: SparkSession, table_dir: str) -> str | None:
-    vs = committed_versions(spark, table_dir)
-    return f"{table_dir}/{VERSION_PREFIX}{vs[-1]:010d}" if vs else None
+def committed_versions(spark: SparkSession, table_dir: str) -> list[int]:
+    return [v.number for v in versions(spark, table_dir)]
+
+
+def _chain(vs: list[Version]) -> list[Version]:
+    """The newest snapshot and the deltas after it."""
+    start = max((i for i, v in enumerate(vs) if v.snapshot), default=0)
+    return vs[start:]
+
+
+def deltas_since_snapshot(spark: SparkSession, table_dir: str) -> int:
+    return len(_chain(versions(spark, table_dir))) - 1
 
 
-def read_silver(spark: SparkSession, table_dir: str, schema) -> DataFrame | None:
-    """Current committed version, or None when the table has none yet."""
-    path = current_version_path(spark, table_dir)
-    if path is None:
+def read_silver(spark: SparkSession, table_dir: str, schema: StructType) -> DataFrame | None:
+    """The current table, or None when it has no committed version yet."""
+    vs = versions(spark, table_dir)
+    if not vs:
         return None
-    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+    data = StructType([f for f in schema.fields if f.name != "is_active"])
+    parts = []
+    active = f"{table_dir}/{vs[-1].name}/is_active=true"
+    if path_exists(spark, active):
+        parts.append(spark.read.schema(data).parquet(active).withColumn("is_active", F.lit(True)))
+    closed = [f"{table_dir}/{v.name}/is_active=false" for v in _chain(vs)]
+    closed = [p for p in closed if path_exists(spark, p)]
+    if closed:
+        parts.append(spark.read.schema(data).parquet(*closed).withColumn("is_active", F.lit(False)))
+    if not parts:
+        return spark.createDataFrame([], schema)
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select(*schema.fieldNames())
 
 
 def write_silver_version(df: DataFrame, spark: SparkSession, table_dir: str,
-                         partition_by_active: bool = True) -> str:
-    vs = committed_versions(spark, table_dir)
-    path = f"{table_dir}/{VERSION_PREFIX}{(vs[-1] + 1) if vs else 1:010d}"
+                         snapshot: bool = True) -> str:
+    """Write the next version: a full snapshot, or a delta (active set + rows
+    closed by this run)."""
+    vs = versions(spark, table_dir)
+    n = (vs[-1].number + 1) if vs else 1
+    path = f"{table_dir}/{SNAPSHOT_PREFIX if snapshot else DELTA_PREFIX}{n:010d}"
     # a fresh folder: static mode, so the job commit leaves _SUCCESS at its root
-    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    if partition_by_active:
-        w = w.partitionBy("is_active")
-    w.parquet(path)
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy("is_active").parquet(path))
     return path
 
 
+def vacuum_silver(spark: SparkSession, table_dir: str, keep_active: int = 2) -> int:
+    """Retention. Versions older than the second-newest snapshot are dropped
+    (so a reader still on the previous chain keeps its files), and superseded
+    active copies are dropped except the newest ``keep_active``. Returns the
+    number of folders removed."""
+    vs = versions(spark, table_dir)
+    snaps = [i for i, v in enumerate(vs) if v.snapshot]
+    cut = snaps[-2] if len(snaps) >= 2 else 0
+    removed = 0
+    for v in vs[:cut]:
+        removed += delete_path(spark, f"{table_dir}/{v.name}")
+    for v in vs[cut:max(cut, len(vs) - keep_active)]:
+        p = f"{table_dir}/{v.name}/is_active=true"
+        if path_exists(spark, p):
+            removed += delete_path(spark, p)
+    return removed
+
+
 GOLD_PARTITION = "order_month"
 
 

@@ -230,3 +230,24 @@ def test_silver_job_picks_broadcast_strategy_only_for_measured_small_batches(spa
             (1, "a", False), (1, "a2", True), (2, "b", True), (3, "c", True), (9, "n", True)]
     silver_job(spark, CUST, batch, root, T1, batch_bytes=100)
     assert read_silver(spark, f"{root}/customers", CUST.silver_schema).count() == 5
+
+
+def test_deltas_snapshots_and_vacuum(spark, root):
+    from medalake.sinks.tables import versions
+    path = f"{root}/customers"
+    runs = [BASE] + [[(1, f"a{i}", "a@x", U)] for i in range(5)]
+    for i, rows in enumerate(runs):
+        silver_job(spark, CUST, cust(spark, rows), root, T0 + dt.timedelta(days=i), compact_every=3)
+    vs = versions(spark, path)
+    assert [v.snapshot for v in vs] == [True, False, False, True, False, False]
+    cur = read_silver(spark, path, CUST.silver_schema)
+    # 3 keys active + 5 closed versions of key 1, whichever files hold them
+    assert cur.count() == 8 and cur.filter("is_active").count() == 3
+    check_invariants(cur)
+    one = sorted((r.name, r.is_active) for r in cur.filter("customer_id = 1").collect())
+    assert one == [("a", False), ("a0", False), ("a1", False), ("a2", False), ("a3", False), ("a4", True)]
+    # one more compaction: the chain before the previous snapshot is dropped
+    silver_job(spark, CUST, cust(spark, [(2, "b2", "b@x", U)]), root, T2, compact_every=3)
+    vs = versions(spark, path)
+    assert vs[0].number == 4 and vs[0].snapshot and vs[-1].snapshot
+    assert read_silver(spark, path, CUST.silver_schema).count() == 9   # 3 active + 6 closed

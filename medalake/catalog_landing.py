@@ -407,5 +407,3 @@ def q_date_format(spark, sf):
                     X.stamp_name("ts", X.REVIEWS_FILE_DATE).alias("reviews_stamp"),
                     X.stamp_name("ts", X.LOG_FILE_STAMP).alias("log_stamp"))
 
-
-__all__ = ["read_current"]

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from medalake import oracle as O
 from medalake.catalog import query
 from medalake.operators import scd2 as S
@@ -312,7 +310,7 @@ def scd2_initial(spark, sf, t):
     return _init(spark, sf, t)
 
 
-__all__ = ["scd2_standard_sql", "scd2_as_coded_sql", "scd2_initial", "F"]
+__all__ = ["scd2_standard_sql", "scd2_as_coded_sql", "scd2_initial"]
 
 
 # --- streaming ---------------------------------------------------------------

@@ -24,7 +24,6 @@ from medalake.functions.expressions import DEFAULT_WATERMARK, normalized_load_ty
 from medalake.session import hadoop_fs, list_dir
 from medalake.sinks import landing as K
 from medalake.sinks.tables import write_table
-from medalake.sources.bronze import read_bronze
 
 SourceFn = Callable[[str], DataFrame]   # table name -> source relation
 

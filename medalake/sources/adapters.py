@@ -84,8 +84,10 @@ def order_items(spark, sf_dir, dedup: bool = False) -> DataFrame:
 
 
 def categories(spark, sf_dir, quarantine_case: bool = False) -> DataFrame:
-    # The distinct type list is tiny (one row per product type); the ranking
-    # window runs over that list only, never over the part table.
+    # The ranking window runs over the distinct type list only, never over the
+    # part table: the distinct is a distributed aggregate, and its output is
+    # bounded by the generator's fixed type vocabulary (6 values here), so
+    # the single-partition window sees a handful of rows.
     types = table(spark, sf_dir, "part").select("p_type").distinct()
     ranked = types.select(
         F.dense_rank().over(Window.orderBy("p_type")).cast("bigint").alias("category_id"),

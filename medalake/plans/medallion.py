@@ -33,6 +33,7 @@ def run_medallion(spark: SparkSession, sources, root: str, as_of: dt.datetime,
     silver_root = f"{root.rstrip('/')}/silver"
     silver_from_landing(spark, paths.landing, silver_root, as_of,
                         tables=[t for t in SILVER_ORDER if t in active], mode=mode)
-    gold = gold_job(spark, silver_root, f"{root.rstrip('/')}/gold", mode=mode)
+    gold = gold_job(spark, silver_root, f"{root.rstrip('/')}/gold", mode=mode, as_of=as_of,
+                    incremental=(mode == "standard"))
     log.save(spark, paths.logs, f"{root.rstrip('/')}/temp/pipeline_logs")
     return gold

@@ -43,9 +43,11 @@ def stream_checkpoint(spark: SparkSession, silver_root: str, table: str) -> str:
 
 def run_incremental_silver(spark: SparkSession, spec: TableSpec, landing_root: str,
                            silver_root: str, as_of, checkpoint: str | None = None,
-                           mode: str = "standard") -> int:
+                           mode: str = "standard", max_files_per_trigger: int | None = None) -> int:
     """Merge every landed batch not yet processed into the silver table.
 
+    ``max_files_per_trigger`` bounds a micro-batch, so a large backlog is
+    merged in several bounded steps (``availableNow`` honours it).
     Returns the number of micro-batches that carried rows."""
     merged = []
 
@@ -56,7 +58,7 @@ def run_incremental_silver(spark: SparkSession, spec: TableSpec, landing_root: s
         silver_job(batch.sparkSession, spec, incoming, silver_root, as_of, mode)   # size unknown: shuffle join
         merged.append(epoch_id)
 
-    q = (landing_stream(spark, landing_root, spec.name).writeStream
+    q = (landing_stream(spark, landing_root, spec.name, max_files_per_trigger).writeStream
          .foreachBatch(merge_batch)
          .option("checkpointLocation", checkpoint or stream_checkpoint(spark, silver_root, spec.name))
          .trigger(availableNow=True)

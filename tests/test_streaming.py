@@ -43,3 +43,12 @@ def test_replayed_batch_is_a_noop(spark, root):
     silver_job(spark, SPEC, batch, silver, T1)      # the same micro-batch delivered again
     again = sorted(map(tuple, read_silver(spark, f"{silver}/customers", SPEC.silver_schema).collect()))
     assert first == again
+
+
+def test_backlog_is_merged_in_bounded_micro_batches(spark, root):
+    landing, silver, ckpt = f"{root}/landing", f"{root}/silver", f"{root}/ckpt"
+    land_json(rows(spark, [(1, "a", "a@x", U)]).repartition(1), landing, "customers", T0)
+    land_json(rows(spark, [(2, "b", "b@x", U)]).repartition(1), landing, "customers", T1)
+    n = run_incremental_silver(spark, SPEC, landing, silver, T2, ckpt, max_files_per_trigger=1)
+    assert n == 2
+    assert read_silver(spark, f"{silver}/customers", SPEC.silver_schema).count() == 2

@@ -55,3 +55,20 @@ def test_incremental_gold_equals_full_rebuild(spark, root):
     # nothing touched at a later time: nothing recomputed, table unchanged
     again = gold_job(spark, silver, inc_dir, as_of=T1 + dt.timedelta(days=1), incremental=True)
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, full.collect()))
+
+
+def test_incremental_gold_rebuilds_when_dimensions_change(spark, root):
+    import datetime as dt
+
+    from medalake import schemas
+    from seeds import PRODUCTS
+    silver = _silver(spark, root)
+    inc_dir, T1 = f"{root}/gold_inc", LOAD + dt.timedelta(days=1)
+    gold_job(spark, silver, inc_dir, as_of=LOAD, incremental=True)
+    renamed = [(i, "Notebook" if i == 101 else n, c, p, T1) for i, n, c, p in PRODUCTS]
+    silver_job(spark, SPECS["products"], spark.createDataFrame(renamed, schemas.SOURCE["products"]),
+               silver, T1)
+    inc = gold_job(spark, silver, inc_dir, as_of=T1, incremental=True)
+    full = gold_job(spark, silver, f"{root}/gold_full")
+    assert sorted(map(tuple, inc.collect())) == sorted(map(tuple, full.collect()))
+    assert "Notebook" in {r.product_name for r in inc.collect()}

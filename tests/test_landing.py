@@ -137,3 +137,30 @@ def test_archive_same_day_rerun_replaces(spark, root):
         L.archive_landed(spark, paths.landing, paths.archive, "customers")
     assert L.read_archive(spark, paths.archive, "customers").count() == 10
     assert list_dir(spark, f"{paths.landing}/customers") == []
+
+
+def test_reviews_payload_as_json_array_pages(spark, root):
+    import os
+    from medalake.session import checkpoint_root
+    pages = f"{root}/pages"
+    local = pages.replace("file:", "")
+    os.makedirs(local, exist_ok=True)
+    for i, recs in enumerate([[{"id": "a", "customer_id": 1, "product_id": 2, "rating": 5,
+                                "review_text": "good", "review_date": "2024-06-01"}],
+                              [{"id": "b", "customer_id": 2, "product_id": None, "rating": 1,
+                                "review_text": "bad", "review_date": "2024-06-01"},
+                               {"id": "c", "customer_id": 3, "product_id": 4, "rating": 3,
+                                "review_text": "ok", "review_date": "2024-06-02"}]]):
+        with open(f"{local}/page-{i}.json", "w") as f:
+            json.dump(recs, f)
+    df = K.read_payload(spark, pages, multi_line=True)
+    assert sorted(r.id for r in df.collect()) == ["a", "b", "c"]
+    assert df.schema == schemas.REVIEWS
+    assert checkpoint_root(spark)
+
+
+def test_partitioned_jdbc_read_needs_bounds(spark):
+    import pytest
+    from medalake.sources.jdbc import read_table
+    with pytest.raises(ValueError):
+        read_table(spark, {"url": "jdbc:derby:memory:x;create=true"}, "t", partition_column="id")

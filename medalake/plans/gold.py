@@ -117,14 +117,20 @@ def gold_job(spark: SparkSession, silver_root: str, gold_dir: str, mode: str = "
         if _read_state(spark, gold_dir) == fp:
             months = affected_months(orders, items, as_of)
             if months:
+                # the state is withdrawn while months are swapped: a run that
+                # dies half way leaves no state, so the next run rebuilds fully
+                delete_path(spark, _state_path(gold_dir))
                 part = orders.filter(_month("order_date").isin(months))
                 _replace_months(spark, sales_summary(part, items, products, categories,
                                                      active_items_only=True), gold_dir, months)
+                _write_state(spark, gold_dir, fp)
             return read_gold(spark, gold_dir)
         # full rebuild (first build or changed dimensions), then record the
         # dimension fingerprint it was built from; a new table is written
         # directly, an existing one is swapped month by month
         full = sales_summary(orders, items, products, categories, active_items_only=True)
+        if path_exists(spark, _state_path(gold_dir)):
+            delete_path(spark, _state_path(gold_dir))
         if _months_in(spark, gold_dir):
             _replace_months(spark, full, gold_dir, None)
         else:

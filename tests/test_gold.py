@@ -72,3 +72,25 @@ def test_incremental_gold_rebuilds_when_dimensions_change(spark, root):
     full = gold_job(spark, silver, f"{root}/gold_full")
     assert sorted(map(tuple, inc.collect())) == sorted(map(tuple, full.collect()))
     assert "Notebook" in {r.product_name for r in inc.collect()}
+
+
+def test_interrupted_incremental_run_forces_full_rebuild(spark, root):
+    import datetime as dt
+
+    from medalake.plans import gold as G
+    silver = _silver(spark, root)
+    inc_dir = f"{root}/gold_inc"
+    gold_job(spark, silver, inc_dir, as_of=LOAD, incremental=True)
+    assert G._read_state(spark, inc_dir) is not None
+    # a run that dies while swapping months: the state is already withdrawn
+    from medalake.session import delete_path
+    delete_path(spark, G._state_path(inc_dir))
+    calls = []
+    orig = G._replace_months
+    G._replace_months = lambda *a: calls.append(a[3]) or orig(*a)
+    try:
+        gold_job(spark, silver, inc_dir, as_of=LOAD + dt.timedelta(days=1), incremental=True)
+    finally:
+        G._replace_months = orig
+    assert calls == [None]                      # full rebuild, not an incremental swap
+    assert G._read_state(spark, inc_dir) is not None

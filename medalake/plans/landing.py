@@ -136,34 +136,60 @@ def archive_landed(spark: SparkSession, landing_root: str, archive_root: str, ta
 
     A move, not a copy through Spark: each part file is renamed into the day
     folder (metadata-only on HDFS, a server-side copy on object stores), so no
-    row passes through the cluster or the driver. A same-day rerun replaces
-    that day's archived copy of the batch."""
+    row passes through the cluster or the driver. A batch is first claimed by
+    one directory rename into ``_archiving/``. A fresh claim replaces that
+    day's archived copy of the batch (a same-day rerun). Claims left by an
+    interrupted run are completed first, without deleting what they already
+    moved."""
     fs, base = hadoop_fs(spark, f"{landing_root.rstrip('/')}/{table}")
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    claims = Path(base, "_archiving")
+
+    def dest_of(b: str):
+        d = batch_day(b)
+        dest = Path(f"{archive_root.rstrip('/')}/{table}/year={d:%Y}/month={d:%m}/day={d:%d}")
+        fs.mkdirs(dest)
+        return dest
+
+    def move_files(claim, dest, b: str) -> None:
+        for f in fs.listStatus(claim):
+            name = f.getPath().getName()
+            if name.startswith(("_", ".")):
+                continue
+            target = Path(dest, b[:-len(".json")] + "-" + name)
+            if fs.exists(target):
+                fs.delete(target, False)
+            if not fs.rename(f.getPath(), target):
+                raise IOError(f"could not archive {f.getPath()}")
+        fs.delete(claim, True)
+
+    # 1. finish claims of an interrupted run
+    if fs.exists(claims):
+        for st in fs.listStatus(claims):
+            b = st.getPath().getName()
+            move_files(st.getPath(), dest_of(b), b)
+        fs.delete(claims, True)
+    # 2. claim and move the batches landed since
     batches = [n for n in list_dir(spark, str(base))
                if n.startswith(f"{table}_") and n.endswith(".json") and n not in keep]
     if not batches:
         if log:
             log.event("INFO", f"No existing files for table {table}", table)
         return 0
-    Path = spark._jvm.org.apache.hadoop.fs.Path
+    fs.mkdirs(claims)
     for b in batches:
-        d = batch_day(b)
-        dest = Path(f"{archive_root.rstrip('/')}/{table}/year={d:%Y}/month={d:%m}/day={d:%d}")
-        fs.mkdirs(dest)
+        claim = Path(claims, b)
+        if not fs.rename(Path(base, b), claim):
+            raise IOError(f"could not claim {b} for archiving")
+        dest = dest_of(b)
         prefix = b[:-len(".json")] + "-"
-        for old in fs.listStatus(dest):
+        for old in fs.listStatus(dest):          # same-day rerun: replace the archived copy
             if old.getPath().getName().startswith(prefix):
                 fs.delete(old.getPath(), False)
-        src = Path(base, b)
-        for f in fs.listStatus(src):
-            name = f.getPath().getName()
-            if name.startswith(("_", ".")):
-                continue
-            if not fs.rename(f.getPath(), Path(dest, prefix + name)):
-                raise IOError(f"could not archive {f.getPath()}")
-        fs.delete(src, True)
+        move_files(claim, dest, b)
         if log:
             log.event("INFO", f"Moved {b} to archive", table)
+    fs.delete(claims, True)
     return len(batches)
 
 

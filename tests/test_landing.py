@@ -164,3 +164,24 @@ def test_partitioned_jdbc_read_needs_bounds(spark):
     from medalake.sources.jdbc import read_table
     with pytest.raises(ValueError):
         read_table(spark, {"url": "jdbc:derby:memory:x;create=true"}, "t", partition_column="id")
+
+
+def test_interrupted_archive_is_completed_without_loss(spark, root):
+    paths = lake_paths(root)
+    df = frames(spark)["customers"].repartition(2)
+    K.land_json(df, paths.landing, "customers", T0)
+    from medalake.session import hadoop_fs
+    fs, base = hadoop_fs(spark, f"{paths.landing}/customers")
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    # simulate a run that claimed the batch and moved one part file, then died
+    claim = Path(base, "_archiving/customers_01062024.json")
+    fs.mkdirs(Path(base, "_archiving"))
+    fs.rename(Path(base, "customers_01062024.json"), claim)
+    dest = Path(f"{paths.archive}/customers/year=2024/month=06/day=01")
+    fs.mkdirs(dest)
+    parts = [s.getPath() for s in fs.listStatus(claim) if s.getPath().getName().startswith("part-")]
+    assert len(parts) == 2
+    fs.rename(parts[0], Path(dest, "customers_01062024-" + parts[0].getName()))
+    L.archive_landed(spark, paths.landing, paths.archive, "customers")
+    assert L.read_archive(spark, paths.archive, "customers").count() == 10
+    assert not fs.exists(Path(base, "_archiving/customers_01062024.json"))

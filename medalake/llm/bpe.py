@@ -23,10 +23,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from medalake.llm.common import pick, rows
-from medalake.llm.token_ids import Memo, cut, part_text
+from medalake.llm.token_ids import _WORD_AND_TAIL, Memo, cut, part_text
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-_NEVER = np.int64(1) << 62
+_NEVER = 1 << 62
 
 
 def _byte_letters() -> dict[str, int]:
@@ -37,7 +37,7 @@ def _byte_letters() -> dict[str, int]:
 
 
 class SpeculativeBPE:
-    def __init__(self, path: str, cap: int = 120_000):
+    def __init__(self, path: str, cap: int = 300_000):
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
@@ -74,6 +74,11 @@ class SpeculativeBPE:
         letters = _byte_letters()
         self.bytes_of = {i: bytes(letters[c] for c in s) if all(c in letters for c in s) else s.encode()
                          for s, i in [*vocab.items(), *self.special.items()]}
+        kind = spec["pre_tokenizer"]
+        self.spelling = None
+        if kind["type"] == "ByteLevel" and kind["use_regex"] and not kind["add_prefix_space"]:
+            of = {b: c for c, b in letters.items()}
+            self.spelling = {c: "".join(of[b] for b in chr(c).encode()) for c in range(0x250)}
         self.words, self.parts = Memo(None, cap), Memo(None, cap)
         self.n_proposed = self.n_merged = 0
 
@@ -116,14 +121,20 @@ class SpeculativeBPE:
     def merge(self, word: str) -> list[int]:
         """The merge rules applied exactly: always the rule of lowest rank, leftmost place first."""
         ids = [self.vocab[c] for c in word]
-        if len(ids) <= 32:  # short: look at all pairs each time
-            rule = self.rule.get
-            while len(ids) > 1:
-                found = [r for i, p in enumerate(zip(ids, ids[1:])) if (r := rule(p)) and (r := (r[0], i, r[1]))]
-                if not found:
+        if len(ids) <= 32:  # short: a list of the rules at each place is enough
+            rule, none = self.rule.get, (_NEVER, 0)
+            found = [rule(p, none) for p in zip(ids, ids[1:])]
+            while found:
+                best = min(found)
+                if best is none:
                     break
-                _, i, made = min(found)
-                ids[i: i + 2] = [made]
+                i = found.index(best)
+                ids[i: i + 2] = [best[1]]
+                del found[i]
+                if i:
+                    found[i - 1] = rule((ids[i - 1], ids[i]), none)
+                if i < len(found):
+                    found[i] = rule((ids[i], ids[i + 1]), none)
             return ids
         after, before = [*range(1, len(ids)), -1], list(range(-1, len(ids) - 1))
         heap = [(self.rule[p][0], i, p) for i, p in enumerate(zip(ids, ids[1:])) if p in self.rule]
@@ -165,6 +176,11 @@ class SpeculativeBPE:
         new: set[str] = set()
         for key in keys:
             pieces: list = []
+            plain = self.spelling and _WORD_AND_TAIL.fullmatch(part_text(key))
+            if plain:  # pre-tokens are the word with its space, and the punctuation behind it
+                split[key] = pieces = [w.translate(self.spelling) for w in plain.groups() if w]
+                new.update(pieces)
+                continue
             for k, s in enumerate(self.special_rx.split(part_text(key)) if self.special_rx else [part_text(key)]):
                 if k % 2:
                     pieces.append([self.special[s]])

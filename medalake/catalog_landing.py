@@ -130,21 +130,21 @@ def q_audit_append(spark, sf):
 
 def _run_log_sql():
     n_cfg = len(CONFIG_ROWS + TEST_EXTRA)
-    parts = [f"SELECT {O.T0} AS timestamp, 'INFO' AS event_type, 'Read config with {n_cfg} rows' AS message, "
+    parts = [f"SELECT {O.T0} AS timestamp, 'INFO' AS event_type, 'config: {n_cfg} rows' AS message, "
              "CAST(NULL AS VARCHAR) AS \"table\""]
     for r in CONFIG_ROWS + TEST_EXTRA:
         t, lt, active = r[2], r[3], r[5]
         if active != "1":
             continue
         if t not in SRC:
-            parts.append(f"SELECT {O.T0}, 'ERROR', 'Error processing {t}: KeyError', '{t}'")
+            parts.append(f"SELECT {O.T0}, 'ERROR', '{t}: failed with KeyError: ''{t}''', '{t}'")
             continue
         if lt == "Incremental":
-            parts.append(f"SELECT {O.T0}, 'INFO', 'Latest watermark for {t}: 1900-01-01 00:00:00', '{t}'")
-        parts.append(f"SELECT {O.T0}, 'SUCCESS', 'Extracted and landed ' || CAST(count(*) AS VARCHAR) "
-                     f"|| ' rows from {t}', '{t}' FROM {SRC[t]}")
-        parts.append(f"SELECT {O.T0}, 'SUCCESS', 'Audit log updated for {t}', '{t}'")
-        parts.append(f"SELECT {O.T0}, 'INFO', 'No existing files for table {t}', '{t}'")
+            parts.append(f"SELECT {O.T0}, 'INFO', '{t}: loading changes after 1900-01-01 00:00:00', '{t}'")
+        parts.append(f"SELECT {O.T0}, 'SUCCESS', '{t}: landed ' || CAST(count(*) AS VARCHAR) "
+                     f"|| ' rows', '{t}' FROM {SRC[t]}")
+        parts.append(f"SELECT {O.T0}, 'SUCCESS', '{t}: audit row written', '{t}'")
+        parts.append(f"SELECT {O.T0}, 'INFO', '{t}: nothing to archive', '{t}'")
     return O.with_("\nUNION ALL ".join(parts), *SRC.values())
 
 
@@ -159,13 +159,14 @@ def q_run_log(spark, sf):
     f"SELECT {_landing_cols('customers')}, '2024' AS year, '06' AS month, '01' AS day FROM customers_src",
     "customers_src"))
 def q_archive(spark, sf):
-    """Day 1 lands customers; day 2's run archives day 1's batch by the date in its name."""
+    """Day 1 lands customers; day 2's run archives day 1's batch by the date in its name (the reference's order,
+    which doesn't wait for silver)."""
     paths = lake_paths(shared_dir(spark, "land_archive"))
     log = L.RunLog(A.T0)
     src = A.customers(spark, sf)
     cfg = _cfg("customers", "Full Load")
     L.ingest_table(spark, src, cfg, paths, A.T0, log)
-    L.ingest_table(spark, src, cfg, paths, A.T1, log)
+    L.ingest_table(spark, src, cfg, paths, A.T1, log, archive_unmerged=True)
     return L.read_archive(spark, paths.archive, "customers")
 
 
@@ -370,14 +371,15 @@ def q_epoch_ms(spark, sf):
     return e.select("event_id", ms.alias("ms"), X.epoch_ms_to_ts(ms).alias("ts_ms"))
 
 
-@query("expr_to_date", "SELECT o_orderkey AS order_id, CAST(o_orderdate AS DATE) AS order_day, "
-                       "CAST(ts AS DATE) AS event_day FROM orders JOIN events ON o_orderkey = event_id")
+@query("expr_to_date", "SELECT 'order' AS kind, o_orderkey AS id, CAST(o_orderdate AS DATE) AS day FROM orders "
+                       "UNION ALL SELECT 'event', event_id, CAST(ts AS DATE) FROM events")
 def q_to_date(spark, sf):
-    o = A.table(spark, sf, "orders")
-    e = A.table(spark, sf, "events")
-    return o.join(e, o.o_orderkey == e.event_id).select(
-        F.col("o_orderkey").alias("order_id"), X.to_day("o_orderdate").alias("order_day"),
-        X.to_day("ts").alias("event_day"))
+    """Both tables whole, one row each."""
+    o = A.table(spark, sf, "orders").select(
+        F.lit("order").alias("kind"), F.col("o_orderkey").alias("id"), X.to_day("o_orderdate").alias("day"))
+    e = A.table(spark, sf, "events").select(
+        F.lit("event").alias("kind"), F.col("event_id").alias("id"), X.to_day("ts").alias("day"))
+    return o.unionByName(e)
 
 
 @query("expr_file_date", """

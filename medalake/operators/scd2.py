@@ -68,15 +68,13 @@ def empty_silver(spark, spec: TableSpec) -> DataFrame:
 
 # --- standard ----------------------------------------------------------------
 
-def scd2_merge(current: DataFrame | None, incoming: DataFrame, spec: TableSpec, as_of,
-               small_batch: bool = False) -> MergeResult:
+def scd2_merge(current: DataFrame | None, incoming: DataFrame, spec: TableSpec, as_of) -> MergeResult:
     """``current=None`` marks a first load (no committed version): every
     incoming key opens a version, so no join is planned at all.
 
-    ``small_batch=True`` is for callers that have measured the batch and know
-    it fits the broadcast threshold: the batch is broadcast and the active
-    rows are never shuffled (see ``_merge_small_batch``). Both strategies give
-    the same rows."""
+    A row that is older than the active one by the table's watermark never
+    replaces it, so late and replayed batches change nothing. With equal
+    watermarks, or where one is NULL, the incoming row wins."""
     keys = list(spec.keys)
     ts = ts_literal(as_of)
     out_cols = spec.silver_schema.fieldNames()
@@ -99,14 +97,14 @@ def scd2_merge(current: DataFrame | None, incoming: DataFrame, spec: TableSpec,
                       F.col("effective_start_date").alias("t_start"),
                       F.col("effective_end_date").alias("t_end"), F.lit(True).alias("t_present"))
     s = inc.select(*keys, *[F.col(c).alias(f"s_{c}") for c in payload], F.lit(True).alias("s_present"))
-    if small_batch:
-        emitted = _merge_small_batch(active, t, s, inc, spec, payload, ts).select(*out_cols)
-        return MergeResult(history.unionByName(emitted), quarantined, emitted)
     j = t.join(s, keys, "full_outer")
 
     in_t = F.col("t_present").isNotNull()
     in_s = F.col("s_present").isNotNull()
     changed = in_t & in_s & any_differs([(f"t_{c}", f"s_{c}") for c in spec.compare], null_safe=True)
+    if spec.watermark:
+        late = F.coalesce(F.col(f"s_{spec.watermark}") < F.col(f"t_{spec.watermark}"), F.lit(False))
+        changed = changed & ~late
 
     old = F.when(in_t, F.struct(
         *[F.col(k) for k in keys], *[F.col(f"t_{c}").alias(c) for c in payload],
@@ -121,35 +119,6 @@ def scd2_merge(current: DataFrame | None, incoming: DataFrame, spec: TableSpec,
     return MergeResult(history.unionByName(emitted), quarantined, emitted)
 
 
-def _merge_small_batch(active, t, s, inc, spec, payload, ts):
-    """Broadcast-batch strategy: no shuffle of the (large) active rows.
-
-    * active LEFT OUTER JOIN broadcast(batch): every active row is emitted as
-      is or closed, and changed keys get their new open row;
-    * keys of the batch that exist among the active rows come from a semi
-      join that reads only the key columns of the active rows, again against
-      the broadcast batch; the remaining batch rows open new keys."""
-    keys = list(spec.keys)
-    j = t.join(F.broadcast(s), keys, "left")
-    in_s = F.col("s_present").isNotNull()
-    changed = in_s & any_differs([(f"t_{c}", f"s_{c}") for c in spec.compare], null_safe=True)
-    old = F.struct(
-        *[F.col(k) for k in keys], *[F.col(f"t_{c}").alias(c) for c in payload],
-        F.col("t_start").alias("effective_start_date"),
-        F.when(changed, ts).otherwise(F.col("t_end")).alias("effective_end_date"),
-        (~changed).alias("is_active"))
-    reopened = F.when(changed, F.struct(
-        *[F.col(k) for k in keys], *[F.col(f"s_{c}").alias(c) for c in payload],
-        ts.alias("effective_start_date"), null_ts().alias("effective_end_date"),
-        F.lit(True).alias("is_active")))
-    from_active = j.select(F.inline(F.filter(F.array(old, reopened), lambda x: x.isNotNull())))
-    known = active.select(*keys).join(F.broadcast(inc.select(*keys)), keys, "left_semi")
-    new_keys = inc.join(known, keys, "left_anti")
-    opened = new_keys.select(*keys, *payload, ts.alias("effective_start_date"),
-                             null_ts().alias("effective_end_date"), F.lit(True).alias("is_active"))
-    return from_active.unionByName(opened)
-
-
 # --- the reference's steps (as_coded) ----------------------------------------
 
 def changed_keys(active: DataFrame, incoming: DataFrame, keys, compare,

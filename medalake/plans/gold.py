@@ -1,15 +1,18 @@
 """C8 job: silver -> gold daily sales summary table.
 
 Full mode recomputes every month. Incremental mode (standard SCD2 inputs,
-daily runs) recomputes only the months that hold an order or order item the
-current run opened or closed; the dimension columns gold reads are
-fingerprinted, and any change there falls back to a full rebuild. At 100 TB
-this turns a daily job over the whole fact history into one over the days
-that changed.
+daily runs) recomputes the months that hold an order or order item opened or
+closed since the last build, however many silver runs that were: the state
+keeps the newest change that gold has seen. The dimension columns gold reads
+are fingerprinted, and any change there falls back to a full rebuild.
+
+What it saves is aggregation and writing. Silver isn't partitioned by month,
+so an incremental run still scans orders and order items.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,28 +38,38 @@ def _month(c: str):
 
 def dims_fingerprint(products: DataFrame, categories: DataFrame) -> tuple:
     """Order-independent fingerprint of the dimension columns gold uses (one
-    small aggregate job per dimension)."""
+    small aggregate job per dimension): row count and sums of both halves of
+    the rows' hashes. Sums keep repeated rows apart; NULLs are hashed as such."""
     out = []
     for df, cols in ((products.filter(F.col("is_active")), ["product_id", "category_id", "name"]),
                      (categories.filter(F.col("is_active")), ["category_id", "name"])):
-        r = df.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64(*cols)).alias("h")).first()
-        out += [int(r["n"]), int(r["h"] or 0)]
+        h = F.xxhash64(*[F.struct(F.col(c).isNull(), F.col(c)) for c in cols])
+        r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.shiftrightunsigned(h, 32)).alias("a"),
+                   F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF))).alias("b")).first()
+        out += [int(r["n"]), int(r["a"] or 0), int(r["b"] or 0)]
     return tuple(out)
 
 
-def affected_months(orders: DataFrame, items: DataFrame, as_of) -> list[str]:
-    """Months of orders / items opened or closed at ``as_of``. The result is
-    a set of calendar months, so collecting it is bounded."""
-    ts = ts_literal(as_of)
+def affected_months(orders: DataFrame, items: DataFrame, since) -> list[str | None]:
+    """Months of orders / items opened or closed after ``since``, the time up
+    to which gold has seen silver; None stands for orders without a date. The
+    result is a set of calendar months, so collecting it is bounded."""
+    ts = ts_literal(since)
 
     def touched(df):
-        return df.filter((F.col("effective_start_date") == ts) | (F.col("effective_end_date") == ts))
+        return df.filter((F.col("effective_start_date") > ts) | (F.col("effective_end_date") > ts))
 
     m_orders = touched(orders).select(_month("order_date").alias("m"))
     m_items = (touched(items).select("order_id").distinct()
                .join(orders.select("order_id", "order_date"), "order_id")
                .select(_month("order_date").alias("m")))
-    return sorted(r["m"] for r in m_orders.union(m_items).distinct().collect())
+    months = [r["m"] for r in m_orders.union(m_items).distinct().collect()]
+    return sorted(months, key=lambda m: m or "")
+
+
+def newest_change(df: DataFrame):
+    """The latest opening or closing time in a silver table."""
+    return df.agg(F.greatest(F.max("effective_start_date"), F.max("effective_end_date")).alias("t")).first()["t"]
 
 
 def _state_path(gold_dir: str) -> str:
@@ -74,6 +87,14 @@ def _write_state(spark: SparkSession, gold_dir: str, fingerprint: tuple) -> None
     spark.createDataFrame(rows, "i int, v long").coalesce(1).write.mode("overwrite").parquet(_state_path(gold_dir))
 
 
+NULL_MONTH = "__HIVE_DEFAULT_PARTITION__"    # Spark's folder name of a NULL partition value
+_EPOCH = dt.datetime(1970, 1, 1)
+
+
+def _micros(t: dt.datetime | None) -> int:
+    return 0 if t is None else (t - _EPOCH) // dt.timedelta(microseconds=1)
+
+
 def _months_in(spark: SparkSession, table_dir: str) -> set[str]:
     prefix = f"{GOLD_PARTITION}="
     return {n[len(prefix):] for n in list_dir(spark, table_dir) if n.startswith(prefix)}
@@ -89,7 +110,7 @@ def _replace_months(spark: SparkSession, df: DataFrame, gold_dir: str, months: l
         months = sorted(_months_in(spark, gold_dir) | _months_in(spark, staging))
     fs, _ = hadoop_fs(spark, staging)
     Path = spark._jvm.org.apache.hadoop.fs.Path
-    for m in months:
+    for m in (NULL_MONTH if m is None else m for m in months):
         target = f"{gold_dir.rstrip('/')}/{GOLD_PARTITION}={m}"
         source = f"{staging}/{GOLD_PARTITION}={m}"
         if path_exists(spark, target):
@@ -100,27 +121,36 @@ def _replace_months(spark: SparkSession, df: DataFrame, gold_dir: str, months: l
 
 
 def gold_job(spark: SparkSession, silver_root: str, gold_dir: str, mode: str = "standard",
-             write_mode: str = "overwrite", as_of=None, incremental: bool = False) -> DataFrame:
+             write_mode: str = "overwrite", as_of=None, incremental: bool = False,
+             exclude_quarantined: bool = False) -> DataFrame:
     """Standard: every SCD2 input restricted to its current versions (D11) and
     an idempotent per-month overwrite. ``as_coded``: orders' flag only, append.
 
     ``incremental=True`` (standard mode, with the run's ``as_of``) recomputes
-    only the affected months when the dimensions are unchanged since the
-    last build, otherwise rebuilds everything."""
+    only the months changed since the last build when the dimensions are the
+    same, otherwise rebuilds everything. Silver runs must have increasing
+    ``as_of`` times; a state newer than silver forces a rebuild.
+    ``exclude_quarantined`` leaves out flagged products and categories."""
     orders = read_current(spark, silver_root, "orders")
     items = read_current(spark, silver_root, "order_items")
     products = read_current(spark, silver_root, "products")
     categories = read_current(spark, silver_root, "categories")
+    if exclude_quarantined:
+        products, categories = (d.filter(~F.coalesce("is_quarantined", F.lit(False))) for d in (products, categories))
     standard = mode == "standard"
     if standard and incremental and as_of is not None:
-        fp = dims_fingerprint(products, categories)
-        if _read_state(spark, gold_dir) == fp:
-            months = affected_months(orders, items, as_of)
+        dims = dims_fingerprint(products, categories)
+        seen = max((t for t in (newest_change(orders), newest_change(items)) if t), default=None)
+        fp = (*dims, _micros(seen))
+        state = _read_state(spark, gold_dir)
+        if state is not None and state[:-1] == dims and state[-1] <= fp[-1]:
+            months = affected_months(orders, items, _EPOCH + dt.timedelta(microseconds=state[-1]))
             if months:
                 # the state is withdrawn while months are swapped: a run that
                 # dies half way leaves no state, so the next run rebuilds fully
                 delete_path(spark, _state_path(gold_dir))
-                part = orders.filter(_month("order_date").isin(months))
+                dated = [m for m in months if m is not None]
+                part = orders.filter(F.coalesce(_month("order_date").isin(dated), F.lit(None in months)))
                 _replace_months(spark, sales_summary(part, items, products, categories,
                                                      active_items_only=True), gold_dir, months)
                 _write_state(spark, gold_dir, fp)

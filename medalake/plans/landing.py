@@ -70,16 +70,21 @@ def latest_watermarks(audit: DataFrame, tables: DataFrame, as_coded: bool = Fals
 
 
 def lookup_watermark(spark: SparkSession, audit_path: str | None, table: str,
-                     datasource: str | None = None) -> dt.datetime:
-    """One table's watermark as a scalar (reads the audit table if present)."""
+                     datasource: str | None = None, as_coded: bool = False) -> dt.datetime:
+    """One table's watermark as a scalar (reads the audit table if present):
+    the newest ``high_watermark`` of SUCCESS rows, or ``as_coded`` the newest
+    ``load_timestamp`` of any row, as the reference looks it up."""
     default = dt.datetime.strptime(DEFAULT_WATERMARK, "%Y-%m-%d %H:%M:%S")
     if not audit_path or not list_dir(spark, audit_path):
         return default
     audit = spark.read.schema(schemas.AUDIT).parquet(audit_path).filter(F.col("tablename") == table)
     if datasource is not None:
         audit = audit.filter(F.col("datasource") == datasource)
-    row = (audit.filter(F.col("status") == "SUCCESS")
-           .agg(F.max("high_watermark").alias("w")).collect()[0])
+    if as_coded:
+        row = audit.agg(F.max("load_timestamp").alias("w")).collect()[0]
+    else:
+        row = (audit.filter(F.col("status") == "SUCCESS")
+               .agg(F.max("high_watermark").alias("w")).collect()[0])
     return row["w"] or default
 
 
@@ -130,8 +135,9 @@ def batch_day(batch_name: str) -> dt.date:
 
 
 def archive_landed(spark: SparkSession, landing_root: str, archive_root: str, table: str,
-                   keep: set[str] = frozenset(), log: RunLog | None = None) -> int:
-    """Move landed batches of ``table`` (except ``keep``) to
+                   keep: set[str] = frozenset(), log: RunLog | None = None,
+                   only: set[str] | None = None) -> int:
+    """Move landed batches of ``table`` (except ``keep``; with ``only``, no others) to
     ``archive/<table>/year=/month=/day=`` by the date in the batch name.
 
     A move, not a copy through Spark: each part file is renamed into the day
@@ -171,10 +177,11 @@ def archive_landed(spark: SparkSession, landing_root: str, archive_root: str, ta
         fs.delete(claims, True)
     # 2. claim and move the batches landed since
     batches = [n for n in list_dir(spark, str(base))
-               if n.startswith(f"{table}_") and n.endswith(".json") and n not in keep]
+               if n.startswith(f"{table}_") and n.endswith(".json") and n not in keep
+               and (only is None or n in only)]
     if not batches:
         if log:
-            log.event("INFO", f"No existing files for table {table}", table)
+            log.event("INFO", f"{table}: nothing to archive", table)
         return 0
     fs.mkdirs(claims)
     for b in batches:
@@ -188,7 +195,7 @@ def archive_landed(spark: SparkSession, landing_root: str, archive_root: str, ta
                 fs.delete(old.getPath(), False)
         move_files(claim, dest, b)
         if log:
-            log.event("INFO", f"Moved {b} to archive", table)
+            log.event("INFO", f"{table}: archived batch {b}", table)
     fs.delete(claims, True)
     return len(batches)
 
@@ -211,15 +218,18 @@ class LakePaths:
 
 
 def ingest_table(spark: SparkSession, source: DataFrame, cfg: dict, paths: LakePaths,
-                 as_of: dt.datetime, log: RunLog, as_coded_watermark: bool = False) -> dict:
+                 as_of: dt.datetime, log: RunLog, as_coded_watermark: bool = False,
+                 archive_unmerged: bool = False) -> dict:
+    """Land one table. Earlier batches are archived once the ledger says that silver has committed them;
+    ``archive_unmerged`` archives them regardless, as the reference does."""
     table = cfg["tablename"]
     mode = load_mode(cfg.get("loadtype"))
     wcol = cfg.get("watermark") or None
     last = None
     if mode == "incremental":
         last = lookup_watermark(spark, paths.audit, table,
-                                None if as_coded_watermark else cfg.get("datasource"))
-        log.event("INFO", f"Latest watermark for {table}: {last:%Y-%m-%d %H:%M:%S}", table)
+                                None if as_coded_watermark else cfg.get("datasource"), as_coded_watermark)
+        log.event("INFO", f"{table}: loading changes after {last:%Y-%m-%d %H:%M:%S}", table)
     batch = extract(source, mode, wcol, last)
     # row count and high-watermark are observed while the batch is written:
     # no second pass over the landed files, only two scalars reach the driver
@@ -231,11 +241,12 @@ def ingest_table(spark: SparkSession, source: DataFrame, cfg: dict, paths: LakeP
     metrics = obs.get
     n = int(metrics.get("n") or 0)
     high = metrics.get("w") if mode == "incremental" else None
-    log.event("SUCCESS", f"Extracted and landed {n} rows from {table}", table)
+    log.event("SUCCESS", f"{table}: landed {n} rows", table)
     audit_row = [(table, cfg.get("loadtype"), n, as_of, "SUCCESS", cfg.get("datasource"), high)]
     write_table(spark.createDataFrame(audit_row, schemas.AUDIT), paths.audit, "append")
-    log.event("SUCCESS", f"Audit log updated for {table}", table)
-    archive_landed(spark, paths.landing, paths.archive, table, keep={landed.rsplit('/', 1)[-1]}, log=log)
+    log.event("SUCCESS", f"{table}: audit row written", table)
+    archive_landed(spark, paths.landing, paths.archive, table, keep={landed.rsplit('/', 1)[-1]}, log=log,
+                   only=None if archive_unmerged else K.merged_batches(spark, paths.landing, table))
     return {"tablename": table, "record_count": n, "high_watermark": high}
 
 
@@ -244,7 +255,7 @@ def ingest_all(spark: SparkSession, config: DataFrame, sources: SourceFn, paths:
     """Every active config row in config order; one failure does not stop the rest."""
     log = log or RunLog(as_of)
     rows = [r.asDict() for r in config.collect()]   # one row per table (control plane)
-    log.event("INFO", f"Read config with {len(rows)} rows")
+    log.event("INFO", f"config: {len(rows)} rows")
     for cfg in rows:
         if cfg.get("is_active") != "1":
             continue
@@ -252,7 +263,7 @@ def ingest_all(spark: SparkSession, config: DataFrame, sources: SourceFn, paths:
         try:
             ingest_table(spark, sources(table), cfg, paths, as_of, log)
         except Exception as e:  # noqa: BLE001  (the reference isolates failures per table)
-            log.event("ERROR", f"Error processing {table}: {type(e).__name__}", table)
+            log.event("ERROR", f"{table}: failed with {type(e).__name__}: {e}", table)
     return log
 
 
@@ -260,11 +271,13 @@ def land_reviews_batch(spark: SparkSession, payload_path: str, landing_root: str
                        as_of: dt.datetime, log: RunLog | None = None) -> int:
     """Saved reviews payload -> dated parquet landing; returns the record count.
 
-    Raises when the payload cannot be read (the reference exits with success)."""
-    payload = K.read_payload(spark, payload_path)
-    path = K.land_reviews(payload, landing_root, as_of)
-    n = spark.read.parquet(path).filter(
-        F.col("load_date") == as_of.strftime("%Y%m%d")).count()
+    Takes JSON lines and JSON arrays. Raises when the payload cannot be read or
+    holds a malformed record (the reference exits with success). The count is
+    observed during the write."""
+    payload = K.read_payload(spark, payload_path, multi_line=K.is_json_array(spark, payload_path))
+    obs = Observation("landed_reviews")
+    K.land_reviews(payload.observe(obs, F.count(F.lit(1)).alias("n")), landing_root, as_of)
+    n = int(obs.get.get("n") or 0)
     if log:
-        log.event("SUCCESS", f"Fetched and landed {n} review records", "customer_reviews")
+        log.event("SUCCESS", f"customer_reviews: landed {n} records", "customer_reviews")
     return n

@@ -27,13 +27,17 @@ def run_medallion(spark: SparkSession, sources, root: str, as_of: dt.datetime,
     log = RunLog(as_of)
     config = config if config is not None else config_frame(spark)
     active = {r["tablename"] for r in config.filter("is_active = '1'").select("tablename").collect()}
-    ingest_all(spark, config, sources, paths, as_of, log)
-    if reviews_payload:
-        land_reviews_batch(spark, reviews_payload, paths.landing, as_of, log)
-    silver_root = f"{root.rstrip('/')}/silver"
-    silver_from_landing(spark, paths.landing, silver_root, as_of,
-                        tables=[t for t in SILVER_ORDER if t in active], mode=mode)
-    gold = gold_job(spark, silver_root, f"{root.rstrip('/')}/gold", mode=mode, as_of=as_of,
-                    incremental=(mode == "standard"))
-    log.save(spark, paths.logs, f"{root.rstrip('/')}/temp/pipeline_logs")
-    return gold
+    try:
+        ingest_all(spark, config, sources, paths, as_of, log)
+        if reviews_payload:
+            land_reviews_batch(spark, reviews_payload, paths.landing, as_of, log)
+        silver_root = f"{root.rstrip('/')}/silver"
+        silver_from_landing(spark, paths.landing, silver_root, as_of,
+                            tables=[t for t in SILVER_ORDER if t in active], mode=mode)
+        return gold_job(spark, silver_root, f"{root.rstrip('/')}/gold", mode=mode, as_of=as_of,
+                        incremental=(mode == "standard"))
+    except Exception as e:
+        log.event("ERROR", f"run failed with {type(e).__name__}: {e}")
+        raise
+    finally:
+        log.save(spark, paths.logs, f"{root.rstrip('/')}/temp/pipeline_logs")

@@ -9,10 +9,10 @@ from medalake.functions.expressions import any_null, ts_literal
 from medalake.operators.refresh import from_landing, full_refresh
 from medalake.operators.scd2 import empty_silver, merge, scd2_merge
 from medalake.plans.specs import SILVER_ORDER, SPECS, TableSpec
-from medalake.sinks.tables import (COMPACT_EVERY, deltas_since_snapshot, read_silver, vacuum_silver,
-                                   write_silver_version, write_table)
-from medalake.session import broadcast_limit, path_bytes
-from medalake.sinks.landing import landed_glob
+from medalake.session import path_exists
+from medalake.sinks.landing import landed_batches, mark_merged, merged_batches
+from medalake.sinks.tables import (deltas_since_snapshot, read_silver, vacuum_silver, write_silver_version,
+                                   write_table)
 from medalake.sources.bronze import read_bronze
 
 
@@ -25,14 +25,11 @@ def current_or_empty(spark: SparkSession, table_dir: str, spec: TableSpec) -> Da
 
 
 def silver_job(spark: SparkSession, spec: TableSpec, incoming: DataFrame, silver_root: str,
-               as_of, mode: str = "standard", batch_bytes: int | None = None,
-               compact_every: int = COMPACT_EVERY) -> str:
+               as_of, mode: str = "standard") -> str:
     """Run one silver table job on source-shaped ``incoming``; returns the new version path.
 
-    ``batch_bytes`` is the measured size of the batch's files. When it is
-    within the session's broadcast threshold the SCD2 merge broadcasts the
-    batch and leaves the active rows unshuffled; otherwise (or unknown) it
-    uses the shuffle join."""
+    An SCD2 run writes a delta; compaction and retention are separate calls
+    (``maintain_silver``), so a job never deletes what a reader may be scanning."""
     table_dir = f"{silver_root.rstrip('/')}/{spec.name}"
     if spec.kind == "refresh":
         result = full_refresh(incoming, spec, as_of, open_end=(mode == "standard"))
@@ -44,35 +41,59 @@ def silver_job(spark: SparkSession, spec: TableSpec, incoming: DataFrame, silver
             obs = Observation(f"null_keys_{spec.name}")
             observed = incoming.observe(
                 obs, F.sum(F.when(any_null(spec.keys), 1).otherwise(0)).alias("bad"))
-            limit = broadcast_limit(spark)
-            small = current is not None and batch_bytes is not None and 0 < batch_bytes <= limit
-            merged = scd2_merge(current, observed, spec, as_of, small_batch=small)
-            # a delta (active set + rows closed now) unless a snapshot is due
-            snapshot = current is None or deltas_since_snapshot(spark, table_dir) + 1 >= compact_every
-            path = write_silver_version(merged.table if snapshot else merged.changes, spark, table_dir,
-                                        snapshot=snapshot)
-            vacuum_silver(spark, table_dir)
+            merged = scd2_merge(current, observed, spec, as_of)
+            # a first load is a snapshot, later runs are deltas (active set + rows closed now)
+            path = write_silver_version(merged.changes, spark, table_dir, snapshot=current is None)
             if (obs.get.get("bad") or 0) > 0:
+                # a replayed batch brings the same rows again: only new ones are added
                 bad = scd2_merge(None, incoming, spec, as_of).quarantined
-                write_table(bad.withColumn("loaded_at", ts_literal(as_of)),
-                            f"{silver_root.rstrip('/')}/_quarantine/{spec.name}", "append")
+                target = f"{silver_root.rstrip('/')}/_quarantine/{spec.name}"
+                if path_exists(spark, target):
+                    known = spark.read.schema(bad.schema).parquet(target)
+                    bad = bad.exceptAll(known)
+                write_table(bad.withColumn("loaded_at", ts_literal(as_of)), target, "append")
             return path
         current = current if current is not None else empty_silver(spark, spec)
         result = merge(current, incoming, spec, as_of, mode)
-    path = write_silver_version(result, spark, table_dir, snapshot=True)
-    vacuum_silver(spark, table_dir)
-    return path
+    return write_silver_version(result, spark, table_dir, snapshot=True)
+
+
+def maintain_silver(spark: SparkSession, spec: TableSpec, silver_root: str) -> int:
+    """Compact a table into a snapshot and drop the versions that no reader of the last two snapshots needs.
+
+    To be run when no reader holds an older version; returns the number of folders removed."""
+    table_dir = f"{silver_root.rstrip('/')}/{spec.name}"
+    current = read_silver(spark, table_dir, spec.silver_schema)
+    if current is None:
+        return 0
+    if deltas_since_snapshot(spark, table_dir):
+        write_silver_version(current, spark, table_dir, snapshot=True)
+    return vacuum_silver(spark, table_dir)
 
 
 def silver_from_landing(spark: SparkSession, landing_root: str, silver_root: str, as_of,
                         tables=SILVER_ORDER, mode: str = "standard") -> dict[str, str]:
-    """All silver jobs in the reference's order, reading the landed batches."""
+    """All silver jobs in the reference's order, reading the landed batches.
+
+    Standard: the batches that no earlier run has committed, all of them for an
+    SCD2 table and the newest full load for a refreshed one; a table without
+    new batches keeps its version. The ledger is written after the version, so
+    a run that dies between the two merges the same batches again, which
+    changes nothing. As coded: every batch that lies in the landing area."""
     out = {}
     for name in tables:
         spec = SPECS[name]
-        incoming = from_landing(read_bronze(spark, landing_root, name), spec)
-        size = path_bytes(spark, landed_glob(landing_root, name))
-        out[name] = silver_job(spark, spec, incoming, silver_root, as_of, mode, batch_bytes=size)
+        paths, fresh = None, []
+        if mode == "standard":
+            merged = merged_batches(spark, landing_root, name)
+            fresh = [b for b in landed_batches(spark, landing_root, name) if b not in merged]
+            if not fresh:
+                continue
+            paths = [f"{landing_root.rstrip('/')}/{name}/{b}"
+                     for b in (fresh[-1:] if spec.kind == "refresh" else fresh)]
+        incoming = from_landing(read_bronze(spark, landing_root, name, paths), spec)
+        out[name] = silver_job(spark, spec, incoming, silver_root, as_of, mode)
+        mark_merged(spark, landing_root, name, fresh)
     return out
 
 

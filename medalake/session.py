@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -43,7 +42,8 @@ def get_session(master: str | None = None, app_name: str = "medalake",
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Only when the session has none (local tests) is a private one created.
+    A private folder is made only for a local master, where driver and
+    executors are one process; on a cluster a missing setting is an error.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -51,6 +51,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return d
     d = sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="medalake-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
@@ -85,21 +87,3 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     fs, p = hadoop_fs(spark, path)
     return bool(fs.delete(p, True))
 
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default
-
-
-def path_bytes(spark: SparkSession, pattern: str) -> int:
-    """Total bytes of the files matching a path or glob (0 when none)."""
-    fs, p = hadoop_fs(spark, pattern)
-    statuses = fs.globStatus(p) or []
-    return int(sum(fs.getContentSummary(s.getPath()).getLength() for s in statuses))
-
-
-def broadcast_limit(spark: SparkSession) -> int:
-    """The session's broadcast threshold in bytes (<= 0: broadcasting disabled)."""
-    return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())

@@ -1,7 +1,9 @@
 """K1/K2/K6: landing sinks.
 
-Layout: ``<root>/<table>/<table>_<ddMMyyyy>.json/part-*.json`` (one folder per
-landed batch, named like the reference's one file per day) and
+Layout: ``<root>/<table>/<table>_[<HHmmssffffff>_]<ddMMyyyy>.json/part-*.json``
+(one folder per run: a second run on a day never overwrites the first; a run
+at midnight has the bare daily name), ``<root>/_merged/<table>`` (the ledger of
+batches that silver has committed) and
 ``<root>/customer_reviews/load_date=<yyyyMMdd>/part-*.parquet``. Every write
 is a distributed Spark write; nothing is collected to the driver.
 """
@@ -15,6 +17,7 @@ from pyspark.sql import functions as F
 
 from medalake import schemas
 from medalake.functions.expressions import DB_FILE_DATE, REVIEWS_FILE_DATE, ts_to_epoch_ms
+from medalake.session import list_dir, path_exists
 
 
 def _py_fmt(fmt: str) -> str:
@@ -23,8 +26,38 @@ def _py_fmt(fmt: str) -> str:
 
 
 def batch_name(table: str, load_time: dt.datetime) -> str:
-    """``<table>_<ddMMyyyy>.json``."""
-    return f"{table}_{load_time.strftime(_py_fmt(DB_FILE_DATE))}.json"
+    """``<table>_<ddMMyyyy>.json``, with the run's time of day before the date."""
+    time = load_time.strftime("%H%M%S%f")
+    run = "" if int(time) == 0 else f"{time}_"
+    return f"{table}_{run}{load_time.strftime(_py_fmt(DB_FILE_DATE))}.json"
+
+
+def batch_order(name: str) -> tuple[str, str]:
+    """Sort key of batch names: (yyyyMMdd, time of day)."""
+    *_, time, day = ["", *name.removesuffix(".json").split("_")]
+    return day[4:] + day[2:4] + day[:2], time if len(time) == 12 and time.isdigit() else ""
+
+
+def landed_batches(spark: SparkSession, root: str, table: str) -> list[str]:
+    """Names of the committed batches in the landing area, oldest run first."""
+    base = f"{root.rstrip('/')}/{table}"
+    names = [n for n in list_dir(spark, base) if n.startswith(f"{table}_") and n.endswith(".json")
+             and path_exists(spark, f"{base}/{n}/_SUCCESS")]
+    return sorted(names, key=batch_order)
+
+
+def merged_batches(spark: SparkSession, root: str, table: str) -> set[str]:
+    """The ledger: batches of ``table`` that a silver run has committed (one row per batch)."""
+    path = f"{root.rstrip('/')}/_merged/{table}"
+    if not list_dir(spark, path):
+        return set()
+    return {r["batch"] for r in spark.read.schema("batch string").parquet(path).collect()}
+
+
+def mark_merged(spark: SparkSession, root: str, table: str, batches: list[str]) -> None:
+    if batches:
+        (spark.createDataFrame([(b,) for b in batches], "batch string").coalesce(1)
+         .write.mode("append").parquet(f"{root.rstrip('/')}/_merged/{table}"))
 
 
 def to_landing_rows(df: DataFrame, table: str) -> DataFrame:
@@ -58,5 +91,13 @@ def land_reviews(payload: DataFrame, root: str, load_time: dt.datetime) -> str:
 
 def read_payload(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """A saved reviews payload (JSON lines, or JSON arrays per file with
-    ``multi_line``; each file is still read by its own task)."""
-    return spark.read.schema(schemas.REVIEWS).option("multiLine", multi_line).json(path)
+    ``multi_line``; each file is still read by its own task). A record that is
+    no JSON object of this shape fails the read instead of becoming NULLs."""
+    return (spark.read.schema(schemas.REVIEWS).option("multiLine", multi_line)
+            .option("mode", "FAILFAST").json(path))
+
+
+def is_json_array(spark: SparkSession, path: str) -> bool:
+    """Whether the payload's first non-blank line opens an array (the feed's own form)."""
+    first = spark.read.text(path).where(F.trim("value") != "").limit(1).collect()
+    return bool(first) and first[0]["value"].lstrip().startswith("[")

@@ -4,7 +4,7 @@ Silver tables are versioned and never overwrite what a run reads. Each run
 writes one version folder, partitioned by ``is_active``:
 
 * ``snap_<n>``: a full snapshot (first load, full refresh, as-coded runs,
-  and every ``COMPACT_EVERY``-th SCD2 run);
+  and compactions);
 * ``ver_<n>``: a delta, holding the complete active set and only the rows
   closed by run ``n``. History written by earlier runs is not rewritten, so
   a run costs the active set plus the batch, not the whole history.
@@ -31,7 +31,6 @@ from medalake import schemas
 from medalake.session import delete_path, list_dir, path_exists
 
 DELTA_PREFIX, SNAPSHOT_PREFIX = "ver_", "snap_"
-COMPACT_EVERY = 30        # deltas between snapshots: bounds the history read fan-in
 
 
 class Version(NamedTuple):

@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 T0 = dt.datetime(2024, 6, 1, 0, 0, 0)
 T1 = dt.datetime(2024, 7, 1, 0, 0, 0)
 BASE_TIME = "TIMESTAMP_NTZ'2024-01-01 00:00:00'"
-KEY_SHIFT = 10_000_000          # a d=2 row moves to key + KEY_SHIFT
-ITEM_KEY_SHIFT = 10 ** 16       # ... order_item_id moves by this instead
+# Places for the distinct (part, supplier) pairs of one order line; more would
+# make ids meet, so the adapter fails instead (a line of the source has one).
+PAIRS_PER_LINE = 1000
 
 
 _READERS: dict[tuple, DataFrame] = {}
@@ -67,9 +68,13 @@ def orders(spark, sf_dir, with_status_flag: bool = False) -> DataFrame:
 
 def order_items(spark, sf_dir, dedup: bool = False) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
-    df = li.select(
-        ((((F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 100000 + F.col("l_partkey"))
-          * 10000) + F.col("l_suppkey")).alias("order_item_id"),
+    # the id counts the distinct (part, supplier) pairs of an order line, so it
+    # is free of collisions whatever the size of the part and supplier keys
+    place = F.dense_rank().over(Window.partitionBy("l_orderkey", "l_linenumber").orderBy("l_partkey", "l_suppkey"))
+    checked = F.when(place < PAIRS_PER_LINE, place).otherwise(
+        F.raise_error(F.lit("more part and supplier pairs in an order line than ids")).cast("int"))
+    df = li.withColumn("place", checked).select(
+        ((F.col("l_orderkey") * 10 + F.col("l_linenumber")) * PAIRS_PER_LINE + F.col("place")).alias("order_item_id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_quantity").cast("bigint").alias("quantity"),
@@ -190,18 +195,17 @@ def source(spark, sf_dir, name: str) -> DataFrame:
 #   0 value changed, 1 identical, 2 key moved to a new one, 3 value -> NULL,
 #   4..9 absent from the batch.
 BATCH_RULES = {
-    # table: (selector, changed column, change, shifted key, shift, nulled column)
-    "customers": ("customer_id", "name", lambda c: F.concat(c, F.lit("!")),
-                  "customer_id", KEY_SHIFT, "email"),
-    "orders": ("order_id", "total_amount", lambda c: c + 1, "order_id", KEY_SHIFT, "customer_id"),
-    "order_items": ("order_id", "quantity", lambda c: c + 1, "order_item_id", ITEM_KEY_SHIFT, "price"),
-    "product_suppliers": ("product_id", "supply_price", lambda c: c + 1, "product_id", KEY_SHIFT,
-                          "last_updated"),
+    # table: (selector, changed column, change, negated key, nulled column); real
+    # keys are not negative, so a negated one is new at every scale
+    "customers": ("customer_id", "name", lambda c: F.concat(c, F.lit("!")), "customer_id", "email"),
+    "orders": ("order_id", "total_amount", lambda c: c + 1, "order_id", "customer_id"),
+    "order_items": ("order_id", "quantity", lambda c: c + 1, "order_item_id", "price"),
+    "product_suppliers": ("product_id", "supply_price", lambda c: c + 1, "product_id", "last_updated"),
 }
 
 
 def second_batch(df: DataFrame, table_name: str) -> DataFrame:
-    sel, changed, change, key, shift, nulled = BATCH_RULES[table_name]
+    sel, changed, change, key, nulled = BATCH_RULES[table_name]
     d = F.col(sel) % 10
     out = []
     for c in df.columns:
@@ -209,7 +213,7 @@ def second_batch(df: DataFrame, table_name: str) -> DataFrame:
         if c == changed:
             e = F.when(d == 0, change(e)).otherwise(e)
         if c == key:
-            e = F.when(d == 2, e + F.lit(shift)).otherwise(e)
+            e = F.when(d == 2, -e).otherwise(e)
         if c == nulled:
             e = F.when(d == 3, F.lit(None).cast(df.schema[c].dataType)).otherwise(e)
         out.append(e.alias(c))

@@ -26,8 +26,8 @@ SILVER_VIEWS = {
 
 
 def read_bronze(spark: SparkSession, landing_root: str, table: str,
-                path: str | None = None) -> DataFrame:
-    """Landed JSON of ``table`` (every landed batch, or one ``path``)."""
+                path: str | list[str] | None = None) -> DataFrame:
+    """Landed JSON of ``table`` (every landed batch, or those at ``path``)."""
     return spark.read.schema(schemas.BRONZE[table]).json(path or landed_glob(landing_root, table))
 
 

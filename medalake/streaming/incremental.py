@@ -17,6 +17,8 @@ same as one delivery. Checkpoints live under the cluster's shared
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 
 from medalake import schemas
@@ -24,7 +26,8 @@ from medalake.operators.refresh import from_landing
 from medalake.plans.silver import silver_job
 from medalake.plans.specs import TableSpec
 from medalake.session import checkpoint_root
-from medalake.sinks.landing import landed_glob
+from medalake.sinks.landing import landed_batches, landed_glob, mark_merged, merged_batches
+from medalake.sources.bronze import read_bronze
 
 
 def landing_stream(spark: SparkSession, landing_root: str, table: str,
@@ -37,7 +40,8 @@ def landing_stream(spark: SparkSession, landing_root: str, table: str,
 
 
 def stream_checkpoint(spark: SparkSession, silver_root: str, table: str) -> str:
-    name = silver_root.rstrip("/").replace(":", "").replace("/", "_")[-80:]
+    """A folder named by a hash of the whole silver path, so no two roots share one."""
+    name = hashlib.sha256(silver_root.rstrip("/").encode()).hexdigest()
     return f"{checkpoint_root(spark).rstrip('/')}/medalake/streams/{name}/{table}"
 
 
@@ -46,19 +50,27 @@ def run_incremental_silver(spark: SparkSession, spec: TableSpec, landing_root: s
                            mode: str = "standard", max_files_per_trigger: int | None = None) -> int:
     """Merge every landed batch not yet processed into the silver table.
 
-    ``max_files_per_trigger`` bounds a micro-batch, so a large backlog is
-    merged in several bounded steps (``availableNow`` honours it).
+    ``max_files_per_trigger`` bounds a micro-batch, so a large backlog of an
+    SCD2 table is merged in several bounded steps (``availableNow`` honours
+    it; an older row never replaces a newer one, whatever the file order). A
+    refreshed table is rebuilt once, from the whole of the newest full load:
+    the bound doesn't apply to it.
     Returns the number of micro-batches that carried rows."""
     merged = []
+    landed = landed_batches(spark, landing_root, spec.name)
+    refresh = spec.kind == "refresh"
 
     def merge_batch(batch: DataFrame, epoch_id: int) -> None:
         incoming = from_landing(batch, spec)
         if incoming.isEmpty():
             return
-        silver_job(batch.sparkSession, spec, incoming, silver_root, as_of, mode)   # size unknown: shuffle join
+        if refresh:
+            newest = f"{landing_root.rstrip('/')}/{spec.name}/{landed_batches(spark, landing_root, spec.name)[-1]}"
+            incoming = from_landing(read_bronze(spark, landing_root, spec.name, newest), spec)
+        silver_job(batch.sparkSession, spec, incoming, silver_root, as_of, mode)
         merged.append(epoch_id)
 
-    q = (landing_stream(spark, landing_root, spec.name, max_files_per_trigger).writeStream
+    q = (landing_stream(spark, landing_root, spec.name, None if refresh else max_files_per_trigger).writeStream
          .foreachBatch(merge_batch)
          .option("checkpointLocation", checkpoint or stream_checkpoint(spark, silver_root, spec.name))
          .trigger(availableNow=True)
@@ -66,4 +78,7 @@ def run_incremental_silver(spark: SparkSession, spec: TableSpec, landing_root: s
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
+    # everything that lay there at the start is merged now
+    known = merged_batches(spark, landing_root, spec.name)
+    mark_merged(spark, landing_root, spec.name, [b for b in landed if b not in known])
     return len(merged)

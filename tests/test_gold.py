@@ -94,3 +94,45 @@ def test_interrupted_incremental_run_forces_full_rebuild(spark, root):
         G._replace_months = orig
     assert calls == [None]                      # full rebuild, not an incremental swap
     assert G._read_state(spark, inc_dir) is not None
+
+
+def test_skipped_gold_run_is_caught_up(spark, root):
+    import datetime as dt
+
+    from medalake import schemas
+    silver = _silver(spark, root)
+    T1, T2 = LOAD + dt.timedelta(days=40), LOAD + dt.timedelta(days=80)
+    gold_job(spark, silver, f"{root}/gold_inc", as_of=LOAD, incremental=True)
+    for order, when in ((1001, T1), (1002, T2)):      # gold is not run after the first of these
+        silver_job(spark, SPECS["orders"], spark.createDataFrame([(order, 1, when, 10.0, when)],
+                                                                 schemas.SOURCE["orders"]), silver, when)
+    inc = gold_job(spark, silver, f"{root}/gold_inc", as_of=T2, incremental=True)
+    full = gold_job(spark, silver, f"{root}/gold_full")
+    assert sorted(map(tuple, inc.collect())) == sorted(map(tuple, full.collect()))
+    assert {T1.date(), T2.date()} <= {r.order_date for r in inc.collect()}
+
+
+def test_orders_without_a_date_in_incremental_gold(spark, root):
+    import datetime as dt
+
+    from medalake import schemas
+    silver, T1 = _silver(spark, root), LOAD + dt.timedelta(days=1)
+    gold_job(spark, silver, f"{root}/gold_inc", as_of=LOAD, incremental=True)
+    silver_job(spark, SPECS["orders"], spark.createDataFrame([(1001, 1, None, 10.0, T1)], schemas.SOURCE["orders"]),
+               silver, T1)
+    key = lambda r: tuple((x is not None, x) for x in r)
+    inc = gold_job(spark, silver, f"{root}/gold_inc", as_of=T1, incremental=True)
+    full = gold_job(spark, silver, f"{root}/gold_full")
+    assert sorted(map(key, inc.collect())) == sorted(map(key, full.collect()))
+    assert None in {r.order_date for r in inc.collect()}
+
+
+def test_gold_without_quarantined_dimension_rows(spark, root):
+    from medalake import schemas
+    from seeds import PRODUCTS
+    silver = _silver(spark, root)
+    bad = [(i, None if i == 101 else n, c, p, LOAD) for i, n, c, p in PRODUCTS]
+    silver_job(spark, SPECS["products"], spark.createDataFrame(bad, schemas.SOURCE["products"]), silver, LOAD)
+    every = {r.product_id for r in gold_job(spark, silver, f"{root}/g1").collect()}
+    some = {r.product_id for r in gold_job(spark, silver, f"{root}/g2", exclude_quarantined=True).collect()}
+    assert every - some == {101}

@@ -220,34 +220,43 @@ def test_silver_job_writes_null_key_quarantine_only_when_present(spark, root):
     assert read_silver(spark, f"{root}/customers", CUST.silver_schema).count() == 3
 
 
-def test_silver_job_picks_broadcast_strategy_only_for_measured_small_batches(spark, root):
-    silver_job(spark, CUST, cust(spark, BASE), root, T0)
-    batch = cust(spark, [(1, "a2", "a@x", U), (9, "n", "n@x", U)])
-    for size in (100, None, 10 ** 12):      # small, unknown, larger than the threshold
-        out = S.scd2_merge(read_silver(spark, f"{root}/customers", CUST.silver_schema), batch, CUST, T1,
-                           small_batch=size == 100).table
-        assert sorted((r.customer_id, r.name, r.is_active) for r in out.collect()) == [
-            (1, "a", False), (1, "a2", True), (2, "b", True), (3, "c", True), (9, "n", True)]
-    silver_job(spark, CUST, batch, root, T1, batch_bytes=100)
-    assert read_silver(spark, f"{root}/customers", CUST.silver_schema).count() == 5
-
-
-def test_deltas_snapshots_and_vacuum(spark, root):
+def test_older_row_never_replaces_a_newer_one(spark, root):
+    day = dt.timedelta(days=1)
+    silver_job(spark, CUST, cust(spark, [(1, "new", "a@x", U + day), (2, "b", "b@x", U)]), root, T0)
+    silver_job(spark, CUST, cust(spark, [(1, "old", "a@x", U), (2, "b2", "b@x", U), (3, "c", "c@x", None)]), root, T1)
+    cur = read_silver(spark, f"{root}/customers", CUST.silver_schema)
+    got = sorted((r.customer_id, r.name, r.is_active) for r in cur.collect())
+    # key 1: late, ignored; key 2: equal times, the incoming row wins
+    assert got == [(1, "new", True), (2, "b", False), (2, "b2", True), (3, "c", True)]
+
+
+def test_replayed_null_keys_are_quarantined_once(spark, root):
+    batch = [(None, "z", "z@x", U), (1, "a", "a@x", U)]
+    silver_job(spark, CUST, cust(spark, batch), root, T0)
+    silver_job(spark, CUST, cust(spark, batch), root, T1)
+    silver_job(spark, CUST, cust(spark, [*batch, (None, "y", "y@x", U)]), root, T2)
+    assert sorted(r.name for r in spark.read.parquet(f"{root}/_quarantine/customers").collect()) == ["y", "z"]
+
+
+def test_deltas_compaction_and_vacuum(spark, root):
+    from medalake.plans.silver import maintain_silver
     from medalake.sinks.tables import versions
     path = f"{root}/customers"
-    runs = [BASE] + [[(1, f"a{i}", "a@x", U)] for i in range(5)]
-    for i, rows in enumerate(runs):
-        silver_job(spark, CUST, cust(spark, rows), root, T0 + dt.timedelta(days=i), compact_every=3)
-    vs = versions(spark, path)
-    assert [v.snapshot for v in vs] == [True, False, False, True, False, False]
-    cur = read_silver(spark, path, CUST.silver_schema)
-    # 3 keys active + 5 closed versions of key 1, whichever files hold them
-    assert cur.count() == 8 and cur.filter("is_active").count() == 3
-    check_invariants(cur)
-    one = sorted((r.name, r.is_active) for r in cur.filter("customer_id = 1").collect())
-    assert one == [("a", False), ("a0", False), ("a1", False), ("a2", False), ("a3", False), ("a4", True)]
-    # one more compaction: the chain before the previous snapshot is dropped
-    silver_job(spark, CUST, cust(spark, [(2, "b2", "b@x", U)]), root, T2, compact_every=3)
-    vs = versions(spark, path)
-    assert vs[0].number == 4 and vs[0].snapshot and vs[-1].snapshot
-    assert read_silver(spark, path, CUST.silver_schema).count() == 9   # 3 active + 6 closed
+    for i, rows in enumerate([BASE] + [[(1, f"a{i}", "a@x", U)] for i in range(3)]):
+        silver_job(spark, CUST, cust(spark, rows), root, T0 + dt.timedelta(days=i))
+    # jobs only add versions; nothing is dropped under a reader
+    assert [(v.number, v.snapshot) for v in versions(spark, path)] == [(1, True), (2, False), (3, False), (4, False)]
+
+    def rows():
+        return sorted(map(tuple, read_silver(spark, path, CUST.silver_schema).select(
+            "customer_id", "name", "is_active").collect()))
+
+    before = rows()
+    assert len(before) == 6 and sum(r[2] for r in before) == 3
+    maintain_silver(spark, CUST, root)
+    assert versions(spark, path)[-1].snapshot and rows() == before
+    silver_job(spark, CUST, cust(spark, [(2, "b2", "b@x", U)]), root, T2)
+    before = rows()
+    maintain_silver(spark, CUST, root)
+    assert versions(spark, path)[0].number == 5 and rows() == before
+    check_invariants(read_silver(spark, path, CUST.silver_schema))

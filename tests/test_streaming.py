@@ -45,6 +45,22 @@ def test_replayed_batch_is_a_noop(spark, root):
     assert first == again
 
 
+def test_refresh_table_is_rebuilt_whole_whatever_the_trigger(spark, root):
+    spec = SPECS["products"]
+    data = [(i, f"p{i}", 1, 1.0, U) for i in range(40)]
+    df = spark.createDataFrame(data, schemas.SOURCE["products"]).repartition(4)
+    land_json(df, f"{root}/landing", "products", T0)
+    run_incremental_silver(spark, spec, f"{root}/landing", f"{root}/silver", T0, f"{root}/ckpt", max_files_per_trigger=1)
+    assert read_silver(spark, f"{root}/silver/products", spec.silver_schema).count() == 40
+
+
+def test_streams_of_roots_with_equal_ends_have_their_own_checkpoints(spark):
+    from medalake.streaming.incremental import stream_checkpoint
+    tail = "x" * 100
+    assert stream_checkpoint(spark, f"/a/{tail}", "t") != stream_checkpoint(spark, f"/b/{tail}", "t")
+    assert stream_checkpoint(spark, "/a/b_c", "t") != stream_checkpoint(spark, "/a_b/c", "t")
+
+
 def test_backlog_is_merged_in_bounded_micro_batches(spark, root):
     landing, silver, ckpt = f"{root}/landing", f"{root}/silver", f"{root}/ckpt"
     land_json(rows(spark, [(1, "a", "a@x", U)]).repartition(1), landing, "customers", T0)

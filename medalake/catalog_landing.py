@@ -4,6 +4,7 @@ session's shared checkpoint directory and return what they read back."""
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import reduce
 
 from pyspark.sql import functions as F
@@ -79,7 +80,36 @@ def q_extract_incremental(spark, sf):
     L.ingest_table(spark, items.filter(F.col("updated_at") <= X.ts_literal("2000-01-01 00:00:00")),
                    cfg, paths, A.T0, log)
     L.ingest_table(spark, items, cfg, paths, A.T1, log)
-    return read_bronze(spark, paths.landing, "order_items")
+    newest = K.landed_batches(spark, paths.landing, "order_items")[-1]
+    return read_bronze(spark, paths.landing, "order_items", f"{paths.landing}/order_items/{newest}")
+
+
+def _two_runs_one_day(spark, sf, name):
+    """Customers ingested twice on one day, before silver: the second run takes what came after the first."""
+    paths = lake_paths(shared_dir(spark, name))
+    rows, cfg, log = A.customers(spark, sf), _cfg("customers"), L.RunLog(A.T0)
+    L.ingest_table(spark, rows.filter(F.col("updated_at") <= X.ts_literal("2024-01-01 10:00:00")), cfg, paths, A.T0, log)
+    L.ingest_table(spark, rows, cfg, paths, A.T0 + dt.timedelta(hours=6), log)
+    return paths
+
+
+@query("land_two_runs_one_day", _landing_sql("customers"))
+def q_two_runs_one_day(spark, sf):
+    """Both batches lie in the landing area: the second run keeps the first one's."""
+    return read_bronze(spark, _two_runs_one_day(spark, sf, "land_two_runs_one_day").landing, "customers")
+
+
+@query("silver_after_two_ingests", O.with_(
+    "SELECT *, email IS NULL OR name IS NULL AS is_quarantined, TIMESTAMP '2024-07-01 00:00:00' AS effective_start_date, "
+    f"{O.NULL_TS} AS effective_end_date, TRUE AS is_active FROM customers_src", "customers_src"))
+def q_silver_after_two_ingests(spark, sf):
+    """One silver run after two ingests merges both batches."""
+    from medalake.plans.silver import silver_from_landing
+    from medalake.sinks.tables import read_silver
+    paths = _two_runs_one_day(spark, sf, "silver_after_two_ingests")
+    root = shared_dir(spark, "silver_after_two_ingests", "silver")
+    silver_from_landing(spark, paths.landing, root, A.T1, tables=["customers"])
+    return read_silver(spark, f"{root}/customers", SPECS["customers"].silver_schema)
 
 
 @query("land_json_roundtrip", O.with_("SELECT * FROM customers_src", "customers_src"))

@@ -375,7 +375,7 @@ def test_training_beats_the_start(spark, docs):
 def test_order_of_words_counts():
     text = np.tile(np.arange(100, 140, dtype=np.uint16), 1000)
     trainer = pseudo_lm.Trainer(pseudo_lm.start_model())
-    for _ in range(10):
+    for _ in range(40):
         trainer.add(text)
     mixed = np.random.default_rng(0).permutation(text)
     ordered, other = (pseudo_lm.log_probs(trainer.model, [t])[0] / len(t) for t in (text, mixed))

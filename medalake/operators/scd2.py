@@ -1,20 +1,24 @@
 """Slowly changing dimension, type 2.
 
-Standard algorithm (default), one shuffle join and no distinct:
+Standard algorithm (default):
 
-1. incoming: NULL-key rows go to the quarantine output; one row per key
+1. the batch: NULL-key rows go to the quarantine output; one row per key
    (newest watermark, deterministic tie-break) via a map-side-combined
    aggregate;
-2. current: history (inactive rows) passes through untouched; active rows
-   are full-outer-joined with incoming on the keys;
+2. the active rows that share a key with the batch are found by a semi join,
+   whose batch side Catalyst broadcasts while it is small, and meet the batch
+   in a right outer join (both sides no larger than the batch);
 3. each joined row is classified with a NULL-safe compare and emits, through
-   one ``inline(filter(array(old, new)))``: unchanged/absent -> the active
-   row as is; changed -> the old row closed at ``as_of`` plus a new open row;
-   new -> an open row.
+   one ``inline(filter(array(old, new)))``: changed -> the old row closed at
+   ``as_of`` plus a new open row; new -> an open row; unchanged -> nothing.
 
-Both join inputs have one row per key (active rows by the SCD2 invariant,
-incoming by step 1), so a hot key cannot skew the join; the incoming
-aggregate's hash partitioning is reused by the join.
+These changes are all a silver run writes. The whole merged table, for callers
+that want it as one DataFrame, comes from one full outer join instead, in
+which unchanged and absent rows are emitted as they are; history (inactive
+rows) passes through untouched.
+
+All join inputs have one row per key (active rows by the SCD2 invariant, the
+batch by step 1), so a hot key cannot skew a join.
 
 ``as_coded`` mode reproduces the reference job step by step, defects
 included (it keeps only active rows, never re-opens changed keys, compares
@@ -41,7 +45,7 @@ def null_ts():
 class MergeResult(NamedTuple):
     table: DataFrame         # the whole merged table (history + changes)
     quarantined: DataFrame   # incoming rows whose key is NULL
-    changes: DataFrame       # the complete active set + rows closed by this merge
+    changes: DataFrame       # only the rows opened and closed by this merge
 
 
 def stamp(df: DataFrame, as_of, open_end: bool = True) -> DataFrame:
@@ -68,36 +72,30 @@ def empty_silver(spark, spec: TableSpec) -> DataFrame:
 
 # --- standard ----------------------------------------------------------------
 
-def scd2_merge(current: DataFrame | None, incoming: DataFrame, spec: TableSpec, as_of) -> MergeResult:
-    """``current=None`` marks a first load (no committed version): every
-    incoming key opens a version, so no join is planned at all.
-
-    A row that is older than the active one by the table's watermark never
-    replaces it, so late and replayed batches change nothing. With equal
-    watermarks, or where one is NULL, the incoming row wins."""
+def split_batch(incoming: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
+    """(one prepared row per key, rows whose key is NULL)."""
     keys = list(spec.keys)
-    ts = ts_literal(as_of)
-    out_cols = spec.silver_schema.fieldNames()
-
     inc = incoming.select(*spec.source_schema.fieldNames())
     null_key = any_null(keys)
-    quarantined = inc.filter(null_key)
-    inc = latest_per_key(inc.filter(~null_key), keys, [spec.watermark] if spec.watermark else [])
-    inc = prepare(inc, spec)
+    batch = latest_per_key(inc.filter(~null_key), keys, [spec.watermark] if spec.watermark else [])
+    return prepare(batch, spec), inc.filter(null_key)
+
+
+def merge_batch(current: DataFrame | None, batch: DataFrame, spec: TableSpec, as_of) -> tuple[DataFrame, DataFrame]:
+    """(whole merged table, rows opened and closed) for a batch of one prepared row per key."""
+    keys, cols = list(spec.keys), spec.silver_schema.fieldNames()
+    ts = ts_literal(as_of)
     if current is None:
-        first = stamp(inc, as_of).select(*out_cols)
-        return MergeResult(first, quarantined, first)
-    payload = [c for c in inc.columns if c not in keys]
+        first = stamp(batch, as_of).select(*cols)
+        return first, first
+    payload = [c for c in batch.columns if c not in keys]
 
-    cur = current.select(*out_cols)
+    cur = current.select(*cols)
     history = cur.filter(~F.coalesce(F.col("is_active"), F.lit(False)))
-    active = cur.filter(F.col("is_active"))
-
-    t = active.select(*keys, *[F.col(c).alias(f"t_{c}") for c in payload],
-                      F.col("effective_start_date").alias("t_start"),
-                      F.col("effective_end_date").alias("t_end"), F.lit(True).alias("t_present"))
-    s = inc.select(*keys, *[F.col(c).alias(f"s_{c}") for c in payload], F.lit(True).alias("s_present"))
-    j = t.join(s, keys, "full_outer")
+    t = cur.filter(F.col("is_active")).select(
+        *keys, *[F.col(c).alias(f"t_{c}") for c in payload], F.col("effective_start_date").alias("t_start"),
+        F.col("effective_end_date").alias("t_end"), F.lit(True).alias("t_present"))
+    s = batch.select(*keys, *[F.col(c).alias(f"s_{c}") for c in payload], F.lit(True).alias("s_present"))
 
     in_t = F.col("t_present").isNotNull()
     in_s = F.col("s_present").isNotNull()
@@ -106,17 +104,35 @@ def scd2_merge(current: DataFrame | None, incoming: DataFrame, spec: TableSpec,
         late = F.coalesce(F.col(f"s_{spec.watermark}") < F.col(f"t_{spec.watermark}"), F.lit(False))
         changed = changed & ~late
 
-    old = F.when(in_t, F.struct(
+    old_row = F.struct(
         *[F.col(k) for k in keys], *[F.col(f"t_{c}").alias(c) for c in payload],
         F.col("t_start").alias("effective_start_date"),
         F.when(changed, ts).otherwise(F.col("t_end")).alias("effective_end_date"),
-        (~changed).alias("is_active")))
+        (~changed).alias("is_active"))
     new = F.when(in_s & (~in_t | changed), F.struct(
         *[F.col(k) for k in keys], *[F.col(f"s_{c}").alias(c) for c in payload],
         ts.alias("effective_start_date"), null_ts().alias("effective_end_date"),
         F.lit(True).alias("is_active")))
-    emitted = j.select(F.inline(F.filter(F.array(old, new), lambda x: x.isNotNull()))).select(*out_cols)
-    return MergeResult(history.unionByName(emitted), quarantined, emitted)
+
+    def emit(joined: DataFrame, old_if) -> DataFrame:
+        rows = F.array(F.when(old_if, old_row), new)
+        return joined.select(F.inline(F.filter(rows, lambda x: x.isNotNull()))).select(*cols)
+
+    whole = history.unionByName(emit(t.join(s, keys, "full_outer"), in_t))
+    hit = t.join(s.select(*keys), keys, "left_semi")
+    return whole, emit(hit.join(s, keys, "right_outer"), changed)
+
+
+def scd2_merge(current: DataFrame | None, incoming: DataFrame, spec: TableSpec, as_of) -> MergeResult:
+    """``current=None`` marks a first load (no committed version): every
+    incoming key opens a version, so no join is planned at all.
+
+    A row that is older than the active one by the table's watermark never
+    replaces it, so late and replayed batches change nothing. With equal
+    watermarks, or where one is NULL, the incoming row wins."""
+    batch, quarantined = split_batch(incoming, spec)
+    table, changes = merge_batch(current, batch, spec, as_of)
+    return MergeResult(table, quarantined, changes)
 
 
 # --- the reference's steps (as_coded) ----------------------------------------

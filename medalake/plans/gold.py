@@ -3,11 +3,14 @@
 Full mode recomputes every month. Incremental mode (standard SCD2 inputs,
 daily runs) recomputes the months that hold an order or order item opened or
 closed since the last build, however many silver runs that were: the state
-keeps the newest change that gold has seen. The dimension columns gold reads
-are fingerprinted, and any change there falls back to a full rebuild.
-
-What it saves is aggregation and writing. Silver isn't partitioned by month,
-so an incremental run still scans orders and order items.
+keeps the silver versions that gold has seen, and the touched rows are read
+from the later versions' own files. The dimension columns gold reads are
+fingerprinted; a change there, a whole load of a fact table, or deltas dropped
+by maintenance since the last build fall back to a full rebuild.
+
+The recomputed months are a range filter on ``order_date`` that reaches the
+scan of orders. Order items carry no date, so they are scanned whole, and
+joined to the orders of those months only.
 """
 
 from __future__ import annotations
@@ -22,7 +25,8 @@ from medalake.functions.expressions import ts_literal
 from medalake.operators.sales import sales_summary
 from medalake.plans.specs import SPECS
 from medalake.session import delete_path, hadoop_fs, list_dir, path_exists
-from medalake.sinks.tables import GOLD_PARTITION, read_gold, read_silver, write_gold
+from medalake.sinks.tables import (GOLD_PARTITION, changes_since, committed_versions, read_gold, read_silver,
+                                   write_gold)
 
 
 def read_current(spark: SparkSession, silver_root: str, table: str) -> DataFrame:
@@ -50,26 +54,41 @@ def dims_fingerprint(products: DataFrame, categories: DataFrame) -> tuple:
     return tuple(out)
 
 
-def affected_months(orders: DataFrame, items: DataFrame, since) -> list[str | None]:
-    """Months of orders / items opened or closed after ``since``, the time up
-    to which gold has seen silver; None stands for orders without a date. The
-    result is a set of calendar months, so collecting it is bounded."""
-    ts = ts_literal(since)
+def affected_months(orders: DataFrame, touched_orders: DataFrame, touched_items: DataFrame) -> list[str | None]:
+    """Months of the touched orders (old and new rows) and of the orders of
+    touched items; None stands for orders without a date. The result is a set
+    of calendar months, so collecting it is bounded. The semi join's small
+    side is what the runs since the last build wrote."""
+    of_items = (orders.select("order_id", "order_date")
+                .join(touched_items.select("order_id"), "order_id", "left_semi"))
+    dates = touched_orders.select("order_date").unionByName(of_items.select("order_date"))
+    months = [r["m"] for r in dates.select(_month("order_date").alias("m")).distinct().collect()]
+    return sorted(months, key=lambda m: m or "")
 
-    def touched(df):
-        return df.filter((F.col("effective_start_date") > ts) | (F.col("effective_end_date") > ts))
 
-    m_orders = touched(orders).select(_month("order_date").alias("m"))
-    m_items = (touched(items).select("order_id").distinct()
-               .join(orders.select("order_id", "order_date"), "order_id")
-               .select(_month("order_date").alias("m")))
-    months = [r["m"] for r in m_orders.union(m_items).distinct().collect()]
-    return sorted(months, key=lambda m: m or "")
+def in_months(months: list[str | None]):
+    """A condition on ``order_date``: one range for each run of adjoining months, so that it can be pushed down."""
+    def at(n: int) -> dt.datetime:
+        return dt.datetime(n // 12, n % 12 + 1, 1)
+
+    found = F.col("order_date").isNull() if None in months else F.lit(False)
+    runs: list[list[int]] = []
+    for n in sorted(int(m[:4]) * 12 + int(m[5:]) - 1 for m in months if m is not None):
+        if runs and runs[-1][1] == n:
+            runs[-1][1] = n + 1
+        else:
+            runs.append([n, n + 1])
+    for first, end in runs:
+        found = found | ((F.col("order_date") >= ts_literal(at(first))) & (F.col("order_date") < ts_literal(at(end))))
+    return found
 
 
-def newest_change(df: DataFrame):
-    """The latest opening or closing time in a silver table."""
-    return df.agg(F.greatest(F.max("effective_start_date"), F.max("effective_end_date")).alias("t")).first()["t"]
+def _newest(spark: SparkSession, silver_root: str, table: str) -> int:
+    return max(committed_versions(spark, f"{silver_root.rstrip('/')}/{table}"), default=0)
+
+
+def _changes(spark: SparkSession, silver_root: str, table: str, since: int) -> DataFrame | None:
+    return changes_since(spark, f"{silver_root.rstrip('/')}/{table}", SPECS[table].silver_schema, since)
 
 
 def _state_path(gold_dir: str) -> str:
@@ -88,11 +107,6 @@ def _write_state(spark: SparkSession, gold_dir: str, fingerprint: tuple) -> None
 
 
 NULL_MONTH = "__HIVE_DEFAULT_PARTITION__"    # Spark's folder name of a NULL partition value
-_EPOCH = dt.datetime(1970, 1, 1)
-
-
-def _micros(t: dt.datetime | None) -> int:
-    return 0 if t is None else (t - _EPOCH) // dt.timedelta(microseconds=1)
 
 
 def _months_in(spark: SparkSession, table_dir: str) -> set[str]:
@@ -128,9 +142,10 @@ def gold_job(spark: SparkSession, silver_root: str, gold_dir: str, mode: str = "
 
     ``incremental=True`` (standard mode, with the run's ``as_of``) recomputes
     only the months changed since the last build when the dimensions are the
-    same, otherwise rebuilds everything. Silver runs must have increasing
-    ``as_of`` times; a state newer than silver forces a rebuild.
+    same, otherwise rebuilds everything.
     ``exclude_quarantined`` leaves out flagged products and categories."""
+    # noted before the tables are read: a version committed meanwhile is taken again by the next run
+    seen = (_newest(spark, silver_root, "orders"), _newest(spark, silver_root, "order_items"))
     orders = read_current(spark, silver_root, "orders")
     items = read_current(spark, silver_root, "order_items")
     products = read_current(spark, silver_root, "products")
@@ -140,19 +155,21 @@ def gold_job(spark: SparkSession, silver_root: str, gold_dir: str, mode: str = "
     standard = mode == "standard"
     if standard and incremental and as_of is not None:
         dims = dims_fingerprint(products, categories)
-        seen = max((t for t in (newest_change(orders), newest_change(items)) if t), default=None)
-        fp = (*dims, _micros(seen))
+        fp = (*dims, *seen)
         state = _read_state(spark, gold_dir)
-        if state is not None and state[:-1] == dims and state[-1] <= fp[-1]:
-            months = affected_months(orders, items, _EPOCH + dt.timedelta(microseconds=state[-1]))
+        touched = [None]
+        if state is not None and len(state) == len(fp) and state[:-2] == dims:
+            touched = [_changes(spark, silver_root, t, v) for t, v in zip(("orders", "order_items"), state[-2:])]
+        if all(df is not None for df in touched):
+            months = affected_months(orders, *touched) if state[-2:] != seen else []
             if months:
                 # the state is withdrawn while months are swapped: a run that
                 # dies half way leaves no state, so the next run rebuilds fully
                 delete_path(spark, _state_path(gold_dir))
-                dated = [m for m in months if m is not None]
-                part = orders.filter(F.coalesce(_month("order_date").isin(dated), F.lit(None in months)))
+                part = orders.filter(in_months(months))
                 _replace_months(spark, sales_summary(part, items, products, categories,
                                                      active_items_only=True), gold_dir, months)
+            if state != fp:
                 _write_state(spark, gold_dir, fp)
             return read_gold(spark, gold_dir)
         # full rebuild (first build or changed dimensions), then record the

@@ -12,6 +12,7 @@ the control plane; each iteration is a set of Spark jobs over the data.
 from __future__ import annotations
 
 import datetime as dt
+import threading
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -21,10 +22,13 @@ from pyspark.sql.types import StructType
 
 from medalake import schemas
 from medalake.functions.expressions import DEFAULT_WATERMARK, normalized_load_type, ts_literal
-from medalake.session import hadoop_fs, list_dir
+from medalake.session import concurrently, hadoop_fs, list_dir
 from medalake.sinks import landing as K
 from medalake.sinks.tables import write_table
 
+#: Two jobs must not commit into one folder at a time: each commit clears the folder's temporary files.
+_AUDIT_LOCK = threading.Lock()
+
 SourceFn = Callable[[str], DataFrame]   # table name -> source relation
 
 
@@ -243,7 +247,8 @@ def ingest_table(spark: SparkSession, source: DataFrame, cfg: dict, paths: LakeP
     high = metrics.get("w") if mode == "incremental" else None
     log.event("SUCCESS", f"{table}: landed {n} rows", table)
     audit_row = [(table, cfg.get("loadtype"), n, as_of, "SUCCESS", cfg.get("datasource"), high)]
-    write_table(spark.createDataFrame(audit_row, schemas.AUDIT), paths.audit, "append")
+    with _AUDIT_LOCK:
+        write_table(spark.createDataFrame(audit_row, schemas.AUDIT), paths.audit, "append")
     log.event("SUCCESS", f"{table}: audit row written", table)
     archive_landed(spark, paths.landing, paths.archive, table, keep={landed.rsplit('/', 1)[-1]}, log=log,
                    only=None if archive_unmerged else K.merged_batches(spark, paths.landing, table))
@@ -251,19 +256,23 @@ def ingest_table(spark: SparkSession, source: DataFrame, cfg: dict, paths: LakeP
 
 
 def ingest_all(spark: SparkSession, config: DataFrame, sources: SourceFn, paths: LakePaths,
-               as_of: dt.datetime, log: RunLog | None = None) -> RunLog:
-    """Every active config row in config order; one failure does not stop the rest."""
+               as_of: dt.datetime, log: RunLog | None = None, parallel: int = 4) -> RunLog:
+    """Every active config row, ``parallel`` tables at a time; one failure does not stop the rest."""
     log = log or RunLog(as_of)
     rows = [r.asDict() for r in config.collect()]   # one row per table (control plane)
     log.event("INFO", f"config: {len(rows)} rows")
-    for cfg in rows:
-        if cfg.get("is_active") != "1":
-            continue
-        table = cfg["tablename"]
+
+    def one(cfg: dict) -> RunLog:
+        table, own = cfg["tablename"], RunLog(as_of)
         try:
-            ingest_table(spark, sources(table), cfg, paths, as_of, log)
+            ingest_table(spark, sources(table), cfg, paths, as_of, own)
         except Exception as e:  # noqa: BLE001  (the reference isolates failures per table)
-            log.event("ERROR", f"{table}: failed with {type(e).__name__}: {e}", table)
+            own.event("ERROR", f"{table}: failed with {type(e).__name__}: {e}", table)
+        return own
+
+    # tables don't depend on each other; their events are logged in config order
+    for own in concurrently(spark, one, [cfg for cfg in rows if cfg.get("is_active") == "1"], parallel):
+        log.entries += own.entries
     return log
 
 

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from medalake.functions.expressions import any_null, ts_literal
 from medalake.operators.refresh import from_landing, full_refresh
-from medalake.operators.scd2 import empty_silver, merge, scd2_merge
+from medalake.operators.scd2 import empty_silver, merge, merge_batch, split_batch
 from medalake.plans.specs import SILVER_ORDER, SPECS, TableSpec
-from medalake.session import path_exists
+from medalake.session import concurrently, delete_path, path_exists
 from medalake.sinks.landing import landed_batches, mark_merged, merged_batches
-from medalake.sinks.tables import (deltas_since_snapshot, read_silver, vacuum_silver, write_silver_version,
-                                   write_table)
+from medalake.sinks.tables import (COMPACTION_PREFIX, DELTA_PREFIX, deltas_since_snapshot, read_silver, vacuum_silver,
+                                   write_silver_version, write_table)
 from medalake.sources.bronze import read_bronze
 
 
@@ -28,7 +30,7 @@ def silver_job(spark: SparkSession, spec: TableSpec, incoming: DataFrame, silver
                as_of, mode: str = "standard") -> str:
     """Run one silver table job on source-shaped ``incoming``; returns the new version path.
 
-    An SCD2 run writes a delta; compaction and retention are separate calls
+    An SCD2 run writes a delta, the rows it opens and closes; compaction and retention are separate calls
     (``maintain_silver``), so a job never deletes what a reader may be scanning."""
     table_dir = f"{silver_root.rstrip('/')}/{spec.name}"
     if spec.kind == "refresh":
@@ -41,12 +43,21 @@ def silver_job(spark: SparkSession, spec: TableSpec, incoming: DataFrame, silver
             obs = Observation(f"null_keys_{spec.name}")
             observed = incoming.observe(
                 obs, F.sum(F.when(any_null(spec.keys), 1).otherwise(0)).alias("bad"))
-            merged = scd2_merge(current, observed, spec, as_of)
-            # a first load is a snapshot, later runs are deltas (active set + rows closed now)
-            path = write_silver_version(merged.changes, spark, table_dir, snapshot=current is None)
+            batch, _ = split_batch(observed, spec)
+            if current is None:
+                path = write_silver_version(merge_batch(None, batch, spec, as_of)[1], spark, table_dir)
+            else:
+                # the batch, one row per key, is staged: it is read and reduced once, and Catalyst
+                # knows its size when it plans the joins
+                staged = f"{table_dir}/_staging/{uuid.uuid4().hex[:12]}"
+                batch.write.parquet(staged)
+                batch = spark.read.schema(batch.schema).parquet(staged)
+                path = write_silver_version(merge_batch(current, batch, spec, as_of)[1], spark, table_dir,
+                                            DELTA_PREFIX)
+                delete_path(spark, staged)
             if (obs.get.get("bad") or 0) > 0:
                 # a replayed batch brings the same rows again: only new ones are added
-                bad = scd2_merge(None, incoming, spec, as_of).quarantined
+                _, bad = split_batch(incoming, spec)
                 target = f"{silver_root.rstrip('/')}/_quarantine/{spec.name}"
                 if path_exists(spark, target):
                     known = spark.read.schema(bad.schema).parquet(target)
@@ -55,7 +66,7 @@ def silver_job(spark: SparkSession, spec: TableSpec, incoming: DataFrame, silver
             return path
         current = current if current is not None else empty_silver(spark, spec)
         result = merge(current, incoming, spec, as_of, mode)
-    return write_silver_version(result, spark, table_dir, snapshot=True)
+    return write_silver_version(result, spark, table_dir)
 
 
 def maintain_silver(spark: SparkSession, spec: TableSpec, silver_root: str) -> int:
@@ -67,34 +78,37 @@ def maintain_silver(spark: SparkSession, spec: TableSpec, silver_root: str) -> i
     if current is None:
         return 0
     if deltas_since_snapshot(spark, table_dir):
-        write_silver_version(current, spark, table_dir, snapshot=True)
+        write_silver_version(current, spark, table_dir, COMPACTION_PREFIX)
     return vacuum_silver(spark, table_dir)
 
 
 def silver_from_landing(spark: SparkSession, landing_root: str, silver_root: str, as_of,
-                        tables=SILVER_ORDER, mode: str = "standard") -> dict[str, str]:
-    """All silver jobs in the reference's order, reading the landed batches.
+                        tables=SILVER_ORDER, mode: str = "standard", parallel: int = 4) -> dict[str, str]:
+    """All silver jobs, ``parallel`` tables at a time, reading the landed batches.
 
     Standard: the batches that no earlier run has committed, all of them for an
     SCD2 table and the newest full load for a refreshed one; a table without
     new batches keeps its version. The ledger is written after the version, so
     a run that dies between the two merges the same batches again, which
     changes nothing. As coded: every batch that lies in the landing area."""
-    out = {}
-    for name in tables:
+    def one(name: str) -> str | None:
         spec = SPECS[name]
         paths, fresh = None, []
         if mode == "standard":
             merged = merged_batches(spark, landing_root, name)
             fresh = [b for b in landed_batches(spark, landing_root, name) if b not in merged]
             if not fresh:
-                continue
+                return None
             paths = [f"{landing_root.rstrip('/')}/{name}/{b}"
                      for b in (fresh[-1:] if spec.kind == "refresh" else fresh)]
         incoming = from_landing(read_bronze(spark, landing_root, name, paths), spec)
-        out[name] = silver_job(spark, spec, incoming, silver_root, as_of, mode)
+        version = silver_job(spark, spec, incoming, silver_root, as_of, mode)
         mark_merged(spark, landing_root, name, fresh)
-    return out
+        return version
+
+    # the tables' jobs don't depend on each other
+    done = concurrently(spark, one, tables, parallel)
+    return {name: version for name, version in zip(tables, done) if version}
 
 
 def active(df: DataFrame) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.sql.types import StructField, StructType
+
 from medalake import schemas
 
 
@@ -29,7 +31,10 @@ class TableSpec:
 
     @property
     def silver_schema(self):
-        return schemas.silver_schema(self.name, self.quarantined)
+        """The silver columns; key fields are marked in their metadata."""
+        plain = schemas.silver_schema(self.name, self.quarantined)
+        return StructType([StructField(f.name, f.dataType, f.nullable, {"key": True} if f.name in self.keys else None)
+                           for f in plain.fields])
 
     @property
     def time_columns(self):

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
+from pyspark.util import inheritable_thread_target
 
 # Settings every job relies on. Cluster-specific sizing (executor memory,
 # shuffle partition count at 100 TB) belongs to the cluster's own config; these
@@ -87,3 +89,9 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     fs, p = hadoop_fs(spark, path)
     return bool(fs.delete(p, True))
 
+
+def concurrently(spark: SparkSession, fn, items, parallel: int) -> list:
+    """``fn`` of each item, up to ``parallel`` at a time on driver threads that only submit Spark jobs; results in
+    order. The first failure is raised once all have ended."""
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(fn), i) for i in items]]

@@ -3,17 +3,19 @@
 Silver tables are versioned and never overwrite what a run reads. Each run
 writes one version folder, partitioned by ``is_active``:
 
-* ``snap_<n>``: a full snapshot (first load, full refresh, as-coded runs,
-  and compactions);
-* ``ver_<n>``: a delta, holding the complete active set and only the rows
-  closed by run ``n``. History written by earlier runs is not rewritten, so
-  a run costs the active set plus the batch, not the whole history.
+* ``snap_<n>``: the whole table (first load, full refresh, as-coded runs);
+* ``ver_<n>``: a delta, only the rows opened and closed by run ``n``, so a run
+  writes in proportion to its batch, not to the table;
+* ``comp_<n>``: the whole table again, written by maintenance; no new change.
 
 Spark's job commit writes ``_SUCCESS`` last; a version counts only once it is
-there. The table = active rows of the newest committed version + closed rows
-of every committed version back to the newest snapshot. A failed run leaves
-the previous version current. This replaces the reference's overwrite of the
-folder being read (which loses the table).
+there. The table = closed rows of the chain (the newest whole version and the
+deltas after it) + its open rows, less those that a later delta of the chain
+closed: an anti join on the keys and the opening time. Its small side, the
+rows closed since the last whole version, is broadcast by Catalyst while its
+files are small. A failed run leaves the previous version current. This
+replaces the reference's overwrite of the folder being read (which loses the
+table).
 
 Gold is partitioned by the month of ``order_date`` and written with dynamic
 partition overwrite, so a rerun replaces exactly the months it produces.
@@ -21,6 +23,7 @@ partition overwrite, so a rerun replaces exactly the months it produces.
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,22 +33,28 @@ from pyspark.sql.types import StructType
 from medalake import schemas
 from medalake.session import delete_path, list_dir, path_exists
 
-DELTA_PREFIX, SNAPSHOT_PREFIX = "ver_", "snap_"
+DELTA_PREFIX, SNAPSHOT_PREFIX, COMPACTION_PREFIX = "ver_", "snap_", "comp_"
+VERSION_COLUMN = "_version"
 
 
 class Version(NamedTuple):
     number: int
-    snapshot: bool
+    prefix: str
     name: str
 
+    @property
+    def snapshot(self) -> bool:
+        """Whether it holds the whole table."""
+        return self.prefix != DELTA_PREFIX
+
 
 def versions(spark: SparkSession, table_dir: str) -> list[Version]:
     """Committed versions, oldest first."""
     out = []
     for name in list_dir(spark, table_dir):
-        for prefix, snap in ((DELTA_PREFIX, False), (SNAPSHOT_PREFIX, True)):
+        for prefix in (DELTA_PREFIX, SNAPSHOT_PREFIX, COMPACTION_PREFIX):
             if name.startswith(prefix) and path_exists(spark, f"{table_dir}/{name}/_SUCCESS"):
-                out.append(Version(int(name[len(prefix):]), snap, name))
+                out.append(Version(int(name[len(prefix):]), prefix, name))
     return sorted(out)
 
 
@@ -54,7 +63,7 @@ def committed_versions(spark: SparkSession, table_dir: str) -> list[int]:
 
 
 def _chain(vs: list[Version]) -> list[Version]:
-    """The newest snapshot and the deltas after it."""
+    """The newest whole version and the deltas after it."""
     start = max((i for i, v in enumerate(vs) if v.snapshot), default=0)
     return vs[start:]
 
@@ -63,57 +72,73 @@ def deltas_since_snapshot(spark: SparkSession, table_dir: str) -> int:
     return len(_chain(versions(spark, table_dir))) - 1
 
 
+def _read_flag(spark: SparkSession, table_dir: str, vs: list[Version], schema: StructType,
+               flag: bool) -> DataFrame | None:
+    """Rows that the versions ``vs`` opened (``flag``) or closed, with their version; None without any."""
+    paths = [f"{table_dir}/{v.name}/is_active={str(flag).lower()}" for v in vs]
+    paths = [p for p in paths if path_exists(spark, p)]
+    if not paths:
+        return None
+    stored = StructType([f for f in schema.fields if f.name != "is_active"]).add(VERSION_COLUMN, "long")
+    return spark.read.schema(stored).parquet(*paths).withColumn("is_active", F.lit(flag))
+
+
+def _union(spark: SparkSession, parts: list[DataFrame | None], schema: StructType) -> DataFrame:
+    parts = [p.select(*schema.fieldNames()) for p in parts if p is not None]
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], schema)
+
+
 def read_silver(spark: SparkSession, table_dir: str, schema: StructType) -> DataFrame | None:
-    """The current table, or None when it has no committed version yet."""
-    vs = versions(spark, table_dir)
-    if not vs:
+    """The current table, or None when it has no committed version yet. The
+    keys are the fields of ``schema`` whose metadata say so."""
+    chain = _chain(versions(spark, table_dir))
+    if not chain:
+        return None
+    opened = _read_flag(spark, table_dir, chain, schema, True)
+    closed = _read_flag(spark, table_dir, chain, schema, False)
+    ended = _read_flag(spark, table_dir, chain[1:], schema, False)
+    if opened is not None and ended is not None:
+        same = [f.name for f in schema.fields if f.metadata.get("key")] + ["effective_start_date"]
+        ended = ended.select(*[F.col(c).alias(f"ended_{c}") for c in (*same, VERSION_COLUMN)])
+        match = [F.col(c) == F.col(f"ended_{c}") for c in same]
+        match.append(F.col(VERSION_COLUMN) < F.col(f"ended_{VERSION_COLUMN}"))
+        opened = opened.join(ended, match, "left_anti")
+    return _union(spark, [opened, closed], schema)
+
+
+def changes_since(spark: SparkSession, table_dir: str, schema: StructType, number: int) -> DataFrame | None:
+    """Rows opened or closed by the versions after ``number``; None where the
+    versions kept can't tell (a whole load since, or deltas already dropped)."""
+    later = [v for v in versions(spark, table_dir) if v.number > number]
+    newest = max(committed_versions(spark, table_dir), default=0)
+    if (number > newest or len({v.number for v in later}) != newest - number
+            or any(v.prefix == SNAPSHOT_PREFIX for v in later)):
         return None
-    data = StructType([f for f in schema.fields if f.name != "is_active"])
-    parts = []
-    active = f"{table_dir}/{vs[-1].name}/is_active=true"
-    if path_exists(spark, active):
-        parts.append(spark.read.schema(data).parquet(active).withColumn("is_active", F.lit(True)))
-    closed = [f"{table_dir}/{v.name}/is_active=false" for v in _chain(vs)]
-    closed = [p for p in closed if path_exists(spark, p)]
-    if closed:
-        parts.append(spark.read.schema(data).parquet(*closed).withColumn("is_active", F.lit(False)))
-    if not parts:
-        return spark.createDataFrame([], schema)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select(*schema.fieldNames())
+    deltas = [v for v in later if not v.snapshot]
+    return _union(spark, [_read_flag(spark, table_dir, deltas, schema, f) for f in (True, False)], schema)
 
 
 def write_silver_version(df: DataFrame, spark: SparkSession, table_dir: str,
-                         snapshot: bool = True) -> str:
-    """Write the next version: a full snapshot, or a delta (active set + rows
-    closed by this run)."""
+                         prefix: str = SNAPSHOT_PREFIX) -> str:
+    """Write the next version: the whole table, or with ``DELTA_PREFIX`` the
+    rows opened and closed by this run."""
     vs = versions(spark, table_dir)
     n = (vs[-1].number + 1) if vs else 1
-    path = f"{table_dir}/{SNAPSHOT_PREFIX if snapshot else DELTA_PREFIX}{n:010d}"
+    path = f"{table_dir}/{prefix}{n:010d}"
     # a fresh folder: static mode, so the job commit leaves _SUCCESS at its root
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-     .partitionBy("is_active").parquet(path))
+    (df.withColumn(VERSION_COLUMN, F.lit(n).cast("long")).write.mode("overwrite")
+     .option("partitionOverwriteMode", "static").partitionBy("is_active").parquet(path))
     return path
 
 
-def vacuum_silver(spark: SparkSession, table_dir: str, keep_active: int = 2) -> int:
-    """Retention. Versions older than the second-newest snapshot are dropped
-    (so a reader still on the previous chain keeps its files), and superseded
-    active copies are dropped except the newest ``keep_active``. Returns the
-    number of folders removed."""
+def vacuum_silver(spark: SparkSession, table_dir: str) -> int:
+    """Retention: versions older than the second-newest whole version are
+    dropped, so a reader still on the previous chain keeps its files. Returns
+    the number of folders removed."""
     vs = versions(spark, table_dir)
-    snaps = [i for i, v in enumerate(vs) if v.snapshot]
-    cut = snaps[-2] if len(snaps) >= 2 else 0
-    removed = 0
-    for v in vs[:cut]:
-        removed += delete_path(spark, f"{table_dir}/{v.name}")
-    for v in vs[cut:max(cut, len(vs) - keep_active)]:
-        p = f"{table_dir}/{v.name}/is_active=true"
-        if path_exists(spark, p):
-            removed += delete_path(spark, p)
-    return removed
+    whole = [i for i, v in enumerate(vs) if v.snapshot]
+    cut = whole[-2] if len(whole) >= 2 else 0
+    return sum(delete_path(spark, f"{table_dir}/{v.name}") for v in vs[:cut])
 
 
 GOLD_PARTITION = "order_month"

@@ -136,3 +136,58 @@ def test_gold_without_quarantined_dimension_rows(spark, root):
     every = {r.product_id for r in gold_job(spark, silver, f"{root}/g1").collect()}
     some = {r.product_id for r in gold_job(spark, silver, f"{root}/g2", exclude_quarantined=True).collect()}
     assert every - some == {101}
+
+
+def _same(a, b):
+    key = lambda r: tuple((x is not None, x) for x in r)
+    return sorted(map(key, a.collect())) == sorted(map(key, b.collect()))
+
+
+def test_incremental_gold_across_maintenance_and_whole_loads(spark, root, monkeypatch):
+    import datetime as dt
+
+    from medalake import schemas
+    from medalake.plans import gold as G
+    from medalake.plans.silver import maintain_silver
+    silver, inc = _silver(spark, root), f"{root}/gold_inc"
+    gold_job(spark, silver, inc, as_of=LOAD, incremental=True)
+    swapped = []
+    orig = G._replace_months
+    monkeypatch.setattr(G, "_replace_months", lambda *a: swapped.append(a[3]) or orig(*a))
+
+    def order(order_id, when):
+        silver_job(spark, SPECS["orders"], spark.createDataFrame([(order_id, 1, when, 10.0, when)],
+                                                                 schemas.SOURCE["orders"]), silver, when)
+
+    # one compaction in between: the deltas before it are still there, so only two months are recomputed
+    T1, T2, T3 = (LOAD + dt.timedelta(days=d) for d in (40, 80, 120))
+    order(1001, T1)
+    maintain_silver(spark, SPECS["orders"], silver)
+    again = gold_job(spark, silver, inc, as_of=T1, incremental=True)
+    assert _same(again, gold_job(spark, silver, f"{root}/full1"))
+    assert swapped[-1] == sorted({f"{LOAD:%Y-%m}", f"{T1:%Y-%m}"})
+    # deltas that gold hasn't seen are dropped by a second compaction: full rebuild
+    order(1002, T2)
+    maintain_silver(spark, SPECS["orders"], silver)
+    order(1003, T3)
+    maintain_silver(spark, SPECS["orders"], silver)
+    again = gold_job(spark, silver, inc, as_of=T3, incremental=True)
+    assert swapped[-1] is None and _same(again, gold_job(spark, silver, f"{root}/full2"))
+    # a whole load of a fact table: full rebuild
+    silver_job(spark, SPECS["orders"], frames(spark)["orders"], silver, T3, mode="as_coded")
+    again = gold_job(spark, silver, inc, as_of=T3, incremental=True)
+    assert swapped[-1] is None and _same(again, gold_job(spark, silver, f"{root}/full3"))
+
+
+def test_month_filter_reaches_the_scan_of_orders(spark, root):
+    from medalake.plans.gold import in_months, read_current
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        part = read_current(spark, _silver(spark, root), "orders").filter(
+            in_months(["2024-01", "2024-02", "2024-05", None]))
+        plan = part._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pushed = plan[plan.index("PushedFilters"):].split("ReadSchema")[0]
+    assert "GreaterThanOrEqual(order_date" in pushed and "LessThan(order_date,2024-03-01" in pushed, pushed
+    assert "LessThan(order_date,2024-02-01" not in pushed           # adjoining months are one range

@@ -260,3 +260,40 @@ def test_deltas_compaction_and_vacuum(spark, root):
     maintain_silver(spark, CUST, root)
     assert versions(spark, path)[0].number == 5 and rows() == before
     check_invariants(read_silver(spark, path, CUST.silver_schema))
+
+
+def test_a_delta_holds_only_opened_and_closed_rows(spark, root):
+    path = f"{root}/customers"
+    many = [(k, f"n{k}", f"{k}@x", U) for k in range(500)]
+    silver_job(spark, CUST, cust(spark, many), root, T0)
+    silver_job(spark, CUST, cust(spark, [(7, "seven", "7@x", U), (8, "n8", "8@x", U), (900, "z", "z@x", U)]), root, T1)
+    written = spark.read.parquet(f"{path}/ver_0000000002").select("customer_id", "is_active").collect()
+    assert sorted(map(tuple, written)) == [(7, "false"), (7, "true"), (900, "true")]      # 8 is unchanged
+    assert read_silver(spark, path, CUST.silver_schema).count() == 502
+
+
+def test_row_reopened_at_the_same_time_stays_open(spark, root):
+    path = f"{root}/customers"
+    for name in ("a", "b", "c"):        # all three runs carry one load time
+        silver_job(spark, CUST, cust(spark, [(1, name, "a@x", U)]), root, T0)
+    rows = read_silver(spark, path, CUST.silver_schema).collect()
+    assert sorted((r.name, r.is_active) for r in rows) == [("a", False), ("b", False), ("c", True)]
+
+
+def test_stored_changes_equal_the_whole_merge(spark, root):
+    second = [(1, "a2", "a@x", U), (3, "c", None, U), (4, "d", "d@x", U), (2, "old", "b@x", U - dt.timedelta(days=1))]
+    silver_job(spark, CUST, cust(spark, BASE), root, T0)
+    silver_job(spark, CUST, cust(spark, second), root, T1)
+    stored = read_silver(spark, f"{root}/customers", CUST.silver_schema)
+    whole = merge(spark, first(spark, BASE), second, T1).table
+    key = lambda r: tuple((x is not None, x) for x in r)
+    assert sorted(map(key, stored.collect())) == sorted(map(key, whole.collect()))
+
+
+def test_small_batch_is_broadcast_and_the_active_set_not_shuffled(spark, root):
+    silver_job(spark, CUST, cust(spark, BASE), root, T0)
+    cust(spark, [(1, "a2", "a@x", U)]).write.parquet(f"{root}/batch")
+    batch = S.prepare(spark.read.schema(CUST.source_schema).parquet(f"{root}/batch"), CUST)
+    current = read_silver(spark, f"{root}/customers", CUST.silver_schema)
+    plan = S.merge_batch(current, batch, CUST, T1)[1]._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan

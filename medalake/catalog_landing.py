@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from medalake import oracle as O
 from medalake import schemas
 from medalake.catalog import query
+from medalake.catalog_silver import ORACLES
 from medalake.functions import expressions as X
 from medalake.operators.refresh import from_landing
 from medalake.operators.sales import sales_summary
@@ -42,9 +43,13 @@ def _landing_cols(t):
                      for c in schemas.SOURCE[t].fieldNames())
 
 
+def _landing_select(t, frag, where=""):
+    return f"SELECT {_landing_cols(t)} FROM {frag} {where}"
+
+
 def _landing_sql(t, frag=None, where=""):
     frag = frag or SRC[t]
-    return O.with_(f"SELECT {_landing_cols(t)} FROM {frag} {where}", frag)
+    return O.with_(_landing_select(t, frag, where), frag)
 
 
 def _sources(spark, sf):
@@ -56,6 +61,46 @@ def _cfg(t, loadtype=None):
     return dict(zip(schemas.CONFIG.fieldNames(), r if loadtype is None else r[:3] + (loadtype,) + r[4:]))
 
 
+# --- rows of different tables in one relation ---------------------------------
+
+#: (Spark type, DuckDB type) -> how many columns of that type a row of any table needs.
+SLOTS = {("bigint", "BIGINT"): 5, ("double", "DOUBLE"): 1, ("timestamp_ntz", "TIMESTAMP"): 4,
+         ("boolean", "BOOLEAN"): 2, ("string", "VARCHAR"): 8}
+
+
+def _slots(typed: dict[str, str]) -> list[tuple[str, str, str, str | None]]:
+    """(slot, Spark type, DuckDB type, column that fills it or None) for the columns ``name -> Spark type``."""
+    out = []
+    for (kind, sql), n in SLOTS.items():
+        names = [c for c, k in typed.items() if k == kind]
+        assert len(names) <= n, (kind, names)
+        out += [(f"{kind}_{i + 1}", kind, sql, names[i] if i < len(names) else None) for i in range(n)]
+    assert sum(c is not None for *_, c in out) == len(typed)
+    return out
+
+
+def _as_slots(df, table):
+    return df.select(F.lit(table).alias("table_name"), *[
+        (F.lit(None).cast(kind) if c is None else F.col(c)).alias(slot)
+        for slot, kind, _, c in _slots(dict(df.dtypes))])
+
+
+def _slots_sql(table, typed, frag):
+    cols = ", ".join(f"CAST({c or 'NULL'} AS {sql}) AS {slot}" for slot, _, sql, c in _slots(typed))
+    return f"SELECT '{table}' AS table_name, {cols} FROM {frag}"
+
+
+def _source_types(t):
+    """Stated columns of a source table with their types, told by the names."""
+    def kind(c):
+        if c.endswith("_at") or c in ("order_date", "last_updated"):
+            return "timestamp_ntz"
+        if c in ("price", "total_amount", "supply_price"):
+            return "double"
+        return "bigint" if c.endswith("_id") or c == "quantity" else "string"
+    return {c: kind(c) for c in ORACLES[t].columns}
+
+
 # --- landing ------------------------------------------------------------------
 
 @query("land_extract_full", _landing_sql("orders"))
@@ -307,13 +352,17 @@ def q_bronze_reviews(spark, sf):
     return read_bronze_reviews(spark, root)
 
 
-@query("bronze_json_scan", O.with_(" UNION ALL ".join(
-    f"SELECT '{t}' AS tablename, count(*) AS row_count FROM {SRC[t]}" for t in ALL_TABLES), *SRC.values()))
+def _bronze_scan_sql(t):
+    types = {c: "bigint" if k == "timestamp_ntz" else k for c, k in _source_types(t).items()}
+    return _slots_sql(t, types, f"({_landing_select(t, SRC[t])})")
+
+
+@query("bronze_json_scan", O.with_(" UNION ALL ".join(map(_bronze_scan_sql, ALL_TABLES)), *SRC.values()))
 def q_bronze_json_scan(spark, sf):
+    """Every row and value of the seven landed tables."""
     paths, _ = _ingest_run(spark, sf, "bronze_json_scan")
-    parts = [read_bronze(spark, paths.landing, t).agg(F.count(F.lit(1)).alias("row_count"))
-             .select(F.lit(t).alias("tablename"), "row_count") for t in ALL_TABLES]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    return reduce(lambda a, b: a.unionByName(b),
+                  [_as_slots(read_bronze(spark, paths.landing, t), t) for t in ALL_TABLES])
 
 
 @query("silver_column_order", _landing_sql("orders"))
@@ -338,9 +387,9 @@ REFRESH_INPUT = {
 
 def _register_refresh(t):
     frag, fn = REFRESH_INPUT[t]
-    spec = SPECS[t]
-    flag = " OR ".join(f"{c} IS NULL" for c in spec.required)
-    cols = ", ".join(spec.source_schema.fieldNames())
+    spec, stated = SPECS[t], ORACLES[t]
+    flag = " OR ".join(f"{c} IS NULL" for c in stated.required)
+    cols = ", ".join(stated.columns)
 
     @query(f"silver_refresh_{t}", O.with_(
         f"SELECT {cols}, ({flag}) AS is_quarantined, {O.T0} AS effective_start_date, "
@@ -357,17 +406,32 @@ for _t in REFRESH_INPUT:
     _register_refresh(_t)
 
 
-@query("silver_tables_read", O.with_(" UNION ALL ".join(
-    f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {SRC[t]}" for t in ALL_TABLES), *SRC.values()))
+#: What the declared silver tables show beside the source columns.
+STATED_VIEWS = {"customers": ("flag", "scd"), "orders": ("scd",), "order_items": ("scd",), "products": ("flag",),
+                "categories": ("flag",), "product_suppliers": ("scd",), "suppliers": ()}
+
+
+def _tables_read_sql(t):
+    types, select = _source_types(t), ", ".join(ORACLES[t].columns)
+    if "flag" in STATED_VIEWS[t]:
+        types["is_quarantined"] = "boolean"
+        select += ", (" + " OR ".join(f"{c} IS NULL" for c in ORACLES[t].required) + ") AS is_quarantined"
+    if "scd" in STATED_VIEWS[t]:
+        types |= {"effective_start_date": "timestamp_ntz", "effective_end_date": "timestamp_ntz",
+                  "is_active": "boolean"}
+        select += f", {O.T0} AS effective_start_date, {O.NULL_TS} AS effective_end_date, TRUE AS is_active"
+    return _slots_sql(t, types, f"(SELECT {select} FROM {SRC[t]})")
+
+
+@query("silver_tables_read", O.with_(" UNION ALL ".join(map(_tables_read_sql, ALL_TABLES)), *SRC.values()))
 def q_tables_read(spark, sf):
     """Land, run the seven silver jobs, read each declared silver table."""
     root = shared_dir(spark, "silver_tables_read")
     paths = lake_paths(root)
     L.ingest_all(spark, config_frame(spark), _sources(spark, sf), paths, A.T0)
     silver_from_landing(spark, paths.landing, f"{root}/silver", A.T0)
-    parts = [silver_view(read_current(spark, f"{root}/silver", t), t).agg(F.count(F.lit(1)).alias("row_count"))
-             .select(F.lit(t).alias("table_name"), "row_count") for t in ALL_TABLES]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    return reduce(lambda a, b: a.unionByName(b),
+                  [_as_slots(silver_view(read_current(spark, f"{root}/silver", t), t), t) for t in ALL_TABLES])
 
 
 # --- gold sink + end to end ---------------------------------------------------

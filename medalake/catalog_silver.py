@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from medalake import oracle as O
 from medalake.catalog import query
 from medalake.operators import scd2 as S
@@ -21,23 +23,51 @@ BATCH_SQL_CHANGE = {"customers": "{c} || '!'", "orders": "{c} + 1", "order_items
 
 # --- SQL generation -----------------------------------------------------------
 
+class Oracle(NamedTuple):
+    """What the SQL states about a table, written out here on its own: the code under test is not consulted."""
+    columns: tuple[str, ...]
+    keys: tuple[str, ...]
+    compare: tuple[str, ...] = ()
+    watermark: str | None = None
+    required: tuple[str, ...] = ()          # a NULL in any of these sets is_quarantined
+    inserts_by_key: bool = False            # as coded: new keys are inserted after the first load
+
+
+# Columns, keys, compared columns and required columns of the silver jobs.
+ORACLES = {
+    "customers": Oracle(("customer_id", "name", "email", "updated_at"), ("customer_id",),
+                        ("name", "email", "updated_at"), "updated_at", ("customer_id", "email", "name"), True),
+    "orders": Oracle(("order_id", "customer_id", "order_date", "total_amount", "updated_at"), ("order_id",),
+                     ("customer_id", "order_date", "total_amount", "updated_at"), "updated_at"),
+    "order_items": Oracle(("order_item_id", "order_id", "product_id", "quantity", "price", "updated_at"),
+                          ("order_item_id",), ("order_id", "product_id", "quantity", "price", "updated_at"),
+                          "updated_at"),
+    "product_suppliers": Oracle(("supplier_id", "product_id", "supply_price", "last_updated"), ("supplier_id", "product_id"),
+                                ("supply_price", "last_updated"), "last_updated"),
+    "products": Oracle(("product_id", "name", "category_id", "price", "updated_at"), ("product_id",),
+                       required=("category_id", "name")),
+    "categories": Oracle(("category_id", "name", "updated_at"), ("category_id",), required=("category_id", "name")),
+    "suppliers": Oracle(("supplier_id", "supplier_name", "contact_name", "phone", "email", "address", "city", "country",
+                         "created_at"), ("supplier_id",), required=("supplier_id", "supplier_name")),
+}
+
+
 def _cols(t):
-    return SPECS[t].source_schema.fieldNames()
+    return list(ORACLES[t].columns)
 
 
 def _silver_cols(t):
-    return SPECS[t].silver_schema.fieldNames()
+    flag = ["is_quarantined"] if ORACLES[t].required else []
+    return [*_cols(t), *flag, "effective_start_date", "effective_end_date", "is_active"]
 
 
 def _qflag(t):
-    spec = SPECS[t]
-    if not spec.quarantined:
-        return ""
-    return ", (" + " OR ".join(f"{c} IS NULL" for c in spec.required) + ") AS is_quarantined"
+    required = ORACLES[t].required
+    return ", (" + " OR ".join(f"{c} IS NULL" for c in required) + ") AS is_quarantined" if required else ""
 
 
 def _dedup(t, frag):
-    spec = SPECS[t]
+    spec = ORACLES[t]
     rest = [c for c in _cols(t) if c not in spec.keys and c != spec.watermark]
     order = ", ".join(f"{c} DESC NULLS LAST" for c in [spec.watermark] + rest)
     notnull = " AND ".join(f"{k} IS NOT NULL" for k in spec.keys)
@@ -86,10 +116,10 @@ for _t in SCD2_TABLES:
 
 
 def scd2_standard_sql(t, cur=None, inc=None, as_of=O.T1):
-    spec = SPECS[t]
+    spec = ORACLES[t]
     cur, inc = cur or f"{t}_init", inc or f"{t}_inc"
     keys = list(spec.keys)
-    payload = [c for c in _cols(t) if c not in keys] + (["is_quarantined"] if spec.quarantined else [])
+    payload = [c for c in _cols(t) if c not in keys] + (["is_quarantined"] if spec.required else [])
     on = " AND ".join(f"t.{k} = s.{k}" for k in keys)
     chg = " OR ".join(f"t_{c} IS DISTINCT FROM s_{c}" for c in spec.compare)
     j = (f"SELECT {', '.join(f'coalesce(t.{k}, s.{k}) AS {k}' for k in keys)}, "
@@ -115,7 +145,7 @@ SELECT {', '.join(_silver_cols(t))} FROM {cur} WHERE NOT coalesce(is_active, FAL
 
 
 def _changed_keys_sql(t, a, b, null_safe=True):
-    spec = SPECS[t]
+    spec = ORACLES[t]
     on = " AND ".join(f"t.{k} = s.{k}" for k in spec.keys)
     op = "IS DISTINCT FROM" if null_safe else "<>"
     diff = " OR ".join(f"t.{c} {op} s.{c}" for c in spec.compare)
@@ -123,7 +153,7 @@ def _changed_keys_sql(t, a, b, null_safe=True):
 
 
 def _expired_sql(t, a, changed_sql, as_of=O.T1):
-    spec = SPECS[t]
+    spec = ORACLES[t]
     cols = [c for c in _silver_cols(t) if c not in ("effective_end_date", "is_active")]
     on = " AND ".join(f"a.{k} = c.{k}" for k in spec.keys)
     return (f"SELECT {', '.join(cols)}, {as_of} AS effective_end_date, FALSE AS is_active FROM {a} a "
@@ -131,11 +161,11 @@ def _expired_sql(t, a, changed_sql, as_of=O.T1):
 
 
 def scd2_as_coded_sql(t):
-    spec = SPECS[t]
+    spec = ORACLES[t]
     a, b = f"{t}_init_ac", f"{t}_b_ac"
     cols = ", ".join(_silver_cols(t))
     expired = _expired_sql(t, a, _changed_keys_sql(t, a, b, null_safe=False))
-    if spec.new_rows_as_coded == "by_key":
+    if spec.inserts_by_key:
         on = " AND ".join(f"x.{k} = b.{k}" for k in spec.keys)
         new = f"SELECT {cols} FROM {b} b WHERE NOT EXISTS (SELECT 1 FROM {a} x WHERE x.is_active AND {on})"
     else:
@@ -302,7 +332,7 @@ QUARANTINE_INPUT = {
 def _register_quarantine(t):
     frag, fn = QUARANTINE_INPUT[t]
     spec = SPECS[t]
-    cond = " OR ".join(f"{c} IS NULL" for c in spec.required)
+    cond = " OR ".join(f"{c} IS NULL" for c in ORACLES[t].required)
 
     @query(f"quarantine_{t}", O.with_(
         f"SELECT {', '.join(_cols(t))}, TRUE AS is_quarantined FROM {frag} WHERE {cond}", frag))

@@ -262,3 +262,28 @@ def test_item_ids_of_large_part_keys_do_not_meet(spark, root):
     got = A.order_items(spark, root, dedup=True)
     assert got.count() == 6 and got.select("order_item_id").distinct().count() == 6
     assert got.filter(F.col("order_item_id") <= 0).count() == 0
+
+
+def test_tables_run_concurrently_in_stated_order_and_failures_surface(spark):
+    import threading
+
+    import pytest
+
+    from medalake.session import concurrently
+    meet = threading.Barrier(3, timeout=60)
+
+    def job(n):
+        meet.wait()                     # passes only if three jobs run at once
+        return spark.range(n).count()
+
+    assert concurrently(spark, job, [3, 1, 2], 3) == [3, 1, 2]
+    ended = []
+
+    def failing(n):
+        if n == 0:
+            raise ValueError("first")
+        ended.append(n)
+
+    with pytest.raises(ValueError, match="first"):
+        concurrently(spark, failing, [0, 1, 2], 2)
+    assert sorted(ended) == [1, 2]

@@ -61,12 +61,9 @@ def signature(text: str) -> np.ndarray:
     kmer = _mix(kmer)
     order = np.argsort(kmer, kind="stable")
     run = np.flatnonzero(np.concatenate([[True], kmer[order][1:] != kmer[order][:-1]]))
-    numbered = kmer.copy()
-    if len(run) < n:
-        place = np.arange(n)
-        occurrence = place - np.repeat(run, np.diff(np.append(run, n)))
-        numbered[order] += occurrence.astype(np.uint64) * _M1
-        numbered = _mix(numbered)
+    occurrence = np.empty(n, np.uint64)
+    occurrence[order] = np.arange(n) - np.repeat(run, np.diff(np.append(run, n)))
+    numbered = _mix(kmer + occurrence * _M1)
     first, second = np.empty(SKETCHES, np.int64), np.empty(SKETCHES, np.int64)
     step = max(1, (1 << 18) // n)
     for at in range(0, SKETCHES, step):

@@ -2,8 +2,10 @@
 
 The text is the first layer. Every layer is scanned for secrets and for encoded runs: URL escapes, Unicode escapes
 and character references, base64, and compressed data (gzip, zlib, bzip2, xz, zstd) behind base64. Each run that
-decodes becomes a layer of its own, and so on until no new layer appears; a layer whose content was seen before is
-not taken up again, so a text that decodes to itself ends. Every character of a layer knows the span of the
+decodes is put back into the text around it, as far as a secret could reach (two more runs of non-space on each
+side), so a plain key with an encoded value, or the other way round, is found. That makes a new layer, and so on
+until no new layer appears; a layer whose content was seen before is not taken up again, so a text that decodes to
+itself ends. Every character of a layer knows the span of the
 original text that it comes from (for compressed data the whole run), so a secret found at any depth is reported
 as a span of the original text, in code points, end exclusive.
 
@@ -43,7 +45,7 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{32,}")  # a run of 32 or more; shorter runs never count
 
-_URL_RUN = re.compile(r"[^\s%]*%[0-9A-Fa-f]{2}\S*")
+_TOKEN, _TOKENS = re.compile(r"\S*"), re.compile(r"\S*(?:\x20+\S+){0,2}")
 _URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _UNICODE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})"
                       r"|&#[xX]([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
@@ -92,86 +94,143 @@ def _inflate(data: bytes, limit: int) -> tuple[bytes, bool] | None:
 
 
 class _Layer:
-    """A text and, for each of its characters, the span of the original text it comes from."""
-
-    def __init__(self, text: str, starts: np.ndarray | None, ends: np.ndarray | None):
-        self.text, self.starts, self.ends = text, starts, ends
+    """A text and, for each of its characters, the span of the original text it comes from.
+
+    All characters of ``packed`` [i, j) come from the one span [lo, hi); ``starts`` and ``ends`` are those of the others.
+    Base64 runs are taken up in a layer only where they touch ``core`` (None: everywhere).
+    """
+
+    def __init__(self, text: str, starts: np.ndarray | None, ends: np.ndarray | None,
+                 packed: tuple[int, int, int, int] | None = None, core: tuple[int, int] | None = None):
+        self.text, self.starts, self.ends, self.packed, self.core = text, starts, ends, packed, core
+
+    def _origin(self, places: np.ndarray, values: np.ndarray, side: int) -> np.ndarray:
+        if self.packed is None:
+            return values[places]
+        i, j = self.packed[:2]
+        out = np.full(len(places), self.packed[2 + side], np.int64)
+        plain = (places < i) | (places >= j)
+        at = places[plain]
+        out[plain] = values[np.where(at < i, at, at - (j - i))]
+        return out
+
+    def origins(self, starts, ends) -> tuple[np.ndarray, np.ndarray]:
+        """Spans [starts, ends) of this layer as spans of the original text."""
+        starts, ends = np.asarray(starts, np.int64), np.asarray(ends, np.int64)
+        if self.starts is None:
+            return starts, ends
+        return self._origin(starts, self.starts, 0), self._origin(ends - 1, self.ends, 1)
 
     def span(self, start: int, end: int) -> tuple[int, int]:
         if self.starts is None:
             return start, end
-        return int(self.starts[start:end].min()), int(self.ends[start:end].max())
+        if self.packed is None:
+            return int(self.starts[start:end].min()), int(self.ends[start:end].max())
+        i, j, lo, hi = self.packed
+        n = j - i
+        parts = [(self.starts[x:y], self.ends[x:y]) for x, y in ((min(start, i), min(end, i)),
+                                                                 (max(start, j) - n, max(end, j) - n)) if x < y]
+        los, his = [int(x.min()) for x, _ in parts], [int(y.max()) for _, y in parts]
+        if start < j and end > i:
+            los, his = [*los, lo], [*his, hi]
+        return min(los), max(his)
 
 
 def _char_bytes(text: str) -> np.ndarray:
     """For each character, the index of its first UTF-8 byte, and at the end the number of bytes."""
-    points = np.frombuffer(text.encode("utf-32-le"), "<u4")
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
     size = 1 + (points >= 0x80) + (points >= 0x800) + (points >= 0x10000)
+    size[(points >= 0xDC80) & (points <= 0xDCFF)] = 1  # a byte that is no UTF-8
     return np.concatenate([[0], np.cumsum(size)])
 
 
-def _made(layer: _Layer, text: str, starts, ends) -> _Layer:
-    """A layer whose characters come from [starts, ends) of ``layer``."""
-    starts, ends = np.asarray(starts, np.int64), np.asarray(ends, np.int64)
-    if layer.starts is not None:
-        starts, ends = layer.starts[starts], layer.ends[ends - 1]
-    return _Layer(text, starts, ends)
+_Piece = tuple[int, int, str, np.ndarray, np.ndarray]
 
 
-def _replaced(layer: _Layer, lo: int, hi: int, pieces: list[tuple[int, int, str, bool]]) -> _Layer:
-    """Characters lo..hi with pieces (start, end, replacement, byte-wise) put in; the others stay."""
+def _replaced(layer: _Layer, lo: int, hi: int, pieces: list[_Piece], core: tuple[int, int] | None = None) -> _Layer:
+    """Characters lo..hi with pieces (start, end, replacement, starts and ends of its characters) put in."""
     text, starts, ends, at = [], [], [], lo
-    for a, b, new, by_three in [*pieces, (hi, hi, "", False)]:
+    nothing = np.zeros(0, np.int64)
+    for a, b, new, new_starts, new_ends in [*pieces, (hi, hi, "", nothing, nothing)]:
         text += [layer.text[at:a], new]
-        starts += range(at, a)
-        ends += range(at + 1, a + 1)
-        if by_three:  # URL escapes: three characters stand for a byte
-            edge = _char_bytes(new)
-            starts += (a + 3 * edge[:-1]).tolist()
-            ends += (a + 3 * edge[1:]).tolist()
-        else:
-            starts += [a] * len(new)
-            ends += [b] * len(new)
+        starts += [np.arange(at, a), new_starts]
+        ends += [np.arange(at + 1, a + 1), new_ends]
         at = b
-    return _made(layer, "".join(text), starts, ends)
+    return _Layer("".join(text), *layer.origins(np.concatenate(starts), np.concatenate(ends)), core=core)
+
+
+def _left(text: str, lo: int) -> int:
+    """``lo`` less the non-space characters before it and the two runs of non-space that only spaces part from them:
+    the assign pattern has three such runs at most (key, sign, value)."""
+    for last in (False, False, True):
+        while lo and not text[lo - 1].isspace():
+            lo -= 1
+        at = lo
+        while at and text[at - 1] == " ":
+            at -= 1
+        if last or at == lo or not at or text[at - 1].isspace():
+            return lo
+        lo = at
+    return lo
+
+
+def _right(text: str, hi: int) -> tuple[int, int]:
+    """The end of the non-space characters after ``hi``, and of the two runs of non-space that follow."""
+    return _TOKEN.match(text, hi).end(), _TOKENS.match(text, hi).end()
+
+
+def _windows(layer: _Layer, pieces: list[_Piece]) -> Iterator[_Layer]:
+    """All pieces put back into the text around them, as one layer where their surroundings meet."""
+    text, group, lo, token, hi = layer.text, [], 0, -1, -1
+    for piece in pieces:
+        a, b = piece[:2]
+        if group and a >= hi:
+            left = _left(text, a)
+            if left >= hi:
+                yield _replaced(layer, lo, hi, group)
+                group, lo = [], left
+        elif not group:
+            lo = _left(text, a)
+        if b > token:
+            token, hi = _right(text, b)
+        group.append(piece)
+    if group:
+        yield _replaced(layer, lo, hi, group)
+
+
+def _touches(layer: _Layer, m: re.Match) -> bool:
+    return layer.core is None or m.start() < layer.core[1] and m.end() > layer.core[0]
 
 
 def _url_layers(layer: _Layer) -> Iterator[_Layer]:
-    for run in _URL_RUN.finditer(layer.text):
-        pieces = []
-        for m in _URL.finditer(layer.text, run.start(), run.end()):
-            try:
-                pieces.append((m.start(), m.end(), bytes.fromhex(m[0].replace("%", "")).decode(), True))
-            except UnicodeDecodeError:
-                continue
-        if pieces:
-            yield _replaced(layer, run.start(), run.end(), pieces)
+    pieces = []
+    for m in _URL.finditer(layer.text):
+        try:
+            new = bytes.fromhex(m[0].replace("%", "")).decode()
+        except UnicodeDecodeError:
+            continue
+        edge = 3 * _char_bytes(new) + m.start()  # three characters stand for a byte
+        pieces.append((m.start(), m.end(), new, edge[:-1], edge[1:]))
+    yield from _windows(layer, pieces)
 
 
 def _unicode_layers(layer: _Layer) -> Iterator[_Layer]:
-    """Neighbouring escapes, with what stands between them in the same run of non-space, as one layer."""
-    pieces, lo, hi = [], None, None
+    pieces = []
     for m in _UNICODE.finditer(layer.text):
         code = int(next(g for g in m.groups()[:4] if g), 16) if m.lastindex != 5 else int(m[5])
         if code > 0x10FFFF or 0xD800 <= code < 0xE000:
             continue
-        if hi is not None and (m.start() - hi > 64 or re.search(r"\s", layer.text[hi:m.start()])):
-            yield _replaced(layer, *_widen(layer.text, lo, hi), pieces)
-            pieces, lo = [], None
-        lo = m.start() if lo is None else lo
-        hi = m.end()
-        pieces.append((m.start(), m.end(), chr(code), False))
-    if pieces:
-        yield _replaced(layer, *_widen(layer.text, lo, hi), pieces)
+        pieces.append((m.start(), m.end(), chr(code), np.array([m.start()]), np.array([m.end()])))
+    yield from _windows(layer, pieces)
 
 
-def _widen(text: str, lo: int, hi: int) -> tuple[int, int]:
-    """[lo, hi) with the non-space characters around it."""
-    while lo and not text[lo - 1].isspace():
-        lo -= 1
-    while hi < len(text) and not text[hi].isspace():
-        hi += 1
-    return lo, hi
+def _unpacked(layer: _Layer, lo: int, hi: int, text: str) -> _Layer:
+    """``text``, which all comes from characters lo..hi, with the text around these."""
+    a, b = _left(layer.text, lo), _right(layer.text, hi)[1]
+    starts, ends = layer.origins(np.r_[a:lo, hi:b], np.r_[a:lo, hi:b] + 1)
+    core = None if text.isprintable() else (lo - a, lo - a + len(text))
+    return _Layer(layer.text[a:lo] + text + layer.text[hi:b], starts, ends,
+                  (lo - a, lo - a + len(text), *layer.span(lo, hi)), core)
 
 
 def _readable(data: bytes) -> str | None:
@@ -184,6 +243,8 @@ def _readable(data: bytes) -> str | None:
 
 def _base64_layers(layer: _Layer, limit: int, oversize: list) -> Iterator[_Layer]:
     for run in _BASE64.finditer(layer.text):
+        if not _touches(layer, run):
+            continue
         chars = run[0].rstrip("=").translate({45: "+", 95: "/"})
         for skip in range(4):  # a run may start with other characters of the alphabet
             body = chars[skip:]
@@ -200,13 +261,14 @@ def _base64_layers(layer: _Layer, limit: int, oversize: list) -> Iterator[_Layer
                 if unpacked[1]:
                     oversize.append(lo)
                 text = unpacked[0].decode("utf-8", "replace")
-                yield _made(layer, text, np.full(len(text), lo), np.full(len(text), run.end()))
+                if text:
+                    yield _unpacked(layer, lo, run.end(), text)
                 break
             text = _readable(data)
             if text:
                 edge = _char_bytes(text)  # byte i stands in characters 4i/3 to 4(i+1)/3
-                yield _made(layer, text, lo + edge[:-1] * 4 // 3,
-                            np.minimum(lo - (-edge[1:] * 4 // 3), run.end()))
+                piece = (lo, run.end(), text, lo + edge[:-1] * 4 // 3, np.minimum(lo - (-edge[1:] * 4 // 3), run.end()))
+                yield _replaced(layer, _left(layer.text, lo), _right(layer.text, run.end())[1], [piece])
                 break
 
 
@@ -229,7 +291,7 @@ def scan_layers(text: str, max_layer: int = 1 << 26) -> tuple[list, list, int, i
         nested += _base64_layers(layer, max_layer, oversize)
         for new in nested:
             # the same content at another place is another layer unless it lies on the way here
-            key = (new.text, int(new.starts[0]), int(new.ends[-1])) if len(new.text) else None
+            key = (new.text, *new.span(0, len(new.text))) if len(new.text) else None
             if key is not None and key not in seen and new.text != layer.text:
                 seen.add(key)
                 todo.append(new)

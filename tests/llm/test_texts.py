@@ -203,6 +203,22 @@ def test_spans_of_character_layers_are_exact():
     assert kind == "assign" and urllib.parse.unquote(text[a:b]) == SECRET
 
 
+@pytest.mark.parametrize("text, spot", [
+    (r'say "password": "\u0068unter2hunter2" now', r'password": "\u0068unter2hunter2'),
+    ("say password = %68%75%6Eter2hunter2 now", "password = %68%75%6Eter2hunter2"),
+    ("say pass%77ord = hunter2hunter2 now", "pass%77ord = hunter2hunter2"),
+    ("say token &#58; %68unter2hunter2 now", "token &#58; %68unter2hunter2"),
+    ("say token %3D %68unter2hunter2 now", "token %3D %68unter2hunter2"),
+    ("say " + base64.b64encode(b"long password = ").decode() + " 'hunter2hunter2' now", "'hunter2hunter2"),
+    ("say " + base64.b64encode(gzip.compress(b"the token:")).decode() + " hunter2hunter2 now", " hunter2hunter2"),
+])
+def test_plain_and_encoded_parts_meet(text, spot):
+    spans = secrets_scan.scan_layers(text)[1]
+    assert any(kind == "assign" and spot in text[a:b] for a, kind, b in spans)
+    clean = secrets_scan.redacted(text, spans)
+    assert "unter2" not in clean and clean.startswith("say ") and clean.endswith(" now")
+
+
 def test_cycles_and_bombs_end():
     bomb = base64.b64encode(gzip.compress(b"a" * 2_000_000 + b" token=abcdefgh1")).decode()
     assert secrets_scan.scan_layers(bomb)[1] and secrets_scan.scan_layers(bomb, max_layer=1000)[3] == 1

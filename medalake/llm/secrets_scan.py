@@ -49,9 +49,15 @@ _TOKEN, _TOKENS = re.compile(r"\S*"), re.compile(r"\S*(?:\x20+\S+){0,2}")
 _URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _UNICODE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})"
                       r"|&#[xX]([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
-_BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
-_MAGIC = (b"\x1f\x8b", b"\x78\x01", b"\x78\x9c", b"\x78\xda", b"BZh", b"\xfd7zXZ\x00", b"\x28\xb5\x2f\xfd")
-_UNPRINTABLE = re.compile(r"[\x00-\x08\x0e-\x1f\x7f-\x9f�]")
+_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{16,}+(?:[\x20\t]*\r?\n[\x20\t]*[A-Za-z0-9+/_-]++)*+"
+                     r"|[A-Za-z0-9+/_-]{4,}+(?:[\x20\t]*\r?\n[\x20\t]*[A-Za-z0-9+/_-]{4,}+)++"
+                     r"(?:[\x20\t]*\r?\n[\x20\t]*[A-Za-z0-9+/_-]++)?+)={0,2}", re.ASCII)  # also wrapped over lines
+_IN_BASE64 = np.isin(np.arange(256), np.frombuffer(b"+-/_" + bytes(range(48, 58)) + bytes(range(65, 91))
+                                                   + bytes(range(97, 123)), np.uint8))
+_STANDARD = bytes.maketrans(b"-_", b"+/")
+_SEPARATOR = re.compile(rb"[+/]")
+_MAGIC = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd", re.DOTALL)
+_UNPRINTABLE = re.compile(r"[\x00-\x08\x0e-\x1f\x7f-\x9f\ud800-\udfff\ufffd]")
 
 
 def scan(text: str) -> list[tuple[int, str, int]]:
@@ -68,13 +74,13 @@ def scan(text: str) -> list[tuple[int, str, int]]:
 def _inflate(data: bytes, limit: int) -> tuple[bytes, bool] | None:
     """Decompressed bytes and whether there were more than ``limit``; None if ``data`` is not compressed."""
     try:
-        if data.startswith(_MAGIC[:4]):
+        if data.startswith(b"\x1f\x8b") or data[:1] and data[0] & 0x8F == 8:
             d = zlib.decompressobj(47)
         elif data.startswith(b"BZh"):
             d = bz2.BZ2Decompressor()
-        elif data.startswith(_MAGIC[5]):
+        elif data.startswith(b"\xfd7zXZ"):
             d = lzma.LZMADecompressor()
-        elif data.startswith(_MAGIC[6]):
+        elif data.startswith(b"\x28\xb5\x2f\xfd"):
             import io
 
             import zstandard
@@ -202,13 +208,15 @@ def _touches(layer: _Layer, m: re.Match) -> bool:
     return layer.core is None or m.start() < layer.core[1] and m.end() > layer.core[0]
 
 
+def _text(data: bytes) -> str:
+    """Bytes as UTF-8; each byte that is none stands as one lone surrogate, so that the places stay known."""
+    return data.decode("utf-8", "surrogateescape")
+
+
 def _url_layers(layer: _Layer) -> Iterator[_Layer]:
     pieces = []
     for m in _URL.finditer(layer.text):
-        try:
-            new = bytes.fromhex(m[0].replace("%", "")).decode()
-        except UnicodeDecodeError:
-            continue
+        new = _text(bytes.fromhex(m[0].replace("%", "")))
         edge = 3 * _char_bytes(new) + m.start()  # three characters stand for a byte
         pieces.append((m.start(), m.end(), new, edge[:-1], edge[1:]))
     yield from _windows(layer, pieces)
@@ -228,48 +236,53 @@ def _unpacked(layer: _Layer, lo: int, hi: int, text: str) -> _Layer:
     """``text``, which all comes from characters lo..hi, with the text around these."""
     a, b = _left(layer.text, lo), _right(layer.text, hi)[1]
     starts, ends = layer.origins(np.r_[a:lo, hi:b], np.r_[a:lo, hi:b] + 1)
-    core = None if text.isprintable() else (lo - a, lo - a + len(text))
+    core = (lo - a, lo - a + len(text)) if _UNPRINTABLE.search(text) else None
     return _Layer(layer.text[a:lo] + text + layer.text[hi:b], starts, ends,
                   (lo - a, lo - a + len(text), *layer.span(lo, hi)), core)
 
 
-def _readable(data: bytes) -> str | None:
-    try:
-        text = data.decode()
-    except UnicodeDecodeError:
-        return None
-    return None if _UNPRINTABLE.search(text) else text
-
-
 def _base64_layers(layer: _Layer, limit: int, oversize: list) -> Iterator[_Layer]:
+    """Each run at all four alignments, as it may start with other characters of the alphabet."""
     for run in _BASE64.finditer(layer.text):
         if not _touches(layer, run):
             continue
-        chars = run[0].rstrip("=").translate({45: "+", 95: "/"})
-        for skip in range(4):  # a run may start with other characters of the alphabet
-            body = chars[skip:]
-            body = body[: len(body) - (len(body) % 4 == 1)]
-            if len(body) < 12:
-                break
-            try:
-                data = base64.b64decode(body + "=" * (-len(body) % 4))
-            except (binascii.Error, ValueError):
-                continue
-            lo = run.start() + skip
-            unpacked = _inflate(data, limit)
-            if unpacked is not None:
-                if unpacked[1]:
-                    oversize.append(lo)
-                text = unpacked[0].decode("utf-8", "replace")
-                if text:
-                    yield _unpacked(layer, lo, run.end(), text)
-                break
-            text = _readable(data)
-            if text:
-                edge = _char_bytes(text)  # byte i stands in characters 4i/3 to 4(i+1)/3
-                piece = (lo, run.end(), text, lo + edge[:-1] * 4 // 3, np.minimum(lo - (-edge[1:] * 4 // 3), run.end()))
-                yield _replaced(layer, _left(layer.text, lo), _right(layer.text, run.end())[1], [piece])
-                break
+        raw = np.frombuffer(run[0].encode(), np.uint8)
+        place = np.flatnonzero(_IN_BASE64[raw])  # without line breaks and padding
+        chars = raw[place].tobytes().translate(_STANDARD)
+        place += run.start()
+        if len(chars) < 16:
+            continue
+        behind = {0, 1, 2, 3, *(m.end() for m in _SEPARATOR.finditer(chars)), *(np.flatnonzero(np.diff(place) > 1) + 1).tolist()}
+        a, b = _left(layer.text, run.start()), _right(layer.text, run.end())[1]
+        for skip in range(4):
+            size = len(chars) - skip
+            size -= size % 4 == 1
+            data = base64.b64decode(chars[skip: skip + size] + b"=" * (-size % 4))
+            done = 0
+            for at in _packed_at(data, [(x - skip) // 4 * 3 for x in behind if x >= skip and (x - skip) % 4 == 0]):
+                unpacked = _inflate(data[at:], limit) if at >= done else None
+                if unpacked is not None:
+                    lo = int(place[skip + at * 4 // 3])
+                    if unpacked[1]:
+                        oversize.append(lo)
+                    text = _text(unpacked[0])
+                    if text:
+                        yield _unpacked(layer, lo, run.end(), text)
+                        done = len(data)
+            text = _text(data)
+            edge = _char_bytes(text)  # byte i stands in characters 4i/3 to 4(i+1)/3
+            starts, ends = place[skip + edge[:-1] * 4 // 3], place[skip + (-(-edge[1:] * 4 // 3)) - 1] + 1
+            lo, hi = int(place[skip]), run.end()
+            core = (lo - a, lo - a + len(text)) if _UNPRINTABLE.search(text) else None
+            yield _replaced(layer, a, b, [(lo, hi, text, starts, ends)], core)
+
+
+def _packed_at(data: bytes, behind: list[int]) -> list[int]:
+    """Where compressed data may start: at a magic number, or at any zlib header that stands behind a separator."""
+    found = {m.start() for m in _MAGIC.finditer(data)}
+    found.update(i for i in behind if i + 1 < len(data) and data[i] & 0x8F == 8
+                 and not data[i + 1] & 0x20 and (data[i] << 8 | data[i + 1]) % 31 == 0)
+    return sorted(found)
 
 
 def scan_layers(text: str, max_layer: int = 1 << 26) -> tuple[list, list, int, int]:

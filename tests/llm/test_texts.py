@@ -8,6 +8,7 @@ import html.parser
 import random
 import re
 import urllib.parse
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -219,6 +220,36 @@ def test_plain_and_encoded_parts_meet(text, spot):
     assert "unter2" not in clean and clean.startswith("say ") and clean.endswith(" now")
 
 
+@pytest.mark.parametrize("prefix", ["", "io/cb/", "token_", "a-b-c-d-e/", "x/y_zzz/"])
+@pytest.mark.parametrize("pack", [bytes, gzip.compress, bz2.compress, zlib.compress, lambda b: zlib.compress(b, wbits=9)])
+def test_base64_behind_other_characters(prefix, pack):
+    text = f"see {prefix}{base64.b64encode(pack(b'password = hunter2hunter2')).decode()} now"
+    spans = secrets_scan.scan_layers(text)[1]
+    assert any(kind == "assign" for _, kind, _ in spans)
+    assert secrets_scan.redacted(text, spans).endswith(" now")
+    assert not secrets_scan.scan_layers(secrets_scan.redacted(text, spans))[1]
+
+
+@pytest.mark.parametrize("odd", [b"\x00", b"\xe9", b"\xff\x01"])
+def test_odd_bytes_lose_no_secret(odd):
+    data = odd + b" password = hunter2hunter2 caf\xe9"
+    url = "".join(f"%{x:02x}" for x in data)
+    for coded, size in ((base64.b64encode(data).decode(), 4 / 3), (url, 3)):
+        (a, kind, b), = secrets_scan.scan_layers("see " + coded)[1]
+        start = 4 + (len(odd) + 1) * size
+        assert kind == "assign" and start - 2 < a <= start and b - a <= 25 * size + 3
+
+
+@pytest.mark.parametrize("wrap", [8, 20, 60, 76])
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\n    "])
+def test_wrapped_base64(wrap, end):
+    coded = base64.b64encode(b"some longer words come first; password = hunter2hunter2 and more words follow on").decode()
+    text = f"see{end}{end.join(coded[i:i + wrap] for i in range(0, len(coded), wrap))} now"
+    spans = secrets_scan.scan_layers(text)[1]
+    assert any(kind == "assign" for _, kind, _ in spans)
+    assert not secrets_scan.scan_layers(secrets_scan.redacted(text, spans))[1]
+
+
 def test_cycles_and_bombs_end():
     bomb = base64.b64encode(gzip.compress(b"a" * 2_000_000 + b" token=abcdefgh1")).decode()
     assert secrets_scan.scan_layers(bomb)[1] and secrets_scan.scan_layers(bomb, max_layer=1000)[3] == 1

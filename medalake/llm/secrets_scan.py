@@ -11,8 +11,10 @@ as a span of the original text, in code points, end exclusive.
 
 Spans found in the text itself are the base spans; they always stay, and deeper ones are added.
 
-``max_layer`` bounds what one compressed run may grow to (a decompression bomb could otherwise fill memory). Runs
-beyond it are counted in ``n_oversize``, and their first ``max_layer`` bytes are still scanned.
+Compressed data is read as a stream, all members that follow each other, and held ``max_layer`` bytes at a time: what
+is longer is scanned in chunks that share half with the next and counted in ``n_oversize``. A compressed run that can't
+be read to its end (cut off, damaged), or where one encoded run may be longer than what two chunks share, is a span of
+its own kind, ``unread``, and redacted whole.
 
 Defined results: null text scans as the empty text; null or repeated doc_id rows each keep a row; an empty table
 gives an empty result; other columns are ignored (``redact`` keeps them).
@@ -56,6 +58,12 @@ _IN_BASE64 = np.isin(np.arange(256), np.frombuffer(b"+-/_" + bytes(range(48, 58)
                                                    + bytes(range(97, 123)), np.uint8))
 _STANDARD = bytes.maketrans(b"-_", b"+/")
 _SEPARATOR = re.compile(rb"[+/]")
+_MEMBERS = {"gzip": re.compile(rb"\x1f\x8b\x08[\x00-\x1f]", re.DOTALL),
+            "bzip2": re.compile(rb"BZh[1-9](?:1AY&SY|\x17rE8P\x90)"), "xz": re.compile(rb"\xfd7zXZ\x00"),
+            "zstd": re.compile(rb"\x28\xb5\x2f\xfd")}
+_SKIPPABLE = re.compile(rb"[\x50-\x5f]\x2a\x4d\x18....", re.DOTALL)
+# bytes that no encoded run and no secret goes across, or more words than a secret has
+_BREAK = re.compile(rb"""[^A-Za-z0-9+/_=.%\\{}&#;:"'\s-]|(?:[\x20\t]+[A-Za-z0-9,.]+){8}""")
 _MAGIC = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd", re.DOTALL)
 _UNPRINTABLE = re.compile(r"[\x00-\x08\x0e-\x1f\x7f-\x9f\ud800-\udfff\ufffd]")
 
@@ -71,32 +79,87 @@ def scan(text: str) -> list[tuple[int, str, int]]:
     return found
 
 
-def _inflate(data: bytes, limit: int) -> tuple[bytes, bool] | None:
-    """Decompressed bytes and whether there were more than ``limit``; None if ``data`` is not compressed."""
-    try:
-        if data.startswith(b"\x1f\x8b") or data[:1] and data[0] & 0x8F == 8:
+class _Packed:
+    """The compressed members (or streams, or frames) that follow each other in ``data`` from ``at`` on.
+
+    ``end`` is how far they reach, ``sure`` whether ``data`` is compressed beyond doubt, ``whole`` whether all was read.
+    """
+
+    def __init__(self, data: bytes, at: int):
+        self.data, self.end, self.sure, self.whole = data, at, False, False
+
+    def _next(self) -> str | None:
+        """The format of the member at ``end``; zero bytes and skippable frames between members are passed over."""
+        at, data = self.end, self.data
+        while self.whole and data[at: at + 1] == b"\0":
+            at += 1
+        while _SKIPPABLE.match(data, at):
+            at += 8 + int.from_bytes(data[at + 4: at + 8], "little")
+        for kind, magic in _MEMBERS.items():
+            if magic.match(data, at):
+                self.end, self.sure = at, True
+                return kind
+        if at + 1 < len(data) and data[at] & 0x8F == 8 and not data[at + 1] & 0x20 and (data[at] << 8 | data[at + 1]) % 31 == 0:
+            self.end = at
+            return "zlib"
+        return None
+
+    def pieces(self, size: int) -> Iterator[bytes]:
+        """What the members hold, at most about ``size`` bytes at a time."""
+        while kind := self._next():
+            self.whole = False
+            try:
+                yield from self._member(kind, size)
+            except (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError, ImportError):
+                return
+            except Exception as e:  # zstandard's own error type
+                if type(e).__name__ == "ZstdError":
+                    return
+                raise
+            if not self.whole:
+                return
+
+    def _member(self, kind: str, size: int) -> Iterator[bytes]:
+        block = 1 << 16
+        if kind in ("gzip", "zlib"):
             d = zlib.decompressobj(47)
-        elif data.startswith(b"BZh"):
+        elif kind == "bzip2":
             d = bz2.BZ2Decompressor()
-        elif data.startswith(b"\xfd7zXZ"):
+        elif kind == "xz":
             d = lzma.LZMADecompressor()
-        elif data.startswith(b"\x28\xb5\x2f\xfd"):
-            import io
-
+        else:
             import zstandard
 
-            out = zstandard.ZstdDecompressor().stream_reader(io.BytesIO(data)).read(limit + 1)
-            return out[:limit], len(out) > limit
-        else:
-            return None
-        out = d.decompress(data, limit + 1)
-        return out[:limit], len(out) > limit
-    except (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError, ImportError):
-        return None
-    except Exception as e:  # zstandard's own error type
-        if type(e).__name__ == "ZstdError":
-            return None
-        raise
+            d, block = zstandard.ZstdDecompressor().decompressobj(), 256  # it takes no bound on what a block becomes
+        at, rest, full = self.end, b"", False
+        while not d.eof:
+            if not rest and not full:
+                rest = self.data[at: at + block]
+                at += len(rest)
+                if not rest:
+                    return  # cut off
+            if kind == "zstd":
+                out, rest = d.decompress(rest), b""
+            else:
+                out = d.decompress(rest, size)
+                rest = d.unconsumed_tail if kind in ("gzip", "zlib") else b""
+                full = len(out) == size if kind in ("gzip", "zlib") else not d.needs_input
+            if out:
+                yield out
+        self.end, self.whole = at - len(d.unused_data), True
+
+
+def _chunks(packed: _Packed, limit: int) -> Iterator[tuple[bytes, bool, bool]]:
+    """The content in chunks of ``limit`` bytes, each sharing half with the one before; whether it is the last, and
+    whether something longer than what is shared may lie across its end."""
+    held = bytearray()
+    for piece in packed.pieces(min(limit, 1 << 20)):
+        held += piece
+        while len(held) > limit:
+            chunk = bytes(held[:limit])
+            yield chunk, False, not _BREAK.search(chunk, limit - limit // 2)
+            del held[: limit - limit // 2]
+    yield bytes(held), True, False
 
 
 class _Layer:
@@ -232,16 +295,35 @@ def _unicode_layers(layer: _Layer) -> Iterator[_Layer]:
     yield from _windows(layer, pieces)
 
 
-def _unpacked(layer: _Layer, lo: int, hi: int, text: str) -> _Layer:
-    """``text``, which all comes from characters lo..hi, with the text around these."""
-    a, b = _left(layer.text, lo), _right(layer.text, hi)[1]
+def _unpacked(layer: _Layer, lo: int, hi: int, text: str, first: bool, last: bool) -> _Layer:
+    """``text``, which all comes from characters lo..hi, with the text around these where it stands first or last."""
+    a, b = _left(layer.text, lo) if first else lo, _right(layer.text, hi)[1] if last else hi
     starts, ends = layer.origins(np.r_[a:lo, hi:b], np.r_[a:lo, hi:b] + 1)
     core = (lo - a, lo - a + len(text)) if _UNPRINTABLE.search(text) else None
     return _Layer(layer.text[a:lo] + text + layer.text[hi:b], starts, ends,
                   (lo - a, lo - a + len(text), *layer.span(lo, hi)), core)
 
 
-def _base64_layers(layer: _Layer, limit: int, oversize: list) -> Iterator[_Layer]:
+def _packed_layers(layer: _Layer, lo: int, hi: int, packed: _Packed, limit: int, oversize: list,
+                   unread: set) -> Iterator[_Layer]:
+    first, torn, clean = True, False, 0
+    for chunk, last, across in _chunks(packed, limit):
+        if first and not last:
+            oversize.append(lo)
+        torn |= across
+        text = _text(chunk)
+        if text:
+            if first:
+                clean = 0 if _UNPRINTABLE.search(text) else len(text)
+            yield _unpacked(layer, lo, hi, text, first, last)
+        first = False
+    # a zlib header is only two bytes, which other data may hold too
+    packed.sure |= packed.whole or clean >= 32
+    if packed.sure and (torn or not packed.whole):
+        unread.add(layer.span(lo, hi))
+
+
+def _base64_layers(layer: _Layer, limit: int, oversize: list, unread: set) -> Iterator[_Layer]:
     """Each run at all four alignments, as it may start with other characters of the alphabet."""
     for run in _BASE64.finditer(layer.text):
         if not _touches(layer, run):
@@ -260,15 +342,12 @@ def _base64_layers(layer: _Layer, limit: int, oversize: list) -> Iterator[_Layer
             data = base64.b64decode(chars[skip: skip + size] + b"=" * (-size % 4))
             done = 0
             for at in _packed_at(data, [(x - skip) // 4 * 3 for x in behind if x >= skip and (x - skip) % 4 == 0]):
-                unpacked = _inflate(data[at:], limit) if at >= done else None
-                if unpacked is not None:
+                if at >= done:
+                    packed = _Packed(data, at)
                     lo = int(place[skip + at * 4 // 3])
-                    if unpacked[1]:
-                        oversize.append(lo)
-                    text = _text(unpacked[0])
-                    if text:
-                        yield _unpacked(layer, lo, run.end(), text)
-                        done = len(data)
+                    yield from _packed_layers(layer, lo, run.end(), packed, limit, oversize, unread)
+                    if packed.sure:
+                        done = max(packed.end, at + 1)
             text = _text(data)
             edge = _char_bytes(text)  # byte i stands in characters 4i/3 to 4(i+1)/3
             starts, ends = place[skip + edge[:-1] * 4 // 3], place[skip + (-(-edge[1:] * 4 // 3)) - 1] + 1
@@ -286,30 +365,39 @@ def _packed_at(data: bytes, behind: list[int]) -> list[int]:
 
 
 def scan_layers(text: str, max_layer: int = 1 << 26) -> tuple[list, list, int, int]:
-    """Base spans, all spans (sorted (start, kind, end)), number of layers, and of compressed runs cut short."""
+    """Base spans, all spans (sorted (start, kind, end)), number of layers, and of compressed runs scanned in chunks."""
     base = scan(text)
-    spans, oversize, n_layers = set(base), [], 1
-    todo, seen = [_Layer(text, None, None)], {text}
-    while todo:
-        layer = todo.pop()
-        if layer.starts is not None:
-            for start, kind, end in scan(layer.text):
-                lo, hi = layer.span(start, end)
-                spans.add((lo, kind, hi))
-        nested = []
+    spans, oversize, unread, n_layers = set(base), [], set(), 1
+
+    def nested(layer: _Layer) -> Iterator[_Layer]:
         if "%" in layer.text:
-            nested += _url_layers(layer)
+            yield from _url_layers(layer)
         if "\\" in layer.text or "&#" in layer.text:
-            nested += _unicode_layers(layer)
-        nested += _base64_layers(layer, max_layer, oversize)
-        for new in nested:
-            # the same content at another place is another layer unless it lies on the way here
-            key = (new.text, *new.span(0, len(new.text))) if len(new.text) else None
-            if key is not None and key not in seen and new.text != layer.text:
-                seen.add(key)
-                todo.append(new)
-                n_layers += 1
-    order = {k: i for i, k in enumerate(KINDS)}
+            yield from _unicode_layers(layer)
+        yield from _base64_layers(layer, max_layer, oversize, unread)
+
+    top = _Layer(text, None, None)
+    todo, seen = [(top, nested(top))], set()
+    while todo:  # one layer at each depth is held at a time
+        layer, inner = todo[-1]
+        new = next(inner, None)
+        if new is None:
+            todo.pop()
+            continue
+        # the same content at another place is another layer unless it lies on the way here
+        if not new.text or new.text == layer.text:
+            continue
+        content = hashlib.blake2b(new.text.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+        key = (content, *new.span(0, len(new.text)))
+        if key not in seen:
+            seen.add(key)
+            n_layers += 1
+            for start, kind, end in scan(new.text):
+                lo, hi = new.span(start, end)
+                spans.add((lo, kind, hi))
+            todo.append((new, nested(new)))
+    spans.update((lo, "unread", hi) for lo, hi in unread)
+    order = {k: i for i, k in enumerate((*KINDS, "unread"))}
     by = lambda s: (s[0], order[s[1]], s[2])
     return sorted(base, key=by), sorted(spans, key=by), n_layers, len(oversize)
 

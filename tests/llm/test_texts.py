@@ -5,6 +5,7 @@ import bz2
 import gzip
 import hashlib
 import html.parser
+import lzma
 import random
 import re
 import urllib.parse
@@ -14,6 +15,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+import zstandard
 from llm_cases import SF, key, odd_texts, same
 
 from medalake.llm import (bradley_terry, order_minhash, pseudo_lm, quality_rules, secrets_scan, simhash, warc)
@@ -256,6 +258,24 @@ def test_cycles_and_bombs_end():
     assert secrets_scan.scan_layers("%2525252525 " * 50)[1] == []
 
 
+@pytest.mark.parametrize("pack", [gzip.compress, bz2.compress, lzma.compress, zstandard.compress])
+def test_compressed_data_is_read_whole(pack):
+    coded = lambda b: "see " + base64.b64encode(b).decode() + " now"
+    scan = lambda t, **k: secrets_scan.scan_layers(t, **k)
+    # repetitive data may leave 32 equal base64 digits, a hex run of the text itself
+    kinds = lambda t, **k: {kind for _, kind, _ in scan(t, **k)[1]} - {"hex"}
+    members = b"".join(pack(x) for x in (b"one, two; " * 9, b"three, four; " * 9, b"token=abcdefgh1, five"))
+    assert kinds(coded(members)) == {"assign"}
+    late = coded(pack(b"plain, words; " * 20_000 + b"token=abcdefgh1, end"))
+    assert kinds(late, max_layer=10_000) == {"assign"} and scan(late, max_layer=10_000)[3] == 1
+    for cut in range(9_993, 10_008):  # across the end of a chunk
+        assert kinds(coded(pack(b"x," * (cut // 2) + b"token=abcdefgh1," + b"y," * 9_000)), max_layer=10_000) == {"assign"}
+    noise = random.Random(7).randbytes(3_000)
+    text = coded(pack(b"some words, " * 50 + noise + b"token=abcdefgh1")[:-40])
+    assert "unread" in kinds(text) and secrets_scan.redacted(text, scan(text)[1]) == "see [SECRET] now"
+    assert kinds(coded(pack(b"some words, " * 50))) == set()
+
+
 def test_secret_rows_and_redaction(spark, odd, clashing, nothing):
     for df in (odd, clashing):
         got = secrets_scan.find_secrets(df)

@@ -5,9 +5,11 @@ table per position) are added and squashed, and a two-level softmax gives first
 its class. A document's score is the sum of the log-probabilities of its tokens.
 
 Tokens are the words of the corpus: the most frequent ones have ids by rank (counted over all documents), the rest
-share ``RARE`` ids by hash. Each task trains a copy of the network on all documents of its partition, and the copies
-are averaged, weighted by tokens: first over an eighth of the documents to start from common ground, then over
-all of them. What is gathered (word counts, trained copies) grows with the input; the model has a fixed size.
+share ``RARE`` ids by hash, and a rare word's score is that of its shared id. Each task trains a copy of the network on
+all documents of its partition, and the copies are averaged, weighted by tokens, together with the step sizes they have
+come to: first over an eighth of the documents to start from common ground, then over all of them, round after round,
+until the loss over all documents falls by less than ``FALL`` a token. The model has a fixed size: the words beyond the
+most frequent 960 are counted, but not told apart.
 
 Defined results: null text has no tokens and the score 0; repeated rows each keep a row and train as often; a null
 doc_id passes through; an empty table gives an empty result; other columns are ignored.
@@ -31,8 +33,10 @@ from medalake.llm.common import pick, rows, saved
 CLASSES, IN_CLASS, WIDTH = 32, 32, 16
 VOCABULARY = CLASSES * IN_CLASS
 RARE = 63            # hashed ids of rare words; id 0 marks the edge of a document
-BATCH = 16_384       # tokens of a training step
-RATE = 0.08
+BATCH = 16_384       # tokens of a forward pass
+STEP = 2_048         # tokens of a training step
+RATE = 0.05
+FALL = 0.01          # training goes on while the loss a token falls by this much in a round
 OFFSETS = (-2, -1, 1, 2)
 _SHAPES = {"embed": (len(OFFSETS), VOCABULARY, WIDTH), "bias": (WIDTH,), "cls": (WIDTH, CLASSES),
            "cls_bias": (CLASSES,), "tok": (CLASSES, WIDTH, IN_CLASS), "tok_bias": (CLASSES, IN_CLASS)}
@@ -45,6 +49,11 @@ def start_model(seed: int = 3) -> dict[str, np.ndarray]:
             for k, s in _SHAPES.items()}
 
 
+def start_squares() -> dict[str, np.ndarray]:
+    """Sums of squared gradients to start from, well below a gradient, so that rare ids take whole steps too."""
+    return {k: np.full(s, 1e-6, np.float32) for k, s in _SHAPES.items()}
+
+
 def flat(model: dict[str, np.ndarray]) -> np.ndarray:
     return np.concatenate([model[k].ravel() for k in _SHAPES])
 
@@ -100,7 +109,11 @@ def _forward(model, context, target):
 
 
 def _gradients(model, context, target) -> dict[str, np.ndarray]:
-    h, p_cls, cls, inside, parts, _ = _forward(model, context, target)
+    return _gradients_and_loss(model, context, target)[0]
+
+
+def _gradients_and_loss(model, context, target) -> tuple[dict[str, np.ndarray], float]:
+    h, p_cls, cls, inside, parts, logp = _forward(model, context, target)
     g = {k: np.zeros(s, np.float32) for k, s in _SHAPES.items()}
     p_cls[np.arange(len(h)), cls] -= 1
     g["cls"], g["cls_bias"] = h.T @ p_cls, p_cls.sum(axis=0)
@@ -115,23 +128,23 @@ def _gradients(model, context, target) -> dict[str, np.ndarray]:
         order = np.argsort(x, kind="stable")
         ids, first = np.unique(x[order], return_index=True)
         g["embed"][p][ids] = np.add.reduceat(dh[order], first, axis=0)
-    return g
+    return g, -float(logp.sum(dtype=np.float64))
 
 
 class Trainer:
     """Adagrad steps over a stream of documents."""
 
-    def __init__(self, model: dict[str, np.ndarray]):
+    def __init__(self, model: dict[str, np.ndarray], squares: dict[str, np.ndarray] | None = None):
         self.model = {k: v.copy() for k, v in model.items()}
-        self.squares = {k: np.full(v.shape, 1e-2, np.float32) for k, v in model.items()}
-        self.held, self.size, self.tokens = [], 0, 0
+        self.squares = {k: v.copy() for k, v in (squares or start_squares()).items()}
+        self.held, self.size, self.tokens, self.loss = [], 0, 0, 0.0
 
     def add(self, tokens: np.ndarray) -> None:
-        for lo in range(0, len(tokens), BATCH):
+        for lo in range(0, len(tokens), STEP):
             # a long document goes in pieces that see each other's edge tokens
-            self.held.append((tokens, lo, min(len(tokens), lo + BATCH)))
+            self.held.append((tokens, lo, min(len(tokens), lo + STEP)))
             self.size += self.held[-1][2] - lo
-            if self.size >= BATCH:
+            if self.size >= STEP:
                 self.step()
 
     def step(self) -> None:
@@ -140,7 +153,9 @@ class Trainer:
         self.held, self.size = [], 0
         if not len(at):
             return
-        for k, g in _gradients(self.model, _context(line, at), line[at]).items():
+        gradients, loss = _gradients_and_loss(self.model, _context(line, at), line[at])
+        self.loss += loss
+        for k, g in gradients.items():
             g /= len(at)
             self.squares[k] += g * g
             self.model[k] -= RATE * g / np.sqrt(self.squares[k])
@@ -193,44 +208,61 @@ def frequent_words(docs: DataFrame) -> list[str]:
     return [r.word for r in top.collect()]
 
 
-def train_round(spark: SparkSession, docs: DataFrame, words: Words, model: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-    """One pass of every partition over its documents from the same start; the token-weighted mean of the copies."""
+_State = tuple[dict[str, np.ndarray], dict[str, np.ndarray]]
+
+
+def train_round(spark: SparkSession, docs: DataFrame, words: Words, state: _State) -> tuple[_State, float]:
+    """One pass of every partition over its documents from the same model and squares: the token-weighted means of the
+    copies, and the loss a token over all documents, taken before each step."""
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trainer = Trainer(model)
+        trainer = Trainer(*state)
         for batch in batches:
             for (text,) in rows(batch, "text"):
                 trainer.add(words(text))
         trainer.step()
         if trainer.tokens:
-            values = flat(trainer.model)
+            values = np.concatenate([flat(trainer.model), flat(trainer.squares)])
             part = TaskContext.get().partitionId()
             pieces = np.array_split(values, 16)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(range(len(pieces)), pa.int32()), pa.array([part] * len(pieces), pa.int32()),
-                 pa.array([float(trainer.tokens)] * len(pieces)),
+                 pa.array([float(trainer.tokens)] * len(pieces)), pa.array([trainer.loss] * len(pieces)),
                  pa.array([p.astype("<f4").tobytes() for p in pieces], pa.binary())],
-                ["piece", "part", "tokens", "weights"])
+                ["piece", "part", "tokens", "loss", "weights"])
 
     def mean(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("part")
         total = frame["tokens"].sum()
         out = sum(t * np.frombuffer(w, "<f4").astype(np.float64) for t, w in zip(frame["tokens"], frame["weights"]))
         return pd.DataFrame({"piece": frame["piece"].iloc[:1], "part": frame["part"].iloc[:1] // 1024,
-                             "tokens": [total], "weights": [(out / total).astype("<f4").tobytes()]})
+                             "tokens": [total], "loss": [frame["loss"].sum()],
+                             "weights": [(out / total).astype("<f4").tobytes()]})
 
-    copies = docs.mapInArrow(fit, "piece int, part int, tokens double, weights binary")
+    copies = docs.mapInArrow(fit, "piece int, part int, tokens double, loss double, weights binary")
     # two levels, so that no task takes the copies of all partitions
     some = copies.groupBy("piece", F.expr("part % 1024")).applyInPandas(mean, copies.schema)
     whole = some.groupBy("piece").applyInPandas(mean, copies.schema).orderBy("piece").collect()
-    return unflat(np.concatenate([np.frombuffer(r.weights, "<f4") for r in whole])) if whole else model
+    if not whole:
+        return state, 0.0
+    model, squares = np.split(np.concatenate([np.frombuffer(r.weights, "<f4") for r in whole]), 2)
+    return (unflat(model), unflat(squares)), whole[0].loss / whole[0].tokens
 
 
 def fit(spark: SparkSession, docs: DataFrame) -> tuple[Words, dict[str, np.ndarray]]:
     texts = pick(docs, "text")
     words = Words(frequent_words(docs))
-    model = train_round(spark, texts.where(F.crc32(F.col("text").cast("binary")) % 8 == 0), words, start_model())
-    return words, train_round(spark, texts, words, model)
+    state, _ = train_round(spark, texts.where(F.crc32(F.col("text").cast("binary")) % 8 == 0), words,
+                           (start_model(), start_squares()))
+    state, loss = train_round(spark, texts, words, state)
+    while loss:
+        new, now = train_round(spark, texts, words, state)
+        if now <= loss:
+            state = new
+        if not now < loss - FALL:
+            break
+        loss = now
+    return words, state[0]
 
 
 def score(spark: SparkSession, docs: DataFrame) -> DataFrame:

@@ -448,6 +448,14 @@ def test_training_beats_the_start(spark, docs):
     assert np.isclose(got[one.doc_id].pseudo_log_likelihood, pseudo_lm.log_probs(model, [words(one.text)])[0], rtol=1e-3)
 
 
+def test_documents_score_above_their_shuffled_words(spark, docs):
+    words, model = pseudo_lm.fit(spark, docs)
+    ids = [words(r.text) for r in docs.collect()]
+    mean = lambda x: sum(pseudo_lm.log_probs(model, x)) / sum(map(len, x))
+    rng = np.random.default_rng(0)
+    assert mean(ids) > mean([rng.permutation(x) for x in ids]) + 0.05
+
+
 def test_order_of_words_counts():
     text = np.tile(np.arange(100, 140, dtype=np.uint16), 1000)
     trainer = pseudo_lm.Trainer(pseudo_lm.start_model())

@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from medalake.llm import (bpe, bradley_terry, idcoder, order_minhash, packing, pseudo_lm, quality_rules, secrets_scan,
-                          simhash, warc)
+from medalake.llm import (bpe, bradley_terry, conversations, idcoder, order_minhash, packing, pseudo_lm, quality_rules,
+                          secrets_scan, simhash, warc)
 from medalake.llm.common import table
 from medalake.session import shared_dir
 
@@ -54,10 +54,14 @@ def op10_token_ids(spark, sf_dir):
     return idcoder.read_ids(spark, path)
 
 
+def op11_conversation_repair(spark, sf_dir):
+    return conversations.repair(spark, conversations.damage(table(spark, sf_dir, "conversations")))
+
+
 def queries():
     return {f.__name__: f for f in (
         op1_quality_rules, op2_bpe, op3_quality_classifier, op4_fingerprints, op5_packing, op6_secret_scan, op7_simhash,
-        op8_warc, op9_lm_scoring, op10_token_ids)}
+        op8_warc, op9_lm_scoring, op10_token_ids, op11_conversation_repair)}
 
 
 _RATES = {"mean_len": "100 * word_chars // n_words", "symbol_rate": "1000 * n_symbols // word_chars",

@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from medalake.llm import (bpe, bradley_terry, conversations, idcoder, order_minhash, packing, pseudo_lm, quality_rules,
-                          secrets_scan, simhash, warc)
+from medalake.llm import (bpe, bradley_terry, conversations, decontamination, idcoder, order_minhash, packing,
+                          pseudo_lm, quality_rules, ranking, secrets_scan, simhash, warc)
 from medalake.llm.common import table
 from medalake.session import shared_dir
 
@@ -58,10 +58,20 @@ def op11_conversation_repair(spark, sf_dir):
     return conversations.repair(spark, conversations.damage(table(spark, sf_dir, "conversations")))
 
 
+def op12_decontamination(spark, sf_dir):
+    return decontamination.contamination(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_ranked_search(spark, sf_dir):
+    index = ranking.build_index(spark, table(spark, sf_dir, "documents"))
+    return ranking.search(spark, index, table(spark, sf_dir, "benchmark"))
+
+
 def queries():
     return {f.__name__: f for f in (
         op1_quality_rules, op2_bpe, op3_quality_classifier, op4_fingerprints, op5_packing, op6_secret_scan, op7_simhash,
-        op8_warc, op9_lm_scoring, op10_token_ids, op11_conversation_repair)}
+        op8_warc, op9_lm_scoring, op10_token_ids, op11_conversation_repair, op12_decontamination,
+        op13_ranked_search)}
 
 
 _RATES = {"mean_len": "100 * word_chars // n_words", "symbol_rate": "1000 * n_symbols // word_chars",
@@ -122,5 +132,50 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM rated r LEFT JOIN limits l ON r.lang IS NOT DISTINCT FROM l.lang AND r.source IS NOT DISTINCT FROM l.source"""
 
 
+def _words_sql(column: str) -> str:
+    """Words of a text: only A-Z lower-cased, then runs of ASCII letters, digits and characters outside ASCII."""
+    folded = f"translate(coalesce({column}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"regexp_extract_all({folded}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+def _decontamination_sql(window: int = 10) -> str:
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_words_sql("text")} AS w FROM documents),
+items AS (SELECT coalesce(item_id::VARCHAR, '') AS item, {_words_sql("text")} AS w FROM benchmark),
+sized AS (SELECT item, w, least(len(w), {window}) AS size FROM items WHERE len(w) > 0),
+wins AS (SELECT DISTINCT item, size, array_to_string(w[i:i + size - 1], ' ') AS win
+         FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS i FROM sized)),
+places AS (SELECT rid, w, size, unnest(range(1, len(w) - size + 2)) AS i
+           FROM d, (SELECT DISTINCT size FROM wins) WHERE len(w) >= size),
+met AS (SELECT rid, i, p.size, item FROM (SELECT rid, i, size, array_to_string(w[i:i + size - 1], ' ') AS win FROM places) p
+        JOIN wins USING (size, win)),
+hits AS (SELECT rid, count(DISTINCT place) AS n_hit
+         FROM (SELECT DISTINCT rid, unnest(range(i, i + size)) AS place FROM met) GROUP BY rid),
+found AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+          FROM (SELECT DISTINCT rid, item FROM met) GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN hits USING (rid) LEFT JOIN found USING (rid)"""
+
+
+def _ranked_search_sql(top: int = 10) -> str:
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_words_sql("text")} AS w FROM documents),
+q AS (SELECT row_number() OVER () AS query, item_id, unnest(list_distinct({_words_sql("text")})) AS term FROM benchmark),
+held AS (SELECT rid, doc_id, len(w) AS n FROM d WHERE len(w) > 0),
+whole AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM held),
+tf AS (SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(w) AS term FROM d) GROUP BY ALL),
+weights AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS weight
+            FROM tf, whole GROUP BY term, docs),
+scores AS (
+  SELECT query, item_id, doc_id, rid,
+         sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // terms))))::BIGINT AS score
+  FROM q JOIN tf USING (term) JOIN weights USING (term) JOIN held USING (rid), whole GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, doc_id NULLS LAST) AS rank
+           FROM scores WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= {top}"""
+
+
 def oracle_sql():
-    return {"op1_quality_rules": _quality_rules_sql()}
+    return {"op1_quality_rules": _quality_rules_sql(), "op12_decontamination": _decontamination_sql(),
+            "op13_ranked_search": _ranked_search_sql()}

@@ -42,7 +42,7 @@ def test_pipeline_stages(spark, docs):
 
 def test_all_queries_are_registered(spark):
     found = __spark_entry__.queries()
-    assert sorted(n.split("_")[0] for n in found if n.startswith("op")) == sorted(f"op{i}" for i in range(1, 11))
+    assert sorted(n.split("_")[0] for n in found if n.startswith("op")) == sorted(f"op{i}" for i in range(1, 14))
     assert "pipeline" in found
 
 

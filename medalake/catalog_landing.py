@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from medalake import oracle as O
 from medalake import schemas
 from medalake.catalog import query
-from medalake.catalog_silver import ORACLES
+from medalake.catalog_silver import ORACLES, scd2_standard_sql
 from medalake.functions import expressions as X
 from medalake.operators.refresh import from_landing
 from medalake.operators.sales import sales_summary
@@ -24,7 +24,8 @@ from medalake.plans.silver import silver_from_landing, silver_job
 from medalake.plans.specs import SPECS
 from medalake.session import shared_dir
 from medalake.sinks import landing as K
-from medalake.sinks.tables import read_gold, read_silver, write_gold
+from medalake.sinks.gold import newest_build, read_gold, read_months, write_gold
+from medalake.sinks.tables import read_silver
 from medalake.sources import adapters as A
 from medalake.sources.bronze import canonical, read_bronze, read_bronze_reviews, silver_view
 
@@ -220,14 +221,19 @@ def _run_log_sql():
                      f"|| ' rows', '{t}' FROM {SRC[t]}")
         parts.append(f"SELECT {O.T0}, 'SUCCESS', '{t}: audit row written', '{t}'")
         parts.append(f"SELECT {O.T0}, 'INFO', '{t}: nothing to archive', '{t}'")
-    return O.with_("\nUNION ALL ".join(parts), *SRC.values())
+    events = "\nUNION ALL ".join(parts)
+    return O.with_(f"SELECT kept_in, e.* FROM ({events}) e, (VALUES ('table'), ('document')) k(kept_in)", *SRC.values())
 
 
 @query("land_run_log", _run_log_sql())
 def q_run_log(spark, sf):
+    """K4 and K5: the run's events in the log table and in the JSON document named by the run's time."""
     paths, log = _ingest_run(spark, sf, "land_run_log")
-    log.save(spark, paths.logs)
-    return spark.read.schema(schemas.RUN_LOG).parquet(paths.logs)
+    documents = f"{paths.logs}-documents"
+    log.save(spark, paths.logs, documents)
+    table = spark.read.schema(schemas.RUN_LOG).parquet(paths.logs)
+    document = spark.read.schema(schemas.RUN_LOG).json(f"{documents}/pipeline_log_20240601000000.json")
+    return table.withColumn("kept_in", F.lit("table")).unionByName(document.withColumn("kept_in", F.lit("document")))
 
 
 @query("land_archive", O.with_(
@@ -290,11 +296,15 @@ def q_ingest_all(spark, sf):
 DISPATCH_ROWS = CONFIG_ROWS + [("retailer", "retailer_db", "orders", "Delta", "updated_at", "1", "x")]
 
 
+#: The load mode that each stated load type means.
+STATED_MODES = {"Full Load": "full", "Incremental": "incremental", "Delta": "invalid"}
+
+
 def _dispatch_sql():
     parts = []
     for r in DISPATCH_ROWS:
         t, lt, w = r[2], r[3], r[4]
-        mode = L.load_mode(lt)
+        mode = STATED_MODES[lt]
         if mode == "full":
             n = f"(SELECT count(*) FROM {SRC[t]})"
         elif mode == "incremental":
@@ -442,8 +452,8 @@ def q_gold_rerun(spark, sf):
     gold_dir = shared_dir(spark, "gold_rerun_idempotent")
     df = sales_summary(A.orders(spark, sf, with_status_flag=True), A.order_items(spark, sf),
                        A.products(spark, sf), A.categories(spark, sf))
-    write_gold(df, gold_dir)
-    write_gold(df, gold_dir)
+    write_gold(df, spark, gold_dir)
+    write_gold(df, spark, gold_dir)
     return read_gold(spark, gold_dir)
 
 
@@ -455,6 +465,26 @@ def q_end_to_end(spark, sf):
                          reviews_payload=_payload(spark, sf, "medallion_end_to_end"))
 
 
+def _as_coded_days_sql():
+    day = O.gold_sql("orders_src", "items_src", "TRUE")
+    second = day.replace("p.name AS product_name", "p.name || '!' AS product_name")
+    return f"SELECT * FROM ({day}) UNION ALL SELECT * FROM ({second})"
+
+
+@query("medallion_as_coded_two_days", _as_coded_days_sql())
+def q_as_coded_days(spark, sf):
+    """C9 as coded on two days; products are renamed in between. Each day's batch replaces the last one's in the
+    landing area, orders and items bring nothing after the first day, and gold is appended to."""
+    root = shared_dir(spark, "medallion_as_coded_two_days")
+
+    def renamed(t):
+        df = A.source(spark, sf, t)
+        return df.withColumn("name", F.concat("name", F.lit("!"))) if t == "products" else df
+
+    run_medallion(spark, _sources(spark, sf), root, A.T0, mode="as_coded")
+    return run_medallion(spark, renamed, root, A.T1, mode="as_coded")
+
+
 # --- scalar expressions ---------------------------------------------------------
 
 @query("expr_epoch_ms", O.with_(
@@ -506,7 +536,6 @@ def q_date_format(spark, sf):
 
 
 def _gold_two_runs_sql():
-    from medalake.catalog_silver import scd2_standard_sql
     return O.with_(f"""
 SELECT CAST(o.order_date AS DATE) AS order_date, p.category_id AS category_id, c.name AS category_name,
        i.product_id AS product_id, p.name AS product_name,
@@ -521,12 +550,11 @@ WHERE o.is_active AND i.is_active
 GROUP BY 1, 2, 3, 4, 5""", "products_src", "categories_src")
 
 
-@query("gold_incremental_two_runs", _gold_two_runs_sql())
-def q_gold_incremental(spark, sf):
+def _gold_two_runs(spark, sf, name):
     """Two daily runs: the second merges the changed orders and items into
-    silver, and gold recomputes only the months those changes touch."""
+    silver, and gold counts only those changes. Returns the gold folder."""
     from medalake.plans.gold import gold_job
-    root = shared_dir(spark, "gold_incremental_two_runs")
+    root = shared_dir(spark, name)
     silver, gold = f"{root}/silver", f"{root}/gold"
     cats = A.categories(spark, sf)
     dims = {"products": A.products(spark, sf, cats=cats), "categories": cats}
@@ -539,4 +567,27 @@ def q_gold_incremental(spark, sf):
         silver_job(spark, SPECS[t], dims[t], silver, A.T1)          # refreshed, same content
     for t in ("orders", "order_items"):
         silver_job(spark, SPECS[t], A.second_batch(A.source(spark, sf, t), t), silver, A.T1)
-    return gold_job(spark, silver, gold, as_of=A.T1, incremental=True)
+    gold_job(spark, silver, gold, as_of=A.T1, incremental=True)
+    return gold
+
+
+@query("gold_incremental_two_runs", _gold_two_runs_sql())
+def q_gold_incremental(spark, sf):
+    return read_gold(spark, _gold_two_runs(spark, sf, "gold_incremental_two_runs"))
+
+
+@query("gold_counts_two_runs", O.with_(f"""
+SELECT CAST(o.order_date AS DATE) AS day, i.product_id AS product_id, o.customer_id AS customer_id, count(*) AS n,
+       CAST(coalesce(sum(i.quantity), 0) AS BIGINT) AS units,
+       CAST(coalesce(sum(CAST(i.price AS DECIMAL(12,2)) * i.quantity), 0) AS DOUBLE) AS sales
+FROM ({scd2_standard_sql("orders")}) o JOIN ({scd2_standard_sql("order_items")}) i ON o.order_id = i.order_id
+WHERE o.is_active AND i.is_active
+GROUP BY 1, 2, 3"""))
+def q_gold_counts(spark, sf):
+    """The counts that gold is derived from, after two runs: what the second one added and subtracted leaves just
+    the lines that are active now."""
+    gold = _gold_two_runs(spark, sf, "gold_counts_two_runs")
+    counts = read_months(spark, gold, newest_build(spark, gold).counts, schemas.GOLD_COUNTS)
+    each = counts.groupBy("day", "product_id", "customer_id").agg(
+        F.sum("n").alias("n"), F.sum("units").alias("units"), F.sum("sales").cast("double").alias("sales"))
+    return each.where("n <> 0 OR units <> 0 OR sales <> 0")

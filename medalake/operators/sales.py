@@ -45,6 +45,11 @@ def sales_summary(orders: DataFrame, items: DataFrame, products: DataFrame,
                   F.sum(F.col("price").cast(MONEY) * F.col("quantity")).alias("_sales"),
                   F.count_distinct("customer_id").alias("unique_customers")))
 
+    return with_dimensions(facts, products, categories)
+
+
+def with_dimensions(facts: DataFrame, products: DataFrame, categories: DataFrame) -> DataFrame:
+    """Facts per day and product (units, ``_sales``, customers) with the products' and categories' names."""
     p = products.select("product_id", "category_id", F.col("name").alias("product_name"))
     c = categories.select("category_id", F.col("name").alias("category_name"))
     # categories meet products first: no fact row is ever partitioned by the few category keys

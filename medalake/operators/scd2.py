@@ -20,10 +20,11 @@ rows) passes through untouched.
 All join inputs have one row per key (active rows by the SCD2 invariant, the
 batch by step 1), so a hot key cannot skew a join.
 
-``as_coded`` mode reproduces the reference job step by step, defects
+``as_coded`` mode reproduces the result of the reference job, defects
 included (it keeps only active rows, never re-opens changed keys, compares
-with plain ``!=``; three tables only insert on the first load). It exists for
-parity checks; the step functions are public operators in their own right.
+with plain ``!=``; three tables only insert on the first load), in one pass.
+It exists for parity checks; the reference's steps are public operators in
+their own right.
 """
 
 from __future__ import annotations
@@ -176,19 +177,64 @@ def new_bootstrap_only(incoming: DataFrame, active: DataFrame) -> DataFrame:
             .join(F.broadcast(probe), "_any", "left_anti").drop("_any"))
 
 
+def _repeated(df: DataFrame, n: str) -> DataFrame:
+    """Every row as often as ``n`` says (1 or more), in chunks, so that no array grows with a large ``n``."""
+    chunk, zero, one = 65536, F.lit(0).cast("long"), F.lit(1).cast("long")
+    return (df.withColumn("_chunk", F.explode(F.sequence(zero, F.expr(f"({n} - 1) DIV {chunk}"))))
+            .withColumn("_at", F.explode(F.sequence(one, F.least(F.lit(chunk).cast("long"),
+                                                                 F.col(n) - chunk * F.col("_chunk")))))
+            .drop("_chunk", "_at", n))
+
+
 def scd2_merge_as_coded(current: DataFrame, incoming: DataFrame, spec: TableSpec, as_of) -> DataFrame:
-    keys = list(spec.keys)
-    order = spec.silver_schema.fieldNames()
-    b = stamp(prepare(incoming, spec), as_of, open_end=False)
-    a = current.filter(F.col("is_active") == True)  # noqa: E712  (history dropped, as coded)
-    changed = changed_keys(a, b, keys, spec.compare, null_safe=False)
-    expired = expire(a, changed, keys, as_of)
-    unchanged = subtract_positional(a, expired, order)
-    if spec.new_rows_as_coded == "by_key":
-        new = new_by_key(b, a, keys)
-    else:
-        new = new_bootstrap_only(b, a)
-    return unchanged.unionByName(expired.select(*order)).unionByName(new.select(*order))
+    """The reference's result in one pass over the rows, as a multiset.
+
+    Its steps come down to, for the active rows A and the stamped batch B:
+    each distinct row of A once (the positional difference removes nothing but
+    repeats: an expired copy is inactive, an active row isn't); an expired copy
+    of every row of A, repeats too, whose key has a pair of rows in A and B
+    that differ by plain ``!=`` in a compared column; and the rows of B that
+    are new, by key or only while A is empty.
+
+    Whether a key has such a pair follows from the least and greatest value of
+    each column on both sides: with values on both, none differ only if all
+    four are equal. So the keys are reduced to one row each (map-side combined,
+    a key of very many rows too), and the rows meet that once, counted in place
+    by the partitioning of that join. NULL keys meet nothing and take no part in it."""
+    keys, order = list(spec.keys), spec.silver_schema.fieldNames()
+    b = stamp(prepare(incoming, spec), as_of, open_end=False).select(*order)
+    a = current.filter(F.col("is_active")).select(*order)      # history dropped, as coded
+    by_key = spec.new_rows_as_coded == "by_key"
+    both = a.withColumn("_old", F.lit(True)).unionByName(b.withColumn("_old", F.lit(False)))
+
+    def span(c: str, old: bool) -> list:
+        own = F.when(F.col("_old") == old, F.col(c))
+        return [F.min(own).alias(f"_min_{c}_{old}"), F.max(own).alias(f"_max_{c}_{old}")]
+
+    no_null = ~any_null(keys)
+    spans = both.filter(no_null).groupBy(*keys).agg(
+        F.max("_old").alias("_known"), *[x for c in spec.compare for old in (True, False) for x in span(c, old)])
+    differs = F.lit(False)
+    for c in spec.compare:
+        (low, high), (new_low, new_high) = [(F.col(f"_min_{c}_{o}"), F.col(f"_max_{c}_{o}")) for o in (True, False)]
+        differs = differs | (low.isNotNull() & new_low.isNotNull() & ~((low == high) & (new_low == new_high) & (low == new_low)))
+    spans = spans.select(*keys, "_known", differs.alias("_changed"))
+
+    rows = (both if by_key else both.filter("_old")).filter(no_null).join(spans, keys)
+    counted = rows.groupBy(*order, "_old", "_known", "_changed").agg(F.count(F.lit(1)).alias("_n"))
+    values = [F.col(c) for c in order]
+    closed = [F.lit(False).alias(c) if c == "is_active" else ts_literal(as_of).alias(c) if c == "effective_end_date"
+              else F.col(c) for c in order]
+    one = F.lit(1).cast("long")
+    emit = F.array(
+        F.when(F.col("_old"), F.struct(*values, one.alias("_n"))),
+        F.when(F.col("_old") & F.col("_changed"), F.struct(*closed, F.col("_n"))),
+        F.when(~F.col("_old") & ~F.col("_known"), F.struct(*values, F.col("_n"))))
+    out = _repeated(counted.select(F.inline(F.filter(emit, lambda x: x.isNotNull()))), "_n")
+    out = out.unionByName(a.filter(any_null(keys)).distinct())
+    if by_key:
+        return out.unionByName(b.filter(any_null(keys)))
+    return out.unionByName(new_bootstrap_only(b, a))
 
 
 def merge(current: DataFrame, incoming: DataFrame, spec: TableSpec, as_of,

@@ -38,7 +38,7 @@ FRAGMENTS: dict[str, tuple[tuple[str, ...], str]] = {
                (o_orderstatus <> 'F') AS is_active
         FROM orders"""),
     "items_all": ((), """
-        SELECT (l_orderkey * 10 + l_linenumber) * 1000 + dense_rank() OVER (
+        SELECT (l_orderkey * 1000 + l_linenumber) * 1000 + dense_rank() OVER (
                    PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey) AS order_item_id,
                l_orderkey AS order_id, l_partkey AS product_id, CAST(l_quantity AS BIGINT) AS quantity,
                l_extendedprice AS price, l_shipdate AS updated_at

@@ -1,46 +1,56 @@
 """C8 job: silver -> gold daily sales summary table.
 
-Full mode recomputes every month. Incremental mode (standard SCD2 inputs,
-daily runs) recomputes the months that hold an order or order item opened or
-closed since the last build, however many silver runs that were: the state
-keeps the silver versions that gold has seen, and the touched rows are read
-from the later versions' own files. The dimension columns gold reads are
-fingerprinted; a change there, a whole load of a fact table, or deltas dropped
-by maintenance since the last build fall back to a full rebuild.
-
-The recomputed months are a range filter on ``order_date`` that reaches the
-scan of orders. Order items carry no date, so they are scanned whole, and
-joined to the orders of those months only.
+Full mode derives gold from the silver tables. Incremental mode (standard SCD2
+inputs) keeps it up to date by counting. The state is a table of counts, one
+row per (day, product, customer): how many active order lines, units and
+sales. Rows that silver opened since the last build add to it, rows that it
+closed subtract:
+
+    change = dO x I + O x dI - dO x dI
+
+with O and I the active orders and items now and dO, dI the signed changes, an
+inner join on order_id each. A distinct customer is one whose lines don't
+cancel out. Changes are netted first: a row closed and opened again with the
+same values in the columns that count is no change at all.
+
+A run reads the changed rows from the deltas' own files, the orders and items
+of their bands of order ids (``PartitionFilters`` on both tables), and the
+counts and gold rows of the months it touches, where only the touched (day,
+product) pairs are derived anew. It appends its change to the counts. Dimension
+columns are fingerprinted; if they change, gold is derived again from the
+counts, without the facts. A whole load of a fact table, deltas dropped by
+maintenance, or a missing state make it count everything again.
+
+Counts, gold rows and the silver versions they stand for are published
+together by one rename (``sinks.gold``): a run that dies leaves the last build
+as it was, and the next run takes up from there.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medalake.functions.expressions import ts_literal
-from medalake.operators.sales import sales_summary
+from medalake import schemas
+from medalake.operators.sales import MONEY, sales_summary, with_dimensions
 from medalake.plans.specs import SPECS
-from medalake.session import delete_path, hadoop_fs, list_dir, path_exists
-from medalake.sinks.tables import (GOLD_PARTITION, changes_since, committed_versions, read_gold, read_silver,
-                                   write_gold)
+from medalake.sinks.gold import (Build, newest_build, publish, read_gold, read_months, write_gold,
+                                 write_months)
+from medalake.sinks.tables import bands_in, changes_since, committed_versions, read_silver
+
+SUMS = ("n", "n_units", "units", "n_sales", "sales")
+FACTS = ("orders", "order_items")
 
 
-def read_current(spark: SparkSession, silver_root: str, table: str) -> DataFrame:
-    df = read_silver(spark, f"{silver_root.rstrip('/')}/{table}", SPECS[table].silver_schema)
+def read_current(spark: SparkSession, silver_root: str, table: str, upto: int | None = None,
+                 bands: list[int] | None = None) -> DataFrame:
+    df = read_silver(spark, f"{silver_root.rstrip('/')}/{table}", SPECS[table].silver_schema, upto, bands)
     if df is None:
         raise FileNotFoundError(f"silver table {table} has no committed version under {silver_root}")
     return df
 
 
-def _month(c: str):
-    return F.date_format(F.to_date(c), "yyyy-MM")
-
-
-def dims_fingerprint(products: DataFrame, categories: DataFrame) -> tuple:
+def dims_fingerprint(products: DataFrame, categories: DataFrame) -> list[int]:
     """Order-independent fingerprint of the dimension columns gold uses (one
     small aggregate job per dimension): row count and sums of both halves of
     the rows' hashes. Sums keep repeated rows apart; NULLs are hashed as such."""
@@ -51,87 +61,131 @@ def dims_fingerprint(products: DataFrame, categories: DataFrame) -> tuple:
         r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.shiftrightunsigned(h, 32)).alias("a"),
                    F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF))).alias("b")).first()
         out += [int(r["n"]), int(r["a"] or 0), int(r["b"] or 0)]
-    return tuple(out)
-
-
-def affected_months(orders: DataFrame, touched_orders: DataFrame, touched_items: DataFrame) -> list[str | None]:
-    """Months of the touched orders (old and new rows) and of the orders of
-    touched items; None stands for orders without a date. The result is a set
-    of calendar months, so collecting it is bounded. The semi join's small
-    side is what the runs since the last build wrote."""
-    of_items = (orders.select("order_id", "order_date")
-                .join(touched_items.select("order_id"), "order_id", "left_semi"))
-    dates = touched_orders.select("order_date").unionByName(of_items.select("order_date"))
-    months = [r["m"] for r in dates.select(_month("order_date").alias("m")).distinct().collect()]
-    return sorted(months, key=lambda m: m or "")
+    return out
 
 
-def in_months(months: list[str | None]):
-    """A condition on ``order_date``: one range for each run of adjoining months, so that it can be pushed down."""
-    def at(n: int) -> dt.datetime:
-        return dt.datetime(n // 12, n % 12 + 1, 1)
+# --- counts -------------------------------------------------------------------------
 
-    found = F.col("order_date").isNull() if None in months else F.lit(False)
-    runs: list[list[int]] = []
-    for n in sorted(int(m[:4]) * 12 + int(m[5:]) - 1 for m in months if m is not None):
-        if runs and runs[-1][1] == n:
-            runs[-1][1] = n + 1
-        else:
-            runs.append([n, n + 1])
-    for first, end in runs:
-        found = found | ((F.col("order_date") >= ts_literal(at(first))) & (F.col("order_date") < ts_literal(at(end))))
-    return found
+def _signed(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows opened and closed, netted by the columns that count: ``sign`` is how often a row came or, below 0, went."""
+    return (df.groupBy(*columns).agg(F.sum(F.when(F.col("is_active"), 1).otherwise(-1)).alias("sign"))
+            .where("sign <> 0"))
 
 
-def _newest(spark: SparkSession, silver_root: str, table: str) -> int:
-    return max(committed_versions(spark, f"{silver_root.rstrip('/')}/{table}"), default=0)
+def _lines(orders: DataFrame, items: DataFrame, weight) -> DataFrame:
+    """Order lines, each with ``n`` = how often it counts."""
+    return orders.join(items, "order_id").select(
+        F.to_date("order_date").alias("day"), "product_id", "customer_id", "quantity",
+        (F.col("price").cast(MONEY) * F.col("quantity")).alias("amount"), weight.cast("long").alias("n"))
 
 
-def _changes(spark: SparkSession, silver_root: str, table: str, since: int) -> DataFrame | None:
-    return changes_since(spark, f"{silver_root.rstrip('/')}/{table}", SPECS[table].silver_schema, since)
+def _counted(lines: DataFrame) -> DataFrame:
+    """Lines summed by day, product and customer; how many values were not NULL is kept, as a sum of none is NULL."""
+    def value(c):
+        return F.coalesce(F.col(c), F.lit(0))
 
+    def known(c):
+        return F.when(F.col(c).isNotNull(), F.col("n")).otherwise(0)
 
-def _state_path(gold_dir: str) -> str:
-    return f"{gold_dir.rstrip('/')}/_state"
+    return lines.groupBy("day", "product_id", "customer_id").agg(
+        F.sum("n").alias("n"), F.sum(known("quantity")).alias("n_units"),
+        F.sum(value("quantity") * F.col("n")).alias("units"), F.sum(known("amount")).alias("n_sales"),
+        F.sum((value("amount") * F.col("n")).cast("decimal(30,2)")).cast("decimal(38,2)").alias("sales"))
 
 
-def _read_state(spark: SparkSession, gold_dir: str) -> tuple | None:
-    if not path_exists(spark, f"{_state_path(gold_dir)}/_SUCCESS"):
-        return None
-    return tuple(spark.read.parquet(_state_path(gold_dir)).orderBy("i").select("v").toPandas()["v"])
-
-
-def _write_state(spark: SparkSession, gold_dir: str, fingerprint: tuple) -> None:
-    rows = list(enumerate(fingerprint))
-    spark.createDataFrame(rows, "i int, v long").coalesce(1).write.mode("overwrite").parquet(_state_path(gold_dir))
+ORDER_COLUMNS = ["order_id", "order_date", "customer_id"]
+ITEM_COLUMNS = ["order_id", "product_id", "quantity", "price"]
 
 
-NULL_MONTH = "__HIVE_DEFAULT_PARTITION__"    # Spark's folder name of a NULL partition value
+def counts(orders: DataFrame, items: DataFrame) -> DataFrame:
+    """The counts of all active order lines."""
+    return _counted(_lines(orders.filter("is_active").select(*ORDER_COLUMNS),
+                           items.filter("is_active").select(*ITEM_COLUMNS), F.lit(1)))
 
 
-def _months_in(spark: SparkSession, table_dir: str) -> set[str]:
-    prefix = f"{GOLD_PARTITION}="
-    return {n[len(prefix):] for n in list_dir(spark, table_dir) if n.startswith(prefix)}
-
-
-def _replace_months(spark: SparkSession, df: DataFrame, gold_dir: str, months: list[str] | None) -> None:
-    """Write the recomputed months to a staging folder, then swap each month's
-    partition folder in by rename; months left without rows are removed.
-    ``months=None`` replaces the whole table (existing and new months)."""
-    staging = f"{gold_dir.rstrip('/')}/_staging/{uuid.uuid4().hex[:12]}"
-    write_gold(df, staging, "overwrite")
-    if months is None:
-        months = sorted(_months_in(spark, gold_dir) | _months_in(spark, staging))
-    fs, _ = hadoop_fs(spark, staging)
-    Path = spark._jvm.org.apache.hadoop.fs.Path
-    for m in (NULL_MONTH if m is None else m for m in months):
-        target = f"{gold_dir.rstrip('/')}/{GOLD_PARTITION}={m}"
-        source = f"{staging}/{GOLD_PARTITION}={m}"
-        if path_exists(spark, target):
-            delete_path(spark, target)
-        if path_exists(spark, source) and not fs.rename(Path(source), Path(target)):
-            raise IOError(f"could not publish gold month {m}")
-    delete_path(spark, staging)
+def changed_counts(spark: SparkSession, silver_root: str, since: dict, seen: dict) -> DataFrame | None:
+    """What the silver versions after ``since`` up to ``seen`` add to the counts; None where they can't tell."""
+    deltas = [changes_since(spark, f"{silver_root.rstrip('/')}/{t}", SPECS[t].silver_schema, since[t], seen[t])
+              for t in FACTS]
+    if any(d is None for d in deltas):
+        return None
+    d_orders, d_items = (_signed(d, c) for d, c in zip(deltas, (ORDER_COLUMNS, ITEM_COLUMNS)))
+    orders, items = (read_current(spark, silver_root, t, seen[t], bands_in(d, SPECS[t].silver_schema))
+                     .filter("is_active").select(*c)
+                     for t, d, c in zip(FACTS, (d_items, d_orders), (ORDER_COLUMNS, ITEM_COLUMNS)))
+    both = _lines(d_orders.withColumnRenamed("sign", "s"), d_items, -F.col("s") * F.col("sign"))
+    found = (_lines(d_orders, items, F.col("sign")).unionByName(_lines(orders, d_items, F.col("sign")))
+             .unionByName(both))
+    return _counted(found).where(" OR ".join(f"{c} <> 0" for c in SUMS))
+
+
+def summary_of(counted: DataFrame, products: DataFrame, categories: DataFrame) -> DataFrame:
+    """Gold rows of counts: (day, product) pairs with lines left, customers whose lines don't cancel out."""
+    each = counted.groupBy("day", "product_id", "customer_id").agg(*[F.sum(c).alias(c) for c in SUMS])
+    facts = each.groupBy("day", "product_id").agg(
+        *[F.sum(c).alias(c) for c in SUMS],
+        F.count(F.when(F.col("n") > 0, F.col("customer_id"))).alias("unique_customers")).where("n > 0")
+    return with_dimensions(facts.select(
+        F.col("day").alias("order_date"), "product_id",
+        F.when(F.col("n_units") > 0, F.col("units")).alias("total_units_sold"),
+        F.when(F.col("n_sales") > 0, F.col("sales")).alias("_sales"), "unique_customers"), products, categories)
+
+
+def _touching(df: DataFrame, touched: DataFrame, day: str, how: str) -> DataFrame:
+    return df.join(touched, df[day].eqNullSafe(touched["t_day"]) & (df["product_id"] == touched["t_product"]), how)
+
+
+def _incremental(spark: SparkSession, silver_root: str, gold_dir: str, products: DataFrame,
+                 categories: DataFrame) -> None:
+    old = newest_build(spark, gold_dir)
+    # noted before the tables are read, and read up to there: a version committed meanwhile is left to the next run
+    seen = {t: max(committed_versions(spark, f"{silver_root.rstrip('/')}/{t}"), default=0) for t in FACTS}
+    state = {"dims": dims_fingerprint(products, categories), **seen}
+    if old.state == state:
+        return
+    change = changed_counts(spark, silver_root, old.state, seen) if old.state else None
+    new = Build(old.number + 1, counts=dict(old.counts), state=state)
+
+    def write(df: DataFrame) -> dict:
+        return write_months(df, spark, gold_dir, "counts", "day")
+
+    if change is None:
+        new.counts = write(counts(*(read_current(spark, silver_root, t, seen[t]) for t in FACTS)))
+    else:
+        added = write(change)
+        for month, folders in added.items():
+            new.counts[month] = new.counts.get(month, []) + folders
+    if change is None or old.state["dims"] != state["dims"]:
+        rows = summary_of(read_months(spark, gold_dir, new.counts, schemas.GOLD_COUNTS), products, categories)
+        new.gold = write_months(rows, spark, gold_dir, "gold", "order_date")
+    else:
+        new.gold = dict(old.gold)
+        if added:
+            months = list(added)
+            touched = read_months(spark, gold_dir, added, schemas.GOLD_COUNTS).select(
+                F.col("day").alias("t_day"), F.col("product_id").alias("t_product")).distinct()
+            counted = read_months(spark, gold_dir, new.counts, schemas.GOLD_COUNTS, months)
+            stay = _touching(read_months(spark, gold_dir, old.gold, schemas.GOLD_SALES, months), touched,
+                             "order_date", "left_anti")
+            rows = summary_of(_touching(counted, touched, "day", "left_semi"), products, categories)
+            written = write_months(stay.unionByName(rows), spark, gold_dir, "gold", "order_date")
+            for month in months:
+                new.gold.pop(month, None)
+            new.gold |= written
+    publish(spark, gold_dir, new)
+
+
+def maintain_gold(spark: SparkSession, gold_dir: str) -> None:
+    """Write the counts of months that lie in several folders as one folder, without what has cancelled out."""
+    old = newest_build(spark, gold_dir)
+    months = [m for m, folders in old.counts.items() if len(folders) > 1]
+    if months:
+        each = read_months(spark, gold_dir, old.counts, schemas.GOLD_COUNTS, months).groupBy(
+            "day", "product_id", "customer_id").agg(*[F.sum(c).alias(c) for c in SUMS])
+        kept = {m: f for m, f in old.counts.items() if m not in months}
+        merged = write_months(each.where(" OR ".join(f"{c} <> 0" for c in SUMS)).select(
+            *schemas.GOLD_COUNTS.fieldNames()), spark, gold_dir, "counts", "day")
+        publish(spark, gold_dir, Build(old.number + 1, old.gold, kept | merged, old.state))
 
 
 def gold_job(spark: SparkSession, silver_root: str, gold_dir: str, mode: str = "standard",
@@ -140,52 +194,16 @@ def gold_job(spark: SparkSession, silver_root: str, gold_dir: str, mode: str = "
     """Standard: every SCD2 input restricted to its current versions (D11) and
     an idempotent per-month overwrite. ``as_coded``: orders' flag only, append.
 
-    ``incremental=True`` (standard mode, with the run's ``as_of``) recomputes
-    only the months changed since the last build when the dimensions are the
-    same, otherwise rebuilds everything.
+    ``incremental=True`` (standard mode) brings gold up to date by counting.
     ``exclude_quarantined`` leaves out flagged products and categories."""
-    # noted before the tables are read: a version committed meanwhile is taken again by the next run
-    seen = (_newest(spark, silver_root, "orders"), _newest(spark, silver_root, "order_items"))
-    orders = read_current(spark, silver_root, "orders")
-    items = read_current(spark, silver_root, "order_items")
     products = read_current(spark, silver_root, "products")
     categories = read_current(spark, silver_root, "categories")
     if exclude_quarantined:
         products, categories = (d.filter(~F.coalesce("is_quarantined", F.lit(False))) for d in (products, categories))
-    standard = mode == "standard"
-    if standard and incremental and as_of is not None:
-        dims = dims_fingerprint(products, categories)
-        fp = (*dims, *seen)
-        state = _read_state(spark, gold_dir)
-        touched = [None]
-        if state is not None and len(state) == len(fp) and state[:-2] == dims:
-            touched = [_changes(spark, silver_root, t, v) for t, v in zip(("orders", "order_items"), state[-2:])]
-        if all(df is not None for df in touched):
-            months = affected_months(orders, *touched) if state[-2:] != seen else []
-            if months:
-                # the state is withdrawn while months are swapped: a run that
-                # dies half way leaves no state, so the next run rebuilds fully
-                delete_path(spark, _state_path(gold_dir))
-                part = orders.filter(in_months(months))
-                _replace_months(spark, sales_summary(part, items, products, categories,
-                                                     active_items_only=True), gold_dir, months)
-            if state != fp:
-                _write_state(spark, gold_dir, fp)
-            return read_gold(spark, gold_dir)
-        # full rebuild (first build or changed dimensions), then record the
-        # dimension fingerprint it was built from; a new table is written
-        # directly, an existing one is swapped month by month
-        full = sales_summary(orders, items, products, categories, active_items_only=True)
-        if path_exists(spark, _state_path(gold_dir)):
-            delete_path(spark, _state_path(gold_dir))
-        if _months_in(spark, gold_dir):
-            _replace_months(spark, full, gold_dir, None)
-        else:
-            write_gold(full, gold_dir, "overwrite")
-        _write_state(spark, gold_dir, fp)
-        return read_gold(spark, gold_dir)
-    df = sales_summary(orders, items, products, categories, active_items_only=standard)
-    write_gold(df, gold_dir, write_mode if standard else "append")
-    if path_exists(spark, _state_path(gold_dir)):
-        delete_path(spark, _state_path(gold_dir))    # a later incremental run rebuilds first
+    if mode == "standard" and incremental:
+        _incremental(spark, silver_root, gold_dir, products, categories)
+    else:
+        orders, items = (read_current(spark, silver_root, t) for t in FACTS)
+        df = sales_summary(orders, items, products, categories, active_items_only=mode == "standard")
+        write_gold(df, spark, gold_dir, write_mode if mode == "standard" else "append")
     return read_gold(spark, gold_dir)

@@ -4,7 +4,7 @@ Per active config row: look up the high-watermark (incremental loads),
 extract (a filter the source can push down), land the batch as JSON with a
 distributed write, count and measure it while writing (an ``Observation``:
 only two scalars reach the driver), append the audit row, then archive the previous
-batches of the table. A failing table is logged as ERROR and the next one
+batches of the table (as coded: first of all). A failing table is logged as ERROR and the next one
 runs. The loop runs over the config relation (one row per table), i.e. over
 the control plane; each iteration is a set of Spark jobs over the data.
 """
@@ -25,6 +25,7 @@ from medalake.functions.expressions import DEFAULT_WATERMARK, normalized_load_ty
 from medalake.session import concurrently, hadoop_fs, list_dir
 from medalake.sinks import landing as K
 from medalake.sinks.tables import write_table
+from medalake.sources.json_array import read_payload_files
 
 #: Two jobs must not commit into one folder at a time: each commit clears the folder's temporary files.
 _AUDIT_LOCK = threading.Lock()
@@ -142,73 +143,37 @@ def archive_landed(spark: SparkSession, landing_root: str, archive_root: str, ta
                    keep: set[str] = frozenset(), log: RunLog | None = None,
                    only: set[str] | None = None) -> int:
     """Move landed batches of ``table`` (except ``keep``; with ``only``, no others) to
-    ``archive/<table>/year=/month=/day=`` by the date in the batch name.
-
-    A move, not a copy through Spark: each part file is renamed into the day
-    folder (metadata-only on HDFS, a server-side copy on object stores), so no
-    row passes through the cluster or the driver. A batch is first claimed by
-    one directory rename into ``_archiving/``. A fresh claim replaces that
-    day's archived copy of the batch (a same-day rerun). Claims left by an
-    interrupted run are completed first, without deleting what they already
-    moved."""
+    ``archive/<table>/year=/month=/day=/batch=`` by the date in the batch name.
+
+    A batch is a folder, and one rename moves it whole (metadata-only on HDFS):
+    no row passes through the cluster or the driver, and the driver's calls per
+    batch don't depend on its files. A batch archived before under the same
+    name (a same-day rerun) is replaced. A run that dies before the rename
+    leaves the batch in the landing area, and the next run archives it."""
     fs, base = hadoop_fs(spark, f"{landing_root.rstrip('/')}/{table}")
     Path = spark._jvm.org.apache.hadoop.fs.Path
-    claims = Path(base, "_archiving")
-
-    def dest_of(b: str):
-        d = batch_day(b)
-        dest = Path(f"{archive_root.rstrip('/')}/{table}/year={d:%Y}/month={d:%m}/day={d:%d}")
-        fs.mkdirs(dest)
-        return dest
-
-    def move_files(claim, dest, b: str) -> None:
-        for f in fs.listStatus(claim):
-            name = f.getPath().getName()
-            if name.startswith(("_", ".")):
-                continue
-            target = Path(dest, b[:-len(".json")] + "-" + name)
-            if fs.exists(target):
-                fs.delete(target, False)
-            if not fs.rename(f.getPath(), target):
-                raise IOError(f"could not archive {f.getPath()}")
-        fs.delete(claim, True)
-
-    # 1. finish claims of an interrupted run
-    if fs.exists(claims):
-        for st in fs.listStatus(claims):
-            b = st.getPath().getName()
-            move_files(st.getPath(), dest_of(b), b)
-        fs.delete(claims, True)
-    # 2. claim and move the batches landed since
     batches = [n for n in list_dir(spark, str(base))
                if n.startswith(f"{table}_") and n.endswith(".json") and n not in keep
                and (only is None or n in only)]
-    if not batches:
-        if log:
-            log.event("INFO", f"{table}: nothing to archive", table)
-        return 0
-    fs.mkdirs(claims)
+    if not batches and log:
+        log.event("INFO", f"{table}: nothing to archive", table)
     for b in batches:
-        claim = Path(claims, b)
-        if not fs.rename(Path(base, b), claim):
-            raise IOError(f"could not claim {b} for archiving")
-        dest = dest_of(b)
-        prefix = b[:-len(".json")] + "-"
-        for old in fs.listStatus(dest):          # same-day rerun: replace the archived copy
-            if old.getPath().getName().startswith(prefix):
-                fs.delete(old.getPath(), False)
-        move_files(claim, dest, b)
+        day = Path(f"{archive_root.rstrip('/')}/{table}/year={batch_day(b):%Y}/month={batch_day(b):%m}/day={batch_day(b):%d}")
+        target = Path(day, f"batch={b}")
+        fs.mkdirs(day)
+        fs.delete(target, True)
+        if not fs.rename(Path(base, b), target):
+            raise IOError(f"could not archive {b}")
         if log:
             log.event("INFO", f"{table}: archived batch {b}", table)
-    fs.delete(claims, True)
     return len(batches)
 
 
 def read_archive(spark: SparkSession, archive_root: str, table: str) -> DataFrame:
     schema = StructType(list(schemas.BRONZE[table].fields))   # copy: add() mutates
-    for c in ("year", "month", "day"):
+    for c in ("year", "month", "day", "batch"):
         schema = schema.add(c, "string")
-    return spark.read.schema(schema).json(f"{archive_root.rstrip('/')}/{table}")
+    return spark.read.schema(schema).json(f"{archive_root.rstrip('/')}/{table}").drop("batch")
 
 
 # --- C1 / C2: ingestion ---------------------------------------------------------
@@ -225,11 +190,14 @@ def ingest_table(spark: SparkSession, source: DataFrame, cfg: dict, paths: LakeP
                  as_of: dt.datetime, log: RunLog, as_coded_watermark: bool = False,
                  archive_unmerged: bool = False) -> dict:
     """Land one table. Earlier batches are archived once the ledger says that silver has committed them;
-    ``archive_unmerged`` archives them regardless, as the reference does."""
+    ``archive_unmerged`` archives them regardless, and before the extraction, as the reference does: the landing
+    area then holds just this run's batch."""
     table = cfg["tablename"]
     mode = load_mode(cfg.get("loadtype"))
     wcol = cfg.get("watermark") or None
     last = None
+    if archive_unmerged:
+        archive_landed(spark, paths.landing, paths.archive, table, log=log)
     if mode == "incremental":
         last = lookup_watermark(spark, paths.audit, table,
                                 None if as_coded_watermark else cfg.get("datasource"), as_coded_watermark)
@@ -250,14 +218,18 @@ def ingest_table(spark: SparkSession, source: DataFrame, cfg: dict, paths: LakeP
     with _AUDIT_LOCK:
         write_table(spark.createDataFrame(audit_row, schemas.AUDIT), paths.audit, "append")
     log.event("SUCCESS", f"{table}: audit row written", table)
-    archive_landed(spark, paths.landing, paths.archive, table, keep={landed.rsplit('/', 1)[-1]}, log=log,
-                   only=None if archive_unmerged else K.merged_batches(spark, paths.landing, table))
+    if not archive_unmerged:
+        archive_landed(spark, paths.landing, paths.archive, table, keep={landed.rsplit('/', 1)[-1]}, log=log,
+                       only=K.merged_batches(spark, paths.landing, table))
     return {"tablename": table, "record_count": n, "high_watermark": high}
 
 
 def ingest_all(spark: SparkSession, config: DataFrame, sources: SourceFn, paths: LakePaths,
-               as_of: dt.datetime, log: RunLog | None = None, parallel: int = 4) -> RunLog:
-    """Every active config row, ``parallel`` tables at a time; one failure does not stop the rest."""
+               as_of: dt.datetime, log: RunLog | None = None, parallel: int = 4, as_coded: bool = False) -> RunLog:
+    """Every active config row, ``parallel`` tables at a time; one failure does not stop the rest.
+
+    ``as_coded``: the reference's watermark (the newest load time of any row of that name) and its order, archive
+    before extraction."""
     log = log or RunLog(as_of)
     rows = [r.asDict() for r in config.collect()]   # one row per table (control plane)
     log.event("INFO", f"config: {len(rows)} rows")
@@ -265,7 +237,7 @@ def ingest_all(spark: SparkSession, config: DataFrame, sources: SourceFn, paths:
     def one(cfg: dict) -> RunLog:
         table, own = cfg["tablename"], RunLog(as_of)
         try:
-            ingest_table(spark, sources(table), cfg, paths, as_of, own)
+            ingest_table(spark, sources(table), cfg, paths, as_of, own, as_coded, as_coded)
         except Exception as e:  # noqa: BLE001  (the reference isolates failures per table)
             own.event("ERROR", f"{table}: failed with {type(e).__name__}: {e}", table)
         return own
@@ -280,10 +252,11 @@ def land_reviews_batch(spark: SparkSession, payload_path: str, landing_root: str
                        as_of: dt.datetime, log: RunLog | None = None) -> int:
     """Saved reviews payload -> dated parquet landing; returns the record count.
 
-    Takes JSON lines and JSON arrays. Raises when the payload cannot be read or
-    holds a malformed record (the reference exits with success). The count is
-    observed during the write."""
-    payload = K.read_payload(spark, payload_path, multi_line=K.is_json_array(spark, payload_path))
+    Takes files of JSON lines and of one JSON array each, a large array in
+    several tasks. Raises when the payload cannot be read or holds a malformed
+    record (the reference exits with success). The count is observed during
+    the write."""
+    payload = read_payload_files(spark, payload_path, schemas.REVIEWS)
     obs = Observation("landed_reviews")
     K.land_reviews(payload.observe(obs, F.count(F.lit(1)).alias("n")), landing_root, as_of)
     n = int(obs.get.get("n") or 0)

@@ -28,7 +28,7 @@ def run_medallion(spark: SparkSession, sources, root: str, as_of: dt.datetime,
     config = config if config is not None else config_frame(spark)
     active = {r["tablename"] for r in config.filter("is_active = '1'").select("tablename").collect()}
     try:
-        ingest_all(spark, config, sources, paths, as_of, log)
+        ingest_all(spark, config, sources, paths, as_of, log, as_coded=mode == "as_coded")
         if reviews_payload:
             land_reviews_batch(spark, reviews_payload, paths.landing, as_of, log)
         silver_root = f"{root.rstrip('/')}/silver"

@@ -8,7 +8,7 @@ in the landing JSON.
 
 from __future__ import annotations
 
-from pyspark.sql.types import (BooleanType, DateType, DoubleType, LongType,
+from pyspark.sql.types import (BooleanType, DateType, DecimalType, DoubleType, LongType,
                                StringType, StructField, StructType,
                                TimestampNTZType)
 
@@ -73,6 +73,10 @@ GOLD_SALES = struct(("order_date", DT), ("category_id", L), ("category_name", S)
                     ("product_id", L), ("product_name", S), ("total_units_sold", L),
                     ("total_sales", D), ("unique_customers", L))
 
+#: What gold is counted from: order lines, units and sales per day, product and customer (of several folders: added).
+GOLD_COUNTS = struct(("day", DT), ("product_id", L), ("customer_id", L), ("n", L), ("n_units", L), ("units", L),
+                     ("n_sales", L), ("sales", DecimalType(38, 2)))
+
 CONFIG = struct(("database", S), ("datasource", S), ("tablename", S), ("loadtype", S),
                 ("watermark", S), ("is_active", S), ("targetpath", S))
 

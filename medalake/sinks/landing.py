@@ -95,9 +95,3 @@ def read_payload(spark: SparkSession, path: str, multi_line: bool = False) -> Da
     no JSON object of this shape fails the read instead of becoming NULLs."""
     return (spark.read.schema(schemas.REVIEWS).option("multiLine", multi_line)
             .option("mode", "FAILFAST").json(path))
-
-
-def is_json_array(spark: SparkSession, path: str) -> bool:
-    """Whether the payload's first non-blank line opens an array (the feed's own form)."""
-    first = spark.read.text(path).where(F.trim("value") != "").limit(1).collect()
-    return bool(first) and first[0]["value"].lstrip().startswith("[")

@@ -1,4 +1,4 @@
-"""K7/K8/K9: silver and gold table sinks.
+"""K7/K8: silver table sinks.
 
 Silver tables are versioned and never overwrite what a run reads. Each run
 writes one version folder, partitioned by ``is_active``:
@@ -17,12 +17,22 @@ files are small. A failed run leaves the previous version current. This
 replaces the reference's overwrite of the folder being read (which loses the
 table).
 
-Gold is partitioned by the month of ``order_date`` and written with dynamic
-partition overwrite, so a rerun replaces exactly the months it produces.
+A version written for a stream's micro-batch carries the stream's id and the
+epoch in its name, so both are committed in one step: a replayed epoch is told
+by ``committed_epoch`` and writes nothing. Retention keeps each stream's newest.
+
+Bands: a table whose schema names a band column (orders and their items, both
+by ``order_id``) is also partitioned by that id divided by the band's size. The
+band follows from a row's own key, so a row never waits for another table,
+and both tables are cut at the same ids. A reader that knows which ids it
+needs passes their bands, and only those folders are scanned
+(``PartitionFilters``): new orders have neighbouring ids, so a day's batch
+falls into few bands.
 """
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 from typing import NamedTuple
 
@@ -30,17 +40,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from medalake import schemas
-from medalake.session import delete_path, list_dir, path_exists
+from medalake.session import delete_path, list_dir
 
 DELTA_PREFIX, SNAPSHOT_PREFIX, COMPACTION_PREFIX = "ver_", "snap_", "comp_"
-VERSION_COLUMN = "_version"
+VERSION_COLUMN, BAND_COLUMN = "_version", "_band"
+_NAME = re.compile(f"({DELTA_PREFIX}|{SNAPSHOT_PREFIX}|{COMPACTION_PREFIX})(\\d+)(?:--([0-9a-f-]+)@(\\d+))?")
+
+
+class Delivery(NamedTuple):
+    """A micro-batch of a stream."""
+    stream: str     # the streaming query's id, as its checkpoint keeps it (hex digits and dashes)
+    epoch: int
 
 
 class Version(NamedTuple):
     number: int
     prefix: str
     name: str
+    flags: frozenset      # the is_active folders it has
+    delivery: Delivery | None = None
 
     @property
     def snapshot(self) -> bool:
@@ -48,14 +66,23 @@ class Version(NamedTuple):
         return self.prefix != DELTA_PREFIX
 
 
-def versions(spark: SparkSession, table_dir: str) -> list[Version]:
-    """Committed versions, oldest first."""
+def versions(spark: SparkSession, table_dir: str, upto: int | None = None) -> list[Version]:
+    """Committed versions, oldest first, up to number ``upto``. Each folder is listed once."""
     out = []
     for name in list_dir(spark, table_dir):
-        for prefix in (DELTA_PREFIX, SNAPSHOT_PREFIX, COMPACTION_PREFIX):
-            if name.startswith(prefix) and path_exists(spark, f"{table_dir}/{name}/_SUCCESS"):
-                out.append(Version(int(name[len(prefix):]), prefix, name))
-    return sorted(out)
+        m = _NAME.fullmatch(name)
+        if m and (upto is None or int(m[2]) <= upto):
+            held = list_dir(spark, f"{table_dir}/{name}")
+            if "_SUCCESS" in held:
+                flags = frozenset(f for f in (True, False) if f"is_active={str(f).lower()}" in held)
+                out.append(Version(int(m[2]), m[1], name, flags, Delivery(m[3], int(m[4])) if m[3] else None))
+    return sorted(out, key=lambda v: (v.number, v.prefix))
+
+
+def committed_epoch(spark: SparkSession, table_dir: str, stream: str) -> int:
+    """The newest epoch of a stream that a version holds; -1 before the first."""
+    return max((v.delivery.epoch for v in versions(spark, table_dir) if v.delivery and v.delivery.stream == stream),
+               default=-1)
 
 
 def committed_versions(spark: SparkSession, table_dir: str) -> list[int]:
@@ -72,15 +99,38 @@ def deltas_since_snapshot(spark: SparkSession, table_dir: str) -> int:
     return len(_chain(versions(spark, table_dir))) - 1
 
 
+def band_of(schema: StructType) -> tuple[str, int] | None:
+    """The band column of a silver schema and the ids in a band, as its field metadata say."""
+    return next(((f.name, f.metadata["band"]) for f in schema.fields if f.metadata.get("band")), None)
+
+
+def band(schema: StructType):
+    """The band of a row: its id divided by the band's size, rounded down."""
+    name, size = band_of(schema)
+    return F.expr(f"({name} - pmod({name}, {size})) DIV {size}")
+
+
+def bands_in(df: DataFrame, schema: StructType) -> list[int]:
+    """The bands that rows of ``df`` fall into. They are folders of the table, so their number is bounded."""
+    return sorted(r[0] for r in df.select(band(schema).alias("b")).where("b IS NOT NULL").distinct().collect())
+
+
 def _read_flag(spark: SparkSession, table_dir: str, vs: list[Version], schema: StructType,
-               flag: bool) -> DataFrame | None:
+               flag: bool, bands: list[int] | None = None) -> DataFrame | None:
     """Rows that the versions ``vs`` opened (``flag``) or closed, with their version; None without any."""
-    paths = [f"{table_dir}/{v.name}/is_active={str(flag).lower()}" for v in vs]
-    paths = [p for p in paths if path_exists(spark, p)]
+    paths = [f"{table_dir}/{v.name}/is_active={str(flag).lower()}" for v in vs if flag in v.flags]
     if not paths:
         return None
     stored = StructType([f for f in schema.fields if f.name != "is_active"]).add(VERSION_COLUMN, "long")
-    return spark.read.schema(stored).parquet(*paths).withColumn("is_active", F.lit(flag))
+    if band_of(schema):
+        stored = stored.add(BAND_COLUMN, "long")
+    # every version is a root of its own, whose sub-folders are bands
+    parts = [spark.read.schema(stored).parquet(p) for p in paths] if band_of(schema) else \
+        [spark.read.schema(stored).parquet(*paths)]
+    df = reduce(DataFrame.unionByName, parts)
+    if bands is not None:
+        df = df.filter(F.col(BAND_COLUMN).isin(bands) if bands else F.lit(False))
+    return df.withColumn("is_active", F.lit(flag))
 
 
 def _union(spark: SparkSession, parts: list[DataFrame | None], schema: StructType) -> DataFrame:
@@ -88,15 +138,16 @@ def _union(spark: SparkSession, parts: list[DataFrame | None], schema: StructTyp
     return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], schema)
 
 
-def read_silver(spark: SparkSession, table_dir: str, schema: StructType) -> DataFrame | None:
-    """The current table, or None when it has no committed version yet. The
-    keys are the fields of ``schema`` whose metadata say so."""
-    chain = _chain(versions(spark, table_dir))
+def read_silver(spark: SparkSession, table_dir: str, schema: StructType, upto: int | None = None,
+                bands: list[int] | None = None) -> DataFrame | None:
+    """The table as of version ``upto`` (default: the newest), or None when it has no committed version yet; with
+    ``bands``, just the rows in those. The keys are the fields of ``schema`` whose metadata say so."""
+    chain = _chain(versions(spark, table_dir, upto))
     if not chain:
         return None
-    opened = _read_flag(spark, table_dir, chain, schema, True)
-    closed = _read_flag(spark, table_dir, chain, schema, False)
-    ended = _read_flag(spark, table_dir, chain[1:], schema, False)
+    opened = _read_flag(spark, table_dir, chain, schema, True, bands)
+    closed = _read_flag(spark, table_dir, chain, schema, False, bands)
+    ended = _read_flag(spark, table_dir, chain[1:], schema, False, bands)
     if opened is not None and ended is not None:
         same = [f.name for f in schema.fields if f.metadata.get("key")] + ["effective_start_date"]
         ended = ended.select(*[F.col(c).alias(f"ended_{c}") for c in (*same, VERSION_COLUMN)])
@@ -106,11 +157,13 @@ def read_silver(spark: SparkSession, table_dir: str, schema: StructType) -> Data
     return _union(spark, [opened, closed], schema)
 
 
-def changes_since(spark: SparkSession, table_dir: str, schema: StructType, number: int) -> DataFrame | None:
-    """Rows opened or closed by the versions after ``number``; None where the
+def changes_since(spark: SparkSession, table_dir: str, schema: StructType, number: int,
+                  upto: int | None = None) -> DataFrame | None:
+    """Rows opened or closed by the versions after ``number`` up to ``upto``; None where the
     versions kept can't tell (a whole load since, or deltas already dropped)."""
-    later = [v for v in versions(spark, table_dir) if v.number > number]
-    newest = max(committed_versions(spark, table_dir), default=0)
+    known = versions(spark, table_dir, upto)
+    later = [v for v in known if v.number > number]
+    newest = max((v.number for v in known), default=0)
     if (number > newest or len({v.number for v in later}) != newest - number
             or any(v.prefix == SNAPSHOT_PREFIX for v in later)):
         return None
@@ -118,51 +171,33 @@ def changes_since(spark: SparkSession, table_dir: str, schema: StructType, numbe
     return _union(spark, [_read_flag(spark, table_dir, deltas, schema, f) for f in (True, False)], schema)
 
 
-def write_silver_version(df: DataFrame, spark: SparkSession, table_dir: str,
-                         prefix: str = SNAPSHOT_PREFIX) -> str:
+def write_silver_version(df: DataFrame, spark: SparkSession, table_dir: str, schema: StructType,
+                         prefix: str = SNAPSHOT_PREFIX, delivery: Delivery | None = None) -> str:
     """Write the next version: the whole table, or with ``DELTA_PREFIX`` the
     rows opened and closed by this run."""
     vs = versions(spark, table_dir)
     n = (vs[-1].number + 1) if vs else 1
-    path = f"{table_dir}/{prefix}{n:010d}"
+    path = f"{table_dir}/{prefix}{n:010d}" + (f"--{delivery.stream}@{delivery.epoch}" if delivery else "")
+    by = ["is_active"]
+    df = df.withColumn(VERSION_COLUMN, F.lit(n).cast("long"))
+    if band_of(schema):
+        # rows of a band meet in few tasks, so that a band gets few files; a large band is split by AQE
+        by.append(BAND_COLUMN)
+        df = df.withColumn(BAND_COLUMN, band(schema)).hint("rebalance", *by)
     # a fresh folder: static mode, so the job commit leaves _SUCCESS at its root
-    (df.withColumn(VERSION_COLUMN, F.lit(n).cast("long")).write.mode("overwrite")
-     .option("partitionOverwriteMode", "static").partitionBy("is_active").parquet(path))
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*by).parquet(path)
     return path
 
 
 def vacuum_silver(spark: SparkSession, table_dir: str) -> int:
     """Retention: versions older than the second-newest whole version are
-    dropped, so a reader still on the previous chain keeps its files. Returns
-    the number of folders removed."""
+    dropped, so a reader still on the previous chain keeps its files; the
+    newest one of every stream stays. Returns the number of folders removed."""
     vs = versions(spark, table_dir)
     whole = [i for i, v in enumerate(vs) if v.snapshot]
     cut = whole[-2] if len(whole) >= 2 else 0
-    return sum(delete_path(spark, f"{table_dir}/{v.name}") for v in vs[:cut])
-
-
-GOLD_PARTITION = "order_month"
-
-
-def write_gold(df: DataFrame, table_dir: str, mode: str = "overwrite") -> None:
-    """K9: partitioned by month of ``order_date``; ``overwrite`` replaces only
-    the months produced (dynamic partition overwrite), so a rerun is
-    idempotent; ``append`` is the reference's behaviour.
-
-    The ``rebalance`` hint lets AQE split a hot month over several tasks and
-    merge small ones, so files are neither tiny nor unbounded; rows are
-    sorted by day inside each file so day filters skip row groups."""
-    out = (df.select(*schemas.GOLD_SALES.fieldNames())
-           .withColumn(GOLD_PARTITION, F.date_format("order_date", "yyyy-MM"))
-           .hint("rebalance", GOLD_PARTITION)
-           .sortWithinPartitions(GOLD_PARTITION, "order_date"))
-    (out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
-     .partitionBy(GOLD_PARTITION).parquet(table_dir))
-
-
-def read_gold(spark: SparkSession, table_dir: str) -> DataFrame:
-    return (spark.read.schema(schemas.GOLD_SALES).parquet(table_dir)
-            .select(*schemas.GOLD_SALES.fieldNames()))
+    newest = {v.delivery.stream: v for v in sorted((v for v in vs if v.delivery), key=lambda v: v.delivery.epoch)}
+    return sum(delete_path(spark, f"{table_dir}/{v.name}") for v in vs[:cut] if v not in newest.values())
 
 
 def write_table(df: DataFrame, path: str, mode: str = "append", partition_by=()) -> None:

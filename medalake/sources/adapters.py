@@ -17,9 +17,10 @@ from pyspark.sql import functions as F
 T0 = dt.datetime(2024, 6, 1, 0, 0, 0)
 T1 = dt.datetime(2024, 7, 1, 0, 0, 0)
 BASE_TIME = "TIMESTAMP_NTZ'2024-01-01 00:00:00'"
-# Places for the distinct (part, supplier) pairs of one order line; more would
-# make ids meet, so the adapter fails instead (a line of the source has one).
-PAIRS_PER_LINE = 1000
+# An order line's id has this many places for line numbers in an order, and for
+# distinct (part, supplier) pairs on a line. Beyond either, ids would meet, so the
+# adapter fails instead.
+LINES_PER_ORDER, PAIRS_PER_LINE = 1000, 1000
 
 
 _READERS: dict[tuple, DataFrame] = {}
@@ -66,26 +67,29 @@ def orders(spark, sf_dir, with_status_flag: bool = False) -> DataFrame:
     return o.select(*cols)
 
 
+def _below(c, limit: int, what: str):
+    return F.when((c >= 0) & (c < limit), c).when(c.isNotNull(), F.raise_error(F.lit(f"more {what} than ids")).cast("long"))
+
+
 def order_items(spark, sf_dir, dedup: bool = False) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     # the id counts the distinct (part, supplier) pairs of an order line, so it
     # is free of collisions whatever the size of the part and supplier keys
-    place = F.dense_rank().over(Window.partitionBy("l_orderkey", "l_linenumber").orderBy("l_partkey", "l_suppkey"))
-    checked = F.when(place < PAIRS_PER_LINE, place).otherwise(
-        F.raise_error(F.lit("more part and supplier pairs in an order line than ids")).cast("int"))
-    df = li.withColumn("place", checked).select(
-        ((F.col("l_orderkey") * 10 + F.col("l_linenumber")) * PAIRS_PER_LINE + F.col("place")).alias("order_item_id"),
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_partkey").alias("product_id"),
-        F.col("l_quantity").cast("bigint").alias("quantity"),
-        F.col("l_extendedprice").alias("price"),
-        F.col("l_shipdate").alias("updated_at"))
+    line = ["l_orderkey", "l_linenumber"]
+    place = F.dense_rank().over(Window.partitionBy(*line).orderBy("l_partkey", "l_suppkey"))
+    df = li.select(*line, place.cast("long").alias("place"), F.col("l_partkey").alias("product_id"),
+                   F.col("l_quantity").cast("bigint").alias("quantity"), F.col("l_extendedprice").alias("price"),
+                   F.col("l_shipdate").alias("updated_at"))
     if dedup:
-        # one row per id: latest updated_at, then largest quantity (partial
-        # aggregation, so a hot id is combined map-side before the shuffle)
+        # one row per id: latest updated_at, then largest quantity; the window's
+        # partitioning by order line serves the aggregate, so rows are shuffled once
         from medalake.operators.dedup import latest_per_key
-        df = latest_per_key(df, ["order_item_id"], ["updated_at", "quantity"])
-    return df
+        df = latest_per_key(df, [*line, "place"], ["updated_at", "quantity"])
+    number = _below(F.col("l_linenumber").cast("long"), LINES_PER_ORDER, "lines in an order")
+    return df.select(
+        ((F.col("l_orderkey") * LINES_PER_ORDER + number) * PAIRS_PER_LINE
+         + _below(F.col("place"), PAIRS_PER_LINE, "part and supplier pairs in an order line")).alias("order_item_id"),
+        F.col("l_orderkey").alias("order_id"), "product_id", "quantity", "price", "updated_at")
 
 
 def categories(spark, sf_dir, quarantine_case: bool = False) -> DataFrame:

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from medalake import schemas
 from medalake.sinks.landing import landed_glob
 
+BATCH_COLUMN = "_batch"      # the landed batch that a row comes from
+
 # columns the declared silver views expose (the files may carry more)
 SILVER_VIEWS = {
     "customers": schemas.silver_schema("customers", True).fieldNames(),
@@ -26,9 +28,10 @@ SILVER_VIEWS = {
 
 
 def read_bronze(spark: SparkSession, landing_root: str, table: str,
-                path: str | list[str] | None = None) -> DataFrame:
-    """Landed JSON of ``table`` (every landed batch, or those at ``path``)."""
-    return spark.read.schema(schemas.BRONZE[table]).json(path or landed_glob(landing_root, table))
+                path: str | list[str] | None = None, with_batch: bool = False) -> DataFrame:
+    """Landed JSON of ``table`` (every landed batch, or those at ``path``); ``with_batch`` adds the batch's name."""
+    df = spark.read.schema(schemas.BRONZE[table]).json(path or landed_glob(landing_root, table))
+    return df.withColumn(BATCH_COLUMN, F.element_at(F.split("_metadata.file_path", "/"), -2)) if with_batch else df
 
 
 def read_bronze_reviews(spark: SparkSession, landing_root: str) -> DataFrame:

@@ -4,7 +4,7 @@ from medalake.operators.sales import sales_summary
 from medalake.plans.gold import gold_job
 from medalake.plans.silver import silver_job
 from medalake.plans.specs import SPECS
-from medalake.sinks.tables import read_gold
+from medalake.sinks.gold import read_gold
 from seeds import LOAD, frames
 
 
@@ -74,26 +74,51 @@ def test_incremental_gold_rebuilds_when_dimensions_change(spark, root):
     assert "Notebook" in {r.product_name for r in inc.collect()}
 
 
-def test_interrupted_incremental_run_forces_full_rebuild(spark, root):
+def test_a_run_that_dies_leaves_the_last_build(spark, root, monkeypatch):
     import datetime as dt
 
+    import pytest
+
+    from medalake import schemas
     from medalake.plans import gold as G
-    silver = _silver(spark, root)
-    inc_dir = f"{root}/gold_inc"
-    gold_job(spark, silver, inc_dir, as_of=LOAD, incremental=True)
-    assert G._read_state(spark, inc_dir) is not None
-    # a run that dies while swapping months: the state is already withdrawn
-    from medalake.session import delete_path
-    delete_path(spark, G._state_path(inc_dir))
-    calls = []
-    orig = G._replace_months
-    G._replace_months = lambda *a: calls.append(a[3]) or orig(*a)
-    try:
-        gold_job(spark, silver, inc_dir, as_of=LOAD + dt.timedelta(days=1), incremental=True)
-    finally:
-        G._replace_months = orig
-    assert calls == [None]                      # full rebuild, not an incremental swap
-    assert G._read_state(spark, inc_dir) is not None
+    from medalake.sinks.gold import newest_build
+    silver, inc, T1 = _silver(spark, root), f"{root}/gold_inc", LOAD + dt.timedelta(days=40)
+    before = sorted(map(tuple, gold_job(spark, silver, inc, incremental=True).collect()))
+    build = newest_build(spark, inc)
+    silver_job(spark, SPECS["orders"], spark.createDataFrame([(1001, 1, T1, 10.0, T1)], schemas.SOURCE["orders"]),
+               silver, T1)
+
+    def die(*a):
+        raise OSError("lost before publishing")
+
+    with monkeypatch.context() as m:
+        m.setattr(G, "publish", die)
+        with pytest.raises(OSError):
+            gold_job(spark, silver, inc, incremental=True)
+    assert newest_build(spark, inc) == build                    # every month as it was, state included
+    assert sorted(map(tuple, read_gold(spark, inc).collect())) == before
+    assert _same(gold_job(spark, silver, inc, incremental=True), gold_job(spark, silver, f"{root}/full"))
+
+
+def test_a_reader_keeps_its_build_while_the_next_one_is_published(spark, root):
+    import datetime as dt
+
+    from medalake import schemas
+    from medalake.sinks.gold import builds, vacuum_gold
+    silver, inc, T1 = _silver(spark, root), f"{root}/gold_inc", LOAD + dt.timedelta(days=40)
+    old = gold_job(spark, silver, inc, incremental=True)        # planned, not yet read
+    silver_job(spark, SPECS["orders"], spark.createDataFrame([(1001, 1, T1, 10.0, T1)], schemas.SOURCE["orders"]),
+               silver, T1)
+    new = gold_job(spark, silver, inc, incremental=True)
+    assert old.count() == 9 and {r.order_date for r in old.collect()} == {LOAD.date()}
+    assert {r.order_date for r in new.collect()} == {LOAD.date(), T1.date()}
+    for day in range(2):                                        # two more builds, so the first one's folders go
+        silver_job(spark, SPECS["orders"], spark.createDataFrame(
+            [(1001, 2 + day, T1, 10.0, T1 + dt.timedelta(days=1 + day))], schemas.SOURCE["orders"]), silver, T1)
+        gold_job(spark, silver, inc, incremental=True)
+    assert builds(spark, inc) == [1, 2, 3, 4]
+    assert vacuum_gold(spark, inc) > 0 and builds(spark, inc) == [3, 4]
+    assert _same(read_gold(spark, inc), gold_job(spark, silver, f"{root}/full"))
 
 
 def test_skipped_gold_run_is_caught_up(spark, root):
@@ -151,43 +176,96 @@ def test_incremental_gold_across_maintenance_and_whole_loads(spark, root, monkey
     from medalake.plans.silver import maintain_silver
     silver, inc = _silver(spark, root), f"{root}/gold_inc"
     gold_job(spark, silver, inc, as_of=LOAD, incremental=True)
-    swapped = []
-    orig = G._replace_months
-    monkeypatch.setattr(G, "_replace_months", lambda *a: swapped.append(a[3]) or orig(*a))
+    whole = []
+    orig = G.counts
+    monkeypatch.setattr(G, "counts", lambda *a: whole.append(1) or orig(*a))
 
     def order(order_id, when):
         silver_job(spark, SPECS["orders"], spark.createDataFrame([(order_id, 1, when, 10.0, when)],
                                                                  schemas.SOURCE["orders"]), silver, when)
 
-    # one compaction in between: the deltas before it are still there, so only two months are recomputed
+    # one compaction in between: the deltas before it are still there, so only the change is counted
     T1, T2, T3 = (LOAD + dt.timedelta(days=d) for d in (40, 80, 120))
     order(1001, T1)
     maintain_silver(spark, SPECS["orders"], silver)
     again = gold_job(spark, silver, inc, as_of=T1, incremental=True)
-    assert _same(again, gold_job(spark, silver, f"{root}/full1"))
-    assert swapped[-1] == sorted({f"{LOAD:%Y-%m}", f"{T1:%Y-%m}"})
-    # deltas that gold hasn't seen are dropped by a second compaction: full rebuild
+    assert _same(again, gold_job(spark, silver, f"{root}/full1")) and not whole
+    # deltas that gold hasn't seen are dropped by a second compaction: everything is counted again
     order(1002, T2)
     maintain_silver(spark, SPECS["orders"], silver)
     order(1003, T3)
     maintain_silver(spark, SPECS["orders"], silver)
     again = gold_job(spark, silver, inc, as_of=T3, incremental=True)
-    assert swapped[-1] is None and _same(again, gold_job(spark, silver, f"{root}/full2"))
-    # a whole load of a fact table: full rebuild
+    assert len(whole) == 1 and _same(again, gold_job(spark, silver, f"{root}/full2"))
+    # a whole load of a fact table too
     silver_job(spark, SPECS["orders"], frames(spark)["orders"], silver, T3, mode="as_coded")
     again = gold_job(spark, silver, inc, as_of=T3, incremental=True)
-    assert swapped[-1] is None and _same(again, gold_job(spark, silver, f"{root}/full3"))
-
-
-def test_month_filter_reaches_the_scan_of_orders(spark, root):
-    from medalake.plans.gold import in_months, read_current
-    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
-    try:
-        part = read_current(spark, _silver(spark, root), "orders").filter(
-            in_months(["2024-01", "2024-02", "2024-05", None]))
-        plan = part._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.maxMetadataStringLength")
-    pushed = plan[plan.index("PushedFilters"):].split("ReadSchema")[0]
-    assert "GreaterThanOrEqual(order_date" in pushed and "LessThan(order_date,2024-03-01" in pushed, pushed
-    assert "LessThan(order_date,2024-02-01" not in pushed           # adjoining months are one range
+    assert len(whole) == 2 and _same(again, gold_job(spark, silver, f"{root}/full3"))
+
+
+def _in_small_bands(monkeypatch, size=3):
+    import dataclasses
+    for t in ("orders", "order_items"):
+        monkeypatch.setitem(SPECS, t, dataclasses.replace(SPECS[t], band=("order_id", size)))
+
+
+def test_counting_equals_a_full_rebuild_after_random_batches(spark, root, monkeypatch):
+    import datetime as dt
+    import random
+
+    from medalake import schemas
+    from medalake.plans.gold import maintain_gold
+    _in_small_bands(monkeypatch)
+    rnd, silver, inc = random.Random(5), _silver(spark, root), f"{root}/gold_inc"
+    gold_job(spark, silver, inc, incremental=True)
+    for day in range(1, 6):
+        when = LOAD + dt.timedelta(days=9 * day)
+        ids = rnd.sample(range(995, 1016), 7)                   # changed, new and, by two batches, changed back
+        orders = [(i, rnd.choice((1, 2, 3, None)), rnd.choice((LOAD, when, None)), 1.0, when) for i in ids]
+        items = [(rnd.randrange(1, 16), rnd.choice((*range(995, 1016), None)), rnd.choice((101, 102, 111, 999, None)),
+                  rnd.choice((1, 2, None)), rnd.choice((10.25, 3.0, None)), when) for _ in range(8)]
+        for t, rows in (("orders", orders), ("order_items", items)):
+            if rnd.random() < .8:
+                silver_job(spark, SPECS[t], spark.createDataFrame(rows, schemas.SOURCE[t]), silver, when)
+        if day != 3:                                            # one run is left out and caught up by the next
+            out = gold_job(spark, silver, inc, incremental=True)
+            assert _same(out, gold_job(spark, silver, f"{root}/full{day}"))
+    maintain_gold(spark, inc)
+    assert _same(read_gold(spark, inc), gold_job(spark, silver, f"{root}/full"))
+
+
+def test_a_run_scans_only_the_bands_of_what_changed(spark, root, monkeypatch):
+    import datetime as dt
+
+    from medalake import schemas
+    from medalake.plans import gold as G
+    _in_small_bands(monkeypatch)
+    silver, T1 = _silver(spark, root), LOAD + dt.timedelta(days=1)
+    silver_job(spark, SPECS["orders"], spark.createDataFrame([(1001, 1, T1, 10.0, T1)], schemas.SOURCE["orders"]), silver, T1)
+    silver_job(spark, SPECS["order_items"], spark.createDataFrame([(9, 1010, 120, 7, 1.0, T1)], schemas.SOURCE["order_items"]),
+               silver, T1)
+    plan = G.changed_counts(spark, silver, {"orders": 1, "order_items": 1}, {"orders": 2, "order_items": 2})
+    scans = [line for line in plan._jdf.queryExecution().toString().split("\n") if "FileScan parquet" in line]
+    # items are read for the band of order 1001 (333) only, orders for that of order 1010 (336)
+    whole = [s for s in scans if "snap_" in s or "Location" in s]
+    filters = [s.split("PartitionFilters: ")[1].split("PushedFilters")[0] for s in whole]
+    assert any("333" in f for f in filters) and any("336" in f for f in filters), filters
+    assert sum("333" in f or "336" in f for f in filters) >= 2
+    assert plan.count() > 0
+
+
+def test_equal_keys_are_merged_within_their_bands(spark, root, monkeypatch):
+    import datetime as dt
+
+    from medalake import schemas
+    from medalake.sinks.tables import bands_in, read_silver
+    _in_small_bands(monkeypatch)
+    silver, T1 = _silver(spark, root), LOAD + dt.timedelta(days=1)
+    schema = SPECS["orders"].silver_schema
+    rows = [(-1, 1, T1, 1.0, T1), (-3, 1, T1, 1.0, T1), (1002, 5, T1, 2.0, T1), (2, 1, T1, 1.0, T1)]
+    batch = spark.createDataFrame(rows, schemas.SOURCE["orders"])
+    assert bands_in(batch, schema) == [-1, 0, 334]
+    silver_job(spark, SPECS["orders"], batch, silver, T1)
+    got = read_silver(spark, f"{silver}/orders", schema)
+    assert got.filter("is_active").count() == 10 + 3 and got.count() == 14
+    assert {r.order_id for r in read_silver(spark, f"{silver}/orders", schema, bands=[-1]).collect()} == {-1, -3}

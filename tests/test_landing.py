@@ -171,25 +171,51 @@ def test_partitioned_jdbc_read_needs_bounds(spark):
         read_table(spark, {"url": "jdbc:derby:memory:x;create=true"}, "t", partition_column="id")
 
 
-def test_interrupted_archive_is_completed_without_loss(spark, root):
+def test_a_batch_is_archived_by_one_rename(spark, root, monkeypatch):
+    """However many files it has; a run that dies before the rename leaves the batch where it was."""
     paths = lake_paths(root)
-    df = frames(spark)["customers"].repartition(2)
-    K.land_json(df, paths.landing, "customers", T0)
-    from medalake.session import hadoop_fs
-    fs, base = hadoop_fs(spark, f"{paths.landing}/customers")
-    Path = spark._jvm.org.apache.hadoop.fs.Path
-    # simulate a run that claimed the batch and moved one part file, then died
-    claim = Path(base, "_archiving/customers_01062024.json")
-    fs.mkdirs(Path(base, "_archiving"))
-    fs.rename(Path(base, "customers_01062024.json"), claim)
-    dest = Path(f"{paths.archive}/customers/year=2024/month=06/day=01")
-    fs.mkdirs(dest)
-    parts = [s.getPath() for s in fs.listStatus(claim) if s.getPath().getName().startswith("part-")]
-    assert len(parts) == 2
-    fs.rename(parts[0], Path(dest, "customers_01062024-" + parts[0].getName()))
+    K.land_json(frames(spark)["customers"].repartition(7), paths.landing, "customers", T0)
+    real, calls = L.hadoop_fs, []
+
+    class Counting:
+        def __init__(self, fs):
+            self.fs = fs
+
+        def __getattr__(self, name):
+            calls.append(name)
+            if calls == ["mkdirs", "delete", "rename"]:
+                raise OSError("lost")
+            return getattr(self.fs, name)
+
+    monkeypatch.setattr(L, "hadoop_fs", lambda *a: (Counting(real(*a)[0]), real(*a)[1]))
+    with pytest.raises(OSError):
+        L.archive_landed(spark, paths.landing, paths.archive, "customers")
+    assert K.landed_batches(spark, paths.landing, "customers") == ["customers_01062024.json"]
     L.archive_landed(spark, paths.landing, paths.archive, "customers")
-    assert L.read_archive(spark, paths.archive, "customers").count() == 10
-    assert not fs.exists(Path(base, "_archiving/customers_01062024.json"))
+    assert calls == ["mkdirs", "delete", "rename"] * 2
+    got = L.read_archive(spark, paths.archive, "customers")
+    assert got.count() == 10 and got.columns[-3:] == ["year", "month", "day"]
+    assert K.landed_batches(spark, paths.landing, "customers") == []
+
+
+def test_as_coded_on_three_equal_days(spark, root):
+    """Each day archives first, so 20 products each day and one more day's gold rows appended; nothing is extracted
+    incrementally after the first day."""
+    from medalake.plans.config import RETAILER_CONFIG
+    from medalake.plans.gold import read_current
+    from medalake.plans.medallion import run_medallion
+    from seeds import LOAD
+    seeds, config = frames(spark), config_frame(spark, RETAILER_CONFIG)
+    for day in range(3):
+        gold = run_medallion(spark, lambda t: seeds[t], root, LOAD + dt.timedelta(days=day), config=config, mode="as_coded")
+        assert gold.count() == 9 * (day + 1)
+        assert read_current(spark, f"{root}/silver", "products").count() == 20
+        assert read_current(spark, f"{root}/silver", "categories").count() == 10
+        assert len(K.landed_batches(spark, f"{root}/landing", "products")) == 1
+    audit = spark.read.schema(schemas.AUDIT).parquet(f"{root}/audit_log")
+    counts = sorted((r.tablename, r.record_count) for r in audit.filter("load_type = 'Incremental'").collect())
+    assert counts == sorted((t, n) for t in ("customers", "orders", "order_items") for n in (10, 0, 0))
+    assert L.read_archive(spark, f"{root}/archive", "products").count() == 40
 
 
 def _silver_keys(spark, root):
@@ -264,6 +290,20 @@ def test_item_ids_of_large_part_keys_do_not_meet(spark, root):
     assert got.filter(F.col("order_item_id") <= 0).count() == 0
 
 
+def test_item_ids_of_large_line_numbers_do_not_meet(spark, root):
+    """Line 10 of order 1 and line 0 of order 2 are two items; a line number without a place fails."""
+    from medalake.sources import adapters as A
+    cols = "l_orderkey long, l_linenumber long, l_partkey long, l_suppkey long, l_quantity double, " \
+           "l_extendedprice double, l_shipdate timestamp_ntz"
+    rows = [(1, 10, 5, 3, 1.0, 1.0, T0), (2, 0, 5, 3, 1.0, 1.0, T0), (1, 999, 5, 3, 1.0, 1.0, T0)]
+    spark.createDataFrame(rows, cols).write.parquet(f"{root}/lineitem.parquet")
+    got = A.order_items(spark, root, dedup=True).collect()
+    assert len({r.order_item_id for r in got}) == len(got) == 3 and sorted(r.order_id for r in got) == [1, 1, 2]
+    spark.createDataFrame([(1, 1000, 5, 3, 1.0, 1.0, T0)], cols).write.parquet(f"{root}/far/lineitem.parquet")
+    with pytest.raises(Exception, match="more lines in an order than ids"):
+        A.order_items(spark, f"{root}/far", dedup=True).collect()
+
+
 def test_tables_run_concurrently_in_stated_order_and_failures_surface(spark):
     import threading
 

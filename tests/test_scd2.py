@@ -232,10 +232,26 @@ def test_older_row_never_replaces_a_newer_one(spark, root):
 
 def test_replayed_null_keys_are_quarantined_once(spark, root):
     batch = [(None, "z", "z@x", U), (1, "a", "a@x", U)]
-    silver_job(spark, CUST, cust(spark, batch), root, T0)
-    silver_job(spark, CUST, cust(spark, batch), root, T1)
-    silver_job(spark, CUST, cust(spark, [*batch, (None, "y", "y@x", U)]), root, T2)
-    assert sorted(r.name for r in spark.read.parquet(f"{root}/_quarantine/customers").collect()) == ["y", "z"]
+    silver_job(spark, CUST, cust(spark, batch), root, T0, batch="b1")
+    silver_job(spark, CUST, cust(spark, batch), root, T1, batch="b1")
+    silver_job(spark, CUST, cust(spark, [(None, "y", "y@x", U)]), root, T2, batch="b2")
+    got = spark.read.parquet(f"{root}/_quarantine/customers").collect()
+    assert sorted((r.name, r.batch) for r in got) == [("y", "b2"), ("z", "b1")]
+    assert {r.loaded_at for r in got} == {T1, T2}
+
+
+def test_quarantine_names_the_landed_batch(spark, root):
+    """Two batches merged by one run, one of them brought again by a run that lost the ledger."""
+    from medalake.plans.silver import silver_from_landing
+    from medalake.session import delete_path
+    from medalake.sinks.landing import land_json
+    for name, at in (("y", T0), ("z", T1)):
+        land_json(cust(spark, [(None, name, "q@x", U), (1, name, "a@x", U)]), f"{root}/landing", "customers", at)
+    for at in (T1, T2):
+        silver_from_landing(spark, f"{root}/landing", f"{root}/silver", at, tables=["customers"])
+        delete_path(spark, f"{root}/landing/_merged")
+    got = spark.read.parquet(f"{root}/silver/_quarantine/customers").collect()
+    assert sorted((r.name, r.batch) for r in got) == [("y", "customers_01062024.json"), ("z", "customers_01072024.json")]
 
 
 def test_deltas_compaction_and_vacuum(spark, root):
@@ -297,3 +313,60 @@ def test_small_batch_is_broadcast_and_the_active_set_not_shuffled(spark, root):
     current = read_silver(spark, f"{root}/customers", CUST.silver_schema)
     plan = S.merge_batch(current, batch, CUST, T1)[1]._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
+
+
+def _as_coded_by_steps(current, incoming, spec, as_of):
+    """The reference's steps one after the other, from the public step operators."""
+    from medalake.operators import scd2 as S
+    keys, order = list(spec.keys), spec.silver_schema.fieldNames()
+    b = S.stamp(S.prepare(incoming, spec), as_of, open_end=False)
+    a = current.filter("is_active")
+    expired = S.expire(a, S.changed_keys(a, b, keys, spec.compare, null_safe=False), keys, as_of)
+    new = S.new_by_key(b, a, keys) if spec.new_rows_as_coded == "by_key" else S.new_bootstrap_only(b, a)
+    return S.subtract_positional(a, expired, order).unionByName(expired.select(*order)).unionByName(new.select(*order))
+
+
+@pytest.mark.parametrize("name", ["customers", "orders", "product_suppliers"])
+def test_as_coded_in_one_pass_equals_the_steps(spark, name):
+    """Random rows with repeats, several rows of a key on either side, NULL keys and NULL values."""
+    import random
+    from medalake import schemas
+    from medalake.operators.scd2 import scd2_merge_as_coded, stamp, prepare
+    from medalake.plans.specs import SPECS
+    spec, rnd = SPECS[name], random.Random(name)
+
+    def value(f):
+        kind = f.dataType.simpleString()
+        some = {"bigint": (1, 2, 3, 4, 5, None), "string": ("x", "y", None), "double": (1.0, 2.0, None),
+                "timestamp_ntz": (T0, T1, None)}[kind]
+        return rnd.choice(some)
+
+    def rows(n):
+        out = [tuple(value(f) for f in schemas.SOURCE[name].fields) for _ in range(n)]
+        return spark.createDataFrame(out + out[: n // 3], schemas.SOURCE[name])
+
+    for n_old, n_new in ((30, 30), (0, 12), (12, 0)):
+        old = stamp(prepare(rows(n_old), spec), T0, open_end=False).select(*spec.silver_schema.fieldNames())
+        old = old.withColumn("is_active", F.coalesce(F.col("customer_id" if name != "product_suppliers" else "product_id") != 5,
+                                                     F.lit(True)))
+        old = spark.createDataFrame(old.collect(), old.schema)
+        new = spark.createDataFrame(rows(n_new).collect(), schemas.SOURCE[name])
+        key = lambda r: tuple((x is not None, x) for x in r)
+        got = sorted(map(key, scd2_merge_as_coded(old, new, spec, T1).collect()))
+        assert got == sorted(map(key, _as_coded_by_steps(old, new, spec, T1).collect()))
+
+
+def test_as_coded_plan_shuffles_rows_once(spark):
+    """One exchange of keys, one of rows; no join beside theirs."""
+    from medalake import schemas
+    from medalake.operators.scd2 import empty_silver, scd2_merge_as_coded
+    from medalake.plans.specs import SPECS
+    spec = SPECS["customers"]
+    new = spark.createDataFrame([(1, "a", "b", T0)], schemas.SOURCE["customers"])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = scd2_merge_as_coded(empty_silver(spark, spec), new, spec, T1)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("SortMergeJoin") + plan.count("ShuffledHashJoin") == 1
+    assert plan.count("Exchange hashpartitioning") <= 3      # the third one: distinct rows without a key

@@ -68,3 +68,52 @@ def test_backlog_is_merged_in_bounded_micro_batches(spark, root):
     n = run_incremental_silver(spark, SPEC, landing, silver, T2, ckpt, max_files_per_trigger=1)
     assert n == 2
     assert read_silver(spark, f"{silver}/customers", SPEC.silver_schema).count() == 2
+
+
+def test_replayed_epoch_writes_no_version(spark, root, monkeypatch):
+    """A run that dies between the version and the checkpoint's commit delivers its epoch again."""
+    import pytest
+
+    from medalake.plans.silver import maintain_silver
+    from medalake.sinks.tables import committed_epoch, versions
+    from medalake.streaming import incremental as I
+    landing, silver, ckpt = f"{root}/landing", f"{root}/silver", f"{root}/ckpt"
+    land_json(rows(spark, [(1, "a", "a@x", U), (None, "n", "n@x", U)]), landing, "customers", T0)
+    real = I.silver_job
+
+    def dies_afterwards(*a, **k):
+        real(*a, **k)
+        raise OSError("lost before the checkpoint commits")
+
+    with monkeypatch.context() as m:
+        m.setattr(I, "silver_job", dies_afterwards)
+        with pytest.raises(Exception):
+            run_incremental_silver(spark, SPEC, landing, silver, T0, ckpt)
+    table = f"{silver}/customers"
+    assert committed_versions(spark, table) == [1]
+    stream = I.stream_id(spark, ckpt)
+    assert committed_epoch(spark, table, stream) == 0 and committed_epoch(spark, table, "00ff") == -1
+    assert run_incremental_silver(spark, SPEC, landing, silver, T1, ckpt) == 0      # delivered again, skipped
+    assert committed_versions(spark, table) == [1]
+    assert [r.effective_start_date for r in read_silver(spark, table, SPEC.silver_schema).collect()] == [T0]
+    assert spark.read.parquet(f"{silver}/_quarantine/customers").count() == 1
+    # the next epoch counts; retention keeps the stream's newest version
+    land_json(rows(spark, [(1, "b", "a@x", U)]), landing, "customers", T1)
+    assert run_incremental_silver(spark, SPEC, landing, silver, T1, ckpt) == 1
+    maintain_silver(spark, SPEC, silver)
+    silver_job(spark, SPEC, rows(spark, [(2, "c", "c@x", U)]), silver, T2)
+    maintain_silver(spark, SPEC, silver)
+    assert committed_epoch(spark, table, stream) == 1
+    assert [v.number for v in versions(spark, table)][0] == 2
+    # a query begun anew on another checkpoint is another stream: its epoch 0 is new
+    assert run_incremental_silver(spark, SPEC, landing, silver, T2, f"{root}/other") == 1
+
+
+def test_replayed_refresh_writes_no_version(spark, root):
+    from medalake.sinks.tables import Delivery
+    spec = SPECS["products"]
+    df = spark.createDataFrame([(1, "p", 1, 1.0, U)], schemas.SOURCE["products"])
+    assert silver_job(spark, spec, df, root, T0, delivery=Delivery("0a-1", 3))
+    assert silver_job(spark, spec, df, root, T1, delivery=Delivery("0a-1", 3)) is None
+    assert silver_job(spark, spec, df, root, T1, delivery=Delivery("0a-1", 4))
+    assert committed_versions(spark, f"{root}/products") == [1, 2]

@@ -67,8 +67,9 @@ def prepare(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def empty_silver(spark, spec: TableSpec) -> DataFrame:
-    """The relation a first load merges into."""
-    return spark.createDataFrame([], spec.silver_schema)
+    """The relation a first load merges into. Catalyst knows that it is empty, and drops what joins it."""
+    return spark.range(1).where(F.lit(False)).select(
+        *[F.lit(None).cast(f.dataType).alias(f.name, metadata=f.metadata) for f in spec.silver_schema.fields])
 
 
 # --- standard ----------------------------------------------------------------
@@ -187,7 +188,7 @@ def _repeated(df: DataFrame, n: str) -> DataFrame:
 
 
 def scd2_merge_as_coded(current: DataFrame, incoming: DataFrame, spec: TableSpec, as_of) -> DataFrame:
-    """The reference's result in one pass over the rows, as a multiset.
+    """The reference's result as a multiset, its rows classified once.
 
     Its steps come down to, for the active rows A and the stamped batch B:
     each distinct row of A once (the positional difference removes nothing but
@@ -196,45 +197,38 @@ def scd2_merge_as_coded(current: DataFrame, incoming: DataFrame, spec: TableSpec
     that differ by plain ``!=`` in a compared column; and the rows of B that
     are new, by key or only while A is empty.
 
-    Whether a key has such a pair follows from the least and greatest value of
-    each column on both sides: with values on both, none differ only if all
-    four are equal. So the keys are reduced to one row each (map-side combined,
-    a key of very many rows too), and the rows meet that once, counted in place
-    by the partitioning of that join. NULL keys meet nothing and take no part in it."""
+    Whether a row of A has such a partner follows from the least and greatest
+    value of each column over its key's rows in B: none differs only if both
+    equal its own. So B is reduced to one row per key (map-side combined, also
+    a key of very many rows), the keys of A's differing rows are found by one
+    join with that, and the rows of A meet these keys in a second one, whose
+    partitioning serves to count repeats. Rows without a key meet nothing: they
+    are spread by a hash of their own. On a first load (A empty) no join is left."""
     keys, order = list(spec.keys), spec.silver_schema.fieldNames()
+    no_key = any_null(keys)
+    spread = F.when(no_key, F.xxhash64(*order)).otherwise(0).alias("_spread")
     b = stamp(prepare(incoming, spec), as_of, open_end=False).select(*order)
     a = current.filter(F.col("is_active")).select(*order)      # history dropped, as coded
-    by_key = spec.new_rows_as_coded == "by_key"
-    both = a.withColumn("_old", F.lit(True)).unionByName(b.withColumn("_old", F.lit(False)))
-
-    def span(c: str, old: bool) -> list:
-        own = F.when(F.col("_old") == old, F.col(c))
-        return [F.min(own).alias(f"_min_{c}_{old}"), F.max(own).alias(f"_max_{c}_{old}")]
-
-    no_null = ~any_null(keys)
-    spans = both.filter(no_null).groupBy(*keys).agg(
-        F.max("_old").alias("_known"), *[x for c in spec.compare for old in (True, False) for x in span(c, old)])
-    differs = F.lit(False)
-    for c in spec.compare:
-        (low, high), (new_low, new_high) = [(F.col(f"_min_{c}_{o}"), F.col(f"_max_{c}_{o}")) for o in (True, False)]
-        differs = differs | (low.isNotNull() & new_low.isNotNull() & ~((low == high) & (new_low == new_high) & (low == new_low)))
-    spans = spans.select(*keys, "_known", differs.alias("_changed"))
-
-    rows = (both if by_key else both.filter("_old")).filter(no_null).join(spans, keys)
-    counted = rows.groupBy(*order, "_old", "_known", "_changed").agg(F.count(F.lit(1)).alias("_n"))
-    values = [F.col(c) for c in order]
-    closed = [F.lit(False).alias(c) if c == "is_active" else ts_literal(as_of).alias(c) if c == "effective_end_date"
-              else F.col(c) for c in order]
-    one = F.lit(1).cast("long")
-    emit = F.array(
-        F.when(F.col("_old"), F.struct(*values, one.alias("_n"))),
-        F.when(F.col("_old") & F.col("_changed"), F.struct(*closed, F.col("_n"))),
-        F.when(~F.col("_old") & ~F.col("_known"), F.struct(*values, F.col("_n"))))
-    out = _repeated(counted.select(F.inline(F.filter(emit, lambda x: x.isNotNull()))), "_n")
-    out = out.unionByName(a.filter(any_null(keys)).distinct())
-    if by_key:
-        return out.unionByName(b.filter(any_null(keys)))
-    return out.unionByName(new_bootstrap_only(b, a))
+
+    def by_key(df: DataFrame, *measures) -> DataFrame:
+        # _spread is 0 here, but not as a constant: that would be taken out of the join's keys
+        return df.filter(~no_key).groupBy(*keys).agg(F.min(F.lit(0).cast("long")).alias("_spread"), *measures)
+
+    ends = by_key(b, *[f(c).alias(f"{name}_{c}") for c in spec.compare for name, f in (("_min", F.min), ("_max", F.max))])
+    differs = any_differs([(c, f"{name}_{c}") for c in spec.compare for name in ("_min", "_max")], null_safe=False)
+    changed = by_key(a.select(*keys, *spec.compare).join(ends.drop("_spread"), keys).filter(differs))
+    on = [*keys, "_spread"]
+    met = a.select("*", spread).join(changed.withColumn("_changed", F.lit(True)), on, "left")
+    counted = met.groupBy(*order, "_spread", "_changed").agg(F.count(F.lit(1)).alias("_n"))
+
+    closing = {"is_active": F.lit(False), "effective_end_date": ts_literal(as_of)}
+    expired = F.struct(*[closing.get(c, F.col(c)).alias(c) for c in order], F.col("_n"))
+    once = F.struct(*[F.col(c) for c in order], F.lit(1).cast("long").alias("_n"))
+    both = F.array(once, F.when(F.col("_changed"), expired))
+    old = _repeated(counted.select(F.inline(F.filter(both, lambda x: x.isNotNull()))), "_n")
+    if spec.new_rows_as_coded == "by_key":
+        return old.unionByName(b.select("*", spread).join(by_key(a), on, "left_anti").select(*order))
+    return old.unionByName(new_bootstrap_only(b, a))
 
 
 def merge(current: DataFrame, incoming: DataFrame, spec: TableSpec, as_of,

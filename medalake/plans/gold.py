@@ -119,9 +119,11 @@ def changed_counts(spark: SparkSession, silver_root: str, since: dict, seen: dic
     return _counted(found).where(" OR ".join(f"{c} <> 0" for c in SUMS))
 
 
-def summary_of(counted: DataFrame, products: DataFrame, categories: DataFrame) -> DataFrame:
-    """Gold rows of counts: (day, product) pairs with lines left, customers whose lines don't cancel out."""
-    each = counted.groupBy("day", "product_id", "customer_id").agg(*[F.sum(c).alias(c) for c in SUMS])
+def summary_of(counted: DataFrame, products: DataFrame, categories: DataFrame, summed: bool = False) -> DataFrame:
+    """Gold rows of counts: (day, product) pairs with lines left, customers whose lines don't cancel out. ``summed``:
+    each (day, product, customer) has one row already."""
+    each = counted if summed else counted.groupBy("day", "product_id", "customer_id").agg(
+        *[F.sum(c).alias(c) for c in SUMS])
     facts = each.groupBy("day", "product_id").agg(
         *[F.sum(c).alias(c) for c in SUMS],
         F.count(F.when(F.col("n") > 0, F.col("customer_id"))).alias("unique_customers")).where("n > 0")
@@ -156,7 +158,8 @@ def _incremental(spark: SparkSession, silver_root: str, gold_dir: str, products:
         for month, folders in added.items():
             new.counts[month] = new.counts.get(month, []) + folders
     if change is None or old.state["dims"] != state["dims"]:
-        rows = summary_of(read_months(spark, gold_dir, new.counts, schemas.GOLD_COUNTS), products, categories)
+        rows = summary_of(read_months(spark, gold_dir, new.counts, schemas.GOLD_COUNTS), products, categories,
+                          summed=all(len(folders) == 1 for folders in new.counts.values()))
         new.gold = write_months(rows, spark, gold_dir, "gold", "order_date")
     else:
         new.gold = dict(old.gold)

@@ -15,9 +15,9 @@ values: whether a string is open, and how deep brackets are nested. So:
    has at its start of a record begun before, and at its end of one not yet
    ended, meet by file in a last small step: at most two texts per split.
 
-The same first pass tells which files hold an array at all; the others are read
-as JSON lines, file by file, so a payload may mix both. Anything that is no
-array of objects fails the read.
+Which files hold an array at all is told by their first pieces; the others are
+read as JSON lines, so a payload may mix both. Anything that is no array of
+objects fails the read.
 """
 
 from __future__ import annotations
@@ -63,12 +63,11 @@ def _by_split(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
 
 def _effects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for (file, start), pieces in _by_split(batches):
-        opens, quoted, plain = None, (True, 0), (False, 0)
+        quoted, plain = (True, 0), (False, 0)
         for p in pieces:
-            opens = p.lstrip("﻿ \t\r\n")[:1] if opens is None else opens
             quoted, plain = after(p, *quoted), after(p, *plain)
         yield pa.RecordBatch.from_pydict({"file": [file], "start": [start], "flips": [int(plain[0])], "plain": [plain[1]],
-                                          "quoted": [quoted[1]], "opens": [opens]})
+                                          "quoted": [quoted[1]]})
 
 
 def _joined(states: dict):
@@ -127,27 +126,34 @@ def _stitched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             raise ValueError(f"{file}: no array of objects, it ends in {held[-60:]!r}")
 
 
+def array_files(spark: SparkSession, path) -> dict[str, bool]:
+    """File -> whether it opens with a bracket."""
+    opens = F.substring(F.ltrim(F.translate("value", "\ufeff\t\r\n", "    ")), 1, 1)
+    # a split's pieces come in order
+    pieces = _pieces(spark, path).where("start = 0").select("file", opens.alias("opens"), F.monotonically_increasing_id().alias("at"))
+    first = pieces.groupBy("file").agg(F.min_by("opens", "at").alias("opens"))
+    return {r.file: r.opens == "[" for r in first.collect()}        # one row per file: control plane
+
+
 def split_starts(spark: SparkSession, path) -> DataFrame:
-    """(file, start, opens, in_string, depth) of every split: one row each."""
-    found = _pieces(spark, path).mapInArrow(
-        _effects, "file string, start long, flips long, plain long, quoted long, opens string")
+    """(file, start, in_string, depth) of every split: one row each."""
+    found = _pieces(spark, path).mapInArrow(_effects, "file string, start long, flips long, plain long, quoted long")
     before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
-    first = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     open_ = found.withColumn("in_string", F.coalesce(F.sum("flips").over(before), F.lit(0)) % 2 == 1)
-    return open_.select("file", "start", F.first("opens").over(first).alias("opens"), "in_string", F.coalesce(
+    return open_.select("file", "start", "in_string", F.coalesce(
         F.sum(F.when(F.col("in_string"), F.col("quoted")).otherwise(F.col("plain"))).over(before), F.lit(0)).alias("depth"))
 
 
 def read_payload_files(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Records of all files at ``path``, each a JSON array or JSON lines; a malformed record fails the read."""
-    starts = split_starts(spark, path).collect()            # one row per split: control plane
-    arrays = sorted({r.file for r in starts if r.opens == "["})
-    lines = sorted({r.file for r in starts if r.opens != "["})
     plain = urllib.parse.unquote                            # file paths come as URIs
-    parts = [spark.read.schema(schema).option("mode", "FAILFAST").json([plain(f) for f in lines])] if lines else []
+    is_array = array_files(spark, path)
+    arrays, lines = ([plain(f) for f, own in sorted(is_array.items()) if own == kind] for kind in (True, False))
+    parts = [spark.read.schema(schema).option("mode", "FAILFAST").json(lines)] if lines else []
     if arrays:
-        states = {(r.file, r.start): (r.in_string, r.depth) for r in starts if r.opens == "["}
-        text = _pieces(spark, [plain(f) for f in arrays]).mapInArrow(_joined(states), "file string, start long, kind int, text string")
+        # one row per split: control plane
+        states = {(r.file, r.start): (r.in_string, r.depth) for r in split_starts(spark, arrays).collect()}
+        text = _pieces(spark, arrays).mapInArrow(_joined(states), "file string, start long, kind int, text string")
         edges = text.filter(F.col("kind") != RECORD).repartition("file").sortWithinPartitions("file", "start", "kind")
         whole = text.filter(F.col("kind") == RECORD).mapInArrow(_records, "value string").unionByName(
             edges.mapInArrow(_stitched, "value string"))

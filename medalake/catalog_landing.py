@@ -165,12 +165,15 @@ def q_json_roundtrip(spark, sf):
     return from_landing(read_bronze(spark, root, "customers", path), SPECS["customers"])
 
 
-@query("land_watermark_lookup", O.with_("""
+WATERMARKS_SQL = O.with_("""
 SELECT n.tablename AS tablename,
        coalesce(max(a.high_watermark), TIMESTAMP '1900-01-01 00:00:00') AS latest_watermark
 FROM (SELECT DISTINCT tablename FROM audit_src UNION SELECT 'never_loaded') n
 LEFT JOIN (SELECT * FROM audit_src WHERE status = 'SUCCESS') a ON a.tablename = n.tablename
-GROUP BY n.tablename""", "audit_src"))
+GROUP BY n.tablename""", "audit_src")
+
+
+@query("land_watermark_lookup", WATERMARKS_SQL)
 def q_watermark_lookup(spark, sf):
     path = shared_dir(spark, "audit_log")
     A.audit_history(spark, sf).write.mode("overwrite").parquet(path)
@@ -180,6 +183,17 @@ def q_watermark_lookup(spark, sf):
     return L.latest_watermarks(audit, names)
 
 
+@query("land_watermark_state", WATERMARKS_SQL)
+def q_watermark_state(spark, sf):
+    """S4/A1 as a run looks it up: table by table (control plane), from the stored audit's partitions and footers."""
+    path = shared_dir(spark, "audit_state")
+    history = A.audit_history(spark, sf)
+    L.append_audit(history, path)
+    names = [r.tablename for r in history.select("tablename").distinct().collect()] + ["never_loaded"]
+    return spark.createDataFrame([(n, L.lookup_watermark(spark, path, n, "events")) for n in names],
+                                 "tablename string, latest_watermark timestamp_ntz")
+
+
 def _ingest_run(spark, sf, name):
     paths = lake_paths(shared_dir(spark, name))
     log = L.ingest_all(spark, config_frame(spark, CONFIG_ROWS + TEST_EXTRA), _sources(spark, sf),

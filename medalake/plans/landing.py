@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from medalake import schemas
-from medalake.functions.expressions import DEFAULT_WATERMARK, normalized_load_type, ts_literal
+from medalake.functions.expressions import DEFAULT_WATERMARK, EPOCH_NTZ, normalized_load_type, ts_literal
 from medalake.session import concurrently, hadoop_fs, list_dir
 from medalake.sinks import landing as K
 from medalake.sinks.tables import write_table
@@ -74,6 +74,43 @@ def latest_watermarks(audit: DataFrame, tables: DataFrame, as_coded: bool = Fals
                     .alias("latest_watermark")))
 
 
+AUDIT_PARTITIONS = ("datasource", "tablename", "status")
+NO_WATERMARK = -(1 << 62)
+#: Columns of a stored audit file, then its partitions. Footers are read by a column's place, so a reader that pushes
+#: aggregates down must state all of them in this order.
+AUDIT_STORED = schemas.struct(
+    *[(f.name, f.dataType) for f in schemas.AUDIT.fields if f.name not in AUDIT_PARTITIONS],
+    ("load_us", schemas.L), ("high_us", schemas.L), *[(c, schemas.S) for c in AUDIT_PARTITIONS])
+
+
+def append_audit(rows: DataFrame, path: str) -> None:
+    """K3: audit rows, partitioned by what a watermark is looked up by. Beside the stated columns, both times are
+    kept as microseconds, whose extremes Parquet footers hold."""
+    def micros(c):
+        return F.timestamp_diff("MICROSECOND", F.expr(EPOCH_NTZ), F.col(c))
+
+    # a file of NULLs alone has no extremes: a run that found no rows has a mark below all times
+    stored = rows.withColumn("load_us", micros("load_timestamp")).withColumn(
+        "high_us", F.coalesce(micros("high_watermark"), F.lit(NO_WATERMARK)))
+    write_table(stored.select(*AUDIT_STORED.fieldNames()), path, "append", AUDIT_PARTITIONS)
+
+
+def watermark_state(spark: SparkSession, audit_path: str, table: str, datasource: str | None = None,
+                    as_coded: bool = False) -> DataFrame:
+    """The maximum that a watermark is, in microseconds: the partitions of one table are listed, and the maximum is
+    taken from the footers of their files (``PushedAggregation``), so no audit row is read however many runs there
+    were. Aggregate pushdown is a feature of the second file reader, which a session of its own turns on."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.sources.useV1SourceList", "")
+    session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    audit = session.read.schema(AUDIT_STORED).parquet(audit_path).filter(F.col("tablename") == table)
+    if datasource is not None:
+        audit = audit.filter(F.col("datasource") == datasource)
+    if as_coded:
+        return audit.agg(F.max("load_us").alias("w"))
+    return audit.filter(F.col("status") == "SUCCESS").agg(F.max("high_us").alias("w"))
+
+
 def lookup_watermark(spark: SparkSession, audit_path: str | None, table: str,
                      datasource: str | None = None, as_coded: bool = False) -> dt.datetime:
     """One table's watermark as a scalar (reads the audit table if present):
@@ -82,15 +119,8 @@ def lookup_watermark(spark: SparkSession, audit_path: str | None, table: str,
     default = dt.datetime.strptime(DEFAULT_WATERMARK, "%Y-%m-%d %H:%M:%S")
     if not audit_path or not list_dir(spark, audit_path):
         return default
-    audit = spark.read.schema(schemas.AUDIT).parquet(audit_path).filter(F.col("tablename") == table)
-    if datasource is not None:
-        audit = audit.filter(F.col("datasource") == datasource)
-    if as_coded:
-        row = audit.agg(F.max("load_timestamp").alias("w")).collect()[0]
-    else:
-        row = (audit.filter(F.col("status") == "SUCCESS")
-               .agg(F.max("high_watermark").alias("w")).collect()[0])
-    return row["w"] or default
+    w = watermark_state(spark, audit_path, table, datasource, as_coded).first()["w"]
+    return default if w is None or w == NO_WATERMARK else dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=w)
 
 
 # --- S2 / S3 / P3: extraction -------------------------------------------------
@@ -216,7 +246,7 @@ def ingest_table(spark: SparkSession, source: DataFrame, cfg: dict, paths: LakeP
     log.event("SUCCESS", f"{table}: landed {n} rows", table)
     audit_row = [(table, cfg.get("loadtype"), n, as_of, "SUCCESS", cfg.get("datasource"), high)]
     with _AUDIT_LOCK:
-        write_table(spark.createDataFrame(audit_row, schemas.AUDIT), paths.audit, "append")
+        append_audit(spark.createDataFrame(audit_row, schemas.AUDIT), paths.audit)
     log.event("SUCCESS", f"{table}: audit row written", table)
     if not archive_unmerged:
         archive_landed(spark, paths.landing, paths.archive, table, keep={landed.rsplit('/', 1)[-1]}, log=log,

@@ -273,11 +273,35 @@ def test_reviews_payload_shapes(spark, root):
 def test_as_coded_watermark_is_any_rows_load_time(spark, root):
     audit = [("t", "Incremental", 1, T0, "SUCCESS", "d", dt.datetime(2024, 1, 1)),
              ("t", "Incremental", 0, T1, "FAILED", "other", None)]
-    spark.createDataFrame(audit, schemas.AUDIT).write.parquet(f"{root}/audit")
+    L.append_audit(spark.createDataFrame(audit, schemas.AUDIT), f"{root}/audit")
     assert L.lookup_watermark(spark, f"{root}/audit", "t", "d") == dt.datetime(2024, 1, 1)
     assert L.lookup_watermark(spark, f"{root}/audit", "t", None, as_coded=True) == T1
 
 
+def test_watermark_comes_from_partitions_and_footers(spark, root):
+    """No audit row is read: the scan is pruned to the table's partitions and its maximum is pushed down."""
+    rows = [(t, "Incremental", 1, T0, s, d, w) for d in ("d1", "d2") for t in ("a", "b")
+            for s, w in (("SUCCESS", dt.datetime(2024, 1, 2, 3, 4, 5, 678901)), ("FAILED", T1), ("SUCCESS", None))]
+    for _ in range(2):
+        L.append_audit(spark.createDataFrame(rows, schemas.AUDIT), f"{root}/audit")
+    assert L.lookup_watermark(spark, f"{root}/audit", "a", "d1") == dt.datetime(2024, 1, 2, 3, 4, 5, 678901)
+    assert L.lookup_watermark(spark, f"{root}/audit", "none", "d1") == dt.datetime(1900, 1, 1)
+    # runs that found nothing: alone, and after one that did
+    nothing = [(t, "Incremental", 0, T1, "SUCCESS", "d1", None) for t in ("a", "empty")]
+    L.append_audit(spark.createDataFrame(nothing, schemas.AUDIT).coalesce(1), f"{root}/audit")
+    assert L.lookup_watermark(spark, f"{root}/audit", "empty", "d1") == dt.datetime(1900, 1, 1)
+    assert L.lookup_watermark(spark, f"{root}/audit", "a", "d1") == dt.datetime(2024, 1, 2, 3, 4, 5, 678901)
+    assert L.lookup_watermark(spark, f"{root}/audit", "empty", as_coded=True) == T1
+    plan = L.watermark_state(spark, f"{root}/audit", "a", "d1")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [MAX(high_us)]" in plan, plan
+    partitions = plan.split("PartitionFilters: ")[1]
+    assert all(c in partitions for c in ("datasource", "tablename", "status"))
+    back = spark.read.schema(schemas.AUDIT).parquet(f"{root}/audit")
+    assert back.count() == 26 and {r.datasource for r in back.collect()} == {"d1", "d2"}
+    # the session itself is as it was
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+
+
 def test_item_ids_of_large_part_keys_do_not_meet(spark, root):
     from medalake.sources import adapters as A
     from pyspark.sql import functions as F

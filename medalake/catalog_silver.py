@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 from typing import NamedTuple
 
 from medalake import oracle as O
@@ -384,3 +385,14 @@ def _register_small_batch(t):
 
 for _t in ("customers", "product_suppliers"):
     _register_small_batch(_t)
+
+
+@query("silver_scd2_product_suppliers_bucketed", scd2_standard_sql("product_suppliers"))
+def q_bucketed(spark, sf):
+    """The stored two-run job on a table bucketed by its keys: the second run's batch is dealt into the buckets, the
+    table isn't shuffled."""
+    spec = dataclasses.replace(SPECS["product_suppliers"], buckets=16)
+    root = shared_dir(spark, "silver_scd2_product_suppliers_bucketed")
+    silver_job(spark, spec, _source(spark, sf, "product_suppliers"), root, A.T0)
+    silver_job(spark, spec, _batch(spark, sf, "product_suppliers"), root, A.T1)
+    return read_silver(spark, f"{root}/product_suppliers", spec.silver_schema)

@@ -57,7 +57,7 @@ def silver_job(spark: SparkSession, spec: TableSpec, incoming: DataFrame, silver
             result = full_refresh(incoming, spec, as_of, open_end=(mode == "standard"))
         else:
             result = merge(current_or_empty(spark, table_dir, spec), incoming, spec, as_of, mode)
-        return write_silver_version(result, spark, table_dir, schema, delivery=delivery)
+        return write_silver_version(result, spark, table_dir, schema, delivery=delivery, buckets=spec.buckets)
     if replayed:
         if not incoming.filter(any_null(spec.keys)).isEmpty():
             quarantine_rejected(spark, spec, incoming, silver_root, as_of, batch)
@@ -69,7 +69,8 @@ def silver_job(spark: SparkSession, spec: TableSpec, incoming: DataFrame, silver
     rows, _ = split_batch(observed, spec)
     current = read_silver(spark, table_dir, schema)
     if current is None:
-        path = write_silver_version(merge_batch(None, rows, spec, as_of)[1], spark, table_dir, schema, delivery=delivery)
+        path = write_silver_version(merge_batch(None, rows, spec, as_of)[1], spark, table_dir, schema, delivery=delivery,
+                                    buckets=spec.buckets)
     else:
         # the batch, one row per key, is staged: it is read and reduced once, and Catalyst
         # knows its size when it plans the joins
@@ -79,6 +80,8 @@ def silver_job(spark: SparkSession, spec: TableSpec, incoming: DataFrame, silver
         if spec.band and spec.band[0] in spec.keys:
             # equal keys lie in equal bands: no other folder is scanned
             current = read_silver(spark, table_dir, schema, bands=bands_in(rows, schema))
+        elif spec.buckets:
+            current = read_silver(spark, table_dir, schema, touching=rows.select(*spec.keys))
         path = write_silver_version(merge_batch(current, rows, spec, as_of)[1], spark, table_dir, schema, DELTA_PREFIX,
                                     delivery)
         delete_path(spark, staged)
@@ -96,7 +99,7 @@ def maintain_silver(spark: SparkSession, spec: TableSpec, silver_root: str) -> i
     if current is None:
         return 0
     if deltas_since_snapshot(spark, table_dir):
-        write_silver_version(current, spark, table_dir, spec.silver_schema, COMPACTION_PREFIX)
+        write_silver_version(current, spark, table_dir, spec.silver_schema, COMPACTION_PREFIX, buckets=spec.buckets)
     return vacuum_silver(spark, table_dir)
 
 

@@ -21,6 +21,7 @@ class TableSpec:
     load_type: str = "Full Load"
     datasource: str = "retailer_db"
     band: tuple[str, int] | None = None   # stored by this id divided by that number (see sinks.tables)
+    buckets: int = 0               # whole versions are bucketed by the keys (to be sized to the table; 0: not)
 
     @property
     def source_schema(self):

@@ -21,6 +21,16 @@ A version written for a stream's micro-batch carries the stream's id and the
 epoch in its name, so both are committed in one step: a replayed epoch is told
 by ``committed_epoch`` and writes nothing. Retention keeps each stream's newest.
 
+Buckets: the whole versions of a table may be bucketed and sorted by its keys.
+A merge then meets them without shuffling them: the keys of the batch, dealt
+into as many buckets, are semi-joined to every version of the chain on its own
+(``touching``), and only what they hit goes on. The number of buckets is kept in
+the version's name, so it may change from one whole version to the next. It
+should be a multiple of the files that fit the table, and not below
+``spark.sql.shuffle.partitions``, or Catalyst shuffles both sides after all.
+Spark reads buckets through its catalog, so a bucketed folder is declared there
+as an external table, named by its path; ``vacuum_silver`` drops it again.
+
 Bands: a table whose schema names a band column (orders and their items, both
 by ``order_id``) is also partitioned by that id divided by the band's size. The
 band follows from a row's own key, so a row never waits for another table,
@@ -32,6 +42,7 @@ falls into few bands.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from functools import reduce
 from typing import NamedTuple
@@ -44,7 +55,7 @@ from medalake.session import delete_path, list_dir
 
 DELTA_PREFIX, SNAPSHOT_PREFIX, COMPACTION_PREFIX = "ver_", "snap_", "comp_"
 VERSION_COLUMN, BAND_COLUMN = "_version", "_band"
-_NAME = re.compile(f"({DELTA_PREFIX}|{SNAPSHOT_PREFIX}|{COMPACTION_PREFIX})(\\d+)(?:--([0-9a-f-]+)@(\\d+))?")
+_NAME = re.compile(f"({DELTA_PREFIX}|{SNAPSHOT_PREFIX}|{COMPACTION_PREFIX})(\\d+)(?:--([0-9a-f-]+)@(\\d+))?(?:~(\\d+))?")
 
 
 class Delivery(NamedTuple):
@@ -59,6 +70,7 @@ class Version(NamedTuple):
     name: str
     flags: frozenset      # the is_active folders it has
     delivery: Delivery | None = None
+    buckets: int = 0
 
     @property
     def snapshot(self) -> bool:
@@ -75,7 +87,8 @@ def versions(spark: SparkSession, table_dir: str, upto: int | None = None) -> li
             held = list_dir(spark, f"{table_dir}/{name}")
             if "_SUCCESS" in held:
                 flags = frozenset(f for f in (True, False) if f"is_active={str(f).lower()}" in held)
-                out.append(Version(int(m[2]), m[1], name, flags, Delivery(m[3], int(m[4])) if m[3] else None))
+                out.append(Version(int(m[2]), m[1], name, flags, Delivery(m[3], int(m[4])) if m[3] else None,
+                                   int(m[5] or 0)))
     return sorted(out, key=lambda v: (v.number, v.prefix))
 
 
@@ -115,18 +128,40 @@ def bands_in(df: DataFrame, schema: StructType) -> list[int]:
     return sorted(r[0] for r in df.select(band(schema).alias("b")).where("b IS NOT NULL").distinct().collect())
 
 
-def _read_flag(spark: SparkSession, table_dir: str, vs: list[Version], schema: StructType,
-               flag: bool, bands: list[int] | None = None) -> DataFrame | None:
+def keys_of(schema: StructType) -> list[str]:
+    return [f.name for f in schema.fields if f.metadata.get("key")]
+
+
+def _bucket_table(folder: str) -> str:
+    return f"medalake_{hashlib.sha256(folder.encode()).hexdigest()[:24]}"
+
+
+def _bucketed(spark: SparkSession, folder: str, stored: StructType, keys: list[str], buckets: int) -> DataFrame:
+    """A folder of files bucketed and sorted by ``keys``, read as such."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stored.fields)
+    by = ", ".join(f"`{k}`" for k in keys)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {_bucket_table(folder)} ({columns}) USING parquet "
+              f"CLUSTERED BY ({by}) SORTED BY ({by}) INTO {buckets} BUCKETS LOCATION '{folder}'")
+    return spark.table(_bucket_table(folder))
+
+
+def _read_flag(spark: SparkSession, table_dir: str, vs: list[Version], schema: StructType, flag: bool,
+               bands: list[int] | None = None, touching: DataFrame | None = None) -> DataFrame | None:
     """Rows that the versions ``vs`` opened (``flag``) or closed, with their version; None without any."""
-    paths = [f"{table_dir}/{v.name}/is_active={str(flag).lower()}" for v in vs if flag in v.flags]
-    if not paths:
+    folder = f"is_active={str(flag).lower()}"
+    paths = [f"{table_dir}/{v.name}/{folder}" for v in vs if flag in v.flags and not v.buckets]
+    in_buckets = [v for v in vs if flag in v.flags and v.buckets]
+    if not paths and not in_buckets:
         return None
     stored = StructType([f for f in schema.fields if f.name != "is_active"]).add(VERSION_COLUMN, "long")
     if band_of(schema):
         stored = stored.add(BAND_COLUMN, "long")
     # every version is a root of its own, whose sub-folders are bands
     parts = [spark.read.schema(stored).parquet(p) for p in paths] if band_of(schema) else \
-        [spark.read.schema(stored).parquet(*paths)]
+        [spark.read.schema(stored).parquet(*paths)] if paths else []
+    parts += [_bucketed(spark, f"{table_dir}/{v.name}/{folder}", stored, keys_of(schema), v.buckets) for v in in_buckets]
+    if touching is not None:
+        parts = [p.join(touching, keys_of(schema), "left_semi") for p in parts]
     df = reduce(DataFrame.unionByName, parts)
     if bands is not None:
         df = df.filter(F.col(BAND_COLUMN).isin(bands) if bands else F.lit(False))
@@ -139,17 +174,18 @@ def _union(spark: SparkSession, parts: list[DataFrame | None], schema: StructTyp
 
 
 def read_silver(spark: SparkSession, table_dir: str, schema: StructType, upto: int | None = None,
-                bands: list[int] | None = None) -> DataFrame | None:
+                bands: list[int] | None = None, touching: DataFrame | None = None) -> DataFrame | None:
     """The table as of version ``upto`` (default: the newest), or None when it has no committed version yet; with
-    ``bands``, just the rows in those. The keys are the fields of ``schema`` whose metadata say so."""
+    ``bands``, just the rows in those, with ``touching`` (keys), just the rows of these keys. The keys are the fields of
+    ``schema`` whose metadata say so."""
     chain = _chain(versions(spark, table_dir, upto))
     if not chain:
         return None
-    opened = _read_flag(spark, table_dir, chain, schema, True, bands)
-    closed = _read_flag(spark, table_dir, chain, schema, False, bands)
-    ended = _read_flag(spark, table_dir, chain[1:], schema, False, bands)
+    opened = _read_flag(spark, table_dir, chain, schema, True, bands, touching)
+    closed = _read_flag(spark, table_dir, chain, schema, False, bands, touching)
+    ended = _read_flag(spark, table_dir, chain[1:], schema, False, bands, touching)
     if opened is not None and ended is not None:
-        same = [f.name for f in schema.fields if f.metadata.get("key")] + ["effective_start_date"]
+        same = keys_of(schema) + ["effective_start_date"]
         ended = ended.select(*[F.col(c).alias(f"ended_{c}") for c in (*same, VERSION_COLUMN)])
         match = [F.col(c) == F.col(f"ended_{c}") for c in same]
         match.append(F.col(VERSION_COLUMN) < F.col(f"ended_{VERSION_COLUMN}"))
@@ -172,9 +208,9 @@ def changes_since(spark: SparkSession, table_dir: str, schema: StructType, numbe
 
 
 def write_silver_version(df: DataFrame, spark: SparkSession, table_dir: str, schema: StructType,
-                         prefix: str = SNAPSHOT_PREFIX, delivery: Delivery | None = None) -> str:
-    """Write the next version: the whole table, or with ``DELTA_PREFIX`` the
-    rows opened and closed by this run."""
+                         prefix: str = SNAPSHOT_PREFIX, delivery: Delivery | None = None, buckets: int = 0) -> str:
+    """Write the next version: the whole table (in ``buckets``, if any), or
+    with ``DELTA_PREFIX`` the rows opened and closed by this run."""
     vs = versions(spark, table_dir)
     n = (vs[-1].number + 1) if vs else 1
     path = f"{table_dir}/{prefix}{n:010d}" + (f"--{delivery.stream}@{delivery.epoch}" if delivery else "")
@@ -184,6 +220,15 @@ def write_silver_version(df: DataFrame, spark: SparkSession, table_dir: str, sch
         # rows of a band meet in few tasks, so that a band gets few files; a large band is split by AQE
         by.append(BAND_COLUMN)
         df = df.withColumn(BAND_COLUMN, band(schema)).hint("rebalance", *by)
+    if buckets and prefix != DELTA_PREFIX:
+        path += f"~{buckets}"
+        keys = keys_of(schema)
+        table = _bucket_table(path)
+        # as many tasks as buckets, by the same hash: one file for each
+        (df.repartition(buckets, *keys).write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .partitionBy(*by).bucketBy(buckets, *keys).sortBy(*keys).format("parquet").option("path", path).saveAsTable(table))
+        spark.sql(f"DROP TABLE {table}")            # external: the files stay
+        return path
     # a fresh folder: static mode, so the job commit leaves _SUCCESS at its root
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*by).parquet(path)
     return path
@@ -197,7 +242,11 @@ def vacuum_silver(spark: SparkSession, table_dir: str) -> int:
     whole = [i for i, v in enumerate(vs) if v.snapshot]
     cut = whole[-2] if len(whole) >= 2 else 0
     newest = {v.delivery.stream: v for v in sorted((v for v in vs if v.delivery), key=lambda v: v.delivery.epoch)}
-    return sum(delete_path(spark, f"{table_dir}/{v.name}") for v in vs[:cut] if v not in newest.values())
+    gone = [v for v in vs[:cut] if v not in newest.values()]
+    for v in gone:
+        for flag in ("true", "false") if v.buckets else ():
+            spark.sql(f"DROP TABLE IF EXISTS {_bucket_table(f'{table_dir}/{v.name}/is_active={flag}')}")
+    return sum(delete_path(spark, f"{table_dir}/{v.name}") for v in gone)
 
 
 def write_table(df: DataFrame, path: str, mode: str = "append", partition_by=()) -> None:

@@ -364,3 +364,53 @@ def test_as_coded_first_load_joins_nothing(spark):
             *[f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in schemas.SOURCE[name].fields]))
         plan = scd2_merge_as_coded(empty_silver(spark, spec), new, spec, T1)._jdf.queryExecution().optimizedPlan().toString()
         assert "Join" not in plan and "Aggregate" not in plan, plan
+
+
+def test_merge_into_buckets_shuffles_only_the_batch(spark, root):
+    """Composite and single keys; deltas on top, compaction, another number of buckets, retention."""
+    import dataclasses
+
+    from medalake.plans.silver import maintain_silver
+    from medalake.sinks.tables import versions
+    spec = dataclasses.replace(PS, buckets=8)
+    schema, path = spec.silver_schema, f"{root}/product_suppliers"
+
+    def batch(rows):
+        return spark.createDataFrame(rows, spec.source_schema)
+
+    plain = f"{root}/plain"
+    for i, rows in enumerate([[(s, p, 1.0, U) for s in range(20) for p in range(5)],
+                              [(s, 1, 2.0 + s, U) for s in range(0, 30, 2)], [(4, 1, 9.0, U), (77, 1, 1.0, U)]]):
+        silver_job(spark, spec, batch(rows), root, T0 + dt.timedelta(days=i))
+        silver_job(spark, PS, batch(rows), plain, T0 + dt.timedelta(days=i))
+
+    def rows_of(spec, base):
+        return sorted(map(tuple, read_silver(spark, f"{base}/product_suppliers", spec.silver_schema).collect()))
+
+    assert [v.buckets for v in versions(spark, path)] == [8, 0, 0] and rows_of(spec, root) == rows_of(PS, plain)
+    keys = batch([(s, p, 3.0, U) for s in range(20) for p in range(5)]).select(*spec.keys).distinct()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = read_silver(spark, path, schema, touching=keys)
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("\n")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    at = [i for i, line in enumerate(plan) if "Bucketed: true" in line]
+    assert at and all("SelectedBucketsCount: 8 out of 8" in plan[i] for i in at)
+    depth = lambda line: len(line) - len(line.lstrip(" :+-*()0123456789"))
+    for i in at:            # the operators above the bucketed scan, up to its join, hold no exchange
+        above, level = [], depth(plan[i])
+        for line in reversed(plan[:i]):
+            if depth(line) < level:
+                level = depth(line)
+                above.append(line)
+            if "Join" in above[-1] if above else False:
+                break
+        assert "Join" in above[-1] and not any("Exchange" in line for line in above), above
+    assert maintain_silver(spark, dataclasses.replace(spec, buckets=4), root) == 0
+    assert versions(spark, path)[-1].buckets == 4 and rows_of(spec, root) == rows_of(PS, plain)
+    silver_job(spark, spec, batch([(0, 0, 8.0, U)]), root, T2)
+    silver_job(spark, PS, batch([(0, 0, 8.0, U)]), plain, T2)
+    assert maintain_silver(spark, spec, root) > 0
+    assert rows_of(spec, root) == rows_of(PS, plain)

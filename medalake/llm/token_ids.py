@@ -1,5 +1,10 @@
 """Token ids of whole texts by the tokenizers library, one library call per distinct word.
 
+Texts of ASCII and Latin letters need no normalization but folding, and their pre-tokens are told by a plain pattern.
+So their ids come straight from the library's model, once per distinct pre-token: its bytes, written in the
+vocabulary's byte letters, are merged, without the pipeline around that. Whether this holds for a vocabulary is tried
+at the start, letter by letter and on probe texts; where it doesn't, all texts go the way of the others:
+
 A text is cut before white space that follows other characters. The pre-tokenizers of the two vocabularies
 never join across such a place and look at nothing to its left, so the ids of the parts, one after the other,
 are the ids of the text. Parts repeat, hence a bounded memo of the ids of recent parts; a miss goes to the
@@ -17,8 +22,25 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 _CHUNK = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
 _ODD_SPACE = re.compile("[\x85\xa0  -     　]")
 _SPACE_AFTER_SPACE = tuple(w + " " for w in " \t\n\r\x0b\x0c")
-# a word of Latin letters and the ASCII punctuation behind it: both pre-tokenizers cut between the two
-_WORD_AND_TAIL = re.compile("( ?[A-Za-zÀ-įı-ɏ]+)([!-/:-@\\[-`{-~]*)")
+# a word of Latin letters (not the signs × and ÷ among them) and the ASCII punctuation behind it: both pre-tokenizers
+# cut between the two
+_WORD_AND_TAIL = re.compile("( ?[A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([!-/:-@\\[-`{-~]*)")
+
+
+def byte_letters() -> dict[str, int]:
+    """Letter -> byte of byte-level vocabularies: printable Latin-1 stands for itself, the rest for 256 and up."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
+_LETTER_OF = {b: c for c, b in byte_letters().items()}
+_LATIN, _SPACE = "A-Za-zÀ-ÖØ-öø-įı-ſ", " \\t-\\r"
+_PLAIN = re.compile(f"[\\x00-\\x7f{_LATIN}]*")
+# fixed values: the pre-token patterns of the two vocabularies, as far as plain texts need them
+_FOLDED = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LATIN}]+|[0-9]|[^{_SPACE}{_LATIN}0-9]+")
+_SPACED = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LATIN}]+| ?[0-9]+| ?[^{_SPACE}{_LATIN}0-9]+"
+                     f"|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 
 
 def cut(text: str) -> list[str]:
@@ -77,6 +99,24 @@ class TextEncoder:
         self.fold = self.tok.encode("\n AB ", add_special_tokens=False).ids == plain
         self.parts = Memo(self._part, cap)
         self.words = Memo(self._library, cap)
+        self.model = self.tok.model
+        self.tokens = Memo(self._merged, cap)
+        self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        self.pattern = _FOLDED if self.fold else _SPACED
+        if any(self._plain(t) != self._library(t) for t in self._probes()):
+            self.pattern = None
+
+    def _probes(self) -> list[str]:
+        letters = [c for c in map(chr, range(0x41, 0x250)) if _PLAIN.fullmatch(c)]
+        some = ["".join(letters[i::7]) for i in range(7)] + ["The naïveté's, straße 12x3 it'll  'S\n\n ok?! _a_ \t#", " a  b \r\n c"]
+        return [*map(chr, range(128)), *letters, *(" " + c for c in letters), *some]
+
+    def _merged(self, pretoken: str) -> bytes:
+        ids = [t.id for t in self.model.tokenize(pretoken.encode().decode("latin-1").translate(_LETTER_OF))]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _plain(self, text: str) -> bytes:
+        return b"".join(map(self.tokens.__getitem__, self.pattern.findall(text.lower() if self.fold else text)))
 
     def _library(self, chunk: str) -> bytes:
         ids = self.tok.encode(chunk, add_special_tokens=False).ids
@@ -100,6 +140,8 @@ class TextEncoder:
         return b"".join(map(self._chunk, _CHUNK.findall(text)))
 
     def encode(self, text: str | None) -> bytes:
+        if text and self.pattern and (text.isascii() or _PLAIN.fullmatch(text)) and not any(a in text for a in self.added):
+            return self._plain(text)
         return b"".join(map(self.parts.__getitem__, cut(text or "")))
 
 

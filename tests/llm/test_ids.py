@@ -30,6 +30,24 @@ def test_memoised_encoder_equals_library(path):
         assert list(np.frombuffer(enc.encode(text), "<u4")) == want
 
 
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_plain_texts_go_straight_to_the_model(path):
+    enc, tok = TextEncoder(path), Tokenizer.from_file(path)
+    assert enc.pattern
+    letters = [c for c in map(chr, range(0x41, 0x250)) if c.isalpha()]
+    rng = np.random.default_rng(4)
+    words = ["".join(rng.choice(letters, rng.integers(1, 14))) for _ in range(3000)] + ["a×b", "x÷", "İi", "ǅ", "ŉn", "ªº", "µ"]
+    texts = [t for w in words for t in (w, f"x {w}, {w.upper()}")]
+    signs = list("abTé Ö019'st re .,!_#\n\t\r \x0b\x1c\x00\x7f<|>") + ["'ll", "'S", "  ", "<|endoftext|>", "\xa0", "日"]
+    texts += ["".join(rng.choice(signs, rng.integers(0, 40))) for _ in range(6000)]
+    others = TextEncoder(path)
+    others.pattern = None                    # a vocabulary for which the pattern doesn't hold
+    for text in texts:
+        want = tok.encode(text, add_special_tokens=False).ids
+        assert list(np.frombuffer(enc.encode(text), "<u4")) == want, text
+        assert list(np.frombuffer(others.encode(text), "<u4")) == want, text
+
+
 def test_speculation_verifies_and_merges():
     m = bpe.SpeculativeBPE(BYTE, cap=50)
     tok = Tokenizer.from_file(BYTE)

@@ -5,11 +5,12 @@ table per position) are added and squashed, and a two-level softmax gives first
 its class. A document's score is the sum of the log-probabilities of its tokens.
 
 Tokens are the words of the corpus: the most frequent ones have ids by rank (counted over all documents), the rest
-share ``RARE`` ids by hash, and a rare word's score is that of its shared id. Each task trains a copy of the network on
-all documents of its partition, and the copies are averaged, weighted by tokens, together with the step sizes they have
-come to: first over an eighth of the documents to start from common ground, then over all of them, round after round,
-until the loss over all documents falls by less than ``FALL`` a token. The model has a fixed size: the words beyond the
-most frequent 960 are counted, but not told apart.
+share ``RARE`` ids by hash, and a rare word's score is that of its shared id. The documents are dealt into ``ROUNDS``
+disjoint parts by a hash of their text. In every round each task trains a copy of the network on its partition's
+documents of one part, and the copies are averaged, weighted by tokens, together with the step sizes they have come
+to; all documents are trained on once. (Copies are averaged by partition, so how the input is cut into partitions has
+a small influence on the scores.) The model has a fixed size: the words beyond the most frequent 960 are counted, but
+not told apart.
 
 Defined results: null text has no tokens and the score 0; repeated rows each keep a row and train as often; a null
 doc_id passes through; an empty table gives an empty result; other columns are ignored.
@@ -36,7 +37,8 @@ RARE = 63            # hashed ids of rare words; id 0 marks the edge of a docume
 BATCH = 16_384       # tokens of a forward pass
 STEP = 2_048         # tokens of a training step
 RATE = 0.05
-FALL = 0.01          # training goes on while the loss a token falls by this much in a round
+ROUNDS = 8           # parts of the corpus that are trained on one after the other
+HIGHEST = 60.0
 OFFSETS = (-2, -1, 1, 2)
 _SHAPES = {"embed": (len(OFFSETS), VOCABULARY, WIDTH), "bias": (WIDTH,), "cls": (WIDTH, CLASSES),
            "cls_bias": (CLASSES,), "tok": (CLASSES, WIDTH, IN_CLASS), "tok_bias": (CLASSES, IN_CLASS)}
@@ -83,14 +85,22 @@ def _context(tokens: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
     return [tokens[at + o] for o in OFFSETS]
 
 
+def _softmax(logits: np.ndarray) -> np.ndarray:
+    """Row by row, in place. The hidden layer lies within 1, so logits are small; ``HIGHEST`` keeps exp finite anyhow."""
+    np.minimum(logits, HIGHEST, out=logits)
+    np.exp(logits, out=logits)
+    logits /= (logits @ np.ones(logits.shape[1], logits.dtype))[:, None]
+    return logits
+
+
 def _forward(model, context, target):
     """Hidden layer, class probabilities, order of the targets by class, and log-probabilities."""
-    h = model["bias"] + sum(model["embed"][p][x] for p, x in enumerate(context))
-    h = np.tanh(h)
-    logits = h @ model["cls"] + model["cls_bias"]
-    logits -= logits.max(axis=1, keepdims=True)
-    np.exp(logits, out=logits)
-    logits /= logits.sum(axis=1, keepdims=True)
+    h = model["embed"][0].take(context[0], axis=0)
+    for p, x in enumerate(context[1:], 1):
+        h += model["embed"][p].take(x, axis=0)
+    h += model["bias"]
+    np.tanh(h, out=h)
+    logits = _softmax(h @ model["cls"] + model["cls_bias"])
     cls, inside = target // IN_CLASS, target % IN_CLASS
     order = np.argsort(cls, kind="stable")
     edges = np.searchsorted(cls[order], np.arange(CLASSES + 1))
@@ -99,10 +109,7 @@ def _forward(model, context, target):
     for c in range(CLASSES):
         who = order[edges[c]: edges[c + 1]]
         if len(who):
-            own = h[who] @ model["tok"][c] + model["tok_bias"][c]
-            own -= own.max(axis=1, keepdims=True)
-            np.exp(own, out=own)
-            own /= own.sum(axis=1, keepdims=True)
+            own = _softmax(h[who] @ model["tok"][c] + model["tok_bias"][c])
             logp[who] += np.log(own[np.arange(len(who)), inside[who]] + 1e-30)
             parts.append((c, who, own))
     return h, logits, cls, inside, parts, logp
@@ -252,16 +259,9 @@ def train_round(spark: SparkSession, docs: DataFrame, words: Words, state: _Stat
 def fit(spark: SparkSession, docs: DataFrame) -> tuple[Words, dict[str, np.ndarray]]:
     texts = pick(docs, "text")
     words = Words(frequent_words(docs))
-    state, _ = train_round(spark, texts.where(F.crc32(F.col("text").cast("binary")) % 8 == 0), words,
-                           (start_model(), start_squares()))
-    state, loss = train_round(spark, texts, words, state)
-    while loss:
-        new, now = train_round(spark, texts, words, state)
-        if now <= loss:
-            state = new
-        if not now < loss - FALL:
-            break
-        loss = now
+    state, part = (start_model(), start_squares()), F.pmod(F.xxhash64("text"), F.lit(ROUNDS))
+    for n in range(ROUNDS):
+        state, _ = train_round(spark, texts.where(part == n), words, state)
     return words, state[0]
 
 

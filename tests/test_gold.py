@@ -269,3 +269,25 @@ def test_equal_keys_are_merged_within_their_bands(spark, root, monkeypatch):
     got = read_silver(spark, f"{silver}/orders", schema)
     assert got.filter("is_active").count() == 10 + 3 and got.count() == 14
     assert {r.order_id for r in read_silver(spark, f"{silver}/orders", schema, bands=[-1]).collect()} == {-1, -3}
+
+
+def test_runs_with_maintenance(spark, root):
+    """Four days, each with a changed order; two of the runs compact."""
+    import datetime as dt
+
+    from medalake import schemas
+    from medalake.plans.config import RETAILER_CONFIG, config_frame
+    from medalake.plans.medallion import run_medallion
+    from medalake.sinks.gold import builds
+    from medalake.sinks.tables import versions
+    seeds, config = frames(spark), config_frame(spark, RETAILER_CONFIG)
+    for day in range(4):
+        at = LOAD + dt.timedelta(days=30 * day)
+        if day:
+            row = spark.createDataFrame([(1001 + day, 1, at, 10.0, at)], schemas.SOURCE["orders"])
+            seeds["orders"] = seeds["orders"].filter(f"order_id <> {1001 + day}").union(row)
+        gold = run_medallion(spark, lambda t: seeds[t], root, at, config=config, maintain=day >= 2)
+    assert [v.prefix for v in versions(spark, f"{root}/silver/orders")] == ["comp_", "ver_", "comp_"]
+    assert len(builds(spark, f"{root}/gold")) == 2
+    assert _same(gold, read_gold(spark, f"{root}/gold"))
+    assert _same(gold, gold_job(spark, f"{root}/silver", f"{root}/full"))

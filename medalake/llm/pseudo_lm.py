@@ -218,15 +218,28 @@ def frequent_words(docs: DataFrame) -> list[str]:
 _State = tuple[dict[str, np.ndarray], dict[str, np.ndarray]]
 
 
-def train_round(spark: SparkSession, docs: DataFrame, words: Words, state: _State) -> tuple[_State, float]:
-    """One pass of every partition over its documents from the same model and squares: the token-weighted means of the
-    copies, and the loss a token over all documents, taken before each step."""
+def coded(spark: SparkSession, docs: DataFrame, words: Words) -> DataFrame:
+    """The documents' token ids, written once for all rounds and the scores, with the part that each is dealt into."""
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = [words(t).tobytes() for (t,) in rows(batch, "text")]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("part"), pa.array(ids, pa.binary())],
+                                             ["doc_id", "part", "ids"])
+
+    dealt = pick(docs, "doc_id", "text").withColumn("part", F.pmod(F.xxhash64("text"), F.lit(ROUNDS)))
+    return saved(dealt.mapInArrow(code, "doc_id long, part long, ids binary"), spark, "lm-ids")
+
+
+def train_round(spark: SparkSession, docs: DataFrame, state: _State) -> tuple[_State, float]:
+    """One pass of every partition over its documents (their ids) from the same model and squares: the token-weighted
+    means of the copies, and the loss a token over all documents, taken before each step."""
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trainer = Trainer(*state)
         for batch in batches:
-            for (text,) in rows(batch, "text"):
-                trainer.add(words(text))
+            for (ids,) in rows(batch, "ids"):
+                trainer.add(np.frombuffer(ids, np.uint16))
         trainer.step()
         if trainer.tokens:
             values = np.concatenate([flat(trainer.model), flat(trainer.squares)])
@@ -256,25 +269,29 @@ def train_round(spark: SparkSession, docs: DataFrame, words: Words, state: _Stat
     return (unflat(model), unflat(squares)), whole[0].loss / whole[0].tokens
 
 
+def trained(spark: SparkSession, ids: DataFrame) -> dict[str, np.ndarray]:
+    state = (start_model(), start_squares())
+    for n in range(ROUNDS):
+        state, _ = train_round(spark, ids.where(F.col("part") == n).select("ids"), state)
+    return state[0]
+
+
 def fit(spark: SparkSession, docs: DataFrame) -> tuple[Words, dict[str, np.ndarray]]:
-    texts = pick(docs, "text")
     words = Words(frequent_words(docs))
-    state, part = (start_model(), start_squares()), F.pmod(F.xxhash64("text"), F.lit(ROUNDS))
-    for n in range(ROUNDS):
-        state, _ = train_round(spark, texts.where(part == n), words, state)
-    return words, state[0]
+    return words, trained(spark, coded(spark, docs, words))
 
 
 def score(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Per row: doc_id, number of tokens, sum and mean of the tokens' conditional log-probabilities."""
-    words, model = fit(spark, docs)
+    ids = coded(spark, docs, Words(frequent_words(docs)))
+    model = trained(spark, ids)
     names = ["doc_id", "n_tokens", "pseudo_log_likelihood", "mean_log_prob"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held, size = [], 0
-            for i, (doc_id, text) in enumerate(rows(batch, "doc_id", "text")):
-                held.append((doc_id, words(text)))
+            for i, (doc_id, own) in enumerate(rows(batch, "doc_id", "ids")):
+                held.append((doc_id, np.frombuffer(own, np.uint16)))
                 size += len(held[-1][1])
                 if size >= 4 * BATCH or i == batch.num_rows - 1:
                     got = log_probs(model, [t for _, t in held])
@@ -284,4 +301,4 @@ def score(spark: SparkSession, docs: DataFrame) -> DataFrame:
                          pa.array([g / k if k else 0.0 for g, k in zip(got, n)], pa.float64())], names)
                     held, size = [], 0
 
-    return pick(docs, "doc_id", "text").mapInArrow(run, SCHEMA)
+    return ids.select("doc_id", "ids").mapInArrow(run, SCHEMA)

@@ -351,3 +351,19 @@ def test_tables_run_concurrently_in_stated_order_and_failures_surface(spark):
     with pytest.raises(ValueError, match="first"):
         concurrently(spark, failing, [0, 1, 2], 2)
     assert sorted(ended) == [1, 2]
+
+
+def test_landed_files_are_packed_and_bounded(spark, root, monkeypatch):
+    import glob
+    import gzip
+    monkeypatch.setattr(K, "ROWS_IN_FILE", 400)
+    rows = spark.range(1000, numPartitions=1).selectExpr(
+        "id AS order_id", "id AS customer_id", "TIMESTAMP_NTZ'2024-01-01 00:00:00' AS order_date", "1.5D AS total_amount",
+        "TIMESTAMP_NTZ'2024-01-01 00:00:00' AS updated_at")
+    path = K.land_json(rows, root, "orders", T0)
+    files = glob.glob(f"{path.removeprefix('file:')}/part-*")
+    texts = [gzip.open(f, "rt").read() for f in files]
+    assert sorted(t.count("\n") for t in texts) == [200, 400, 400]
+    assert 5 * sum(map(os.path.getsize, files)) < sum(map(len, texts))
+    got = read_bronze(spark, root, "orders", path)
+    assert got.count() == 1000 and got.select("order_id").distinct().count() == 1000

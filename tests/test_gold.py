@@ -291,3 +291,36 @@ def test_runs_with_maintenance(spark, root):
     assert len(builds(spark, f"{root}/gold")) == 2
     assert _same(gold, read_gold(spark, f"{root}/gold"))
     assert _same(gold, gold_job(spark, f"{root}/silver", f"{root}/full"))
+
+
+def _shuffles(df) -> int:
+    df.write.format("noop").mode("overwrite").save()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.split("== Initial Plan ==")[-1].count("Exchange hashpartitioning")
+
+
+def test_lines_are_shuffled_once_behind_their_join(spark):
+    from medalake.plans import gold as G
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        f = {n: df.selectExpr("*", "true AS is_active") for n, df in frames(spark).items()}
+        # two sides of the join, the lines, and the facts and both dimensions on their way to the names
+        assert _shuffles(G.counts(f["orders"], f["order_items"])) == 3
+        assert _shuffles(sales_summary(*(f[t] for t in ("orders", "order_items", "products", "categories")))) == 7
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_changes_meet_all_rows_in_one_join(spark, root):
+    import datetime as dt
+
+    from medalake import schemas
+    from medalake.plans import gold as G
+    silver, T1 = _silver(spark, root), LOAD + dt.timedelta(days=1)
+    silver_job(spark, SPECS["orders"], spark.createDataFrame([(1001, 7, LOAD, 10.0, T1)], schemas.SOURCE["orders"]), silver, T1)
+    silver_job(spark, SPECS["order_items"], spark.createDataFrame([(1, 1001, 101, 4, 1000.0, T1)],
+                                                                 schemas.SOURCE["order_items"]), silver, T1)
+    change = G.changed_counts(spark, silver, {"orders": 1, "order_items": 1}, {"orders": 2, "order_items": 2})
+    assert change._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+    got = {(r.product_id, r.customer_id): (r.n, r.units, float(r.sales)) for r in change.collect()}
+    assert got[101, 1] == (-1, -1, -1000.0) and got[101, 7] == (1, 4, 4000.0)

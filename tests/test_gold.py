@@ -324,3 +324,11 @@ def test_changes_meet_all_rows_in_one_join(spark, root):
     assert change._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
     got = {(r.product_id, r.customer_id): (r.n, r.units, float(r.sales)) for r in change.collect()}
     assert got[101, 1] == (-1, -1, -1000.0) and got[101, 7] == (1, 4, 4000.0)
+
+
+def test_a_price_beyond_money_in_no_active_order_is_no_error(spark):
+    f = frames(spark)
+    orders = f["orders"].selectExpr("*", "order_id <> 1001 AS is_active")
+    items = f["order_items"].selectExpr("order_item_id", "order_id", "product_id", "quantity",
+                                        "if(order_id = 1001, 1e30D, price) AS price", "updated_at")
+    assert sales_summary(orders, items, f["products"], f["categories"]).count() > 0

@@ -1,10 +1,12 @@
 """Byte-pair encoding by speculation and verification, and decoding.
 
-Greedy longest match proposes tokens for every new word of a batch. A proposal equals the result of the merge
+Greedy longest match proposes tokens for every new word of a batch, in a walk of all words through one prefix tree.
+A proposal equals the result of the merge
 rules exactly when each adjacent pair of its tokens would stay apart if the pair were encoded alone; numpy
 tests all adjacent pairs of the batch at once by undoing, from the top, the merges that formed the two tokens and
 looking for a rule that would have crossed the boundary earlier. Only words with a failing pair are merged rule
-by rule. Pre-tokenization is the library's; ids are kept per distinct word in a bounded memo.
+by rule, one rule of every such word at a time. Pre-tokenization is the library's; ids are kept per distinct word in a
+bounded memo.
 
 Defined results: null text encodes as the empty text (no ids); null or repeated doc_id rows each keep a row; an
 empty table gives an empty result; other columns are ignored.
@@ -17,9 +19,11 @@ import heapq
 import json
 import re
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from medalake.llm.common import pick, rows
@@ -27,6 +31,8 @@ from medalake.llm.token_ids import _WORD_AND_TAIL, Memo, cut, part_text
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 _NEVER = 1 << 62
+# a word and the punctuation behind it; the same again behind a line feed, which is a pre-token before a letter
+_WORDS = re.compile(_WORD_AND_TAIL.pattern + "(?:(\n)" + _WORD_AND_TAIL.pattern.replace("( ?", "(") + ")?")
 
 
 def _byte_letters() -> dict[str, int]:
@@ -36,6 +42,44 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def _joined(values: pa.Array, at: np.ndarray, lengths: np.ndarray, by) -> pa.Array:
+    """Strings of ``values`` picked by ``at``, as many as each of ``lengths`` says joined to one."""
+    ends = pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int64())
+    return pc.binary_join(pa.LargeListArray.from_arrays(ends, values.take(pa.array(at))), pa.scalar(by, values.type))
+
+
+class _Lookup:
+    """Number of a key among distinct ``keys`` (0 and up) by a quarter-full hash table; the last number: none of them."""
+
+    def __init__(self, keys: np.ndarray):
+        bits = int(4 * len(keys)).bit_length()
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys = np.full(1 << bits, -1, np.int64)
+        self.numbers = np.full(1 << bits, len(keys), np.int64)
+        left = np.arange(len(keys))
+        slot = self._slot(keys)
+        while len(left):
+            first = np.unique(slot, return_index=True)[1]
+            first = first[self.keys[slot[first]] < 0]
+            self.keys[slot[first]], self.numbers[slot[first]] = keys[left[first]], left[first]
+            rest = np.ones(len(left), bool)
+            rest[first] = False
+            left, slot = left[rest], (slot[rest] + 1) & self.mask
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        slot = self._slot(keys)
+        out, held = self.numbers[slot], self.keys[slot]      # an empty slot's number: none
+        far = np.flatnonzero((held != keys) & (held >= 0))
+        while len(far):
+            slot[far] = (slot[far] + 1) & self.mask
+            out[far], held = self.numbers[slot[far]], self.keys[slot[far]]
+            far = far[(held != keys[far]) & (held >= 0)]
+        return out
+
+
 class SpeculativeBPE:
     def __init__(self, path: str, cap: int = 300_000):
         from tokenizers import Tokenizer
@@ -58,10 +102,8 @@ class SpeculativeBPE:
                 self.rule[pair] = (rank, made)
             if self.rank[made] < 0:
                 self.rank[made], self.left[made], self.right[made] = rank, *pair
-        keys = np.array([a << 32 | b for a, b in self.rule], np.int64)
-        order = np.argsort(keys)
-        self.rule_keys = np.append(keys[order], _NEVER)
-        self.rule_ranks = np.append(np.array([r for r, _ in self.rule.values()], np.int64)[order], _NEVER)
+        self.rule_at = _Lookup(np.array([a << 32 | b for a, b in self.rule], np.int64))
+        self.rule_ranks = np.array([*(r for r, _ in self.rule.values()), _NEVER], np.int64)
         # tokens that their own text encodes to; others are never proposed
         formed = np.flatnonzero(self.rank >= 0)
         sound = np.ones(size, bool)
@@ -69,11 +111,15 @@ class SpeculativeBPE:
         for t in formed[np.argsort(self.rank[formed])]:
             sound[t] &= sound[self.left[t]] & sound[self.right[t]]
         self.vocab = vocab
-        self.proposable = {s: i for s, i in vocab.items() if sound[i]}
-        self.prefixes = {s[:k] for s in self.proposable for k in range(1, len(s) + 1)}
+        self._plant({s: i for s, i in vocab.items() if sound[i]})
+        self.made = np.full(len(spec["model"]["merges"]), -1, np.int64)      # by rank
+        for rank, made in self.rule.values():
+            self.made[rank] = made
         letters = _byte_letters()
-        self.bytes_of = {i: bytes(letters[c] for c in s) if all(c in letters for c in s) else s.encode()
-                         for s, i in [*vocab.items(), *self.special.items()]}
+        raw = {i: bytes(letters[c] for c in s) if all(c in letters for c in s) else s.encode()
+               for s, i in [*vocab.items(), *self.special.items()]}
+        self.decimal = pa.array([str(i) for i in range(size)], pa.large_string())
+        self.raw = pa.array([raw.get(i, b"") for i in range(size)], pa.large_binary())
         kind = spec["pre_tokenizer"]
         self.spelling = None
         if kind["type"] == "ByteLevel" and kind["use_regex"] and not kind["add_prefix_space"]:
@@ -89,9 +135,7 @@ class SpeculativeBPE:
         result = np.ones(len(x), bool)
         live = np.arange(len(x))
         while len(live):
-            key = x << 32 | y
-            at = np.searchsorted(self.rule_keys, key)
-            rank = np.where(self.rule_keys[at] == key, self.rule_ranks[at], _NEVER)
+            rank = self.rule_ranks[self.rule_at(x << 32 | y)]
             crossed = rank < limit
             result[live[crossed]] = False
             rx, ry = self.rank[x], self.rank[y]
@@ -103,20 +147,93 @@ class SpeculativeBPE:
             x, y = np.where(undo_left, self.right[x], x), np.where(undo_left, y, self.left[y])
         return result
 
-    def propose(self, word: str) -> list[int]:
-        out, at, n = [], 0, len(word)
-        while at < n:
-            end, best, got = at + 1, 0, 0
-            while end <= n and word[at:end] in self.prefixes:
-                t = self.proposable.get(word[at:end])
-                if t is not None:
-                    best, got = end, t
-                end += 1
-            if not best:
-                raise ValueError(f"no token for {word[at]!r}")
-            out.append(got)
-            at = best
-        return out
+    def _plant(self, proposable: dict[str, int]) -> None:
+        """The tree of all prefixes of the tokens that are proposed: (node, letter) -> node, and the token a node spells."""
+        letters = sorted({c for s in proposable for c in s})
+        number = {c: i for i, c in enumerate(letters)}
+        self.letter = np.full(max(map(ord, letters)) + 2, -1, np.int64)      # by code point; the last one: none
+        self.letter[[ord(c) for c in letters]] = range(len(letters))
+        self.fan = len(letters) + 1                                          # the last letter ends a word, and has no edge
+        nodes, edges = {"": 0}, []
+        for s in proposable:
+            node = 0
+            for k in range(1, len(s) + 1):
+                after = nodes.get(s[:k])
+                if after is None:
+                    after = nodes[s[:k]] = len(nodes)
+                    edges.append(node * self.fan + number[s[k - 1]])
+                node = after
+        self.edge_at = _Lookup(np.array(edges, np.int64))       # edge i leads to node i + 1
+        self.none = len(edges)
+        self.spells = np.fromiter((proposable.get(s, -1) for s in nodes), np.int64, len(nodes))
+
+    def propose(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens of all words by greedy longest match, one word behind the other, and how many each word has."""
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        points = np.frombuffer("".join(words).encode("utf-32-le"), "<u4")
+        letters = self.letter[np.minimum(points, len(self.letter) - 1)]
+        if (letters < 0).any():
+            raise ValueError(f"no token for {chr(points[np.argmin(letters)])!r}")
+        ends = np.cumsum(lengths) + np.arange(len(words))                    # where a word's end letter stands
+        chars = np.full(len(points) + len(words), self.fan - 1, np.int64)
+        inside = np.ones(len(chars), bool)
+        inside[ends] = False
+        chars[inside] = letters
+        token_at = np.full(len(chars), -1, np.int64)
+        end, at = ends, ends - lengths                                       # of the words under way; the token's start
+        place, node, best, upto = at, np.zeros(len(words), np.int64), np.full(len(words), -1, np.int64), at
+        while len(place):
+            edge = self.edge_at(node * self.fan + chars[place])
+            on = edge < self.none
+            node = np.where(on, edge + 1, 0)
+            spelt = self.spells[node]
+            longer = on & (spelt >= 0)
+            best, upto = np.where(longer, spelt, best), np.where(longer, place + 1, upto)
+            off = ~on
+            if (best[off] < 0).any():
+                raise ValueError("no token for a letter")
+            token_at[at[off]] = best[off]
+            at, best, place = np.where(on, at, upto), np.where(on, best, -1), np.where(on, place + 1, upto)
+            if (go := at < end).sum() < len(go):
+                end, at, place, node, best, upto = (v[go] for v in (end, at, place, node, best, upto))
+        counts = np.diff(np.cumsum(token_at >= 0)[ends], prepend=0)
+        return token_at[token_at >= 0], counts
+
+    def _ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Ranks of the rules that join tokens a and b."""
+        return self.rule_ranks[self.rule_at(a << 32 | b)]
+
+    def merge_many(self, words: list[str]) -> np.ndarray:
+        """``merge`` of short words, side by side: in each step every word takes its rule of lowest rank, leftmost first.
+        A row of ids for each word, -1 behind its last one."""
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        width = int(lengths.max())
+        cols = np.arange(width)
+        # unused places hold -1, which no rule has
+        ids = np.full((len(words), width), -1, np.int64)
+        ids[cols < lengths[:, None]] = [self.vocab[c] for w in words for c in w]
+        ranks = np.full((len(words), width), _NEVER)
+        ranks[:, :-1] = self._ranks(ids[:, :-1].ravel(), ids[:, 1:].ravel()).reshape(len(words), width - 1)
+        out = np.empty_like(ids)
+        who = np.arange(len(words))
+        while True:
+            j = ranks.argmin(1)
+            rank = ranks[np.arange(len(who)), j]
+            ended = rank == _NEVER
+            if ended.any():
+                out[who[ended]] = ids[ended]
+                go = ~ended
+                who, ids, ranks, j, rank = who[go], ids[go], ranks[go], j[go], rank[go]
+                if not len(who):
+                    return out
+            row, behind = np.arange(len(who)), cols[:-1] > j[:, None]
+            ids[:, :-1] = np.where(behind, ids[:, 1:], ids[:, :-1])
+            ranks[:, :-1] = np.where(behind, ranks[:, 1:], ranks[:, :-1])
+            ids[:, -1], ranks[:, -1] = -1, _NEVER
+            ids[row, j] = made = self.made[rank]
+            ranks[row, j] = self._ranks(made, ids[row, np.minimum(j + 1, width - 1)])
+            left = np.flatnonzero(j)
+            ranks[left, j[left] - 1] = self._ranks(ids[left, j[left] - 1], made[left])
 
     def merge(self, word: str) -> list[int]:
         """The merge rules applied exactly: always the rule of lowest rank, leftmost place first."""
@@ -156,69 +273,114 @@ class SpeculativeBPE:
     def encode_words(self, words: Iterable[str]) -> dict[str, list[int]]:
         """Ids of each word (pre-tokens in the vocabulary's letters)."""
         words = [w for w in words if w]
-        proposed = [self.propose(w) for w in words]
+        ids, lengths = self.encode_flat(words)
+        return {w: x.tolist() for w, x in zip(words, np.split(ids, np.cumsum(lengths)[:-1]))}
+
+    def encode_flat(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, one word behind the other, and how many each word has."""
+        if not words:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        flat, lengths = self.propose(words)
         self.n_proposed += len(words)
-        lengths = np.array([len(p) for p in proposed], np.int64)
-        flat = np.fromiter((t for p in proposed for t in p), np.int64, int(lengths.sum()))
         ends = np.cumsum(lengths)
         inner = np.ones(max(len(flat) - 1, 0), bool)
         inner[ends[:-1] - 1] = False  # a pair over the end of a word is none
         place = np.flatnonzero(inner)
         failing = place[~self.apart(flat[place], flat[place + 1])]
-        for w in np.unique(np.searchsorted(ends, failing, side="right")):
-            proposed[w] = self.merge(words[w])
-            self.n_merged += 1
-        return dict(zip(words, proposed))
-
-    def learn(self, keys: set[str]) -> dict[str, tuple[int, str, bytes]]:
-        """(count, decimal ids joined by commas, decoded bytes) of new parts."""
-        split: dict[str, list] = {}
+        again = np.unique(np.searchsorted(ends, failing, side="right"))
+        self.n_merged += len(again)
+        kept = np.ones(len(words), bool)
+        kept[again] = False
+        rows: list[tuple[np.ndarray, np.ndarray]] = []        # words, and their ids with -1 behind them
+        size = np.fromiter((len(words[w]) for w in again), np.int64, len(again))
+        short = again[size <= 32][np.argsort(size[size <= 32], kind="stable")]
+        for at in range(0, len(short), 2048):     # words of like length, so few places stay unused
+            some = short[at: at + 2048]
+            rows.append((some, self.merge_many([words[w] for w in some])))
+        for w in again[size > 32]:
+            rows.append((np.array([w]), np.array([self.merge(words[w])], np.int64)))
+        lengths = lengths.copy()
+        for some, ids in rows:
+            lengths[some] = (ids >= 0).sum(1)
+        starts = np.cumsum(lengths) - lengths
+        out = np.empty(int(lengths.sum()), np.int64)
+        old = np.repeat(kept, np.diff(ends, prepend=0))
+        out[np.repeat(kept, lengths)] = flat[old]
+        for some, ids in rows:
+            used = ids >= 0
+            out[(starts[some][:, None] + np.arange(ids.shape[1]))[used]] = ids[used]
+        return out, lengths
+
+    def learn(self, keys: list[str]) -> dict[str, bytes]:
+        """Ids of new parts, as unsigned 32-bit integers."""
+        split: dict[str, str | tuple] = {}      # part -> its pre-token or pre-tokens
         new: set[str] = set()
+        space = self.spelling and self.spelling[32]
         for key in keys:
-            pieces: list = []
-            plain = self.spelling and _WORD_AND_TAIL.fullmatch(part_text(key))
-            if plain:  # pre-tokens are the word with its space, and the punctuation behind it
-                split[key] = pieces = [w.translate(self.spelling) for w in plain.groups() if w]
-                new.update(pieces)
+            if space and key.isascii() and key.isalpha():
+                split[key] = word = space + key
+                new.add(word)
+                continue
+            text = part_text(key)
+            plain = self.spelling and _WORDS.fullmatch(text)
+            if plain:  # pre-tokens are the word with its space, the punctuation, the line feed
+                split[key] = words = tuple([w.translate(self.spelling) for w in plain.groups() if w])
+                new.update(words)
                 continue
-            for k, s in enumerate(self.special_rx.split(part_text(key)) if self.special_rx else [part_text(key)]):
+            pieces: list = []
+            for k, s in enumerate(self.special_rx.split(text) if self.special_rx else [text]):
                 if k % 2:
-                    pieces.append([self.special[s]])
+                    pieces.append(np.array([self.special[s]], "<u4").tobytes())
                 elif s:
                     pieces += [w for w, _ in self.pre.pre_tokenize_str(s)]
-            split[key] = pieces
+            split[key] = tuple(pieces)
             new.update(w for w in pieces if isinstance(w, str))
-        known = {w: ids for w in new if (ids := self.words.get(w) or self.words.old.get(w)) is not None}
-        fresh = self.encode_words(new - known.keys())
-        for w, ids in fresh.items():
+        known = {w: got for w in new if (got := self.words.get(w) or self.words.old.get(w)) is not None}
+        unknown = [w for w in new if w and w not in known]
+        ids, lengths = self.encode_flat(unknown)
+        raw, upto = ids.astype("<u4").tobytes(), (4 * np.cumsum(lengths)).tolist()
+        for w, a, b in zip(unknown, [0, *upto], upto):
+            known[w] = got = raw[a:b]
             if len(w) <= 64:
-                self.words.put(w, ids)
-        known |= fresh
+                self.words.put(w, got)
         out = {}
         for key, pieces in split.items():
-            ids = [t for p in pieces for t in (known[p] if isinstance(p, str) else p)]
-            out[key] = (len(ids), ",".join(map(str, ids)), b"".join(map(self.bytes_of.__getitem__, ids)))
+            if isinstance(pieces, str):
+                out[key] = known[pieces]
+            else:
+                out[key] = b"".join([known[p] if isinstance(p, str) else p for p in pieces])
         return out
 
     def encode_many(self, texts: list[str]) -> Iterator[tuple[int, str, bytes]]:
         """For each text: number of ids, ids in decimal joined by commas, and the decoded bytes."""
         cuts = [cut(t) for t in texts]
-        here: dict[str, tuple[int, str, bytes]] = {}
-        unknown = set()
-        for key in set().union(*cuts):
-            got = self.parts.get(key) or self.parts.old.get(key)
-            if got is None:
-                unknown.add(key)
+        parts = list(chain.from_iterable(cuts))
+        keys = list(set(parts))
+        got = list(map(self.parts.get, keys))
+        old, unknown = self.parts.old, []
+        for i in [i for i, g in enumerate(got) if g is None]:
+            got[i] = value = old.get(keys[i])
+            if value is None:
+                unknown.append(i)
             else:
-                here[key] = got
-        fresh = self.learn(unknown)
-        here |= fresh
-        for keys in cuts:
-            got = [here[k] for k in keys]
-            yield (sum(g[0] for g in got), ",".join(g[1] for g in got), b"".join(g[2] for g in got))
-        for key, value in here.items():
-            if len(key) <= 64 and key not in self.parts:
+                self.parts.put(keys[i], value)
+        fresh = self.learn([keys[i] for i in unknown])
+        for i in unknown:
+            key = keys[i]
+            got[i] = value = fresh[key]
+            if len(key) <= 64:
                 self.parts.put(key, value)
+        held = np.frombuffer(b"".join(got), "<u4")
+        size = np.fromiter(map(len, got), np.int64, len(got)) // 4
+        start = np.cumsum(size) - size
+        number = dict(zip(keys, range(len(keys))))
+        at = np.fromiter(map(number.__getitem__, parts), np.int64, len(parts))
+        n, ends = size[at], np.cumsum([len(c) for c in cuts], dtype=np.int64)
+        upto = np.concatenate([[0], np.cumsum(n)])
+        ids = held[np.repeat(start[at] - upto[:-1], n) + np.arange(upto[-1])]
+        lengths = np.diff(upto[ends], prepend=0)
+        yield from zip(lengths.tolist(), _joined(self.decimal, ids, lengths, ",").to_pylist(),
+                       _joined(self.raw, ids, lengths, b"").to_pylist())
 
 
 _MODELS: dict[str, SpeculativeBPE] = {}

@@ -60,6 +60,28 @@ def test_speculation_verifies_and_merges():
         assert raw.decode("utf-8", "replace") == tok.decode(want, skip_special_tokens=False)
 
 
+def test_failing_words_are_merged_side_by_side(monkeypatch):
+    m, exact = bpe.SpeculativeBPE(BYTE), bpe.SpeculativeBPE(BYTE)
+
+    def merge(word):
+        raise AssertionError(f"{word} merged alone")
+
+    monkeypatch.setattr(m, "merge", merge)
+    rng = np.random.default_rng(5)
+    words = sorted({"".join(rng.choice(list("Ġethaoinsr.é"), rng.integers(1, 33))) for _ in range(6000)})
+    assert m.encode_words(words) == {w: exact.merge(w) for w in words} and m.n_merged > 2048
+
+
+def test_words_over_line_feeds_are_the_librarys():
+    m, tok = bpe.SpeculativeBPE(BYTE), Tokenizer.from_file(BYTE)
+    rng = np.random.default_rng(6)
+    signs = list("abTé.,'s\n\n \t1ßĳ") + ["it's", "end.\nThe", "ok!?\n", "<|endoftext|>", "<|\nendoftext|>", "日\n本"]
+    texts = [""] + ["".join(rng.choice(signs, rng.integers(0, 30))) for _ in range(3000)] + [""]
+    for text, (n, ids, raw) in zip(texts, m.encode_many(texts), strict=True):
+        want = tok.encode(text, add_special_tokens=False).ids
+        assert (n, ids, raw.decode()) == (len(want), ",".join(map(str, want)), text)
+
+
 def test_pairs_apart_agrees_with_merging_the_pair():
     m = bpe.SpeculativeBPE(BYTE)
     names = {i: s for s, i in m.vocab.items()}

@@ -90,27 +90,25 @@ class _Range:
         return np.minimum((self.code[at] - self.low[at]) // r, total - np.uint64(1)).astype(np.int64), r
 
     def narrow(self, at, start, size, r):
+        """``at``: lane numbers, or a slice of the first lanes."""
         low = self.low[at] + r * start
         rng = r * size
-        while True:
-            end = low + rng
-            out = (low ^ end) < _TOP
-            out |= rng < _U64_16
-            todo = np.flatnonzero(out)
-            if not len(todo):
-                break
-            a, b = low[todo], rng[todo]
+        todo = np.flatnonzero(((low ^ (low + rng)) < _TOP) | (rng < _U64_16))
+        a, b = low[todo], rng[todo]
+        while len(todo):        # a lane that puts nothing out stays as it is, so only the others are looked at again
             tight = (a ^ (a + b)) >= _TOP
             b = np.where(tight, (~a + np.uint64(1)) & np.uint64(0xFFFF), b)
-            lane = at[todo]
+            lane = todo if isinstance(at, slice) else at[todo]
             pos = self.pos[lane]
             if self.decoding:
                 self.code[lane] = ((self.code[lane] << _U16) & _LOW48) | self.flat[pos]
             else:
                 self.flat[pos] = (a >> np.uint64(32)).astype(np.uint16)
             self.pos[lane] = pos + 1
-            low[todo] = (a << _U16) & _LOW48
-            rng[todo] = b << _U16
+            a, b = (a << _U16) & _LOW48, b << _U16
+            low[todo], rng[todo] = a, b
+            again = ((a ^ (a + b)) < _TOP) | (b < _U64_16)
+            todo, a, b = todo[again], a[again], b[again]
         self.low[at], self.rng[at] = low, rng
 
     def flush(self):
@@ -123,57 +121,69 @@ class _Range:
 _U64_16 = np.uint64(1 << 16)
 
 
+def _below(rows: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """The last of the 32 ascending values in each row that is at most v."""
+    return np.bitwise_count(np.packbits(rows <= v[:, None], axis=None).view(np.uint32)).astype(np.int64) - 1
+
+
 def _run(n: np.ndarray, ids: np.ndarray | None, words: np.ndarray | None):
     """Code lanes of ``n`` symbols (longest first). With ``ids`` (lanes x symbols): words and their counts; with
     ``words``: ids."""
     lanes, steps = len(n), int(n[0]) if len(n) else 0
     rc = _Range(lanes, words, 3 * steps + 8)
-    out = np.zeros((lanes, steps), np.uint16) if ids is None else None
+    # symbols of a step lie side by side
+    symbols = np.zeros((steps, lanes), np.uint16) if ids is None else np.ascontiguousarray(ids.T)
     slots = 1 << SLOTS
     seen1, seen2 = np.zeros(lanes * slots, np.uint16), np.zeros(lanes * slots, np.uint16)
     # weights of the three outcomes for 9 states of what held before x 5 cases of which predictions exist
     weight = np.tile(np.array([[0, 0, 1], [8, 0, 8], [0, 8, 8], [8, 4, 8], [24, 0, 8]], np.int64), (lanes * 9, 1))
     count = np.ones((lanes, _N_CLASSES), np.int32)
-    span = _N_CLASSES + 1
-    cum = np.zeros((lanes, span), np.int64)
-    lane_key = (np.arange(lanes, dtype=np.int64) << 32)
-    np.cumsum(count, axis=1, out=cum[:, 1:])
-    total0 = cum[:, -1].astype(np.uint64)
-    keyed = (cum + lane_key[:, None]).ravel()
+    # where each class begins, and behind the last one the total, in 32 x 32 places; and every 32nd of them
+    begins = np.full((lanes, 1024), np.iinfo(np.int32).max, np.int32)
+    begins[:, 0] = 0
+    np.cumsum(count, axis=1, out=begins[:, 1:_N_CLASSES + 1])
+    coarse, total0 = begins[:, ::32].copy(), begins[:, _N_CLASSES].astype(np.uint64)
+    flat, fine = begins.ravel(), begins.reshape(-1, 32)
     p1, p2 = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
     held = np.zeros(lanes, np.int64)
     every = np.arange(lanes, dtype=np.int64)
-    active = lanes
+    active, counted = lanes, 0
+    firsts, states, halves = every << SLOTS, every * 9, weight.ravel()
     for t in range(steps):
         while n[active - 1] <= t:
             active -= 1
-        lane = every[:active]
+        lane, upto = every[:active], slice(0, active)
         if t in _REBUILD:
-            np.cumsum(count, axis=1, out=cum[:, 1:])
-            total0 = cum[:, -1].astype(np.uint64)
-            keyed = (cum + lane_key[:, None]).ravel()
+            # lane by lane, so that a lane's counts stay at hand
+            seen = _CLASS[np.ascontiguousarray(symbols[counted:t, :active].T)]
+            np.add.at(count.ravel(), (seen + lane[:, None] * _N_CLASSES).ravel(), np.int32(24))
+            counted = t
+            np.cumsum(count, axis=1, out=begins[:, 1:_N_CLASSES + 1])
+            coarse, total0 = begins[:, ::32].copy(), begins[:, _N_CLASSES].astype(np.uint64)
         a, b = p1[:active], p2[:active]
-        s1 = (lane << SLOTS) + ((a * 40503 >> 4) & (slots - 1))
-        s2 = (lane << SLOTS) + (((a * 40503 + b * 57587) >> 3) & (slots - 1))
-        c1, c2 = seen1[s1].astype(np.int64), seen2[s2].astype(np.int64)
-        same = c1 == c2
-        case = (c2 > 0) + 2 * ((c1 > 0) & ~same) + 3 * ((c2 > 0) & same)
-        state = (lane * 9 + held[:active]) * 5 + case
-        w = weight[state]
+        mixed = a * 40503
+        s1 = firsts[:active] + ((mixed >> 4) & (slots - 1))
+        s2 = firsts[:active] + (((mixed + b * 57587) >> 3) & (slots - 1))
+        c1, c2 = seen1.take(s1).astype(np.int64), seen2.take(s2).astype(np.int64)
+        case = np.where(c1 == c2, 4 * (c2 > 0), (c2 > 0) + 2 * (c1 > 0))
+        state = (states[:active] + held[:active]) * 5 + case
+        w = weight.take(state, axis=0)
         w0, w1 = w[:, 0], w[:, 0] + w[:, 1]
-        sum_w = (w1 + w[:, 2]).astype(np.uint64)
+        total = w1 + w[:, 2]
+        sum_w = total.astype(np.uint64)
         if ids is not None:
-            x = ids[:active, t].astype(np.int64)
-            hit2 = (c2 == x + 1)
-            outcome = np.where(hit2, 0, np.where((c1 == x + 1), 1, 2))
+            x = symbols[t, :active].astype(np.int64)
+            after = x + 1
+            first, second = c2 == after, c1 == after
             r = rc.rng[:active] // sum_w
         else:
-            x = np.empty(active, np.int64)
-            v, r = rc.target(lane, sum_w)
-            outcome = (v >= w0).astype(np.int64) + (v >= w1)
-            x[:] = np.where(outcome == 0, c2, c1) - 1
-        start = np.where(outcome == 0, 0, np.where(outcome == 1, w0, w1))
-        rc.narrow(lane, start.astype(np.uint64), w[lane, outcome].astype(np.uint64), r)
+            v, r = rc.target(upto, sum_w)
+            first, second = v < w0, v < w1
+            x = np.where(first, c2, c1) - 1
+        outcome = np.where(first, 0, np.where(second, 1, 2))
+        start = np.where(first, 0, np.where(second, w0, w1))
+        size = np.where(first, w0, np.where(second, w[:, 1], w[:, 2]))
+        rc.narrow(upto, start.astype(np.uint64), size.astype(np.uint64), r)
         miss = np.flatnonzero(outcome == 2)
         if len(miss):
             tot = total0[miss]
@@ -182,10 +192,12 @@ def _run(n: np.ndarray, ids: np.ndarray | None, words: np.ndarray | None):
                 r = rc.rng[miss] // tot
             else:
                 v, r = rc.target(miss, tot)
-                k = np.searchsorted(keyed, v + lane_key[miss], side="right") - 1 - miss * span
-            at = miss * span + k
-            lo = keyed[at]
-            rc.narrow(miss, (lo - lane_key[miss]).astype(np.uint64), (keyed[at + 1] - lo).astype(np.uint64), r)
+                at = v.astype(np.int32)
+                k = _below(coarse.take(miss, axis=0), at)
+                k = 32 * k + _below(fine.take(32 * miss + k, axis=0), at)
+            at = miss * 1024 + k
+            lo = flat.take(at)
+            rc.narrow(miss, lo.astype(np.uint64), (flat.take(at + 1) - lo).astype(np.uint64), r)
             wide = np.flatnonzero(k >= _BANDS[1][2])
             inside = np.zeros(len(miss), np.int64)
             if len(wide):
@@ -198,19 +210,18 @@ def _run(n: np.ndarray, ids: np.ndarray | None, words: np.ndarray | None):
                 rc.narrow(who, inside[wide].astype(np.uint64), np.uint64(1), r)
             if ids is None:
                 x[miss] = _FIRST[k] + inside
-        if out is not None:
-            out[:active, t] = x
+        if ids is None:
+            symbols[t, :active] = x
         # learn
-        weight[state, outcome] += 24
-        heavy = state[sum_w > 2000]
+        halves[state * 3 + outcome] = size + 24
+        heavy = state[total > 2000]
         if len(heavy):
             weight[heavy] = (weight[heavy] + 1) >> 1
-        count[lane, _CLASS[x]] += 24
         seen1[s1] = seen2[s2] = x + 1
         held[:active] = held[:active] % 3 * 3 + outcome
         p2[:active] = a
         p1[:active] = x
-    return (rc.words, rc.flush()) if ids is not None else out
+    return (rc.words, rc.flush()) if ids is not None else symbols.T
 
 
 def encode_blocks(ids: np.ndarray) -> bytes:

@@ -164,6 +164,20 @@ def test_blocks_round_trip_and_checksums():
         idcoder.decode_blocks(b"something else")
 
 
+def test_classes_are_found_in_two_levels():
+    rng = np.random.default_rng(7)
+    rows = np.sort(rng.integers(1, 500, (300, 32)), axis=1).astype(np.int32)
+    rows[:, 0] = 0
+    v = rng.integers(0, 600, 300).astype(np.int32)
+    assert idcoder._below(rows, v).tolist() == [int(np.searchsorted(r, x, side="right")) - 1 for r, x in zip(rows, v)]
+
+
+def test_coded_bytes_stay_the_same():
+    k = np.arange(30_000, dtype=np.int64)
+    data = idcoder.encode_blocks((k * k // 7 % (1 + k % 50257)).astype("<u4"))
+    assert hashlib.sha256(data).hexdigest() == "530020c0b21335d65c12de03f4a5fce70f74575adb11c5e4d5592b20b0e77511"
+
+
 def test_files_give_back_every_document_in_order(spark, odd, clashing, nothing, monkeypatch):
     for df, size in ((odd, 1 << 20), (clashing, 3000)):
         path = shared_dir(spark, "tests", "ids")

@@ -271,6 +271,28 @@ def test_equal_keys_are_merged_within_their_bands(spark, root, monkeypatch):
     assert {r.order_id for r in read_silver(spark, f"{silver}/orders", schema, bands=[-1]).collect()} == {-1, -3}
 
 
+def test_as_coded_versions_are_not_shuffled_into_bands(spark, root, monkeypatch):
+    import datetime as dt
+
+    from medalake import schemas
+    from medalake.session import list_dir
+    _in_small_bands(monkeypatch)
+    silver, inc = _silver(spark, root), f"{root}/gold_inc"
+    for t in ("orders", "order_items"):
+        version = silver_job(spark, SPECS[t], frames(spark)[t], silver, LOAD + dt.timedelta(days=1), mode="as_coded")
+        assert not [n for n in list_dir(spark, f"{version}/is_active=true") if n.startswith("_band")]
+    gold_job(spark, silver, inc, incremental=True)
+    # runs with bands go on from such a version
+    for day in (2, 3):
+        when = LOAD + dt.timedelta(days=day)
+        silver_job(spark, SPECS["orders"], spark.createDataFrame([(1001, day, when, 10.0, when), (2000, 1, when, 1.0, when)],
+                                                                 schemas.SOURCE["orders"]), silver, when)
+        silver_job(spark, SPECS["order_items"], spark.createDataFrame([(9, 1010, 101, 6 + day, 1.0, when)],
+                                                                      schemas.SOURCE["order_items"]), silver, when)
+        got = gold_job(spark, silver, inc, incremental=True)
+        assert _same(got, gold_job(spark, silver, f"{root}/full{day}"))
+
+
 def test_runs_with_maintenance(spark, root):
     """Four days, each with a changed order; two of the runs compact."""
     import datetime as dt

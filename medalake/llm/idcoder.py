@@ -13,7 +13,8 @@ The model predicts an id from three contexts and mixes them:
 
 An id is coded as "order 2 was right", "order 1 was right" or "neither" with weights that each block learns for
 every state (which predictions exist and agree, and what held for the two ids before), then by order 0 if
-neither was right. Decoder and encoder share the model code, which uses whole numbers only.
+neither was right. Decoder and encoder share the model code, which uses whole numbers only. The encoder knows all ids,
+so it looks up and classifies a number of steps at once; only what learns, and the range coder, go step by step.
 
 Files are written by Spark as Parquet rows of (part, segment, n_docs, n_ids, index, blocks): committed at once,
 readable from any store that Spark reads, and split between tasks by segment.
@@ -41,13 +42,15 @@ from medalake.llm.token_ids import encoder
 
 BLOCK = 2048           # symbols in a block
 LANES = 2048           # blocks coded side by side, and at most so many in a segment
+AT_ONCE = 32           # steps that the encoder prepares at a time
 SLOTS = 12             # bits of the context tables of a block
 MAGIC = b"TIDC\x01"
 FILE_SCHEMA = "part int, segment int, n_docs long, n_ids long, index binary, blocks binary"
 DOC_SCHEMA = "part int, segment int, doc_id long, local_start long, n_tokens long, ids_crc32 long"
 
 _TOP, _LOW48 = np.uint64(1 << 32), np.uint64((1 << 48) - 1)
-_U16 = np.uint64(16)
+_U16, _U32, _U48 = np.uint64(16), np.uint64(32), np.uint64(48)
+_U64_16, _ONE, _FIELD = np.uint64(1 << 16), np.uint64(1), np.uint64(0xFFFF)
 _REBUILD = frozenset([16, 32, 64, 128, 256, 384, 512, 768, 1024, 1280, 1536, 1792])
 #: Symbols are 16 bits. Classes of order 0: (first symbol, symbols in a class, first class).
 _BANDS = ((0, 1, 0), (512, 8, 512), (4096, 1024, 960), (65536, 1, 1020))
@@ -69,7 +72,7 @@ _CLASS, _FIRST, _WIDTH = _class_tables()
 
 
 class _Range:
-    """Range coder state of all lanes: 48-bit low, carry-less, 16-bit words out or in."""
+    """Range coder state of all lanes: 48-bit low, carry-less, 16-bit words out or in. Decoding keeps the code less the low."""
 
     def __init__(self, lanes: int, words: np.ndarray | None, room: int):
         self.low = np.zeros(lanes, np.uint64)
@@ -84,32 +87,51 @@ class _Range:
                 self.code = (self.code << _U16) | self.flat[self.pos]
                 self.pos += 1
 
-    def target(self, at, total):
-        """Decoding: where the code lies among ``total`` parts of the lanes ``at``."""
-        r = self.rng[at] // total
-        return np.minimum((self.code[at] - self.low[at]) // r, total - np.uint64(1)).astype(np.int64), r
-
-    def narrow(self, at, start, size, r):
-        """``at``: lane numbers, or a slice of the first lanes."""
-        low = self.low[at] + r * start
-        rng = r * size
-        todo = np.flatnonzero(((low ^ (low + rng)) < _TOP) | (rng < _U64_16))
-        a, b = low[todo], rng[todo]
+    def narrow(self, active: int, skip, rng, by=None):
+        """The first ``active`` lanes, or lanes ``by`` of them: leave out ``skip``, keep ``rng``."""
+        if by is None:
+            low = self.low[:active]
+            low += skip
+            self.rng[:active] = rng
+            if self.decoding:
+                code = self.code[:active]
+                code -= skip
+        else:
+            low = self.low.take(by)
+            low += skip
+            self.low[by], self.rng[by] = low, rng
+            if self.decoding:
+                self.code[by] = self.code.take(by) - skip
+        near = low + rng
+        near ^= low
+        near = near < _TOP
+        todo = (near | (rng < _U64_16)).nonzero()[0]
+        if not len(todo):
+            return
+        lane = todo if by is None else by.take(todo)
+        a, b, pos = low.take(todo), rng.take(todo), self.pos.take(lane)
         while len(todo):        # a lane that puts nothing out stays as it is, so only the others are looked at again
-            tight = (a ^ (a + b)) >= _TOP
-            b = np.where(tight, (~a + np.uint64(1)) & np.uint64(0xFFFF), b)
-            lane = todo if isinstance(at, slice) else at[todo]
-            pos = self.pos[lane]
+            if np.count_nonzero(near) < len(todo):
+                b = np.where((a ^ (a + b)) >= _TOP, (~a + _ONE) & _FIELD, b)
             if self.decoding:
-                self.code[lane] = ((self.code[lane] << _U16) & _LOW48) | self.flat[pos]
+                code = self.code.take(lane)
+                code <<= _U16
+                # a lane of a broken block may run past the words
+                code |= self.flat.take(pos, mode="clip")
+                self.code[lane] = code
             else:
-                self.flat[pos] = (a >> np.uint64(32)).astype(np.uint16)
-            self.pos[lane] = pos + 1
-            a, b = (a << _U16) & _LOW48, b << _U16
-            low[todo], rng[todo] = a, b
-            again = ((a ^ (a + b)) < _TOP) | (b < _U64_16)
-            todo, a, b = todo[again], a[again], b[again]
-        self.low[at], self.rng[at] = low, rng
+                self.flat[pos] = a >> _U32
+            pos += 1
+            a <<= _U16
+            a &= _LOW48
+            b <<= _U16
+            self.low[lane], self.rng[lane], self.pos[lane] = a, b, pos
+            near = a + b
+            near ^= a
+            near = near < _TOP
+            todo = (near | (b < _U64_16)).nonzero()[0]
+            if len(todo):
+                lane, a, b, pos = lane.take(todo), a.take(todo), b.take(todo), pos.take(todo)
 
     def flush(self):
         for shift in (32, 16, 0):
@@ -118,110 +140,209 @@ class _Range:
         return self.pos - np.arange(len(self.low)) * self.room
 
 
-_U64_16 = np.uint64(1 << 16)
-
-
 def _below(rows: np.ndarray, v: np.ndarray) -> np.ndarray:
     """The last of the 32 ascending values in each row that is at most v."""
     return np.bitwise_count(np.packbits(rows <= v[:, None], axis=None).view(np.uint32)).astype(np.int64) - 1
 
 
-def _run(n: np.ndarray, ids: np.ndarray | None, words: np.ndarray | None):
-    """Code lanes of ``n`` symbols (longest first). With ``ids`` (lanes x symbols): words and their counts; with
-    ``words``: ids."""
-    lanes, steps = len(n), int(n[0]) if len(n) else 0
-    rc = _Range(lanes, words, 3 * steps + 8)
-    # symbols of a step lie side by side
-    symbols = np.zeros((steps, lanes), np.uint16) if ids is None else np.ascontiguousarray(ids.T)
-    slots = 1 << SLOTS
-    seen1, seen2 = np.zeros(lanes * slots, np.uint16), np.zeros(lanes * slots, np.uint16)
-    # weights of the three outcomes for 9 states of what held before x 5 cases of which predictions exist
-    weight = np.tile(np.array([[0, 0, 1], [8, 0, 8], [0, 8, 8], [8, 4, 8], [24, 0, 8]], np.int64), (lanes * 9, 1))
-    count = np.ones((lanes, _N_CLASSES), np.int32)
-    # where each class begins, and behind the last one the total, in 32 x 32 places; and every 32nd of them
-    begins = np.full((lanes, 1024), np.iinfo(np.int32).max, np.int32)
-    begins[:, 0] = 0
-    np.cumsum(count, axis=1, out=begins[:, 1:_N_CLASSES + 1])
-    coarse, total0 = begins[:, ::32].copy(), begins[:, _N_CLASSES].astype(np.uint64)
-    flat, fine = begins.ravel(), begins.reshape(-1, 32)
-    p1, p2 = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-    held = np.zeros(lanes, np.int64)
-    every = np.arange(lanes, dtype=np.int64)
-    active, counted = lanes, 0
-    firsts, states, halves = every << SLOTS, every * 9, weight.ravel()
-    for t in range(steps):
-        while n[active - 1] <= t:
-            active -= 1
-        lane, upto = every[:active], slice(0, active)
-        if t in _REBUILD:
+# The weights of the three outcomes are 16 bits each of one number; times _SUMS, its upper three places are the sums of
+# the first, the first two and all of them. They are kept for 9 states of what held before x 5 cases of which predictions
+# exist.
+def _packed(w0: int, w1: int, w2: int) -> int:
+    return w0 | w1 << 16 | w2 << 32
+
+
+_WEIGHTS = np.tile(np.array([_packed(*w) for w in ((0, 0, 1), (8, 0, 8), (0, 8, 8), (8, 4, 8), (24, 0, 8))], np.uint64), 9)
+_LEARN = np.array([_packed(24, 0, 0), _packed(0, 24, 0), _packed(0, 0, 24)], np.uint64)
+_SUMS, _HEAVY = np.uint64(1 << 16 | 1 << 32 | 1 << 48), np.uint64(2001 << 48)
+_ROUND, _HALVED = np.uint64(_packed(1, 1, 1)), np.uint64(_packed(0x7FFF, 0x7FFF, 0x7FFF))
+_SHIFT, _LAST = np.log2(_WIDTH).astype(np.uint64), (_WIDTH - 1).astype(np.uint64)
+_FIRST16, _CLASS16 = _FIRST.astype(np.uint16), _CLASS.astype(np.uint16)
+_SLOT = np.uint16((1 << SLOTS) - 1)
+_TWO, _FIVE, _FIFTEEN = np.uint8(2), np.uint8(5), np.uint8(15)
+_MIX1, _MIX2 = np.uint16(40503), np.uint16(57587)
+
+
+class _Model:
+    """What all lanes have seen: the id last seen in a context, plus 1; weights; counts of classes."""
+
+    def __init__(self, lanes: int):
+        self.seen1, self.seen2 = (np.zeros(lanes << SLOTS, np.uint16) for _ in range(2))
+        self.weight = np.tile(_WEIGHTS, lanes)
+        self.count = np.ones((lanes, _N_CLASSES), np.uint16)
+        # where each class begins, and behind the last one the total, in 32 x 32 places; and every 32nd of them
+        self.begins = np.full((lanes, 1024), 0xFFFF, np.uint16)
+        self.flat, self.fine = self.begins.ravel(), self.begins.reshape(-1, 32)
+        self.total, self.counted = 0, 0
+        every = np.arange(lanes, dtype=np.int64)
+        self.firsts, self.states, self.fines, self.classes = every << SLOTS, every * 45, every * 32, every * 1024
+        self.rebuild()
+
+    def rebuild(self, seen: np.ndarray | None = None):
+        """Count the symbols ``seen`` (steps x lanes) since the last time."""
+        if seen is not None:
             # lane by lane, so that a lane's counts stay at hand
-            seen = _CLASS[np.ascontiguousarray(symbols[counted:t, :active].T)]
-            np.add.at(count.ravel(), (seen + lane[:, None] * _N_CLASSES).ravel(), np.int32(24))
-            counted = t
-            np.cumsum(count, axis=1, out=begins[:, 1:_N_CLASSES + 1])
-            coarse, total0 = begins[:, ::32].copy(), begins[:, _N_CLASSES].astype(np.uint64)
-        a, b = p1[:active], p2[:active]
-        mixed = a * 40503
-        s1 = firsts[:active] + ((mixed >> 4) & (slots - 1))
-        s2 = firsts[:active] + (((mixed + b * 57587) >> 3) & (slots - 1))
-        c1, c2 = seen1.take(s1).astype(np.int64), seen2.take(s2).astype(np.int64)
-        case = np.where(c1 == c2, 4 * (c2 > 0), (c2 > 0) + 2 * (c1 > 0))
-        state = (states[:active] + held[:active]) * 5 + case
-        w = weight.take(state, axis=0)
-        w0, w1 = w[:, 0], w[:, 0] + w[:, 1]
-        total = w1 + w[:, 2]
-        sum_w = total.astype(np.uint64)
-        if ids is not None:
-            x = symbols[t, :active].astype(np.int64)
-            after = x + 1
-            first, second = c2 == after, c1 == after
-            r = rc.rng[:active] // sum_w
-        else:
-            v, r = rc.target(upto, sum_w)
-            first, second = v < w0, v < w1
-            x = np.where(first, c2, c1) - 1
-        outcome = np.where(first, 0, np.where(second, 1, 2))
-        start = np.where(first, 0, np.where(second, w0, w1))
-        size = np.where(first, w0, np.where(second, w[:, 1], w[:, 2]))
-        rc.narrow(upto, start.astype(np.uint64), size.astype(np.uint64), r)
-        miss = np.flatnonzero(outcome == 2)
-        if len(miss):
-            tot = total0[miss]
-            if ids is not None:
-                k = _CLASS[x[miss]]
-                r = rc.rng[miss] // tot
-            else:
-                v, r = rc.target(miss, tot)
-                at = v.astype(np.int32)
-                k = _below(coarse.take(miss, axis=0), at)
-                k = 32 * k + _below(fine.take(32 * miss + k, axis=0), at)
-            at = miss * 1024 + k
-            lo = flat.take(at)
-            rc.narrow(miss, lo.astype(np.uint64), (flat.take(at + 1) - lo).astype(np.uint64), r)
-            wide = np.flatnonzero(k >= _BANDS[1][2])
-            inside = np.zeros(len(miss), np.int64)
-            if len(wide):
-                who, width = miss[wide], _WIDTH[k[wide]].astype(np.uint64)
-                if ids is not None:
-                    inside[wide] = x[who] - _FIRST[k[wide]]
-                    r = rc.rng[who] // width
-                else:
-                    inside[wide], r = rc.target(who, width)
-                rc.narrow(who, inside[wide].astype(np.uint64), np.uint64(1), r)
-            if ids is None:
-                x[miss] = _FIRST[k] + inside
-        if ids is None:
-            symbols[t, :active] = x
-        # learn
-        halves[state * 3 + outcome] = size + 24
-        heavy = state[total > 2000]
+            k = _CLASS.take(np.ascontiguousarray(seen.T))
+            k += (np.arange(k.shape[0]) * _N_CLASSES)[:, None]
+            np.add.at(self.count.ravel(), k.ravel(), np.uint16(24))
+            self.counted += len(seen)
+        self.begins[:, 0] = 0
+        np.cumsum(self.count, axis=1, dtype=np.uint16, out=self.begins[:, 1:_N_CLASSES + 1])
+        self.coarse = np.ascontiguousarray(self.begins[:, ::32].T)
+        self.total = np.uint64(_N_CLASSES + 24 * self.counted)
+
+    def slots(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in the tables of contexts, for the last id ``a`` and the one before it."""
+        mixed, firsts = a * _MIX1, self.firsts[: a.shape[-1]]
+        return firsts + (mixed >> np.uint16(4)), firsts + (((mixed + b * _MIX2) >> np.uint16(3)) & _SLOT)
+
+    def state(self, c1: np.ndarray, c2: np.ndarray, before: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Places of the weights, for the predictions and the last two outcomes."""
+        two = c2 > 0
+        case = (c1 > 0).view(np.uint8) * _TWO
+        case += two.view(np.uint8)
+        two &= c1 == c2
+        case += two.view(np.uint8)
+        case += before * _FIFTEEN
+        case += last * _FIVE
+        return self.states[: c1.shape[-1]] + case
+
+    def learn(self, state: np.ndarray, w: np.ndarray, sums: np.ndarray, step: np.ndarray):
+        new = w + step
+        heavy = (sums >= _HEAVY).nonzero()[0]
         if len(heavy):
-            weight[heavy] = (weight[heavy] + 1) >> 1
-        seen1[s1] = seen2[s2] = x + 1
-        held[:active] = held[:active] % 3 * 3 + outcome
-        p2[:active] = a
-        p1[:active] = x
-    return (rc.words, rc.flush()) if ids is not None else symbols.T
+            new[heavy] = ((new.take(heavy) + _ROUND) >> _ONE) & _HALVED
+        self.weight[state] = new
+
+
+def _spans(n: np.ndarray, most: int) -> list[tuple[int, int, int]]:
+    """(first step, step behind the last one, lanes active) of at most ``most`` steps, between which counts are rebuilt."""
+    steps = int(n[0]) if len(n) else 0
+    cuts = sorted({*range(0, steps, most), *(r for r in _REBUILD if r < steps), *np.unique(n).tolist()} | {0})
+    return [(lo, hi, int((n > lo).sum())) for lo, hi in zip(cuts, cuts[1:])]
+
+
+def _encode(n: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Code lanes of ``n`` symbols (longest first; lanes x symbols): their words, and how many. All symbols are known,
+    so a number of steps at a time is looked up and classified at once; only what learns goes step by step."""
+    lanes, steps = ids.shape
+    rc, m = _Range(lanes, None, 3 * steps + 8), _Model(lanes)
+    # symbols of a step lie side by side; before the first one come two zeros
+    symbols = np.zeros((steps + 2, lanes), np.uint16)
+    symbols[2:] = ids.T
+    outcomes = np.zeros((2 + AT_ONCE, lanes), np.uint8)          # and of the two steps before
+    for t, end, active in _spans(n, AT_ONCE):
+        if t in _REBUILD:
+            m.rebuild(symbols[2 + m.counted: 2 + t, :active])
+        size = end - t
+        x = symbols[2 + t: 2 + end, :active]
+        after = x + np.uint16(1)
+        s1, s2 = m.slots(symbols[1 + t: 1 + end, :active], symbols[t:end, :active])
+        c1, c2 = np.empty_like(x), np.empty_like(x)
+        for i in range(size):
+            m.seen1.take(s1[i], out=c1[i], mode="clip")
+            m.seen1[s1[i]] = after[i]
+            m.seen2.take(s2[i], out=c2[i], mode="clip")
+            m.seen2[s2[i]] = after[i]
+        first, second = (c2 == after) & (after > 0), (c1 == after) & (after > 0)
+        outcome = outcomes[2: 2 + size, :active]
+        outcome[:] = np.where(first, 0, np.where(second, 1, 2))
+        state = m.state(c1, c2, outcomes[:size, :active], outcomes[1: 1 + size, :active])
+        step, w = _LEARN.take(outcome), np.empty(x.shape, np.uint64)
+        for i in range(size):
+            now = m.weight.take(state[i], mode="clip")
+            m.learn(state[i], now, np.multiply(now, _SUMS, out=w[i]), step[i])
+        w0, w1, total = (w >> _U16) & _FIELD, (w >> _U32) & _FIELD, w >> _U48
+        miss = outcome == 2
+        start = np.where(first, 0, np.where(miss, w1, w0))
+        width = np.where(first, w0, np.where(miss, total, w1)) - start
+        k = _CLASS.take(x)
+        at = m.classes[:active] + k
+        lo = m.flat.take(at)
+        wide0 = m.flat.take(at + 1) - lo
+        lo[~miss], wide0[~miss] = 0, 1
+        inside = (x - _FIRST16.take(k)).astype(np.uint64)
+        lo, wide0, wide = lo.astype(np.uint64), wide0.astype(np.uint64), miss & (k >= _BANDS[1][2])
+        for i in range(size):
+            r = rc.rng[:active] // total[i]
+            rc.narrow(active, r * start[i], r * width[i])
+            # who has been coded keeps its range
+            r = rc.rng[:active] // m.total
+            done = np.flatnonzero(~miss[i])
+            r[done] = rc.rng.take(done)
+            rc.narrow(active, r * lo[i], r * wide0[i])
+            who = np.flatnonzero(wide[i])
+            if len(who):
+                r = rc.rng.take(who) >> _SHIFT.take(k[i].take(who))
+                rc.narrow(active, r * inside[i].take(who), r, who)
+        outcomes[:2] = outcomes[size: size + 2]
+    return rc.words, rc.flush()
+
+
+def _decode(n: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """The symbols of lanes of ``n`` symbols (longest first; lanes x symbols)."""
+    lanes, steps = len(n), int(n[0])
+    rc, m = _Range(lanes, words, 0), _Model(lanes)
+    symbols = np.zeros((steps + 2, lanes), np.uint16)
+    outcomes = np.zeros((3, lanes), np.uint8)
+    for begin, end, active in _spans(n, steps):
+        if begin in _REBUILD:
+            m.rebuild(symbols[2 + m.counted: 2 + begin, :active])
+        coarse, most = m.coarse[:, :active], m.total - np.uint64(1)
+        low, rng, code = rc.low[:active], rc.rng[:active], rc.code[:active]
+        before, last, outcome = outcomes[:, :active]
+        for t in range(begin, end):
+            s1, s2 = m.slots(symbols[1 + t, :active], symbols[t, :active])
+            c1, c2 = m.seen1.take(s1, mode="clip"), m.seen2.take(s2, mode="clip")
+            state = m.state(c1, c2, before, last)
+            w = m.weight.take(state, mode="clip")
+            sums = w * _SUMS
+            total, w1 = sums >> _U48, (sums >> _U32) & _FIELD
+            r = rng // total
+            upto0, upto1 = r * (w & _FIELD), r * w1
+            first, hit = code < upto0, code < upto1
+            total -= w1
+            total *= r
+            done = np.flatnonzero(hit)
+            if len(done):
+                one = first.take(done)
+                a, b = upto0.take(done), upto1.take(done)
+                a, b = np.where(one, 0, a), np.where(one, a, b)
+                total[done], upto1[done] = b - a, a
+                guess = np.where(one, c2.take(done), c1.take(done)) - np.uint16(1)
+            rc.narrow(active, upto1, total)
+            # by order 0; who has been decoded keeps its range
+            r = rng // m.total
+            v = np.minimum(code // r, most).astype(np.uint16)
+            k = np.add.reduce((coarse <= v).view(np.uint8), axis=0, dtype=np.uint8).astype(np.int64)
+            k -= 1
+            k = 32 * k + _below(m.fine.take(m.fines[:active] + k, axis=0, mode="clip"), v)
+            at = m.classes[:active] + k
+            lo = m.flat.take(at, mode="clip")
+            at += 1
+            width = m.flat.take(at, mode="clip") - lo
+            if len(done):
+                r[done], lo[done], width[done], k[done] = rng.take(done), 0, 1, 0
+            rc.narrow(active, r * lo, r * width)
+            x = _FIRST16.take(k)
+            who = np.flatnonzero(k >= _BANDS[1][2])
+            if len(who):
+                kind = k.take(who)
+                r = rng.take(who) >> _SHIFT.take(kind)
+                inside = np.minimum(code.take(who) // r, _LAST.take(kind))
+                rc.narrow(active, inside * r, r, who)
+                x[who] += inside.astype(np.uint16)
+            if len(done):
+                x[done] = guess
+            symbols[2 + t, :active] = x
+            np.subtract(np.uint8(2), hit.view(np.uint8), out=outcome)
+            outcome -= first.view(np.uint8)
+            m.learn(state, w, sums, _LEARN.take(outcome))
+            x += np.uint16(1)
+            m.seen1[s1] = x
+            m.seen2[s2] = x
+            before[:], last[:] = last, outcome
+    return symbols[2:].T
 
 
 def encode_blocks(ids: np.ndarray) -> bytes:
@@ -240,7 +361,7 @@ def encode_blocks(ids: np.ndarray) -> bytes:
     crc = np.array([zlib.crc32(grid[i, : n[i]].tobytes()) for i in range(n_blocks)], "<u4")
     body, sizes = [], []
     for at in range(0, n_blocks, LANES):
-        words, used = _run(n[at: at + LANES], grid[at: at + LANES], None)
+        words, used = _encode(n[at: at + LANES], grid[at: at + LANES])
         body += [words[i, : used[i]].astype("<u2").tobytes() for i in range(len(used))]
         sizes.append(used)
     return head + np.concatenate(sizes).astype("<u4").tobytes() + crc.tobytes() + b"".join(body)
@@ -265,7 +386,7 @@ def decode_blocks(data: bytes) -> np.ndarray:
         for i, k in enumerate(size):
             words[i, :k] = np.frombuffer(data, "<u2", k, at)
             at += 2 * k
-        got = _run(n[first: first + LANES], None, words)
+        got = _decode(n[first: first + LANES], words)
         for i in range(len(size)):
             block = got[i, : n[first + i]]
             if zlib.crc32(block.tobytes()) != crc[first + i]:

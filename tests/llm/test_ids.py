@@ -178,6 +178,37 @@ def test_coded_bytes_stay_the_same():
     assert hashlib.sha256(data).hexdigest() == "530020c0b21335d65c12de03f4a5fce70f74575adb11c5e4d5592b20b0e77511"
 
 
+def test_symbols_to_encode_are_looked_up_many_steps_at_a_time(monkeypatch):
+    steps = []
+    slots = idcoder._Model.slots
+
+    def seen(self, a, b):
+        steps.append(a.shape[0] if a.ndim == 2 else 1)
+        return slots(self, a, b)
+
+    monkeypatch.setattr(idcoder._Model, "slots", seen)
+    data = idcoder.encode_blocks(np.arange(3 * idcoder.BLOCK, dtype="<u4") % 700)
+    assert sum(steps) == idcoder.BLOCK and len(steps) < idcoder.BLOCK / 20
+    steps.clear()
+    idcoder.decode_blocks(data)
+    assert steps == [1] * idcoder.BLOCK
+
+
+def test_packed_weights_learn_like_plain_ones():
+    rng = np.random.default_rng(8)
+    m, plain = idcoder._Model(3), np.tile([[0, 0, 1], [8, 0, 8], [0, 8, 8], [8, 4, 8], [24, 0, 8]], (27, 1))
+    for _ in range(4000):
+        state = np.arange(3) * 45 + rng.integers(0, 2, 3)
+        outcome = rng.integers(0, 3, 3).astype(np.uint8)
+        w = m.weight.take(state)
+        m.learn(state, w, w * idcoder._SUMS, idcoder._LEARN.take(outcome))
+        heavy = state[plain[state].sum(axis=1) > 2000]
+        plain[state, outcome] += 24
+        plain[heavy] = (plain[heavy] + 1) >> 1
+    fields = [(m.weight >> np.uint64(k)) & np.uint64(0xFFFF) for k in (0, 16, 32, 48)]
+    assert (np.stack(fields[:3], axis=1) == plain).all() and not fields[3].any()
+
+
 def test_files_give_back_every_document_in_order(spark, odd, clashing, nothing, monkeypatch):
     for df, size in ((odd, 1 << 20), (clashing, 3000)):
         path = shared_dir(spark, "tests", "ids")

@@ -348,6 +348,30 @@ def test_changes_meet_all_rows_in_one_join(spark, root):
     assert got[101, 1] == (-1, -1, -1000.0) and got[101, 7] == (1, 4, 4000.0)
 
 
+def test_a_change_is_shuffled_once_to_be_counted(spark, root):
+    import datetime as dt
+
+    from medalake import schemas
+    from medalake.plans import gold as G
+    from medalake.sinks.tables import rows_signed
+    silver, T1, T2 = _silver(spark, root), LOAD + dt.timedelta(days=1), LOAD + dt.timedelta(days=2)
+    for t, qty in ((T1, 4), (T2, 5)):
+        silver_job(spark, SPECS["order_items"], spark.createDataFrame([(1, 1001, 101, qty, 1000.0, t)],
+                                                                     schemas.SOURCE["order_items"]), silver, t)
+    spec = SPECS["order_items"]
+    first = spark.read.parquet(f"{silver}/order_items/snap_0000000001").count()
+    for since, changes in ((1, 4), (2, 2)):
+        rows = rows_signed(spark, f"{silver}/order_items", spec.silver_schema, since, 3).collect()
+        assert len(rows) == first + 4 and sum(r.change != 0 for r in rows) == changes      # each delta's two rows, once
+        now = {}
+        for r in rows:
+            now[r.order_item_id, r.quantity] = now.get((r.order_item_id, r.quantity), 0) + r.now
+        assert now[1, 5] == 1 and now[1, 4] == 0 and sum(now.values()) == first
+    plan = G.changed_counts(spark, silver, {"orders": 1, "order_items": 1}, {"orders": 1, "order_items": 3})
+    text = plan._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert sum("FileScan parquet" in line and "/order_items/ver_0000000003/is_active=true" in line for line in text.split("\n")) <= 1
+
+
 def test_a_price_beyond_money_in_no_active_order_is_no_error(spark):
     f = frames(spark)
     orders = f["orders"].selectExpr("*", "order_id <> 1001 AS is_active")

@@ -7,11 +7,12 @@ from itertools import product
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from llm_cases import key, odd_texts
 from tokenizers import Tokenizer
 
-from medalake.llm import bpe, idcoder, packing
+from medalake.llm import bpe, idcoder, packing, token_ids
 from medalake.llm.token_ids import TextEncoder
 from medalake.session import shared_dir
 
@@ -209,6 +210,72 @@ def test_packed_weights_learn_like_plain_ones():
     assert (np.stack(fields[:3], axis=1) == plain).all() and not fields[3].any()
 
 
+def test_both_formats_round_trip_with_the_same_model():
+    rng = np.random.default_rng(3)
+    for ids in (np.zeros(0, "<u4"), np.array([5], "<u4"), np.zeros(5000, "<u4"), np.full(3000, 65535, "<u4"),
+                np.array([70000, 5, 2**32 - 1, 0, 65535] * 900, "<u4"), rng.integers(0, 65536, 50_000).astype("<u4"),
+                np.minimum(rng.zipf(1.3, 300_000), 50256).astype("<u4")):
+        old, new = idcoder.encode_blocks(ids), idcoder.encode_blocks(ids, idcoder.MAGIC2)
+        assert (idcoder.decode_blocks(old) == ids).all() and (idcoder.decode_blocks(new) == ids).all()
+        assert len(new) < 1.01 * len(old) + 16
+    broken = bytearray(new)
+    broken[-40] ^= 1
+    with pytest.raises(ValueError, match=f"block {len(ids) // idcoder.BLOCK}"):
+        idcoder.decode_blocks(bytes(broken))
+
+
+def test_a_lane_moves_at_most_one_word_in_and_out_in_a_step():
+    rng, lanes, steps = np.random.default_rng(4), 50, 3000
+    totals = rng.integers(1, 45_000, (steps, lanes)).astype(np.uint64)
+    skips = (rng.random((steps, lanes)) * totals).astype(np.uint64)
+    skips[:, :10] = totals[:, :10] - np.uint64(1)          # carries run through many words
+    shifts = rng.integers(0, 11, (steps, lanes)).astype(np.uint64)
+    rc = idcoder._Carrying(lanes, None, 60)
+    for total, skip, shift in zip(totals, skips, shifts):
+        rc.make_room(1)
+        before, r = rc.pos.copy(), rc.rng // total
+        rc.narrow(lanes, r * skip, r >> shift)
+        assert ((rc.pos - before) <= 1).all() and (rc.rng >= 2**32).all()
+    rc.make_room(2)
+    used = rc.flush()
+    assert (rc.words < 2**32).all()
+    rd = idcoder._Carrying(lanes, np.pad(rc.words[:, : used.max()], ((0, 0), (0, 4))).astype(np.uint32), 0)
+    for total, skip, shift in zip(totals, skips, shifts):
+        r = rd.rng // total
+        assert (np.minimum(rd.code // r, total - np.uint64(1)) == skip).all()
+        rd.narrow(lanes, r * skip, r >> shift)
+
+
+MANY = ["", None, "a", " ", "  two  spaces\n\nand\ttabs \r\n", "it's we'll THEY'VE 'S o'clock", "x" * 15, "x" * 16, " " + "y" * 300,
+        "naïveté straße ſ İstanbul 3×4 8÷2 ª º µ", "日本語 text と 中文", "🙂 ok 🙂", "a\x00b \x00\x00 \x00", "\x85\xa0 odd\u2003space",
+        "<|endoftext|> in <|endoftext|>text", "12x3 4.5,6 (a)-[b]_c_ ...!?", "end ", " start", "A.B.C. d,e", "Éa", "a" + "é" * 7 + "b"]
+
+
+@pytest.mark.parametrize("vocabulary", [BYTE, WORD])
+def test_columns_of_texts_get_the_ids_of_the_library(vocabulary, monkeypatch):
+    rng = np.random.default_rng(5)
+    words = [w for t in MANY if t for w in t.split(" ")]
+    texts = MANY + [" ".join(rng.choice(words, n)) for n in (1, 5, 50, 700)] + \
+        ["".join(map(chr, rng.integers(32, 0x180, n))) for n in (3, 20, 400)]
+    wanted = [ids_of(vocabulary, t) for t in texts]
+    for piece, at_once in ((1 << 21, 1 << 17), (40, 64)):
+        monkeypatch.setattr(token_ids, "_PIECE", piece)
+        monkeypatch.setattr(token_ids, "_AT_ONCE", at_once)
+        enc = TextEncoder(vocabulary, 16)           # a table of 64 parts, emptied again and again
+        for _ in range(2):
+            assert [x.tolist() for x in enc.encode_many(pa.array(texts))] == wanted
+    assert enc.encode_many(pa.array([], pa.string())) == []
+
+
+def test_known_parts_are_looked_up_without_a_call_each(monkeypatch):
+    enc = TextEncoder(BYTE)
+    texts = pa.array([f"known words, {i % 7} and again known words." for i in range(500)])
+    enc.encode_many(texts)
+    for name in ("_ids", "_plain", "_library"):
+        monkeypatch.setattr(enc, name, None)
+    assert len(enc.encode_many(texts)) == 500
+
+
 def test_files_give_back_every_document_in_order(spark, odd, clashing, nothing, monkeypatch):
     for df, size in ((odd, 1 << 20), (clashing, 3000)):
         path = shared_dir(spark, "tests", "ids")
